@@ -50,6 +50,28 @@ def to_column(value: str | Column) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+# Texts that stand for whole numbers and for booleans.
+WHOLE_NUMBER = r"^\s*[-+]?\d+\s*$"
+BOOLEAN = r"^\s*(?i:t|true|y|yes|1|f|false|n|no|0)\s*$"
+
+
+def cast_or_null(source: Column, target: T.DataType | str, source_type: T.DataType | None = None) -> Column:
+    """A cast that gives NULL for what does not parse.
+
+    A failed cast of text to a whole number or a boolean is slow in Spark (it raises inside), so texts are tested by
+    pattern first when the source is known to be text.
+    """
+    kind = target if isinstance(target, str) else target.simpleString()
+    cast = source.try_cast(target)
+    if not isinstance(source_type, T.StringType):
+        return cast
+    if kind in ("tinyint", "smallint", "int", "integer", "bigint", "long", "short", "byte"):
+        return F.when(source.rlike(WHOLE_NUMBER), cast)
+    if kind == "boolean":
+        return F.when(source.rlike(BOOLEAN), cast)
+    return cast
+
+
 def first_meaningful(*values: str | Column, sentinels: Sequence[str] = SENTINELS) -> Column:
     """The first value, left to right, that is neither NULL nor one of the sentinels, as a string."""
 

@@ -7,7 +7,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from millrace.functions.columns import cast_or_null
 from millrace.operators.project import quoted
 
 
@@ -64,7 +66,7 @@ def source_names(specs: Iterable[ColumnSpec]) -> list[str]:
     return [s.source_column_name for s in in_sequence(specs)]
 
 
-def target_expression(spec: ColumnSpec) -> Column:
+def target_expression(spec: ColumnSpec, source_type: T.DataType | None = None) -> Column:
     """The source column, cast to its target type. A cell that does not parse becomes NULL."""
     source = quoted(spec.source_column_name)
     kind = spec.target_datatype.lower()
@@ -82,12 +84,15 @@ def target_expression(spec: ColumnSpec) -> Column:
         if spec.target_length is not None and spec.target_precision is not None:
             kind = f"decimal({spec.target_length},{spec.target_precision})"
         return source.try_cast(kind)
-    return source.try_cast(kind)
+    return cast_or_null(source, kind, source_type)
 
 
 def conform(df: DataFrame, specs: Iterable[ColumnSpec], change_indicator: str | None = None) -> DataFrame:
     """Project to the target columns, in sequence order; the change indicator passes through if present."""
-    columns = [target_expression(s).alias(s.target_column_name) for s in in_sequence(specs)]
+    columns = [
+        target_expression(s, df.schema[s.source_column_name].dataType).alias(s.target_column_name)
+        for s in in_sequence(specs)
+    ]
     if change_indicator and change_indicator in df.columns:
         columns.append(quoted(change_indicator))
     return df.select(*columns)
@@ -96,10 +101,12 @@ def conform(df: DataFrame, specs: Iterable[ColumnSpec], change_indicator: str |
 def unparsed_cells(df: DataFrame, specs: Iterable[ColumnSpec]) -> DataFrame:
     """Per target column, how many source values were present but could not be cast."""
     specs = in_sequence(specs)
-    lost = [
-        F.count_if(quoted(s.source_column_name).isNotNull() & target_expression(s).isNull()).alias(s.target_column_name)
-        for s in specs
-    ]
+
+    def is_lost(spec: ColumnSpec) -> Column:
+        target = target_expression(spec, df.schema[spec.source_column_name].dataType)
+        return quoted(spec.source_column_name).isNotNull() & target.isNull()
+
+    lost = [F.count_if(is_lost(s)).alias(s.target_column_name) for s in specs]
     counts = df.agg(*lost)
     pairs = [F.struct(F.lit(s.target_column_name).alias("column_name"), quoted(s.target_column_name).alias("unparsed"))
              for s in specs]

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.columns import first_meaningful, python_udf
+from millrace.functions.columns import cast_or_null, first_meaningful, python_udf
 
 # Fixed value: the row-number column a change feed may carry.
 ROW_NUMBER_COLUMN = "rno"
@@ -130,7 +130,8 @@ def conversion(
     def converted(name: str) -> Column:
         if python:
             return python_udf(convert, return_type, [quoted(name)])
-        return convert(quoted(name)).try_cast(return_type)
+        source_type = df.select(convert(quoted(name)).alias(name)).schema[name].dataType
+        return cast_or_null(convert(quoted(name)), return_type, source_type)
 
     return df.withColumns({n: converted(n) for n in names})
 

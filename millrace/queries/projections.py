@@ -59,7 +59,7 @@ def drop_all_null_columns(t: Tables):
 
 
 @register(
-    "SELECT 0 AS c_custkey, 0 AS c_name, 0 AS c_nationkey, 0 AS c_acctbal, 0 AS c_mktsegment, count(*) AS all_null, "
+    "SELECT 0::BIGINT AS c_custkey, 0::BIGINT AS c_name, 0::BIGINT AS c_nationkey, 0::BIGINT AS c_acctbal, 0::BIGINT AS c_mktsegment, count(*) AS all_null, "
     "count(*) FILTER (WHERE c_mktsegment = 'BUILDING') AS some_null, "
     "count(*) FILTER (WHERE c_mktsegment = 'BUILDING') AS some_nan FROM customer"
 )

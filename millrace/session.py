@@ -71,9 +71,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise `df` reliably, so that later reads see the same rows even if executors are lost."""
-    spark = df.sparkSession
-    directory = shared_dir(spark)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(directory)
-    return df.checkpoint(eager=True)
+    """Write `df` to the shared folder and read it back.
+
+    Later reads then see the same rows even if executors are lost, fetch only the columns they need, and give Spark true
+    sizes to choose joins by.
+    """
+    path = scratch_path(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
