@@ -260,9 +260,10 @@ def enrich(
         picked = table.select(*[quoted(k) for k in names], *[quoted(c).alias(n) for c, n in wanted.items()])
         if required:
             text = F.concat_ws("|", *[quoted(k).cast("string") for k in names])
-            missing = anti_join(result, picked, names).select(
+            wanted_keys = result.select(*[quoted(k) for k in names]).dropna().distinct()
+            missing = anti_join(wanted_keys, picked, names).select(
                 F.lit(",".join(names)).alias("lookup"), text.alias("key")
-            ).distinct()
+            )
             unmapped = missing if unmapped is None else unmapped.union(missing)
         result = result.join(picked, names, "left")
     return result, unmapped

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Iterable
 from datetime import date, datetime
@@ -56,6 +57,7 @@ def run_pipeline(
     nothing and counts as success. Row counts come with the writes.
     """
     specs = list(specs)
+    began = time.monotonic()
     started = started or datetime.now()
     base = {
         "pipeline_id": spec.pipeline_id,
@@ -85,19 +87,17 @@ def run_pipeline(
         return status_row(
             spark, **base, execution_end_dttm=_now(), job_status=FAILURE, error_message=str(error), sla_met=""
         )
-    ended = datetime.now()
     done = status_row(
         spark,
         **base,
-        execution_end_dttm=ended.strftime("%Y-%m-%d %H:%M:%S"),
+        execution_end_dttm=_now(),
         landing_count=landing_count,
         final_count=final_count,
         processed_count=0,
         error_message="",
         job_status=SUCCESS,
     )
-    elapsed = F.lit((ended - started).total_seconds())
-    return done.withColumn("sla_met", sla_met(F.lit(spec.sla), elapsed))
+    return done.withColumn("sla_met", sla_met(F.lit(spec.sla), F.lit(time.monotonic() - began)))
 
 
 def _now() -> str:
