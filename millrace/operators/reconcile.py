@@ -9,10 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.columns import type_family
-from millrace.operators.joins import semi_join
 from millrace.operators.project import as_list, quoted
-from millrace.operators.sets import complement, presence
-from millrace.operators.sort import sample_keys
+from millrace.operators.sets import presence
+from millrace.operators.sort import hash_sample
 
 # Texts that keep ('a', NULL) apart from (NULL, 'a') and ('ab', '') from ('a', 'b').
 NULL_TEXT = "\\N"
@@ -70,12 +69,8 @@ def cell_mismatches(
 def sampled_mismatches(
     source: DataFrame, target: DataFrame, keys: str | Sequence[str], size: int = 1000
 ) -> DataFrame:
-    """Cell mismatches over a repeatable sample of the common keys among the rows that differ."""
-    names = as_list(keys)
-    only_source, only_target = complement(source, target), complement(target, source.select(*target.columns))
-    common = key_presence(only_source, only_target, names).filter("found_in = 'both'")
-    chosen = sample_keys(common, names, size)
-    return cell_mismatches(semi_join(only_source, chosen, names), semi_join(only_target, chosen, names), names)
+    """Cell mismatches of up to `size` keys: a sample spread over the differing keys, the same on every run."""
+    return hash_sample(cell_mismatches(source, target, keys), keys, size)
 
 
 def no_mismatch(source: DataFrame, target: DataFrame) -> DataFrame:

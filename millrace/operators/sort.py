@@ -24,12 +24,17 @@ def latest(df: DataFrame, column: str, condition: Column | str, default: object
     return df.agg(best.alias(column))
 
 
-def sample_keys(df: DataFrame, keys: str | Sequence[str], size: int = 1000) -> DataFrame:
-    """Up to `size` distinct keys, spread evenly over the key space and the same on every run.
+def hash_sample(df: DataFrame, keys: str | Sequence[str], size: int = 1000) -> DataFrame:
+    """Up to `size` rows, spread evenly over the key space and the same on every run.
 
-    Keys are ordered by a hash of their text; each task keeps its own lowest `size` before they are merged.
+    Rows are ordered by a hash of their key's text; each task keeps its own lowest `size` before they are merged.
     """
     names = as_list(keys)
     text = F.concat_ws("|", *[F.coalesce(quoted(n).cast("string"), F.lit("\\N")) for n in names])
-    distinct = df.select(*[quoted(n) for n in names]).distinct()
-    return distinct.orderBy(F.md5(text), *[quoted(n) for n in names]).limit(size)
+    return df.orderBy(F.md5(text), *[quoted(n) for n in names]).limit(size)
+
+
+def sample_keys(df: DataFrame, keys: str | Sequence[str], size: int = 1000) -> DataFrame:
+    """Up to `size` distinct keys."""
+    names = as_list(keys)
+    return hash_sample(df.select(*[quoted(n) for n in names]).distinct(), names, size)

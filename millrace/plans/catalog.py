@@ -11,6 +11,7 @@ from millrace.operators.filters import active_published
 from millrace.operators.project import labelled
 from millrace.plans.lineage import FINAL
 from millrace.plans.pipelines import storage_location
+from millrace.session import cut
 
 # The labels of a catalog row, in feed order, and two constants in it.
 LABELS = [
@@ -71,7 +72,7 @@ def described_columns(columns: DataFrame, classification: DataFrame, pipelines:
 
 def raw_feed(columns: DataFrame, classification: DataFrame, pipelines: DataFrame, environment: str) -> DataFrame:
     """Table rows, then column rows, of the raw zone. Duplicate columns keep the one with the lowest id."""
-    described = described_columns(columns, classification, pipelines, environment)
+    described = cut(described_columns(columns, classification, pipelines, environment))
     tables = described.select("domain_name", "table_name", "pipeline_desc", "location").distinct()
     table_rows = catalog_rows(
         tables,

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from millrace.functions.columns import drop_last
 from millrace.operators.cdc import newest_per_key, upsert
-from millrace.operators.joins import anti_join
 from millrace.operators.project import quoted
 from millrace.operators.windows import latest_rows, surrogate_keys
+from millrace.session import cut
 
 
 def stamped(df: DataFrame, modified_at: datetime | str, user: str | None) -> DataFrame:
@@ -33,13 +33,13 @@ def day(name: str) -> Column:
 
 def keyed(existing: DataFrame | None, incoming: DataFrame, natural_key: Sequence[str], id_name: str) -> DataFrame:
     """Incoming rows with their ids: known natural keys keep theirs, new ones get the next free numbers."""
-    names = list(natural_key)
+    names, columns = list(natural_key), [id_name, *incoming.columns]
     if existing is None:
         return surrogate_keys(incoming, names, id_name)
-    known = incoming.join(existing.select(*names, id_name), names)
-    new = surrogate_keys(anti_join(incoming, existing, names), names, id_name, existing)
-    columns = [id_name, *incoming.columns]
-    return known.select(*columns).unionByName(new.select(*columns))
+    # Known and new rows come from the same join; it is written once and read for both.
+    matched = cut(incoming.join(existing.select(*names, id_name), names, "left").select(*columns))
+    new = surrogate_keys(matched.filter(quoted(id_name).isNull()).drop(id_name), names, id_name, existing)
+    return matched.filter(quoted(id_name).isNotNull()).unionByName(new.select(*columns))
 
 
 def load(existing: DataFrame | None, incoming: DataFrame, natural_key: Sequence[str], id_name: str) -> DataFrame:

@@ -25,11 +25,13 @@ def target(t: Tables):
 
 
 def increment(t: Tables):
-    first, last = F.min("l_returnflag"), F.max("l_returnflag")
+    # The flags as numbers: a text in an aggregation buffer would force a sort.
+    flag = F.ascii("l_returnflag")
+    first, last = F.min(flag), F.max(flag)
     op = (
-        F.when(first == "R", F.lit("DEL"))
-        .when(first == "N", F.lit("INS"))
-        .when(last == "A", F.lit(None))
+        F.when(first == ord("R"), F.lit("DEL"))
+        .when(first == ord("N"), F.lit("INS"))
+        .when(last == ord("A"), F.lit(None))
         .otherwise(F.lit("UPD"))
     )
     price = F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("decimal(18,2)")

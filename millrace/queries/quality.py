@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import quality
 from millrace.operators.quality import Constraint, Rule, Run
+from millrace.plans.quality_run import run_rules
 from millrace.queries import Tables, register
 
 ORDER_RULES = [
@@ -144,3 +145,19 @@ def dq_referential(t: Tables):
 )
 def dq_primary_key(t: Tables):
     return quality.primary_key_violations(t.lineitem, ["l_partkey", "l_suppkey"])
+
+
+@register(
+    "SELECT rule_id, failing FROM (SELECT 'r_in_set' AS rule_id, count(*) FILTER (WHERE o_orderstatus NOT IN ('F', 'O')) AS failing FROM orders "
+    "UNION ALL SELECT 'r_between', count(*) FILTER (WHERE o_totalprice NOT BETWEEN 1000 AND 300000) FROM orders "
+    "UNION ALL SELECT 'r_unique', count(*) FILTER (WHERE c > 1) FROM (SELECT count(*) OVER (PARTITION BY l_orderkey, l_linenumber) c FROM lineitem) "
+    "UNION ALL SELECT 'r_pair', count(*) FILTER (WHERE NOT l_discount > l_tax) FROM lineitem "
+    "UNION ALL SELECT 'r_query', count(*) FILTER (WHERE o_totalprice NOT BETWEEN 0 AND 400000) FROM orders WHERE o_orderstatus = 'F') WHERE failing > 0"
+)
+def dq_run(t: Tables):
+    by_query = Rule(
+        "r_query", "between", ("o_totalprice",), ("o_orderkey",), (0, 400000), query="SELECT * FROM {orders} WHERE o_orderstatus = 'F'"
+    )
+    tables = {"orders": t.orders, "lineitem": t.lineitem}
+    errors, _, _ = run_rules(t.spark, [*ORDER_RULES, *LINE_RULES, by_query], tables, RUN)
+    return errors.groupBy("rule_id").agg(F.count(F.lit(1)).alias("failing"))

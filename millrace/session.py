@@ -70,12 +70,20 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def discard_at_exit(spark: SparkSession, path: str) -> None:
+    """Let the driver delete a scratch table when the application ends."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    location.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(location)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write `df` to the shared folder and read it back.
 
     Later reads then see the same rows even if executors are lost, fetch only the columns they need, and give Spark true
     sizes to choose joins by.
     """
-    path = scratch_path(df.sparkSession, "cut")
+    spark = df.sparkSession
+    path = scratch_path(spark, "cut")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    discard_at_exit(spark, path)
+    return spark.read.schema(df.schema).parquet(path)

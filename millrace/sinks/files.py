@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.project import quoted
-from millrace.session import scratch_path
+from millrace.session import discard_at_exit, scratch_path
+from millrace.sources.files import has_files, partition_values, remove_partition
+from millrace.sources.jdbc import Database
+from millrace.sources.jdbc import write_table as write_jdbc
 
 # Fixed value: days that error rows are kept.
 RETENTION_DAYS = 15
@@ -22,11 +25,15 @@ def write_landing(df: DataFrame, path: str) -> None:
 def write_final(df: DataFrame, path: str) -> None:
     """Replace a table that `df` may itself be read from: stage in the shared folder, then overwrite from there.
 
-    If the second step is interrupted the staged copy is still complete.
+    If the second step is interrupted the staged copy is still complete. A first write needs no staging.
     """
+    if not has_files(df.sparkSession, path):
+        df.write.mode("overwrite").parquet(path)
+        return
     staged = scratch_path(df.sparkSession, "staged")
     df.write.parquet(staged)
-    df.sparkSession.read.parquet(staged).write.mode("overwrite").parquet(path)
+    df.sparkSession.read.schema(df.schema).parquet(staged).write.mode("overwrite").parquet(path)
+    discard_at_exit(df.sparkSession, staged)
 
 
 def write_partition(
@@ -77,11 +84,21 @@ def keep_recent(df: DataFrame, column: str, as_of: date | str, days: int = RETEN
     return df.filter(quoted(column) >= oldest.cast(kind))
 
 
-def purge(df: DataFrame, path: str, column: str, as_of: date | str, days: int = RETENTION_DAYS) -> None:
-    """Rewrite a table to its recent rows, in its own partitions."""
-    staged = scratch_path(df.sparkSession, "kept")
-    keep_recent(df, column, as_of, days).write.partitionBy(column).parquet(staged)
-    kept = df.sparkSession.read.schema(df.schema).parquet(staged)
-    kept.write.partitionBy(column).mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+def purge(spark: SparkSession, path: str, column: str, as_of: date | str, days: int = RETENTION_DAYS) -> list[str]:
+    """Remove a table's partitions dated more than `days` days before `as_of`; return their dates.
+
+    Only folders go, so the cost does not depend on how much data stays.
+    """
+    oldest = str(date.fromisoformat(str(as_of)) - timedelta(days=days))
+    expired = [value for value in partition_values(spark, path, column) if value < oldest]
+    for value in expired:
+        remove_partition(spark, path, column, value)
+    return expired
 
 
+def write_frame(df: DataFrame, target: str | Database, name: str | None = None, mode: str = "overwrite") -> None:
+    """Write to a path, or to the named table of a database."""
+    if isinstance(target, Database):
+        write_jdbc(df, target, name, mode)
+    else:
+        df.write.mode(mode).parquet(target)

@@ -17,12 +17,21 @@ DELIMITERS = ",|;\t~"
 SAMPLE_LINES = 50
 
 
+def _file_system(spark: SparkSession, path: str):
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return location, location.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def first_file(spark: SparkSession, path: str) -> str:
-    """The first data file below a path or glob. Only names are listed, no content is read."""
-    found = spark.read.format("binaryFile").load(path).select(F.min("path")).first()[0]
-    if found is None:
-        raise FileNotFoundError(path)
-    return found
+    """Some data file below a path or glob. Asks the file system and stops at the first hit."""
+    location, system = _file_system(spark, path)
+    for entry in system.globStatus(location) or []:
+        files = system.listFiles(entry.getPath(), True)
+        while files.hasNext():
+            found = files.next().getPath()
+            if not found.getName().startswith(("_", ".")):
+                return found.toString()
+    raise FileNotFoundError(path)
 
 
 def sample_lines(spark: SparkSession, path: str, lines: int = SAMPLE_LINES) -> list[str]:
@@ -117,11 +126,24 @@ def read_source(
 
 def has_files(spark: SparkSession, path: str) -> bool:
     """Does the path exist, with something in it? Asks the file system, reads nothing."""
-    location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    system = location.getFileSystem(spark._jsc.hadoopConfiguration())
+    location, system = _file_system(spark, path)
     return system.exists(location) and system.listStatusIterator(location).hasNext()
 
 
+def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
+    """The values of a table's outermost partition column, from its folder names."""
+    location, system = _file_system(spark, path)
+    mark = f"{column}="
+    names = [entry.getPath().getName() for entry in system.listStatus(location) if entry.isDirectory()]
+    return sorted(n[len(mark):] for n in names if n.startswith(mark))
+
+
+def remove_partition(spark: SparkSession, path: str, column: str, value: str) -> None:
+    """Delete one partition folder."""
+    location, system = _file_system(spark, f"{path.rstrip('/')}/{column}={value}")
+    system.delete(location, True)
+
+
 def read_target(spark: SparkSession, path: str, partition_column: str | None = None) -> DataFrame | None:
     """The current target without its partition column, or None before the first load."""
     if not has_files(spark, path):

@@ -97,8 +97,11 @@ def test_partitions(spark, tmp_path):
     assert spark.read.parquet(path).count() == 7
     recent = sinks.keep_recent(spark.read.parquet(path), "d", "2024-01-03", 1)
     assert recent.count() == 5 and "PartitionFilters: [isnotnull(d" in plan_of(recent)
-    sinks.purge(spark.read.parquet(path), path, "d", "2024-01-03", 1)
+    assert sinks.purge(spark, path, "d", "2024-01-03", 1) == ["2024-01-01"]
     assert spark.read.parquet(path).count() == 5
+    assert sinks.purge(spark, path, "d", "2024-01-03", 1) == []
+    sinks.write_frame(spark.range(2), str(tmp_path / "u"))
+    assert spark.read.parquet(str(tmp_path / "u")).count() == 2
 
 
 def test_feeds(spark, frame, tmp_path):

@@ -126,3 +126,12 @@ def test_keys(frame):
     parent = frame([(1,), (2,)], "k int")
     assert rows(quality.orphans(child, parent, "fk", "k")) == [(9,)]
     assert rows(quality.primary_key_violations(child, "fk")) == [(1, 2), (None, 1)]
+
+
+def test_run_logs_what_cannot_run(spark, data):
+    from millrace.plans.quality_run import run_rules
+
+    rules = [Rule("a", "not_null", ("s",), ("id",), table_name="t"), Rule("b", "between", ("x",), ("id",), table_name="t")]
+    errors, summary, log = run_rules(spark, rules, {"t": data}, Run("run"))
+    assert errors.count() == 1 and summary.first()["rule_id"] == "a"
+    assert {r["rule_id"]: r["execution_status"] for r in log.collect()} == {"a": "SUCCESS", "b": "FAILED"}
