@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import any_of
@@ -18,7 +18,7 @@ from millrace.operators.filters import INSERTS, UPDATES, change_types
 from millrace.operators.joins import anti_join, semi_join
 from millrace.operators.project import as_list, drop_technical_columns, quoted
 from millrace.operators.sets import complement
-from millrace.operators.windows import group_select_first
+from millrace.operators.windows import row_hash
 
 # Fixed value: the column that tells when a row was loaded.
 LOAD_TIMESTAMP = "etl_insert_ts"
@@ -38,14 +38,50 @@ def require_unique_keys(df: DataFrame, keys: str | Sequence[str]) -> DataFrame:
 
 
 def newest_per_key(df: DataFrame, keys: str | Sequence[str], newest_by: Sequence[str]) -> DataFrame:
-    """One row per key, the newest. Rows with a NULL in the key are no versions of one another and all stay."""
-    keyless = any_of(quoted(k).isNull() for k in as_list(keys))
-    newest = group_select_first(df.filter(~keyless), keys, [quoted(c).desc_nulls_last() for c in newest_by])
-    return newest.union(df.filter(keyless))
+    """One row per key, the newest; equally new rows are told apart by their content, the same way on every run.
+
+    Rows with a NULL in the key are no versions of one another and all stay. They are spread by their content and not
+    gathered in one group. Tasks drop all but the newest rows before the shuffle.
+    """
+    names = as_list(keys)
+    keyless = any_of(quoted(k).isNull() for k in names)
+    content = row_hash(df)
+    marked = df.withColumns({"__alone": F.when(keyless, content), "__tie": F.when(~keyless, content)})
+    newest = [F.when(F.col("__alone").isNull(), quoted(c)).desc_nulls_last() for c in newest_by]
+    window = Window.partitionBy(*[quoted(n) for n in names], "__alone").orderBy(*newest, "__tie")
+    ranked = marked.withColumns({"__rank": F.rank().over(window), "__row": F.row_number().over(window)})
+    kept = ranked.filter("__rank = 1 AND (__row = 1 OR __alone IS NOT NULL)")
+    return kept.drop("__alone", "__tie", "__rank", "__row")
+
+
+def untouched(
+    target: DataFrame, touched: DataFrame, keys: str | Sequence[str], by_range: bool = False
+) -> DataFrame:
+    """Target rows whose key is not among the touched ones.
+
+    With `by_range`, rows outside the touched range of the first key column pass by without a shuffle; the range comes
+    from one small aggregate over the increment and is pushed into both scans of the target. Worth it where keys grow
+    with time, so that an increment touches a narrow range, and the target is a stored table.
+    """
+    if not by_range:
+        return anti_join(target, touched, keys)
+    first = as_list(keys)[0]
+    low, high = touched.agg(F.min(quoted(first)), F.max(quoted(first))).first()
+    if low is None:
+        return target
+    kind = target.schema[first].dataType
+    key = quoted(first)
+    inside = key.between(F.lit(low).cast(kind), F.lit(high).cast(kind))
+    outside = (key < F.lit(low).cast(kind)) | (key > F.lit(high).cast(kind)) | key.isNull()
+    return target.filter(outside).union(anti_join(target.filter(inside), touched, keys))
 
 
 def merge_by_indicator(
-    target: DataFrame | None, incoming: DataFrame, keys: str | Sequence[str], indicator: str
+    target: DataFrame | None,
+    incoming: DataFrame,
+    keys: str | Sequence[str],
+    indicator: str,
+    by_range: bool = False,
 ) -> DataFrame:
     """Apply a change feed whose rows say UPD, INS or DEL.
 
@@ -56,14 +92,16 @@ def merge_by_indicator(
         return incoming
     touched = incoming.filter(quoted(indicator).isNotNull())
     changes = drop_technical_columns(change_types(incoming, indicator, UPDATES + INSERTS), indicator)
-    return anti_join(target, touched, keys).unionByName(changes)
+    return untouched(target, touched, keys, by_range).unionByName(changes)
 
 
-def upsert(target: DataFrame | None, incoming: DataFrame, keys: str | Sequence[str]) -> DataFrame:
+def upsert(
+    target: DataFrame | None, incoming: DataFrame, keys: str | Sequence[str], by_range: bool = False
+) -> DataFrame:
     """New versions replace old ones of the same key; other rows stay."""
     if target is None:
         return incoming
-    return anti_join(target, incoming, keys).unionByName(incoming)
+    return untouched(target, incoming, keys, by_range).unionByName(incoming)
 
 
 def append(target: DataFrame | None, incoming: DataFrame) -> DataFrame:
@@ -71,7 +109,11 @@ def append(target: DataFrame | None, incoming: DataFrame) -> DataFrame:
 
 
 def merge_by_key(
-    target: DataFrame | None, incoming: DataFrame, keys: str | Sequence[str], literal: bool = False
+    target: DataFrame | None,
+    incoming: DataFrame,
+    keys: str | Sequence[str],
+    literal: bool = False,
+    by_range: bool = False,
 ) -> DataFrame:
     """Upsert by primary key.
 
@@ -79,7 +121,7 @@ def merge_by_key(
     versions of a changed row stand side by side.
     """
     if target is None or not literal:
-        return upsert(target, incoming, keys)
+        return upsert(target, incoming, keys, by_range)
     matched = semi_join(incoming, target, keys)
     return complement(target, matched).unionByName(incoming)
 
@@ -91,6 +133,7 @@ def merge(
     indicator: str | None = None,
     partition_column: str | None = None,
     literal: bool = False,
+    by_range: bool = False,
 ) -> DataFrame:
     """The merge that a pipeline's settings ask for.
 
@@ -100,11 +143,11 @@ def merge(
     if target is None:
         return incoming
     if indicator:
-        return merge_by_indicator(target, incoming, keys, indicator)
+        return merge_by_indicator(target, incoming, keys, indicator, by_range)
     if partition_column:
         return incoming
     if keys:
-        return merge_by_key(target, incoming, keys, literal)
+        return merge_by_key(target, incoming, keys, literal, by_range)
     return append(target, incoming)
 
 

@@ -66,24 +66,35 @@ def source_names(specs: Iterable[ColumnSpec]) -> list[str]:
     return [s.source_column_name for s in in_sequence(specs)]
 
 
-def target_expression(spec: ColumnSpec, source_type: T.DataType | None = None) -> Column:
-    """The source column, cast to its target type. A cell that does not parse becomes NULL."""
+def moment(spec: ColumnSpec, source: Column, is_text: bool) -> Column:
+    """The source as a timestamp, kept to the precision of the target format if there is one."""
+    if is_text and spec.source_datetime_format:
+        parsed = F.try_to_timestamp(source, F.lit(spec.source_datetime_format))
+    else:
+        parsed = source.try_cast("timestamp")
+    if not spec.target_datetime_format:
+        return parsed
+    shown = F.date_format(parsed, spec.target_datetime_format)
+    return F.try_to_timestamp(shown, F.lit(spec.target_datetime_format))
+
+
+def target_expression(spec: ColumnSpec, source_type: T.DataType) -> Column:
+    """The source column, cast to its target type. A cell that does not parse becomes NULL.
+
+    Texts are read by the source format; a date without one is read by its target format.
+    """
     source = quoted(spec.source_column_name)
+    is_text = isinstance(source_type, T.StringType)
     kind = spec.target_datatype.lower()
     if kind in ("timestamp", "datetime"):
-        if spec.source_datetime_format:
-            return F.try_to_timestamp(source.cast("string"), F.lit(spec.source_datetime_format))
-        return source.try_cast("timestamp")
+        return moment(spec, source, is_text)
     if kind == "date":
-        if spec.source_datetime_format:
-            return F.try_to_date(source.cast("string"), spec.source_datetime_format)
-        return source.try_cast("date")
+        pattern = spec.source_datetime_format or spec.target_datetime_format
+        return F.try_to_date(source, pattern) if is_text and pattern else source.try_cast("date")
     if kind in ("char", "varchar", "varchar2", "string"):
         return source.cast("string")
-    if kind == "decimal":
-        if spec.target_length is not None and spec.target_precision is not None:
-            kind = f"decimal({spec.target_length},{spec.target_precision})"
-        return source.try_cast(kind)
+    if kind == "decimal" and spec.target_length is not None and spec.target_precision is not None:
+        kind = f"decimal({spec.target_length},{spec.target_precision})"
     return cast_or_null(source, kind, source_type)
 
 

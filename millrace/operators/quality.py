@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import math
+import ast
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import date
@@ -42,6 +42,14 @@ ERROR_COLUMNS = [
 ]
 
 
+def literal(text: str) -> object:
+    """A number or quoted text as its value, anything else as it stands."""
+    try:
+        return ast.literal_eval(text)
+    except (ValueError, SyntaxError):
+        return text
+
+
 @dataclass(frozen=True)
 class Rule:
     """One line of the rule inventory."""
@@ -63,19 +71,28 @@ class Rule:
 
     @classmethod
     def from_record(cls, record: Mapping[str, str], kind_of: Mapping[str, str]) -> Rule:
-        """From a rule inventory row: lists are comma-separated texts, and `kind_of` maps rule names to kinds."""
+        """From a rule inventory row: lists are comma-separated texts, and `kind_of` maps rule names to kinds.
+
+        The second column of a pair rule stands in `user_values`. Values of a set may be written as literals.
+        """
 
         def items(name: str) -> tuple[str, ...]:
             return tuple(part.strip() for part in (record.get(name) or "").split(",") if part.strip())
 
         kind = kind_of[record["rule_name"]]
-        values = items("user_values")
+        columns, values = items("column"), items("user_values")
+        if kind.endswith("_pair"):
+            columns, values = columns + values, ()
+        elif kind == "between":
+            values = tuple(int(v) for v in values)
+        elif kind == "in_set":
+            values = tuple(literal(v) for v in values)
         return cls(
             rule_id=record["rule_id"],
             kind=kind,
-            columns=items("column"),
+            columns=columns,
             key_columns=items("key_columns"),
-            values=tuple(int(v) for v in values) if kind == "between" else values,
+            values=values,
             rule_name=record["rule_name"],
             app_name=record.get("app_name") or "",
             domain_name=record.get("domain_name") or "",
@@ -156,7 +173,7 @@ def group_rules(rules: Iterable[Rule]) -> dict[tuple[str, str, str], list[Rule]]
 def _report(rule: Rule, run: Run) -> dict[str, Column]:
     texts = {
         "app_name": rule.app_name,
-        "execution_id": run.execution_id,
+        "execution_id": run.execution_id.replace(".", ""),
         "domain_name": rule.domain_name,
         "zone": rule.zone,
         "rule_id": rule.rule_id,

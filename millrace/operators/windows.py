@@ -33,6 +33,12 @@ def group_select_first(df: DataFrame, keys: str | Sequence[str], order_by: Seque
     return df.withColumn("__rank", F.row_number().over(window)).filter("__rank = 1").drop("__rank")
 
 
+def row_hash(df: DataFrame) -> Column:
+    """A hash of a row's content, for breaking ties and spreading rows. Maps have no hash and are left out."""
+    hashed = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    return F.xxhash64(*[quoted(c) for c in hashed])
+
+
 def row_index(df: DataFrame, order_by: Sequence[str | Column], name: str = "row_index", start: int = 1) -> DataFrame:
     """A gapless index over the whole table, in the given order, without a single-task window.
 
@@ -40,9 +46,8 @@ def row_index(df: DataFrame, order_by: Sequence[str | Column], name: str = "row_
     its partition plus the sizes of the partitions before it. Ties in `order_by` are broken by the row's content, so
     rows with one value of a hot order column spread over several partitions.
     """
-    ties = F.xxhash64(*[quoted(c) for c in df.columns if not isinstance(df.schema[c].dataType, (T.MapType, T.VariantType))])
     placed = cut(
-        df.withColumn("__tie", ties)
+        df.withColumn("__tie", row_hash(df))
         .repartitionByRange(*order_by, "__tie")
         .sortWithinPartitions(*order_by, "__tie")
         .withColumn("__place", F.monotonically_increasing_id())

@@ -21,11 +21,14 @@ from millrace.sources.files import read_source, read_target
 def planned_target(
     spec: PipelineSpec, specs: Iterable[ColumnSpec], landed: DataFrame, target: DataFrame | None
 ) -> DataFrame:
-    """What the final table holds after this run. Lazy: nothing runs before it is written."""
+    """What the final table holds after this run.
+
+    Landed rows and target are stored tables, so the merge may look up the touched key range first.
+    """
     incoming = conform(landed, specs, spec.change_indicator)
     if spec.load_type != "delta":
         return incoming
-    return merge(target, incoming, spec.primary_key, spec.change_indicator, spec.partition_column)
+    return merge(target, incoming, spec.primary_key, spec.change_indicator, spec.partition_column, by_range=True)
 
 
 def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:

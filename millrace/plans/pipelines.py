@@ -85,11 +85,12 @@ def latest_active_versions(
 
 
 def select_pipelines(
-    inventory: DataFrame, wanted: Iterable[str], pipeline: str = "pipeline_id"
+    latest: DataFrame, wanted: Iterable[str], version: object = None, pipeline: str = "pipeline_id"
 ) -> tuple[DataFrame, DataFrame]:
-    """(inventory rows of the wanted pipelines, wanted ids that the inventory lacks)."""
-    ids = inventory.sparkSession.createDataFrame([(i,) for i in wanted], f"{pipeline} string")
-    return semi_join(inventory, ids, pipeline), anti_join(ids, inventory, pipeline)
+    """(rows of the wanted pipelines, wanted ids that are missing). With a version, any other one counts as missing."""
+    rows = latest if version is None else latest.filter(F.col("version_number") == version)
+    ids = latest.sparkSession.createDataFrame([(i,) for i in wanted], f"{pipeline} string")
+    return semi_join(rows, ids, pipeline), anti_join(ids, rows, pipeline)
 
 
 def last_success(status: DataFrame, pipeline: str, start: str, outcome: str, success: object = SUCCESS) -> DataFrame:

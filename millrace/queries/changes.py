@@ -54,6 +54,18 @@ def cdc_upsert_by_key(t: Tables):
     return cdc.merge(target(t), increment(t).drop("op"), ["o_orderkey"])
 
 
+RANGE_INCREMENT_SQL = "(SELECT * FROM inc WHERE op = 'INS')"
+
+
+@register(
+    f"WITH {TARGET_SQL}, {INCREMENT_SQL} SELECT * FROM tgt WHERE NOT EXISTS (SELECT 1 FROM {RANGE_INCREMENT_SQL} i "
+    f"WHERE i.o_orderkey = tgt.o_orderkey) UNION ALL SELECT o_orderkey, price FROM {RANGE_INCREMENT_SQL}"
+)
+def cdc_upsert_by_range(t: Tables):
+    rows = increment(t).filter("op = 'INS'").drop("op")
+    return cdc.merge(target(t), rows, ["o_orderkey"], by_range=True)
+
+
 @register(
     f"WITH {TARGET_SQL}, {INCREMENT_SQL}, upd AS (SELECT inc.o_orderkey, inc.price FROM inc JOIN tgt USING (o_orderkey)) "
     "SELECT * FROM (SELECT * FROM tgt EXCEPT SELECT * FROM upd) UNION ALL SELECT o_orderkey, price FROM inc"

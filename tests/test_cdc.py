@@ -1,5 +1,5 @@
 import pytest
-from conftest import rows
+from conftest import plan_of, rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -47,6 +47,25 @@ def test_other_merges(target, frame):
     assert again.columns == ["k", "v", "etl_insert_ts"]
 
 
+def test_range_gives_the_same_rows(target, frame, spark, tmp_path):
+    for keys in ([2], [1, 3], [9], []):
+        incoming = frame([(k, "new") for k in keys], "k int, v string")
+        assert rows(cdc.upsert(target, incoming, "k", by_range=True)) == rows(cdc.upsert(target, incoming, "k"))
+        feed = incoming.withColumn("op", F.lit("DEL"))
+        assert rows(cdc.merge_by_indicator(target, feed, "k", "op", True)) == rows(cdc.merge_by_indicator(target, feed, "k", "op"))
+    texts = frame([("a", "b"), ("c", "d"), (None, "e")], "k string, v string")
+    assert rows(cdc.upsert(texts, frame([("c", "x")], "k string, v string"), "k", by_range=True)) == [("a", "b"), ("c", "x"), (None, "e")]
+
+
+def test_range_reaches_the_scan(spark, frame, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(100).select("id", F.lit("v").alias("v")).write.parquet(path)
+    merged = cdc.upsert(spark.read.parquet(path), spark.range(90, 95).select("id", F.lit("w").alias("v")), "id", by_range=True)
+    plan = plan_of(merged)
+    assert "GreaterThanOrEqual(id,90)" in plan and "LessThan(id,90)" in plan
+    assert merged.count() == 100 and merged.filter("v = 'w'").count() == 5
+
+
 def test_empty_increment_changes_nothing(target):
     nothing = target.limit(0)
     assert rows(cdc.upsert(target, nothing, ["k"])) == rows(target)
@@ -68,6 +87,14 @@ def test_unique_keys(frame):
     assert cdc.require_unique_keys(repeated.filter("o = 2"), "k").count() == 1
 
 
+def test_newest_keeps_equal_keyless_rows_and_one_of_equal_newest(frame):
+    repeated = frame([(1, "a", 1), (1, "a", 1), (1, "b", 1), (None, "x", 1), (None, "x", 1)], "k int, v string, o int")
+    found = cdc.newest_per_key(repeated, "k", ["o"])
+    assert found.filter("k = 1").count() == 1 and rows(found.filter("k is null")) == [(None, "x", 1)] * 2
+    assert rows(found) == rows(cdc.newest_per_key(repeated.repartition(5), "k", ["o"]))
+    assert plan_of(found).count("WindowGroupLimit") >= 2
+
+
 def test_rejects(target, frame):
     incoming = frame([(1, "A"), (2, None)], "k int, v string")
     valid = F.col("v").isNotNull()

@@ -29,6 +29,9 @@ def test_selection_reports_unknown(frame):
     inventory = frame([("p", 1), ("q", 2)], "pipeline_id string, v int")
     found, unknown = pipelines.select_pipelines(inventory, ["p", "z"])
     assert rows(found) == [("p", 1)] and rows(unknown) == [("z",)]
+    versions = frame([("p", "3"), ("q", "4")], "pipeline_id string, version_number string")
+    found, unknown = pipelines.select_pipelines(versions, ["p", "q"], "3")
+    assert rows(found) == [("p", "3")] and rows(unknown) == [("q",)]
 
 
 def test_status(spark):

@@ -120,6 +120,20 @@ def test_conform(frame):
     assert lost == {"number": 1, "day": 1, "text": 0, "money": 0, "at": 1}
 
 
+def test_conform_dates(spark, frame):
+    data = frame([("2024-01-31 10:20:30.5", "31/01/2024")], "a string, b string").withColumn("t", F.col("a").cast("timestamp"))
+    specs = [
+        ColumnSpec(1, "a", "seconds", "timestamp", target_datetime_format="yyyy-MM-dd HH:mm:ss"),
+        ColumnSpec(2, "t", "minutes", "datetime", source_datetime_format="ignored", target_datetime_format="yyyy-MM-dd HH:mm"),
+        ColumnSpec(3, "t", "day", "date", target_datetime_format="yyyyMMdd"),
+        ColumnSpec(4, "b", "read", "date", target_datetime_format="dd/MM/yyyy"),
+        ColumnSpec(5, "b", "none", "date", source_datetime_format="yyyyMMdd", target_datetime_format="dd/MM/yyyy"),
+        ColumnSpec(6, "b", "at", "timestamp", source_datetime_format="dd/MM/yyyy"),
+    ]
+    found = conform(data, specs).select(*[F.col(s.target_column_name).cast("string") for s in specs]).first()
+    assert tuple(found) == ("2024-01-31 10:20:30", "2024-01-31 10:20:00", "2024-01-31", "2024-01-31", None, "2024-01-31 00:00:00")
+
+
 def test_specs_from_records_and_order(frame):
     record = {"sequence_number": "10", "source_column_name": "a", "target_column_name": "b", "target_datatype": "decimal", "target_length": "5", "target_precision": ""}
     spec = ColumnSpec.from_record(record)

@@ -71,6 +71,10 @@ def test_rules_from_inventory():
     record = {"rule_id": "7", "rule_name": "value range", "column": "x", "user_values": "1, 10", "key_columns": "id,s", "table_name": "t", "active_flag": "true"}
     made = Rule.from_record(record, {"value range": "between"})
     assert made.values == (1, 10) and made.key_columns == ("id", "s") and made.active
+    pair = Rule.from_record({**record, "rule_name": "more", "user_values": "y"}, {"more": "greater_pair"})
+    assert pair.columns == ("x", "y") and pair.values == ()
+    chosen = Rule.from_record({**record, "rule_name": "one of", "user_values": "'a', 2,c"}, {"one of": "in_set"})
+    assert chosen.values == ("a", 2, "c")
     idle = Rule.from_record({**record, "active_flag": "false"}, {"value range": "between"})
     assert list(quality.group_rules([made, idle, made])) == [("", "t", "")]
     assert len(quality.group_rules([made, idle, made])[("", "t", "")]) == 2
