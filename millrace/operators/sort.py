@@ -8,11 +8,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.project import as_list, quoted
+from millrace.operators.windows import row_hash
 
 
 def sort(df: DataFrame, keys: str | Sequence[str], descending: bool = False) -> DataFrame:
-    """Total order with one direction for all keys."""
-    return df.orderBy(*[quoted(k) for k in as_list(keys)], ascending=not descending)
+    """Total order with one direction for all keys.
+
+    Equal keys are ordered by the rows' content: repeatable, and a hot key spreads over several range partitions.
+    """
+    columns = [quoted(k) for k in as_list(keys)]
+    ordered = [c.desc() for c in columns] if descending else [c.asc() for c in columns]
+    return df.orderBy(*ordered, row_hash(df))
 
 
 def latest(df: DataFrame, column: str, condition: Column | str, default: object = None) -> DataFrame:

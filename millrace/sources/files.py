@@ -39,12 +39,17 @@ def sample_lines(spark: SparkSession, path: str, lines: int = SAMPLE_LINES) -> l
     return [row.value for row in spark.read.text(first_file(spark, path)).limit(lines).collect()]
 
 
-def detect_header_and_delimiter(spark: SparkSession, path: str) -> tuple[bool, str]:
-    """(has a header, delimiter), judged by a small sample of one file."""
+def detect_header_and_delimiter(spark: SparkSession, path: str, default: str = ",") -> tuple[bool, str]:
+    """(has a header, delimiter), judged by a small sample of one file.
+
+    Where the sample shows no delimiter (a single column) the default is taken.
+    """
     sample = "\n".join(sample_lines(spark, path))
     sniffer = csv.Sniffer()
-    delimiter = sniffer.sniff(sample, delimiters=DELIMITERS).delimiter
-    return sniffer.has_header(sample), delimiter
+    try:
+        return sniffer.has_header(sample), sniffer.sniff(sample, delimiters=DELIMITERS).delimiter
+    except csv.Error:
+        return False, default
 
 
 def read_delimited(spark: SparkSession, path: str, delimiter: str = ",") -> DataFrame:
@@ -116,7 +121,8 @@ def read_source(
             return read_delimited(spark, path, delimiter)
         return read_headerless(spark, path, source_names(specs), delimiter)
     if kind == "pip":
-        return read_headerless(spark, path, source_names(specs), "|")
+        _, delimiter = detect_header_and_delimiter(spark, path, "|")
+        return read_headerless(spark, path, source_names(specs), delimiter)
     if kind == "xml":
         return read_xml(spark, path, schema=schema)
     if kind == "json":

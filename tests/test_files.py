@@ -33,6 +33,14 @@ def test_headerless(spark, tmp_path):
     assert rows(sources.read_source(spark, plain, specs)) == [("1", "10"), ("2", "20"), ("3", "30")]
 
 
+def test_headerless_delimiter_is_detected(spark, tmp_path):
+    specs = [ColumnSpec(1, "id", "id"), ColumnSpec(2, "name", "name")]
+    path = write(tmp_path / "s.pip", "1;ann\n2;bob\n")
+    assert rows(sources.read_source(spark, path, specs)) == [("1", "ann"), ("2", "bob")]
+    single = write(tmp_path / "one.pip", "ann\nbob\n")
+    assert rows(sources.read_source(spark, single, specs[1:])) == [("ann",), ("bob",)]
+
+
 def test_glob_reads_every_file(spark, tmp_path):
     for i in (1, 2):
         write(tmp_path / f"t_{i}.csv", f"id,name\n{i},n{i}\n{i}0,m{i}\n")

@@ -19,6 +19,7 @@ def small_splits(spark):
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
         "spark.sql.shuffle.partitions": "16",
     }
     before = {k: spark.conf.get(k, None) for k in settings}
@@ -75,6 +76,14 @@ def test_hot_group_numbers_do_not_meet_in_one_task(spark):
     assert largest < 15000
 
 
+def test_hot_sort_key_spreads(small_splits):
+    from millrace.operators.sort import sort
+
+    placed = sort(hot(small_splits), "k").withColumn("p", F.spark_partition_id())
+    largest = placed.filter("k = 0").groupBy("p").count().agg(F.max("count")).first()[0]
+    assert largest < 15000
+
+
 PYTHON = {"computed_by_function"}
 # A window without partitions is allowed over one row per partition of an index, and nowhere else.
 INDEXED = {
