@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -247,6 +247,14 @@ def rule_summary(df: DataFrame, rules: Iterable[Rule]) -> DataFrame:
     return reduce(lambda a, b: a.union(b), frames).withColumn("success", F.col("failing") == 0)
 
 
+def observed(df: DataFrame, rules: Iterable[Rule], name: str) -> tuple[DataFrame, Observation]:
+    """The table with the counts of its row rules measured on the way, whenever it is next read in full."""
+    by_row = [r for r in require_valid(rules) if r.kind != "unique"]
+    observation = Observation(name)
+    counts = [F.count_if(row_failure(r)).alias(r.rule_id) for r in by_row]
+    return df.observe(observation, F.count(F.lit(1)).alias("__checked"), *counts), observation
+
+
 RUN_LOG = (
     "execution_id string, rule_id string, execution_start_time timestamp, execution_end_time timestamp, "
     "execution_status string, error_message string"

@@ -6,13 +6,14 @@ import time
 import uuid
 from collections.abc import Iterable
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.operators.cdc import merge
+from millrace.operators.cdc import daily_windows, merge
 from millrace.operators.conform import ColumnSpec, conform
-from millrace.operators.filters import incremental_window, sla_met
+from millrace.operators.filters import FIRST_WATERMARK, incremental_window, sla_met
 from millrace.plans.pipelines import FAILURE, SUCCESS, PipelineSpec, blackout_now, status_row, watermark
 from millrace.sinks.files import write_landing, write_table
 from millrace.sources.files import read_source, read_target
@@ -37,11 +38,19 @@ def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(observation, F.count(F.lit(1)).alias("rows")), observation
 
 
-def increment(spec: PipelineSpec, source: DataFrame, status: DataFrame | None, until: datetime | str) -> DataFrame:
-    """The source rows since the pipeline's last successful run."""
+def business_window(
+    spec: PipelineSpec, status: DataFrame | None, since: datetime | str | None, until: datetime | str
+) -> tuple[str, str]:
+    """(from, until) of a run: from the given time, or the last successful start, or 1900."""
+    if since is None:
+        since = watermark(status, spec.pipeline_id) if status is not None else FIRST_WATERMARK
+    return str(since), str(until)
+
+
+def increment(spec: PipelineSpec, source: DataFrame, since: str, until: str) -> DataFrame:
+    """The source rows that changed in a window; all of them, for a pipeline without a change timestamp."""
     if not spec.cdc_timestamp_columns:
         return source
-    since = watermark(status, spec.pipeline_id) if status is not None else None
     return incremental_window(source, spec.cdc_timestamp_columns, since, until)
 
 
@@ -52,6 +61,8 @@ def run_pipeline(
     source: DataFrame | None = None,
     status: DataFrame | None = None,
     started: datetime | None = None,
+    since: datetime | str | None = None,
+    until: datetime | str | None = None,
     run_date: date | str | None = None,
 ) -> DataFrame:
     """Run one pipeline and return its job status row; a failure is reported in the row.
@@ -73,9 +84,11 @@ def run_pipeline(
     try:
         if blackout_now(spec.ola, started):
             raise RuntimeError("start time lies in the blackout window")
+        low, high = business_window(spec, status, since, until or started)
+        base |= {"business_order_from_dttm": low, "business_order_to_dttm": high}
         if source is None:
             source = read_source(spark, spec.source_path, specs)
-        rows = increment(spec, source, status, started)
+        rows = increment(spec, source, low, high)
         measured, landing = counted(rows, "landing")
         write_landing(measured, spec.landing_path)
         landing_count = landing.get["rows"]
@@ -103,5 +116,28 @@ def run_pipeline(
     return done.withColumn("sla_met", sla_met(F.lit(spec.sla), F.lit(time.monotonic() - began)))
 
 
+def run_by_day(
+    spark: SparkSession,
+    spec: PipelineSpec,
+    specs: Iterable[ColumnSpec],
+    source: DataFrame,
+    since: datetime | str,
+    until: datetime | str,
+) -> DataFrame:
+    """Run one pipeline once per calendar day between two times, in order; the status rows of all days.
+
+    A day is a whole Spark job; only the list of days is walked here.
+    """
+    specs = list(specs)
+    days = daily_windows(spark, since, until).orderBy("day").collect()
+    outcomes = [
+        run_pipeline(
+            spark, spec, specs, source, since=d["window_start"], until=d["window_end"], run_date=d["day"]
+        )
+        for d in days
+    ]
+    return reduce(lambda a, b: a.union(b), outcomes)
+
+
 def _now() -> str:
     return datetime.now().strftime("%Y-%m-%d %H:%M:%S")

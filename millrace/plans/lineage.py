@@ -55,11 +55,21 @@ class LineageLog:
             "source_tables": names,
             "transformed_df": names,
             "target_tables": target,
+            **(self.column_changes(frames[0], result) if len(frames) == 1 else {}),
             **extra,
         }
         self.add(entry)
         return result
 
+    @staticmethod
+    def column_changes(before: DataFrame, after: DataFrame) -> dict[str, list[str]]:
+        """What a verb over one frame did to its columns."""
+        return {
+            "selected_cols": described(before),
+            "added_col": [c for c in after.columns if c not in before.columns],
+            "dropped_cols": [c for c in before.columns if c not in after.columns],
+        }
+
     def finish(self, df: DataFrame, source: str, target: str, path: str) -> None:
         """The record that says where a script's result is stored."""
         self.add(

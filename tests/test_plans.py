@@ -109,6 +109,16 @@ def test_empty_increment_and_failure(spark, frame, pipeline):
     assert ingest.run_pipeline(spark, resting, specs, nothing).first()["job_status"] == FAILURE
 
 
+def test_by_day(spark, frame, pipeline):
+    spec, specs = pipeline
+    rows_in = [(str(i), f"v{i}", datetime(2024, 1, i, 12)) for i in (1, 2, 3)]
+    source = frame(rows_in, "i string, v string, changed timestamp_ntz")
+    outcomes = ingest.run_by_day(spark, spec, specs, source, "2024-01-01 13:00:00", "2024-01-03 23:00:00")
+    found = outcomes.select("business_order_from_dttm", "landing_count", "final_count").collect()
+    assert [tuple(r) for r in found] == [("2024-01-01 13:00:00", 0, 0), ("2024-01-02 00:00:00", 1, 1), ("2024-01-03 00:00:00", 1, 2)]
+    assert rows(read_target(spark, spec.target_path)) == [(2, "v2"), (3, "v3")]
+
+
 # --- lineage
 
 
@@ -121,6 +131,8 @@ def test_log_and_closure(spark, frame):
     log.finish(full, "out", "FINAL_T", "/final/t")
     records = log.to_frame()
     assert records.count() == 4 and len(records.columns) == 21
+    renaming = records.filter("transformation_func_nm = 'rename'").first()
+    assert (renaming["added_col"], renaming["dropped_cols"]) == (["z"], ["a"])
     targets = frame([("FINAL_T",)], "target string")
     assert rows(lineage.root_sources(lineage.edges_of(records), targets)) == [("FINAL_T", "a"), ("FINAL_T", "b"), ("FINAL_T", "c")]
     feed = catalog.processed_feed(records)

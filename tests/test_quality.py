@@ -139,3 +139,15 @@ def test_run_logs_what_cannot_run(spark, data):
     errors, summary, log = run_rules(spark, rules, {"t": data}, Run("run"))
     assert errors.count() == 1 and summary.first()["rule_id"] == "a"
     assert {r["rule_id"]: r["execution_status"] for r in log.collect()} == {"a": "SUCCESS", "b": "FAILED"}
+
+
+def test_written_run_counts_on_the_way(spark, data, tmp_path):
+    from millrace.plans.quality_run import write_run
+
+    path = str(tmp_path / "errors")
+    more = [rule("not_null", ["s"], table_name="t"), rule("between", ["x"], [0, 10], table_name="t"), rule("unique", ["id"], table_name="t"), Rule("lost", "not_null", ("s",), ("id",), table_name="absent")]
+    summary, log = write_run(spark, more, {"t": data}, Run("run.1", "2024-01-01"), path)
+    assert rows(summary) == [("r_between", 4, 1, False), ("r_not_null", 4, 1, False), ("r_unique", 4, 2, False)]
+    assert {r["rule_id"]: r["execution_status"] for r in log.collect()}["lost"] == "FAILED"
+    written = spark.read.parquet(path)
+    assert written.count() == 4 and written.first()["execution_id"] == "run1"
