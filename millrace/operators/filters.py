@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import any_of, seconds_of, to_column
+from millrace.functions.columns import any_of, python_udf, seconds_of, to_column
 
 # Change types of a feed, and the start of time for a first load.
 UPDATES = ["UPD"]
@@ -17,8 +17,12 @@ DELETES = ["DEL"]
 FIRST_WATERMARK = datetime(1900, 1, 1)
 
 
-def select_rows(df: DataFrame, condition: Column | str) -> DataFrame:
-    """Rows for which the condition is true."""
+def select_rows(df: DataFrame, condition: Column | str | Callable, *columns: str) -> DataFrame:
+    """Rows for which the condition is true: a Column, an SQL text, or a Python function over the named columns."""
+    if callable(condition) and not isinstance(condition, Column):
+        if not columns:
+            raise ValueError("a Python function needs the columns it looks at")
+        condition = python_udf(condition, "boolean", columns)
     return df.filter(condition)
 
 

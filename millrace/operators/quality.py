@@ -255,6 +255,7 @@ def observed(df: DataFrame, rules: Iterable[Rule], name: str) -> tuple[DataFrame
     return df.observe(observation, F.count(F.lit(1)).alias("__checked"), *counts), observation
 
 
+# The columns of the rule tracker.
 RUN_LOG = (
     "execution_id string, rule_id string, execution_start_time timestamp, execution_end_time timestamp, "
     "execution_status string, error_message string"

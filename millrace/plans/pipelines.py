@@ -19,6 +19,7 @@ from millrace.operators.joins import anti_join, semi_join
 SUCCESS = "SUCCESS"
 FAILURE = "FAILED"
 
+# The columns of the job status table.
 JOB_STATUS = (
     "pipeline_id string, execution_id string, table_name string, execution_start_dttm string, "
     "execution_end_dttm string, business_order_from_dttm string, business_order_to_dttm string, load_type string, "

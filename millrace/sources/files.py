@@ -165,6 +165,7 @@ def latest_file_date(spark: SparkSession, prefix: str) -> DataFrame:
     return files.agg(F.max(F.try_to_date(digits, "yyyyMMdd")).alias("last_date"))
 
 
+# The shape of a nested series.
 SERIES_SCHEMA = (
     "OrganizationName string, CurrencyName string, "
     "AccountData array<struct<AccountName: string, AccountIdentifier: string, Data: array<{record}>>>"

@@ -1,5 +1,6 @@
 from datetime import datetime
 
+import pytest
 from conftest import plan_of, rows
 from pyspark.sql import functions as F
 
@@ -36,6 +37,9 @@ def test_simple_filters(frame):
     assert filters.equal_or_all(data, "op", "").count() == 3
     assert filters.equal_or_all(data, "op", "UPD").count() == 1
     assert filters.select_rows(data, "op is null").count() == 1
+    assert filters.select_rows(data, lambda s, o: s == "draft" and o == "DEL", "status", "op").count() == 1
+    with pytest.raises(ValueError):
+        filters.select_rows(data, lambda s: True)
 
 
 def test_contains_any_cuts_before_distinct(frame):
