@@ -72,8 +72,9 @@ def column_values(df: DataFrame, column: str) -> DataFrame:
 
 
 def key_value_table(df: DataFrame, key: str, value: str, order_by: str) -> DataFrame:
-    """Key to value, where the last row by `order_by` wins."""
-    return df.groupBy(quoted(key)).agg(F.max_by(quoted(value), quoted(order_by)).alias(value))
+    """Key to value, where the last row by `order_by` wins, and of equally late ones the highest value."""
+    place = F.when(quoted(order_by).isNotNull(), F.struct(quoted(order_by), quoted(value)))
+    return df.groupBy(quoted(key)).agg(F.max_by(quoted(value), place).alias(value))
 
 
 def distinct_on(df: DataFrame, keys: str | Sequence[str], order_by: Sequence[str | Column]) -> DataFrame:

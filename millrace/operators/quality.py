@@ -361,8 +361,8 @@ def profile(df: DataFrame) -> DataFrame:
         text = isinstance(f.dataType, T.StringType)
         measures += [
             F.count(col).alias(f"n{i}"),
-            F.min(col.cast("double")).alias(f"lo{i}") if number else F.first(F.lit(None).cast("double")).alias(f"lo{i}"),
-            F.max(col.cast("double")).alias(f"hi{i}") if number else F.first(F.lit(None).cast("double")).alias(f"hi{i}"),
+            F.min(col.cast("double")).alias(f"lo{i}") if number else F.lit(None).cast("double").alias(f"lo{i}"),
+            F.max(col.cast("double")).alias(f"hi{i}") if number else F.lit(None).cast("double").alias(f"hi{i}"),
             F.hll_sketch_estimate(F.hll_sketch_agg(col.cast("string"), F.lit(SKETCH_SIZE))).alias(f"d{i}"),
         ]
         kinds = []

@@ -20,23 +20,25 @@ HOT_GROUP_ROWS = 1_000_000
 POSITION_BITS = 33
 
 
+def row_hash(df: DataFrame) -> Column:
+    """A hash of a row's content, for breaking ties and spreading rows. Maps have no hash and are left out."""
+    hashed = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    return F.xxhash64(*[quoted(c) for c in hashed])
+
+
 def group_select_first(df: DataFrame, keys: str | Sequence[str], order_by: Sequence[str | Column]) -> DataFrame:
     """The first row of every key by an explicit order.
 
     Spark turns the rank filter into a per-task limit before the shuffle, so a hot key sends one row per map task
-    and not the whole group.
+    and not the whole group. Rows that are equal in the order are told apart by their content, so a repeated or retried
+    run picks the same row.
     """
     names = as_list(keys)
     if not order_by:
         raise ValueError("order_by is needed: without it the first row would be arbitrary")
-    window = Window.partitionBy(*[quoted(n) for n in names]).orderBy(*order_by)
-    return df.withColumn("__rank", F.row_number().over(window)).filter("__rank = 1").drop("__rank")
-
-
-def row_hash(df: DataFrame) -> Column:
-    """A hash of a row's content, for breaking ties and spreading rows. Maps have no hash and are left out."""
-    hashed = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
-    return F.xxhash64(*[quoted(c) for c in hashed])
+    tied = df.withColumn("__tie", row_hash(df))
+    window = Window.partitionBy(*[quoted(n) for n in names]).orderBy(*order_by, "__tie")
+    return tied.withColumn("__rank", F.row_number().over(window)).filter("__rank = 1").drop("__rank", "__tie")
 
 
 def row_index(df: DataFrame, order_by: Sequence[str | Column], name: str = "row_index", start: int = 1) -> DataFrame:
@@ -95,8 +97,8 @@ def number_within_groups(
     if largest is None:
         largest = largest_group(df, names)
     if largest <= hot_rows:
-        window = Window.partitionBy(*[quoted(n) for n in names]).orderBy(*order_by)
-        return df.withColumn(name, F.row_number().over(window))
+        window = Window.partitionBy(*[quoted(n) for n in names]).orderBy(*order_by, "__tie")
+        return df.withColumn("__tie", row_hash(df)).withColumn(name, F.row_number().over(window)).drop("__tie")
     indexed = row_index(df, [*names, *order_by], "__index")
     first = indexed.groupBy(*[quoted(n) for n in names]).agg(F.min("__index").alias("__first"))
     joined = indexed.alias("a").join(first.alias("b"), null_safe_equal("a", "b", names))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -109,31 +110,29 @@ def root_sources(edges: DataFrame, targets: DataFrame) -> DataFrame:
     """For every target, the sources behind it that are derived from nothing: (target, source).
 
     Walks back one step per round from the last round's new nodes, each round one join of that frontier with the
-    edges, kept in the shared folder. Visited pairs are not walked again, so cycles end. Roots never have inputs, so
-    only the newly reached inner nodes go on to the next round.
+    edges, kept in the shared folder. Every edge knows whether its source is derived itself, so only such nodes go on
+    to the next round and the others are results. Visited pairs are not walked again, so cycles end.
     """
-    edges = cut(edges.select("source", "target").distinct())
-    derived = edges.select(F.col("target").alias("source")).distinct()
+    plain = edges.select("source", "target").distinct()
+    derived = plain.select(F.col("target").alias("source")).distinct().withColumn("derived", F.lit(True))
+    marked = cut(
+        plain.join(derived, "source", "left").select("source", "target", F.coalesce("derived", F.lit(False)).alias("derived"))
+    )
     frontier = cut(targets.select(F.col("target").alias("goal"), F.col("target").alias("node")).distinct())
-    visited = frontier
-    roots: DataFrame | None = None
+    visited, found = frontier, []
     while not frontier.isEmpty():
         step = (
-            frontier.join(edges, frontier["node"] == edges["target"])
-            .select("goal", F.col("source").alias("node"))
+            frontier.join(marked, frontier["node"] == marked["target"])
+            .select("goal", F.col("source").alias("node"), "derived")
             .distinct()
         )
         fresh = cut(step.join(visited, ["goal", "node"], "left_anti"))
-        inner = fresh.join(derived, fresh["node"] == derived["source"], "left_semi")
-        leaves = fresh.join(derived, fresh["node"] == derived["source"], "left_anti")
-        found = leaves.select(F.col("goal").alias("target"), F.col("node").alias("source"))
-        roots = found if roots is None else roots.union(found)
-        visited = visited.union(fresh)
-        frontier = inner
-    if roots is None:
-        return edges.select("target", "source").limit(0)
-    # A root has no inputs and several paths may reach it in different rounds; `visited` already keeps pairs apart.
-    return roots
+        found.append(fresh.filter(~F.col("derived")))
+        visited = visited.union(fresh.select("goal", "node"))
+        frontier = fresh.filter("derived").select("goal", "node")
+    if not found:
+        return marked.select("target", "source").limit(0)
+    return reduce(lambda a, b: a.union(b), found).select(F.col("goal").alias("target"), F.col("node").alias("source"))
 
 
 def forget_script(lineage: DataFrame, script_name: str) -> DataFrame:

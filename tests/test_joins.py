@@ -94,6 +94,14 @@ def test_first_row_limits_before_the_shuffle(spark):
     assert plan_of(found).count("WindowGroupLimit") >= 2
 
 
+def test_equal_rows_are_chosen_the_same_way(spark):
+    data = spark.range(2000).select((F.col("id") % 5).alias("k"), "id", F.lit(1).alias("o"))
+    first = rows(windows.group_select_first(data, "k", ["o"]))
+    assert first == rows(windows.group_select_first(data.repartition(11), "k", ["o"]))
+    numbers = [windows.number_within_groups(data.repartition(n), "k", ["o"], hot_rows=h) for n, h in ((3, 1), (7, 10**6))]
+    assert rows(numbers[0]) == rows(numbers[1])
+
+
 def test_row_index_with_ties_and_nulls(spark):
     data = spark.range(0, 5000, numPartitions=7).select(F.when(F.col("id") % 5 > 0, F.lit("hot")).alias("k"), "id")
     indexed = windows.row_index(data, ["k"])
