@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from millrace.operators.cdc import daily_windows, merge
 from millrace.operators.conform import ColumnSpec, conform
-from millrace.operators.filters import FIRST_WATERMARK, incremental_window, sla_met
+from millrace.operators.filters import DELETES, FIRST_WATERMARK, incremental_window, sla_met
+from millrace.operators.project import drop_technical_columns, quoted
 from millrace.plans.pipelines import FAILURE, SUCCESS, PipelineSpec, blackout_now, status_row, watermark
 from millrace.sinks.files import write_landing, write_table
 from millrace.sources.files import read_source, read_target
@@ -29,6 +30,10 @@ def planned_target(
     incoming = conform(landed, specs, spec.change_indicator)
     if spec.load_type != "delta":
         return incoming
+    if target is None and spec.change_indicator and spec.change_indicator in incoming.columns:
+        # A first load keeps what is not a delete, and leaves the feed's own columns out so that later loads fit.
+        alive = ~F.coalesce(quoted(spec.change_indicator).isin(*DELETES), F.lit(False))
+        return drop_technical_columns(incoming.filter(alive), spec.change_indicator)
     return merge(target, incoming, spec.primary_key, spec.change_indicator, spec.partition_column, by_range=True)
 
 

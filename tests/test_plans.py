@@ -109,6 +109,27 @@ def test_empty_increment_and_failure(spark, frame, pipeline):
     assert ingest.run_pipeline(spark, resting, specs, nothing).first()["job_status"] == FAILURE
 
 
+def test_change_feed_over_two_loads(spark, frame, tmp_path):
+    spec = PipelineSpec("p", target_path=str(tmp_path / "f"), landing_path=str(tmp_path / "l"), load_type="delta", primary_key=("id",), change_indicator="op")
+    specs = [ColumnSpec(1, "i", "id", "int"), ColumnSpec(2, "v", "v", "string")]
+    schema = "i string, v string, op string"
+    loads = [
+        [("1", "a", None), ("2", "b", "INS"), ("3", "c", "DEL"), ("4", "d", "UPD")],
+        [("1", "A", "UPD"), ("2", "b", "DEL"), ("5", "e", "INS"), ("4", "x", None)],
+    ]
+    for load in loads:
+        assert ingest.run_pipeline(spark, spec, specs, frame(load, schema)).first()["job_status"] == SUCCESS
+    assert rows(read_target(spark, spec.target_path)) == [(1, "A"), (4, "d"), (5, "e")]
+
+
+def test_partitioned_loads(spark, frame, tmp_path):
+    spec = PipelineSpec("p", target_path=str(tmp_path / "f"), landing_path=str(tmp_path / "l"), load_type="delta", primary_key=("id",), partition_column="load_date")
+    specs = [ColumnSpec(1, "i", "id", "int")]
+    for day in ("2024-01-01", "2024-01-02"):
+        ingest.run_pipeline(spark, spec, specs, frame([("1",)], "i string"), run_date=day)
+    assert spark.read.parquet(spec.target_path).count() == 2
+
+
 def test_by_day(spark, frame, pipeline):
     spec, specs = pipeline
     rows_in = [(str(i), f"v{i}", datetime(2024, 1, i, 12)) for i in (1, 2, 3)]
