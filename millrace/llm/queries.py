@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -48,3 +49,23 @@ def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack_tokens(
         table(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"), end_id=END_ID, **BYTE_TOKENIZER
     )
+
+
+def outside_fold(df: DataFrame, parts: int, part: int) -> DataFrame:
+    """Rows whose id does not fall into the held-out fold."""
+    return df.where(F.crc32(F.col("doc_id").cast("string")) % parts != part)
+
+
+def with_fold(scored: DataFrame, parts: int, part: int, threshold: float) -> DataFrame:
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % parts == part, F.lit(False))
+    return scored.withColumns({"held_out": held_out, "predicted": (F.col("score") >= threshold).cast("int")})
+
+
+@query
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    from millrace.llm import toxicity
+
+    docs = table(spark, folder, "documents")
+    model = toxicity.train(docs, outside_fold(table(spark, folder, "labels"), 4, 2))
+    scored = with_fold(toxicity.score(docs, model), 4, 2, 0.3)
+    return scored.select("doc_id", "held_out", "score", "predicted", F.to_json("spans").alias("spans"))
