@@ -69,3 +69,12 @@ def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     model = toxicity.train(docs, outside_fold(table(spark, folder, "labels"), 4, 2))
     scored = with_fold(toxicity.score(docs, model), 4, 2, 0.3)
     return scored.select("doc_id", "held_out", "score", "predicted", F.to_json("spans").alias("spans"))
+
+
+@query
+def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
+    from millrace.llm import classifier
+
+    docs = table(spark, folder, "documents")
+    forest = classifier.train(docs, outside_fold(table(spark, folder, "labels"), 3, 1))
+    return with_fold(classifier.score(docs, forest), 3, 1, 0.5)
