@@ -78,3 +78,12 @@ def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     forest = classifier.train(docs, outside_fold(table(spark, folder, "labels"), 3, 1))
     return with_fold(classifier.score(docs, forest), 3, 1, 0.5)
+
+
+@query
+def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    from millrace.llm import rules
+
+    docs = table(spark, folder, "documents")
+    trusted = table(spark, folder, "labels").where("quality = 1").select("doc_id")
+    return rules.apply(docs, rules.train(docs, docs.select("doc_id", "text").join(trusted, "doc_id", "left_semi")))

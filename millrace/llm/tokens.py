@@ -60,6 +60,11 @@ def _mapped(folder: str, name: str, kind: str) -> np.ndarray:
         return np.frombuffer(source.readall(), kind)
 
 
+def _one_task_each(shards: DataFrame) -> DataFrame:
+    """Spread the few bytes that describe shards, which Spark would put into one task by their size."""
+    return shards.repartitionByRange(max(1, shards.count()), "shard")
+
+
 def write_tokens(
     docs: DataFrame,
     folder: str,
@@ -123,8 +128,7 @@ def write_tokens(
                 out.close()
             yield batch
 
-    spread = based.repartition(F.col("shard"))
-    return cut(spread.mapInArrow(place, f"{SHARD}, base long"))
+    return cut(_one_task_each(based).mapInArrow(place, f"{SHARD}, base long"))
 
 
 def read_tokens(shards: DataFrame, folder: str, kind: str = "<u4", with_ids: bool = True) -> DataFrame:
@@ -156,7 +160,7 @@ def read_tokens(shards: DataFrame, folder: str, kind: str = "<u4", with_ids: boo
             yield pa.RecordBatch.from_pydict(columns)
 
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long" + (", ids array<long>" if with_ids else "")
-    return shards.repartition(F.col("shard")).mapInArrow(read, schema)
+    return _one_task_each(shards).mapInArrow(read, schema)
 
 
 def tokens_folder(spark: SparkSession) -> str:
