@@ -87,3 +87,44 @@ def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     trusted = table(spark, folder, "labels").where("quality = 1").select("doc_id")
     return rules.apply(docs, rules.train(docs, docs.select("doc_id", "text").join(trusted, "doc_id", "left_semi")))
+
+
+@query
+def op10_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    from millrace.llm import licenses
+
+    return licenses.scan(table(spark, folder, "documents"))
+
+
+def licenses_sql() -> str:
+    from millrace.llm.licenses import TEMPLATES, THRESHOLD
+
+    templates = ", ".join("('{}', '{}')".format(name, text.replace("'", "''")) for name, text in TEMPLATES.items())
+    words = r"list_filter(regexp_split_to_array(lower({}), '[^a-z0-9\x{{80}}-\x{{10ffff}}]+'), lambda w: w <> '')".format
+    grams = (
+        "CASE WHEN len(w) > 1 THEN list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) "
+        "ELSE list_distinct(w) END"
+    )
+    return f"""
+    WITH template AS (
+        SELECT license, {grams} AS g FROM (SELECT license, {words("body")} AS w FROM (VALUES {templates}) t(license, body))
+    ), split AS (
+        SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts, coalesce(text, '') AS body FROM documents
+    ), unit AS (
+        SELECT doc_id, 'line' AS unit, (i - 1)::INTEGER AS line_no, parts[i] AS t
+        FROM (SELECT doc_id, parts, unnest(range(1, len(parts) + 1)) AS i FROM split)
+        UNION ALL
+        SELECT doc_id, 'document', NULL, body FROM split WHERE len(parts) > 1
+    ), counted AS (
+        SELECT doc_id, unit, line_no, {grams} AS u FROM (SELECT doc_id, unit, line_no, {words("t")} AS w FROM unit)
+    ), pairs AS (
+        SELECT doc_id, unit, line_no, license, len(list_intersect(u, g))::INTEGER AS common, len(u)::INTEGER AS n_unit,
+            len(g)::INTEGER AS n_template
+        FROM counted, template WHERE len(u) > 0
+    )
+    SELECT *, 2.0::DOUBLE * common / (n_unit + n_template) AS dice FROM pairs
+    WHERE 2.0::DOUBLE * common >= {THRESHOLD}::DOUBLE * (n_unit + n_template)
+    """
+
+
+SQL["op10_licenses"] = licenses_sql()
