@@ -128,3 +128,19 @@ def licenses_sql() -> str:
 
 
 SQL["op10_licenses"] = licenses_sql()
+
+
+#: Weights of the languages in the mixture.
+LANGUAGES = {"en": 0.6, "de": 0.15, "fr": 0.15, "es": 0.1}
+
+
+@query
+def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    from millrace.llm import mixing
+
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    labelled = docs.drop("text").join(table(spark, folder, "labels").select("doc_id"), "doc_id", "left_semi")
+    model = mixing.train(docs, labelled, "lang", list(LANGUAGES))
+    mixed = mixing.mix(docs.drop("lang"), model, LANGUAGES, keep_text=False)
+    shares = [F.get("__p", F.lit(k)).alias(f"p_{name}") for k, name in enumerate(model.names)]
+    return mixed.select("doc_id", F.col("__tokens").alias("n_tokens"), *shares, F.col("__rate").alias("rate"), F.col("__copies").alias("copies"))
