@@ -144,3 +144,29 @@ def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix(docs.drop("lang"), model, LANGUAGES, keep_text=False)
     shares = [F.get("__p", F.lit(k)).alias(f"p_{name}") for k, name in enumerate(model.names)]
     return mixed.select("doc_id", F.col("__tokens").alias("n_tokens"), *shares, F.col("__rate").alias("rate"), F.col("__copies").alias("copies"))
+
+
+@query
+def op8_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    from millrace.llm import vectors
+
+    return vectors.near_duplicates(table(spark, folder, "embeddings"))
+
+
+SQL["op8_vectors"] = """
+    WITH RECURSIVE usable AS (
+        SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+        WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+            AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+    ), links AS (
+        SELECT a.vec_id AS u, b.vec_id AS w
+        FROM usable a JOIN usable b ON a.label = b.label AND len(a.v) = len(b.v) AND a.vec_id <> b.vec_id
+        WHERE list_dot_product(a.v, b.v) / (sqrt(list_dot_product(a.v, a.v)) * sqrt(list_dot_product(b.v, b.v))) >= 0.98
+    ), reach AS (
+        SELECT vec_id, vec_id AS r FROM embeddings UNION SELECT reach.vec_id, links.w FROM reach JOIN links ON links.u = reach.r
+    ), counts AS (SELECT u, count(*) AS n FROM links GROUP BY u),
+    least AS (SELECT vec_id, min(r) AS c FROM reach GROUP BY vec_id)
+    SELECT e.vec_id, coalesce(n, 0)::BIGINT AS n_links, c AS component_id, coalesce(e.vec_id = c, true) AS kept
+    FROM embeddings e LEFT JOIN counts ON counts.u = e.vec_id LEFT JOIN least ON least.vec_id = e.vec_id
+"""
