@@ -170,3 +170,10 @@ SQL["op8_vectors"] = """
     SELECT e.vec_id, coalesce(n, 0)::BIGINT AS n_links, c AS component_id, coalesce(e.vec_id = c, true) AS kept
     FROM embeddings e LEFT JOIN counts ON counts.u = e.vec_id LEFT JOIN least ON least.vec_id = e.vec_id
 """
+
+
+@query
+def op3_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    from millrace.llm import near
+
+    return near.near_duplicates(table(spark, folder, "documents"))
