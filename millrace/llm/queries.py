@@ -177,3 +177,11 @@ def op3_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     from millrace.llm import near
 
     return near.near_duplicates(table(spark, folder, "documents"))
+
+
+@query
+def op2_repeated_strings(spark: SparkSession, folder: str) -> DataFrame:
+    from millrace.llm import suffixes
+
+    found = suffixes.repeated_spans(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
