@@ -10,18 +10,12 @@ from pyspark.sql import functions as F
 
 from millrace.operators.filters import horizon_end
 from millrace.operators.project import as_list, quoted
-from millrace.operators.windows import group_select_first, largest_group, number_within_groups
-
-# A list cell holds at most this many values; a longer group continues in the next part.
-ROWS_PER_PART = 10_000
+from millrace.operators.windows import group_select_first, number_within_groups
 
 
 def _in_parts(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], rows_per_part: int) -> DataFrame:
     """Add `part`: 0 for the first `rows_per_part` rows of a group, 1 for the next, and so on."""
-    largest = largest_group(df, keys)
-    if largest <= rows_per_part:
-        return df.withColumn("part", F.lit(0).cast("long"))
-    numbered = number_within_groups(df, keys, order_by, "__number", largest=largest)
+    numbered = number_within_groups(df, keys, order_by, "__number")
     return numbered.withColumn("part", F.floor((F.col("__number") - 1) / rows_per_part)).drop("__number")
 
 
@@ -30,17 +24,21 @@ def pivot_aggregate_data(
     index: str | Sequence[str],
     column: str,
     values: str,
-    pivot_values: Sequence[object],
-    rows_per_part: int = ROWS_PER_PART,
+    rows_per_part: int,
+    pivot_values: Sequence[object] | None = None,
 ) -> DataFrame:
-    """Pivot to comma-joined lists, in the order of the values.
+    """Pivot to comma-joined lists, in the order of the values; the key of the result is (index, `part`).
 
-    The pivot values are given, so no job is spent on finding them. A cell of unlimited length would not fit into a
-    task: lists go on in further rows, counted by `part`. Every value appears exactly once.
+    A cell of unlimited length would not fit into a task: every list goes on in further rows after `rows_per_part` values,
+    counted by `part` from 0. Every value appears exactly once, and groups without any keep a row of empty lists. Without
+    `pivot_values` a job finds them: they become columns, so they are few.
     """
     names = as_list(index)
-    wanted = df.filter(quoted(column).isin(*pivot_values) & quoted(values).isNotNull())
-    parts = _in_parts(wanted, [*names, column], [values], rows_per_part)
+    pivot_values = distinct_values(df, column) if pivot_values is None else pivot_values
+    wanted = df.filter(quoted(column).isin(*pivot_values) & quoted(values).isNotNull()).select(*[quoted(c) for c in [*names, column, values]])
+    groups = df.select(*[quoted(n) for n in names]).distinct()
+    bare = [F.lit(None).cast(df.schema[c].dataType).alias(c) for c in (column, values)]
+    parts = _in_parts(wanted, [*names, column], [values], rows_per_part).unionByName(groups.select("*", *bare, F.lit(0).cast("long").alias("part")))
 
     def cell(value: object) -> Column:
         mine = F.array_sort(F.collect_list(F.when(quoted(column) == value, quoted(values))))
@@ -49,15 +47,25 @@ def pivot_aggregate_data(
     return parts.groupBy(*[quoted(n) for n in names], "part").agg(*[cell(v) for v in pivot_values])
 
 
+def distinct_values(df: DataFrame, column: str) -> list[object]:
+    """The values that become columns of a pivot, in order. More than Spark's limit for pivots is an error, not a cut."""
+    most = int(df.sparkSession.conf.get("spark.sql.pivotMaxValues"))
+    found = [r[0] for r in df.select(quoted(column)).where(quoted(column).isNotNull()).distinct().limit(most + 1).collect()]
+    if len(found) > most:
+        raise ValueError(f"column {column} has more than {most} values; name those to pivot")
+    return sorted(found)
+
+
 def pivot_table(
     df: DataFrame,
     index: str | Sequence[str],
     column: str,
     values: str,
     aggregate: str,
-    pivot_values: Sequence[object],
+    pivot_values: Sequence[object] | None = None,
 ) -> DataFrame:
-    """Pivot with a named aggregate such as 'sum' or 'max'; a missing cell is NULL."""
+    """Pivot with a named aggregate such as 'sum' or 'max'; a missing cell is NULL. Without `pivot_values` a job finds them."""
+    pivot_values = distinct_values(df, column) if pivot_values is None else pivot_values
     pivoted = df.groupBy(*[quoted(n) for n in as_list(index)]).pivot(column, list(pivot_values))
     return pivoted.agg({values: aggregate})
 
@@ -87,12 +95,12 @@ def group_to_json_array(
     keys: str | Sequence[str],
     columns: Sequence[str],
     order_by: Sequence[str],
+    rows_per_part: int,
     name: str = "items",
-    rows_per_part: int = ROWS_PER_PART,
 ) -> DataFrame:
-    """Each group's rows as a JSON array of objects, in order.
+    """Each group's rows as a JSON array of objects, in order; the key of the result is (keys, `part`).
 
-    Groups longer than `rows_per_part` go on in further rows, counted by `part`.
+    Arrays go on in further rows after `rows_per_part` objects, counted by `part` from 0.
     """
     names = as_list(keys)
     needed = list(dict.fromkeys([*names, *order_by, *columns]))

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import any_of
-from millrace.operators.filters import INSERTS, UPDATES, change_types
+from millrace.operators.filters import DELETES, INSERTS, UPDATES, change_types
 from millrace.operators.joins import anti_join, semi_join
 from millrace.operators.project import as_list, drop_technical_columns, quoted
 from millrace.operators.sets import complement
@@ -89,7 +89,9 @@ def merge_by_indicator(
     unknown indicators) take effect by omission; a NULL indicator changes nothing.
     """
     if target is None:
-        return incoming
+        # what is not a delete, without the feed's own columns, so that later loads fit
+        alive = ~F.coalesce(quoted(indicator).isin(*DELETES), F.lit(False))
+        return drop_technical_columns(incoming.filter(alive), indicator)
     touched = incoming.filter(quoted(indicator).isNotNull())
     changes = drop_technical_columns(change_types(incoming, indicator, UPDATES + INSERTS), indicator)
     return untouched(target, touched, keys, by_range).unionByName(changes)
@@ -134,17 +136,24 @@ def merge(
     partition_column: str | None = None,
     literal: bool = False,
     by_range: bool = False,
+    newest_by: Sequence[str] = (),
 ) -> DataFrame:
     """The merge that a pipeline's settings ask for.
 
     No target: the increment. Change indicator: apply it. Partition column: the increment alone, it goes to a partition
     of its own. Primary key: upsert. None of these: append.
+
+    A key may come several times in an increment: with `newest_by` its newest row counts, otherwise a repeated key is an
+    error (found by one aggregate over the increment). Rows with a NULL in the key are no versions of one another.
     """
-    if target is None:
-        return incoming
+    if keys and newest_by:
+        incoming = newest_per_key(incoming, keys, newest_by)
+    elif keys:
+        keyless = any_of(quoted(k).isNull() for k in as_list(keys))
+        require_unique_keys(incoming.filter(~keyless), keys)
     if indicator:
         return merge_by_indicator(target, incoming, keys, indicator, by_range)
-    if partition_column:
+    if target is None or partition_column:
         return incoming
     if keys:
         return merge_by_key(target, incoming, keys, literal, by_range)
@@ -198,7 +207,10 @@ def daily_windows(spark: SparkSession, start: datetime | str, end: datetime | st
 
 def rows_by_window(df: DataFrame, timestamp_column: str, windows: DataFrame) -> DataFrame:
     """Rows with the daily window they fall into. Windows and rows meet on the day, an equi-join."""
-    dated = df.withColumn("day", quoted(timestamp_column).cast("date"))
+    low, high = windows.agg(F.min("window_start"), F.max("window_end")).first()  # known, so the scan can use them
+    kind = df.schema[timestamp_column].dataType
+    within = df.filter(quoted(timestamp_column).between(F.lit(low).cast(kind), F.lit(high).cast(kind)))
+    dated = within.withColumn("day", quoted(timestamp_column).cast("date"))
     inside = quoted(timestamp_column).between(F.col("window_start"), F.col("window_end"))
     return dated.join(windows, "day").filter(inside)
 

@@ -63,7 +63,9 @@ def windowed_query(query: str, since: datetime | str | None, until: datetime | s
         return query
     if since is None or since == "":
         return full_load_query
-    return query.format(since, until)
+    for value in (since, until):
+        query = query.replace("{}", str(value), 1)  # other braces are the query's own
+    return query
 
 
 def active_published(df: DataFrame) -> DataFrame:
@@ -89,20 +91,22 @@ def horizon_end(df: DataFrame, column: str, as_of: date | str, months: int) -> C
     return end.cast(df.schema[column].dataType)
 
 
-def contains_any(df: DataFrame, column: str, keywords: Iterable[str] = (), length: int = 100) -> DataFrame:
-    """Distinct values of a column that contain any of the keywords (no keyword: all), cut to `length` characters.
+def contains_any(df: DataFrame, column: str, keywords: Iterable[str] = (), length: int | None = None) -> DataFrame:
+    """Distinct values of a column that contain any of the keywords (no keyword: all).
 
-    Cutting comes before the distinct, so what is compared is what is returned.
+    With `length` they are cut to so many characters before the distinct, so what is compared is what is returned.
     """
     words = list(keywords)
     col = F.col(column)
     hits = df.filter(any_of(col.contains(w) for w in words)) if words else df
-    return hits.select(F.substring(col, 1, length).alias(column)).distinct()
+    return hits.select((col if length is None else F.substring(col, 1, length)).alias(column)).distinct()
 
 
 def lookup_exact(df: DataFrame, column: str, text: str, *result: str) -> DataFrame:
     """Rows whose value equals `text`, trailing blanks aside."""
-    hits = df.filter(F.rtrim(F.col(column)) == F.rtrim(F.lit(text)))
+    bare = text.rstrip(" ")
+    # the prefix reaches the scan, the comparison of trimmed texts would not
+    hits = df.filter(F.col(column).startswith(bare) & (F.rtrim(F.col(column)) == F.lit(bare)))
     return hits.select(*result) if result else hits
 
 

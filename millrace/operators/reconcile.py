@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 from millrace.functions.columns import type_family
 from millrace.operators.project import as_list, quoted
 from millrace.operators.sets import presence
-from millrace.operators.sort import hash_sample
+from millrace.operators.joins import semi_join
+from millrace.operators.sort import sample_keys
 
 # Texts that keep ('a', NULL) apart from (NULL, 'a') and ('ab', '') from ('a', 'b').
 NULL_TEXT = "\\N"
@@ -67,10 +68,14 @@ def cell_mismatches(
 
 
 def sampled_mismatches(
-    source: DataFrame, target: DataFrame, keys: str | Sequence[str], size: int = 1000
+    source: DataFrame, target: DataFrame, keys: str | Sequence[str], size: int
 ) -> DataFrame:
-    """Cell mismatches of up to `size` keys: a sample spread over the differing keys, the same on every run."""
-    return hash_sample(cell_mismatches(source, target, keys), keys, size)
+    """Cell mismatches among `size` keys of the source, a sample spread over its keys, the same on every run.
+
+    The sample comes first, and both sides are reduced to it before they are compared.
+    """
+    chosen = sample_keys(source, keys, size)
+    return cell_mismatches(semi_join(source, chosen, keys), semi_join(target, chosen, keys), keys)
 
 
 def no_mismatch(source: DataFrame, target: DataFrame) -> DataFrame:

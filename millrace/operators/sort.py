@@ -30,7 +30,7 @@ def latest(df: DataFrame, column: str, condition: Column | str, default: object
     return df.agg(best.alias(column))
 
 
-def hash_sample(df: DataFrame, keys: str | Sequence[str], size: int = 1000) -> DataFrame:
+def hash_sample(df: DataFrame, keys: str | Sequence[str], size: int) -> DataFrame:
     """Up to `size` rows, spread evenly over the key space and the same on every run.
 
     Rows are ordered by a hash of their key's text; each task keeps its own lowest `size` before they are merged.
@@ -40,7 +40,7 @@ def hash_sample(df: DataFrame, keys: str | Sequence[str], size: int = 1000) -> D
     return df.orderBy(F.md5(text), *[quoted(n) for n in names]).limit(size)
 
 
-def sample_keys(df: DataFrame, keys: str | Sequence[str], size: int = 1000) -> DataFrame:
+def sample_keys(df: DataFrame, keys: str | Sequence[str], size: int) -> DataFrame:
     """Up to `size` distinct keys."""
     names = as_list(keys)
     return hash_sample(df.select(*[quoted(n) for n in names]).distinct(), names, size)

@@ -13,9 +13,6 @@ from millrace.functions.columns import to_column
 from millrace.operators.project import as_list, quoted
 from millrace.session import cut
 
-# Groups up to this many rows are numbered by an ordinary window; larger ones are spread over tasks.
-HOT_GROUP_ROWS = 1_000_000
-
 # monotonically_increasing_id() keeps the partition above, and the position in it below, this bit.
 POSITION_BITS = 33
 
@@ -74,31 +71,18 @@ def null_safe_equal(left: str, right: str, names: Iterable[str]) -> Column:
     return reduce(lambda a, b: a & b, conditions)
 
 
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """The size of the largest group. Counted map-side first, so hot keys cost nothing extra."""
-    counted = df.groupBy(*[quoted(k) for k in keys]).count()
-    return counted.agg(F.max("count")).first()[0] or 0
-
-
 def number_within_groups(
     df: DataFrame,
     keys: str | Sequence[str],
     order_by: Sequence[str],
     name: str = "row_number",
-    hot_rows: int = HOT_GROUP_ROWS,
-    largest: int | None = None,
 ) -> DataFrame:
     """Number the rows of every group from 1, in order.
 
-    When some group is larger than `hot_rows`, rows are numbered globally by (keys, order) over range partitions and
-    the group's first index is subtracted. A group of any size is then split over tasks.
+    Rows are numbered globally by (keys, order) over range partitions and the group's first index is subtracted, so a
+    group of any size is split over tasks.
     """
     names = as_list(keys)
-    if largest is None:
-        largest = largest_group(df, names)
-    if largest <= hot_rows:
-        window = Window.partitionBy(*[quoted(n) for n in names]).orderBy(*order_by, "__tie")
-        return df.withColumn("__tie", row_hash(df)).withColumn(name, F.row_number().over(window)).drop("__tie")
     indexed = row_index(df, [*names, *order_by], "__index")
     first = indexed.groupBy(*[quoted(n) for n in names]).agg(F.min("__index").alias("__first"))
     joined = indexed.alias("a").join(first.alias("b"), null_safe_equal("a", "b", names))
@@ -128,8 +112,11 @@ def add_column(
     data_type: T.DataType | str,
     order_by: Sequence[str | Column],
 ) -> DataFrame:
-    """Attach a list of values, the n-th value to the n-th row in the given order."""
-    kind = T._parse_datatype_string(data_type) if isinstance(data_type, str) else data_type
+    """Attach a list of values, the n-th value to the n-th row in the given order; as many values as rows are needed."""
+    rows = df.count()
+    if rows != len(values):
+        raise ValueError(f"{len(values)} values for {rows} rows")
+    kind = T.DataType.fromDDL(data_type) if isinstance(data_type, str) else data_type
     schema = T.StructType([T.StructField("__position", T.LongType()), T.StructField(name, kind)])
     column = df.sparkSession.createDataFrame(list(enumerate(values, start=1)), schema)
     return row_index(df, order_by, "__position").join(column, "__position").drop("__position")

@@ -5,16 +5,19 @@ from __future__ import annotations
 import time
 import uuid
 from collections.abc import Iterable
+from dataclasses import replace
 from datetime import date, datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.operators.cdc import daily_windows, merge
-from millrace.operators.conform import ColumnSpec, conform
-from millrace.operators.filters import DELETES, FIRST_WATERMARK, incremental_window, sla_met
-from millrace.operators.project import drop_technical_columns, quoted
+from millrace.functions.columns import any_of
+from millrace.operators.conform import ColumnSpec, conform, moment
+from millrace.operators.filters import FIRST_WATERMARK, incremental_window, sla_met
+from millrace.operators.project import quoted
 from millrace.plans.pipelines import FAILURE, SUCCESS, PipelineSpec, blackout_now, status_row, watermark
 from millrace.sinks.files import write_landing, write_table
 from millrace.sources.files import read_source, read_target
@@ -27,14 +30,14 @@ def planned_target(
 
     Landed rows and target are stored tables, so the merge may look up the touched key range first.
     """
+    specs = list(specs)
     incoming = conform(landed, specs, spec.change_indicator)
     if spec.load_type != "delta":
         return incoming
-    if target is None and spec.change_indicator and spec.change_indicator in incoming.columns:
-        # A first load keeps what is not a delete, and leaves the feed's own columns out so that later loads fit.
-        alive = ~F.coalesce(quoted(spec.change_indicator).isin(*DELETES), F.lit(False))
-        return drop_technical_columns(incoming.filter(alive), spec.change_indicator)
-    return merge(target, incoming, spec.primary_key, spec.change_indicator, spec.partition_column, by_range=True)
+    indicator = spec.change_indicator if spec.change_indicator in incoming.columns else None
+    named = {s.source_column_name: s.target_column_name for s in specs}
+    newest_by = [named[c] for c in spec.cdc_timestamp_columns if c in named]
+    return merge(target, incoming, spec.primary_key, indicator, spec.partition_column, by_range=True, newest_by=newest_by)
 
 
 def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
@@ -45,18 +48,40 @@ def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
 
 def business_window(
     spec: PipelineSpec, status: DataFrame | None, since: datetime | str | None, until: datetime | str
-) -> tuple[str, str]:
-    """(from, until) of a run: from the given time, or the last successful start, or 1900."""
-    if since is None:
-        since = watermark(status, spec.pipeline_id) if status is not None else FIRST_WATERMARK
-    return str(since), str(until)
+) -> tuple[str | None, str]:
+    """(from, until) of a run: from the given time, or the last successful start, or None before the first."""
+    if since is None and status is not None:
+        since = watermark(status, spec.pipeline_id)
+    first = since is None or str(since) == str(FIRST_WATERMARK)
+    return None if first else str(since), str(until)
 
 
-def increment(spec: PipelineSpec, source: DataFrame, since: str, until: str) -> DataFrame:
-    """The source rows that changed in a window; all of them, for a pipeline without a change timestamp."""
-    if not spec.cdc_timestamp_columns:
+def increment(spec: PipelineSpec, specs: Iterable[ColumnSpec], source: DataFrame, since: str | None, until: str) -> DataFrame:
+    """The source rows that changed in a window; all of them for a full load or without a change timestamp.
+
+    Texts are read by the formats of their column specs first. Without `since` (a first load) only rows that are known to
+    be later than `until` wait for the next run; rows without a readable timestamp are loaded.
+    """
+    names = list(spec.cdc_timestamp_columns)
+    if not names or spec.load_type != "delta":
         return source
-    return incremental_window(source, spec.cdc_timestamp_columns, since, until)
+    known = {s.source_column_name: s for s in specs}
+    texts = [c for c in names if isinstance(source.schema[c].dataType, T.StringType)]
+
+    def moment_of(name: str) -> Column:
+        if name not in texts:
+            return quoted(name).cast("timestamp_ntz")
+        if name not in known:
+            return quoted(name).try_cast("timestamp_ntz")
+        return moment(replace(known[name], target_datetime_format=None), quoted(name), True).cast("timestamp_ntz")
+
+    if since is None:
+        late = [moment_of(c) > F.lit(until).cast("timestamp_ntz") for c in names]
+        return source.filter(~F.coalesce(reduce(lambda a, b: a & b, late), F.lit(False)))
+    if not texts:
+        return incremental_window(source, names, since, until)  # plain comparisons, which the scan can use
+    low, high = (F.lit(t).cast("timestamp_ntz") for t in (since, until))
+    return source.filter(any_of(moment_of(c).between(low, high) for c in names))
 
 
 def run_pipeline(
@@ -72,8 +97,9 @@ def run_pipeline(
 ) -> DataFrame:
     """Run one pipeline and return its job status row; a failure is reported in the row.
 
-    The source is read once: it is landed, and everything after reads the landed copy. An empty increment writes
-    nothing and counts as success. Row counts come with the writes.
+    The source is landed, and everything after reads the landed copy. An empty increment (looked for first) writes nothing
+    and counts as success. Of repeated keys in a delta the newest by the change timestamps counts; without such columns they
+    are a failure. Row counts come with the writes.
     """
     specs = list(specs)
     began = time.monotonic()
@@ -90,14 +116,17 @@ def run_pipeline(
         if blackout_now(spec.ola, started):
             raise RuntimeError("start time lies in the blackout window")
         low, high = business_window(spec, status, since, until or started)
-        base |= {"business_order_from_dttm": low, "business_order_to_dttm": high}
+        base |= {"business_order_from_dttm": low or str(FIRST_WATERMARK), "business_order_to_dttm": high}
         if source is None:
-            source = read_source(spark, spec.source_path, specs)
-        rows = increment(spec, source, low, high)
-        measured, landing = counted(rows, "landing")
-        write_landing(measured, spec.landing_path)
-        landing_count = landing.get["rows"]
-        final_count = 0
+            source = read_source(
+                spark, spec.source_path, specs, header=spec.header, delimiter=spec.delimiter, row_tag=spec.row_tag
+            )
+        rows = increment(spec, specs, source, low, high)
+        landing_count = final_count = 0
+        if not rows.isEmpty():
+            measured, landing = counted(rows, "landing")
+            write_landing(measured, spec.landing_path)
+            landing_count = landing.get["rows"]
         if landing_count:
             landed = spark.read.schema(rows.schema).parquet(spec.landing_path)
             target = read_target(spark, spec.target_path, spec.partition_column) if spec.load_type == "delta" else None
@@ -129,18 +158,17 @@ def run_by_day(
     since: datetime | str,
     until: datetime | str,
 ) -> DataFrame:
-    """Run one pipeline once per calendar day between two times, in order; the status rows of all days.
+    """Run one pipeline once per calendar day between two times, in order, up to the first failure; the status rows.
 
     A day is a whole Spark job; only the list of days is walked here.
     """
     specs = list(specs)
     days = daily_windows(spark, since, until).orderBy("day").collect()
-    outcomes = [
-        run_pipeline(
-            spark, spec, specs, source, since=d["window_start"], until=d["window_end"], run_date=d["day"]
-        )
-        for d in days
-    ]
+    outcomes = []
+    for d in days:
+        outcomes.append(run_pipeline(spark, spec, specs, source, since=d["window_start"], until=d["window_end"], run_date=d["day"]))
+        if outcomes[-1].filter(F.col("job_status") == FAILURE).count():
+            break  # later days build on this one
     return reduce(lambda a, b: a.union(b), outcomes)
 
 

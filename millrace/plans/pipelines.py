@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import seconds_of, to_column
-from millrace.operators.aggregate import ROWS_PER_PART, group_to_json_array
+from millrace.operators.aggregate import group_to_json_array
 from millrace.operators.cdc import newest_per_key, upsert
 from millrace.operators.filters import FIRST_WATERMARK
 from millrace.operators.joins import anti_join, semi_join
@@ -61,6 +61,9 @@ class PipelineSpec:
     frequency_type: str = ""
     ola: str = ""
     sla: str = ""
+    header: bool | None = None
+    delimiter: str | None = None
+    row_tag: str | None = None
 
 
 def is_active(active: str | Column) -> Column:
@@ -135,11 +138,10 @@ def in_blackout(ola: str | Column, moment: str | Column) -> Column:
 
 
 def blackout_now(ola: str, moment: datetime) -> bool:
-    """The same for one pipeline about to start."""
-    if "-" not in ola:
-        return False
-    low, high = (part.strip() for part in ola.split("-")[:2])
-    return bool(low and high) and low <= moment.strftime("%H:%M:%S") <= high
+    """The same for one pipeline about to start, by the same rule."""
+    spark = SparkSession.active()
+    at = F.lit(moment.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
+    return bool(spark.range(1).select(in_blackout(F.lit(ola), at)).first()[0])
 
 
 ENVIRONMENTS = "array<map<string,string>>"
@@ -158,24 +160,24 @@ def storage_location(environments: str | Column, environment: str, scheme: str =
     return F.concat(F.lit(scheme), bucket, F.lit("/data/final"))
 
 
-def pipeline_column_lists(columns: DataFrame, rows_per_part: int = ROWS_PER_PART) -> DataFrame:
-    """Each pipeline version's columns as one JSON array, in sequence order."""
+def pipeline_column_lists(columns: DataFrame, rows_per_part: int) -> DataFrame:
+    """Each pipeline version's columns as a JSON array, in sequence order; the key is (pipeline_id, version_number, part)."""
     numbered = columns.withColumn("__sequence", F.col("sequence_number").cast("string").try_cast("int"))
     return group_to_json_array(
         numbered,
         ["pipeline_id", "version_number"],
         PIPELINE_COLUMN_FIELDS,
         ["__sequence", "target_column_name"],
-        "pipeline_columns",
         rows_per_part,
+        "pipeline_columns",
     )
 
 
-def pipeline_configs(inventory: DataFrame, columns: DataFrame) -> DataFrame:
-    """Inventory rows with their column lists; nested fields become JSON texts."""
+def pipeline_configs(inventory: DataFrame, columns: DataFrame, rows_per_part: int) -> DataFrame:
+    """Inventory rows with their column lists, one row per `part` of a list; nested fields become JSON texts."""
     texts = [
         F.to_json(f.name).alias(f.name) if f.dataType.typeName() in ("array", "struct", "map") else F.col(f.name)
         for f in inventory.schema.fields
     ]
-    lists = pipeline_column_lists(columns)
+    lists = pipeline_column_lists(columns, rows_per_part)
     return inventory.select(*texts).join(lists, ["pipeline_id", "version_number"])

@@ -20,7 +20,7 @@ STATUSES = ["F", "O", "P"]
 )
 def pivot_concat(t: Tables):
     rows = t.orders.select("o_custkey", "o_orderstatus", "o_orderkey")
-    return aggregate.pivot_aggregate_data(rows, "o_custkey", "o_orderstatus", "o_orderkey", STATUSES, rows_per_part=3)
+    return aggregate.pivot_aggregate_data(rows, "o_custkey", "o_orderstatus", "o_orderkey", rows_per_part=3, pivot_values=STATUSES)
 
 
 @register(
@@ -64,7 +64,7 @@ def distinct_on_keys(t: Tables):
 )
 def group_to_json_array(t: Tables):
     return aggregate.group_to_json_array(
-        t.orders, "o_custkey", ["o_orderkey", "o_orderstatus"], ["o_orderkey"], "orders_json", rows_per_part=4
+        t.orders, "o_custkey", ["o_orderkey", "o_orderstatus"], ["o_orderkey"], 4, "orders_json"
     )
 
 

@@ -137,7 +137,7 @@ def row_index(t: Tables):
 )
 def number_in_hot_groups(t: Tables):
     rows = t.events.select("event_id", "event_type", "ts")
-    return windows.number_within_groups(rows, "event_type", ["ts", "event_id"], hot_rows=1).drop("ts")
+    return windows.number_within_groups(rows, "event_type", ["ts", "event_id"]).drop("ts")
 
 
 @register(

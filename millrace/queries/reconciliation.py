@@ -39,13 +39,13 @@ def cell_mismatch(t: Tables):
 
 
 @register(
-    f"WITH {SOURCE_SQL}, {COPY_SQL}, k AS (SELECT c_custkey FROM a JOIN b USING (c_custkey) WHERE a.c_name IS DISTINCT FROM b.c_name "
-    "OR a.c_acctbal IS DISTINCT FROM b.c_acctbal ORDER BY md5(CAST(c_custkey AS VARCHAR)), c_custkey LIMIT 50) "
+    f"WITH {SOURCE_SQL}, {COPY_SQL}, k AS (SELECT DISTINCT c_custkey FROM a ORDER BY md5(CAST(c_custkey AS VARCHAR)), c_custkey LIMIT 500) "
     "SELECT c_custkey, concat_ws(',', CASE WHEN a.c_name IS DISTINCT FROM b.c_name THEN 'c_name' END, "
-    "CASE WHEN a.c_acctbal IS DISTINCT FROM b.c_acctbal THEN 'c_acctbal' END) AS column_names FROM k JOIN a USING (c_custkey) JOIN b USING (c_custkey)"
+    "CASE WHEN a.c_acctbal IS DISTINCT FROM b.c_acctbal THEN 'c_acctbal' END) AS column_names FROM k JOIN a USING (c_custkey) JOIN b USING (c_custkey) "
+    "WHERE a.c_name IS DISTINCT FROM b.c_name OR a.c_acctbal IS DISTINCT FROM b.c_acctbal"
 )
 def sampled_mismatch(t: Tables):
-    found = reconcile.sampled_mismatches(source(t), copy(t), "c_custkey", 50)
+    found = reconcile.sampled_mismatches(source(t), copy(t), "c_custkey", 500)
     return found.select("c_custkey", F.array_join("column_names", ",").alias("column_names"))
 
 

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.project import quoted
-from millrace.session import discard_at_exit, scratch_path
-from millrace.sources.files import has_files, partition_values, remove_partition
+from millrace.sources.files import has_files, partition_values, remove_partition, replace_folder
 from millrace.sources.jdbc import Database
 from millrace.sources.jdbc import write_table as write_jdbc
 
@@ -23,17 +23,18 @@ def write_landing(df: DataFrame, path: str) -> None:
 
 
 def write_final(df: DataFrame, path: str) -> None:
-    """Replace a table that `df` may itself be read from: stage in the shared folder, then overwrite from there.
+    """Replace a table that `df` may itself be read from: write the new version beside it, then change folders.
 
-    If the second step is interrupted the staged copy is still complete. A first write needs no staging.
+    Rows are written once. A failed write leaves the old version in place; between the two changes of name readers find no
+    folder, not half a table. A first write needs no second folder.
     """
-    if not has_files(df.sparkSession, path):
+    spark = df.sparkSession
+    if not has_files(spark, path):
         df.write.mode("overwrite").parquet(path)
         return
-    staged = scratch_path(df.sparkSession, "staged")
-    df.write.parquet(staged)
-    df.sparkSession.read.schema(df.schema).parquet(staged).write.mode("overwrite").parquet(path)
-    discard_at_exit(df.sparkSession, staged)
+    bare, mark = path.rstrip("/"), uuid.uuid4().hex
+    df.write.parquet(f"{bare}.new-{mark}")
+    replace_folder(spark, bare, f"{bare}.new-{mark}", f"{bare}.old-{mark}")
 
 
 def write_partition(
@@ -66,13 +67,14 @@ def write_config_per_app(df: DataFrame, path: str, app_column: str = "app_name")
 def write_table(
     df: DataFrame, path: str, zone: str, partition_column: str | None = None, run_date: date | str | None = None
 ) -> None:
-    """Write to a zone: 'landing' replaces, 'final' goes through a staged copy or to a partition of its own."""
+    """Write to a zone: 'landing' replaces, 'final' replaces by a new version or goes to a partition of its own, which a
+    repeated run replaces."""
     if zone == "landing":
         write_landing(df, path)
     elif zone != "final":
         raise ValueError("zone must be 'landing' or 'final'")
     elif partition_column:
-        write_partition(df, path, partition_column, run_date or date.today())
+        write_partition(df, path, partition_column, run_date or date.today(), replace=True)
     else:
         write_final(df, path)
 

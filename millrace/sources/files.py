@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import csv
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from pathlib import PurePosixPath
-from xml.etree import ElementTree
+from xml.parsers import expat
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,7 +14,6 @@ from pyspark.sql import types as T
 from millrace.operators.conform import ColumnSpec, source_names
 
 DELIMITERS = ",|;\t~"
-SAMPLE_LINES = 50
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -22,34 +21,42 @@ def _file_system(spark: SparkSession, path: str):
     return location, location.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def first_file(spark: SparkSession, path: str) -> str:
-    """Some data file below a path or glob. Asks the file system and stops at the first hit."""
-    location, system = _file_system(spark, path)
-    for entry in system.globStatus(location) or []:
-        files = system.listFiles(entry.getPath(), True)
-        while files.hasNext():
-            found = files.next().getPath()
-            if not found.getName().startswith(("_", ".")):
-                return found.toString()
-    raise FileNotFoundError(path)
-
-
-def sample_lines(spark: SparkSession, path: str, lines: int = SAMPLE_LINES) -> list[str]:
-    """A few lines from the top of one file, enough to recognise its format."""
-    return [row.value for row in spark.read.text(first_file(spark, path)).limit(lines).collect()]
-
-
-def detect_header_and_delimiter(spark: SparkSession, path: str, default: str = ",") -> tuple[bool, str]:
-    """(has a header, delimiter), judged by a small sample of one file.
+def detect_header_and_delimiter(
+    spark: SparkSession, path: str, names: Sequence[str], default: str = ","
+) -> tuple[bool, str]:
+    """(has a header, delimiter), from all lines of all files.
 
-    Where the sample shows no delimiter (a single column) the default is taken.
+    The delimiter is the one that cuts every line into as many cells as there are declared names; a single column has the
+    default. A file has a header if it has a line that reads as the declared names. Files that disagree, or lines that no
+    delimiter cuts alike (quoted delimiters, for example), are an error: then declare both.
     """
-    sample = "\n".join(sample_lines(spark, path))
-    sniffer = csv.Sniffer()
-    try:
-        return sniffer.has_header(sample), sniffer.sniff(sample, delimiters=DELIMITERS).delimiter
-    except csv.Error:
-        return False, default
+    if not names:
+        raise ValueError("without declared names a header cannot be told from data")
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file")).filter("trim(value) <> ''")
+    wanted = "\0".join(names).lower()
+
+    def cells(delimiter: str) -> Column:
+        return F.split("value", "\\Q" + delimiter + "\\E", -1)
+
+    def reads_as_names(delimiter: str) -> Column:
+        bare = F.transform(cells(delimiter), lambda c: F.trim(F.translate(c, '"', "")))
+        return F.lower(F.array_join(bare, "\0")) == wanted
+
+    fits = [F.min((F.size(cells(d)) == len(names)).cast("int")).alias(f"fits{k}") for k, d in enumerate(DELIMITERS)]
+    headed = [F.max(reads_as_names(d).cast("int")).alias(f"headed{k}") for k, d in enumerate([*DELIMITERS, default])]
+    by_file = lines.groupBy("file").agg(*fits, *headed)
+    found = by_file.agg(
+        *[F.min(f"fits{k}").alias(f"fits{k}") for k in range(len(DELIMITERS))],
+        *[f(f"headed{k}").alias(f"{f.__name__}{k}") for k in range(len(headed)) for f in (F.min, F.max)],
+    ).first()
+    good = [k for k in range(len(DELIMITERS)) if found[f"fits{k}"] == 1]
+    if len(names) == 1:
+        good = [len(DELIMITERS)]
+    if len(good) != 1:
+        raise ValueError(f"no delimiter cuts every line into {len(names)} cells; declare delimiter and header")
+    if found[f"min{good[0]}"] != found[f"max{good[0]}"]:
+        raise ValueError("some files have a header and some have none; declare it")
+    return found[f"max{good[0]}"] == 1, default if good[0] == len(DELIMITERS) else DELIMITERS[good[0]]
 
 
 def read_delimited(spark: SparkSession, path: str, delimiter: str = ",") -> DataFrame:
@@ -66,22 +73,40 @@ def read_headerless(spark: SparkSession, path: str, names: Sequence[str], delimi
     return spark.read.csv(path, schema=schema, sep=delimiter, header=False)
 
 
-def detect_row_tag(spark: SparkSession, path: str, lines: int = 1000) -> str:
-    """The one tag below the root element, judged by the top of one file."""
-    parser = ElementTree.XMLPullParser(["start", "end"])
-    depth, tags = 0, set()
-    for line in sample_lines(spark, path, lines):
-        parser.feed(line + "\n")
-        for event, element in parser.read_events():
-            if event == "start":
-                if depth == 1:
-                    tags.add(element.tag)
-                depth += 1
-            else:
-                depth -= 1
+def row_tags(spark: SparkSession, path: str) -> DataFrame:
+    """The tags right below the root elements of all files, as written, with the number of files. Each file is parsed by the
+    task that holds it: without a known tag a file cannot be split."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for content in batch.column("content").to_pylist():
+                depth, tags = 0, set()
+
+                def begin(tag: str, _: dict) -> None:
+                    nonlocal depth
+                    if depth == 1:
+                        tags.add(tag)
+                    depth += 1
+
+                def end(_: str) -> None:
+                    nonlocal depth
+                    depth -= 1
+
+                parser = expat.ParserCreate()
+                parser.StartElementHandler, parser.EndElementHandler = begin, end
+                parser.Parse(content, True)
+                yield pa.RecordBatch.from_pydict({"tag": pa.array(sorted(tags), pa.string())})
+
+    content = spark.read.format("binaryFile").load(path).select("content")
+    return content.mapInArrow(run, "tag string").groupBy("tag").agg(F.count("*").alias("files"))
+
+
+def detect_row_tag(spark: SparkSession, path: str) -> str:
+    """The one tag below the root elements of all files; several are an error. Declare the tag to save this pass."""
+    tags = sorted(r.tag for r in row_tags(spark, path).limit(10).collect())  # enough to name in the error
     if len(tags) != 1:
-        raise ValueError(f"one row tag expected below the root, found {sorted(tags) or 'none'}")
-    return tags.pop()
+        raise ValueError(f"one row tag expected below the root, found {tags or 'none'}")
+    return tags[0]
 
 
 def read_xml(
@@ -93,9 +118,14 @@ def read_xml(
 
 
 def read_json(
-    spark: SparkSession, path: str, schema: T.StructType | str | None = None, array_file: bool = False
+    spark: SparkSession, path: str, schema: T.StructType | str | None = None, array_file: bool | None = None
 ) -> DataFrame:
-    """JSON records, one per line, or one array per file. A file that is one array cannot be split over tasks."""
+    """JSON records, one per line, or one array per file. A file that is one array cannot be split over tasks.
+
+    Unless declared, files are arrays if a line begins with a bracket.
+    """
+    if array_file is None:
+        array_file = not spark.read.text(path).filter(F.ltrim("value").startswith("[")).isEmpty()
     return spark.read.json(path, schema=schema, multiLine=array_file)
 
 
@@ -110,23 +140,36 @@ def read_source(
     path: str,
     specs: Iterable[ColumnSpec] = (),
     schema: T.StructType | str | None = None,
+    header: bool | None = None,
+    delimiter: str | None = None,
+    row_tag: str | None = None,
+    array_file: bool | None = None,
 ) -> DataFrame:
-    """Read files by their extension; no extension means Parquet."""
+    """Read files by their extension; no extension means Parquet.
+
+    `header`, `delimiter`, `row_tag` and `array_file` are settings of the source; what is not declared is looked up in all
+    files, by names from the specs, and ambiguity is an error.
+    """
     kind = extension_of(path)
     if kind in ("", "parquet"):
         return spark.read.parquet(path)
-    if kind in ("csv", "txt"):
-        has_header, delimiter = detect_header_and_delimiter(spark, path)
-        if has_header:
-            return read_delimited(spark, path, delimiter)
-        return read_headerless(spark, path, source_names(specs), delimiter)
-    if kind == "pip":
-        _, delimiter = detect_header_and_delimiter(spark, path, "|")
-        return read_headerless(spark, path, source_names(specs), delimiter)
+    if kind in ("csv", "txt", "pip"):
+        names, usual = source_names(specs), "|" if kind == "pip" else ","
+        if kind == "pip" and header is None:
+            header = False
+        if header and delimiter is None and not names:
+            delimiter = usual
+        if header is None or delimiter is None:
+            found = detect_header_and_delimiter(spark, path, names, usual)
+            header = found[0] if header is None else header
+            delimiter = found[1] if delimiter is None else delimiter
+        if not header and not names:
+            raise ValueError(f"files without a header need column names: {path}")
+        return read_delimited(spark, path, delimiter) if header else read_headerless(spark, path, names, delimiter)
     if kind == "xml":
-        return read_xml(spark, path, schema=schema)
+        return read_xml(spark, path, row_tag, schema)
     if kind == "json":
-        return read_json(spark, path, schema)
+        return read_json(spark, path, schema, array_file)
     raise ValueError(f"no reader for files with extension {kind}")
 
 
@@ -144,6 +187,15 @@ def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
     return sorted(n[len(mark):] for n in names if n.startswith(mark))
 
 
+def replace_folder(spark: SparkSession, path: str, new: str, old: str) -> None:
+    """Put the folder `new` in the place of `path`, and remove what was there."""
+    location, system = _file_system(spark, path)
+    fresh, stale = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (new, old))
+    if not system.rename(location, stale) or not system.rename(fresh, location):
+        raise OSError(f"{path} could not be replaced; its versions are {new} and {old}")
+    system.delete(stale, True)
+
+
 def remove_partition(spark: SparkSession, path: str, column: str, value: str) -> None:
     """Delete one partition folder."""
     location, system = _file_system(spark, f"{path.rstrip('/')}/{column}={value}")

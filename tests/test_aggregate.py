@@ -9,10 +9,13 @@ from millrace.operators import aggregate, filters, sets, sort
 
 def test_pivots(frame):
     data = frame([("i", "x", "b"), ("i", "x", "a"), ("i", "y", "c"), ("j", "x", None), ("j", "z", "d")], "i string, c string, v string")
-    found = aggregate.pivot_aggregate_data(data, "i", "c", "v", ["x", "y", "z"])
+    found = aggregate.pivot_aggregate_data(data, "i", "c", "v", 10, ["x", "y", "z"])
     assert rows(found) == [("i", 0, "a,b", "c", ""), ("j", 0, "", "", "d")]
-    parts = aggregate.pivot_aggregate_data(data, "i", "c", "v", ["x", "y", "z"], rows_per_part=1)
+    parts = aggregate.pivot_aggregate_data(data, "i", "c", "v", 1, ["x", "y", "z"])
     assert rows(parts) == [("i", 0, "a", "c", ""), ("i", 1, "b", "", ""), ("j", 0, "", "", "d")]
+    assert rows(aggregate.pivot_aggregate_data(data, "i", "c", "v", 10)) == rows(found)
+    more = frame([("i", "x", "a"), ("k", "x", None), ("l", "w", "b")], "i string, c string, v string")
+    assert rows(aggregate.pivot_aggregate_data(more, "i", "c", "v", 10, ["x"])) == [("i", 0, "a"), ("k", 0, ""), ("l", 0, "")]
     numbers = frame([("i", "x", 1), ("i", "x", 2)], "i string, c string, v int")
     assert rows(aggregate.pivot_table(numbers, "i", "c", "v", "sum", ["x", "y"])) == [("i", 3, None)]
 
@@ -23,7 +26,7 @@ def test_json_arrays_in_parts_are_whole(spark):
     hot = sorted((r for r in found if r["k"] == "hot"), key=lambda r: r["part"])
     assert [o["id"] for r in hot for o in json.loads(r["items"])] == list(range(900))
     assert all(len(json.loads(r["items"])) <= 64 for r in found)
-    whole = aggregate.group_to_json_array(data, "k", ["id"], ["id"]).filter("k = 'cold'").collect()
+    whole = aggregate.group_to_json_array(data, "k", ["id"], ["id"], 1000).filter("k = 'cold'").collect()
     assert len(whole) == 1 and len(json.loads(whole[0]["items"])) == 100
 
 

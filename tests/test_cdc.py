@@ -133,3 +133,28 @@ def test_indicator_merge_against_a_dictionary(spark, old, feed):
     target = spark.createDataFrame(list(old.items()), "k int, v string")
     incoming = spark.createDataFrame(feed, "k int, v string, op string")
     assert rows(cdc.merge_by_indicator(target, incoming, ["k"], "op")) == sorted(expected.items(), key=repr)
+
+
+def test_repeated_keys_in_an_increment(frame):
+    target = frame([(1, "a", 1), (2, "b", 1)], "k int, v string, t int")
+    twice = frame([(1, "x", 2), (1, "y", 3), (None, "n", 1), (None, "m", 1)], "k int, v string, t int")
+    assert rows(cdc.merge(target, twice, ["k"], newest_by=["t"])) == [(1, "y", 3), (2, "b", 1), (None, "m", 1), (None, "n", 1)]
+    with pytest.raises(ValueError, match="repeated key"):
+        cdc.merge(target, twice, ["k"])
+    with pytest.raises(ValueError, match="repeated key"):
+        cdc.merge(None, twice, ["k"])
+
+
+def test_a_feed_can_be_merged_into_its_first_load(frame):
+    feed = frame([(1, "a", "INS"), (2, "b", "DEL"), (3, "c", None)], "k int, v string, op string")
+    first = cdc.merge(None, feed, ["k"], indicator="op")
+    assert first.columns == ["k", "v"] and rows(first) == [(1, "a"), (3, "c")]
+    second = frame([(1, "A", "UPD"), (3, "c", "DEL")], "k int, v string, op string")
+    assert rows(cdc.merge(first, second, ["k"], indicator="op")) == [(1, "A")]
+
+
+def test_windows_reach_the_scan(spark, tmp_path):
+    spark.range(10).select(F.timestamp_seconds(F.col("id") * 86400).cast("timestamp_ntz").alias("ts")).write.parquet(str(tmp_path / "t"))
+    data = spark.read.parquet(str(tmp_path / "t"))
+    found = cdc.rows_by_window(data, "ts", cdc.daily_windows(spark, "1970-01-03 00:00:00", "1970-01-05 12:00:00"))
+    assert found.count() == 3 and "GreaterThanOrEqual(ts" in plan_of(found)

@@ -21,8 +21,10 @@ def write(path, text):
 def test_delimited(spark, tmp_path, delimiter):
     lines = [delimiter.join(p) for p in [("id", "name"), ("1", "ann"), ("2", "bob"), ("3", "cid")]]
     path = write(tmp_path / "t.csv", "\n".join(lines) + "\n")
-    assert sources.detect_header_and_delimiter(spark, path) == (True, delimiter)
-    assert rows(sources.read_source(spark, path)) == [("1", "ann"), ("2", "bob"), ("3", "cid")]
+    specs = [ColumnSpec(1, "id", "id"), ColumnSpec(2, "name", "name")]
+    assert sources.detect_header_and_delimiter(spark, path, ["id", "name"]) == (True, delimiter)
+    assert rows(sources.read_source(spark, path, header=True, delimiter=delimiter)) == [("1", "ann"), ("2", "bob"), ("3", "cid")]
+    assert rows(sources.read_source(spark, path, specs)) == [("1", "ann"), ("2", "bob"), ("3", "cid")]
 
 
 def test_headerless(spark, tmp_path):
@@ -44,7 +46,7 @@ def test_headerless_delimiter_is_detected(spark, tmp_path):
 def test_glob_reads_every_file(spark, tmp_path):
     for i in (1, 2):
         write(tmp_path / f"t_{i}.csv", f"id,name\n{i},n{i}\n{i}0,m{i}\n")
-    assert sources.read_source(spark, str(tmp_path / "t_*.csv")).count() == 4
+    assert sources.read_source(spark, str(tmp_path / "t_*.csv"), header=True).count() == 4
 
 
 def test_xml(spark, tmp_path):
@@ -188,3 +190,41 @@ def test_shared_folder(spark):
     settings = cluster_settings(100 * 2**40, 4000)
     assert int(settings["spark.sql.shuffle.partitions"]) >= 800_000
     assert cluster_settings(1, 4)["spark.sql.shuffle.partitions"] == "8"
+
+
+def test_detection_looks_at_all_files_and_never_eats_a_first_line(spark, tmp_path):
+    specs = [ColumnSpec(1, "name", "name"), ColumnSpec(2, "town", "town")]
+    texts = write(tmp_path / "texts.csv", "ann,oslo\nbob,rome\n")
+    assert rows(sources.read_source(spark, texts, specs)) == [("ann", "oslo"), ("bob", "rome")]
+    headed = write(tmp_path / "headed.csv", "name,town\nann,oslo\n")
+    assert rows(sources.read_source(spark, headed, specs)) == [("ann", "oslo")]
+    with pytest.raises(ValueError, match="some files"):
+        sources.read_source(spark, str(tmp_path / "*.csv"), specs)
+    with pytest.raises(ValueError):
+        sources.read_source(spark, texts)
+    quoted_cells = write(tmp_path / "quoted.txt", 'ann,"oslo, no"\nbob,rome\n')
+    with pytest.raises(ValueError, match="declare"):
+        sources.read_source(spark, quoted_cells, specs)
+    assert rows(sources.read_source(spark, quoted_cells, specs, header=False, delimiter=",")) == [("ann", "oslo, no"), ("bob", "rome")]
+
+
+def test_row_tags_of_all_files(spark, tmp_path):
+    many = "".join(f"<row><id>{i}</id></row>\n" for i in range(1500))
+    write(tmp_path / "late.xml", f"<all>\n{many}<other/>\n</all>")
+    with pytest.raises(ValueError, match="other"):
+        sources.detect_row_tag(spark, str(tmp_path / "late.xml"))
+    path = write(tmp_path / "named.xml", '<all xmlns="urn:x">\n<row><id>1</id></row>\n</all>')
+    assert rows(sources.read_source(spark, path)) == [(1,)]
+
+
+def test_json_array_is_recognised(spark, tmp_path):
+    path = write(tmp_path / "a.json", '[{"a": 1},\n {"a": 2}]')
+    assert rows(sources.read_source(spark, path, schema="a int")) == [(1,), (2,)]
+
+
+def test_replaced_table_is_written_once(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sinks.write_final(spark.range(3), path)
+    sinks.write_final(spark.read.parquet(path).filter("id > 0"), path)
+    assert rows(spark.read.parquet(path)) == [(1,), (2,)]
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]

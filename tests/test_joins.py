@@ -98,7 +98,7 @@ def test_equal_rows_are_chosen_the_same_way(spark):
     data = spark.range(2000).select((F.col("id") % 5).alias("k"), "id", F.lit(1).alias("o"))
     first = rows(windows.group_select_first(data, "k", ["o"]))
     assert first == rows(windows.group_select_first(data.repartition(11), "k", ["o"]))
-    numbers = [windows.number_within_groups(data.repartition(n), "k", ["o"], hot_rows=h) for n, h in ((3, 1), (7, 10**6))]
+    numbers = [windows.number_within_groups(data.repartition(n), "k", ["o"]) for n in (3, 7)]
     assert rows(numbers[0]) == rows(numbers[1])
 
 
@@ -118,10 +118,9 @@ def test_hot_values_spread_over_partitions(spark):
     assert len(sizes) == 8 and max(sizes) < 20000 / 3
 
 
-@pytest.mark.parametrize("hot_rows", [1, 10**6])
-def test_number_within_groups(spark, hot_rows):
+def test_number_within_groups(spark):
     data = spark.range(0, 3000).select(F.when(F.col("id") % 10 < 7, "hot").when(F.col("id") % 10 < 9, "warm").alias("k"), "id")
-    numbered = windows.number_within_groups(data, "k", ["id"], hot_rows=hot_rows)
+    numbered = windows.number_within_groups(data, "k", ["id"])
     for key, size in (("hot", 2100), ("warm", 600), (None, 300)):
         mine = numbered.filter(F.col("k").eqNullSafe(F.lit(key))).orderBy("id").select("row_number").collect()
         assert [r[0] for r in mine] == list(range(1, size + 1))

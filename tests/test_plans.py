@@ -69,7 +69,7 @@ def test_configs(frame):
         [("p", "1", n, f"s{n}", *[None] * 4, f"t{n}", *[None] * 5) for n in ("10", "9")] + [("q", "1", "1", *[None] * 11)], schema
     )
     inventory = frame([("p", "1", {"a": "b"}), ("q", "2", None)], "pipeline_id string, version_number string, extra map<string,string>")
-    found = pipelines.pipeline_configs(inventory, columns).collect()
+    found = pipelines.pipeline_configs(inventory, columns, 1000).collect()
     assert len(found) == 1 and found[0]["extra"] == '{"a":"b"}'
     assert [c["sequence_number"] for c in json.loads(found[0]["pipeline_columns"])] == ["9", "10"]
 
@@ -278,3 +278,40 @@ def test_methodology_loads(frame):
     assert rows(roc.select("rfc_id", "roc_cms_doc_id", "roc_status_cd")) == [(1, "k1", "D")]
     bridge = methodology.load_methodology_requests(consultations, documents, rfc, docs, None, "2024-02-01 00:00:00", "u")
     assert rows(bridge.select("rfc_id", "meth_doc_id")) == [(1, 1), (1, 2)]
+
+
+def text_pipeline(tmp_path, lines, **settings):
+    (tmp_path / "in.csv").write_text("id,stamp\n" + "\n".join(lines) + "\n")
+    paths = {"source_path": str(tmp_path / "in.csv"), "target_path": str(tmp_path / "final"), "landing_path": str(tmp_path / "landing")}
+    settings = {"load_type": "delta", "primary_key": ("id",), "cdc_timestamp_columns": ("stamp",)} | settings
+    return pipelines.PipelineSpec("p", **paths, **settings)
+
+
+STAMPED = [ColumnSpec(1, "id", "id", "int"), ColumnSpec(2, "stamp", "stamp", "timestamp", source_datetime_format="dd/MM/yyyy")]
+
+
+def test_text_dates_are_parsed_before_the_window(spark, tmp_path):
+    first = text_pipeline(tmp_path, [f"{d},{d:02d}/03/2024" for d in range(1, 29)] + ["99,", "98,not a date"])
+    done = ingest.run_pipeline(spark, first, STAMPED, started=datetime(2024, 4, 1)).first()
+    assert (done.job_status, done.landing_count, done.final_count) == (pipelines.SUCCESS, 30, 30)
+    later = text_pipeline(tmp_path, ["1,02/04/2024", "1,03/04/2024", "2,01/03/2024", "40,01/05/2024"])
+    done = ingest.run_pipeline(spark, later, STAMPED, since="2024-04-01", started=datetime(2024, 4, 10)).first()
+    assert (done.job_status, done.landing_count, done.final_count) == (pipelines.SUCCESS, 2, 30)
+    assert spark.read.parquet(str(tmp_path / "final")).filter("id = 1 and stamp = '2024-04-03'").count() == 1
+
+
+def test_empty_increments_touch_nothing_and_full_loads_take_all(spark, tmp_path):
+    spec = text_pipeline(tmp_path, ["1,01/03/2024", "2,02/03/2024"])
+    ingest.run_pipeline(spark, spec, STAMPED, started=datetime(2024, 4, 1))
+    done = ingest.run_pipeline(spark, spec, STAMPED, since="2024-04-01", started=datetime(2024, 4, 2)).first()
+    assert (done.job_status, done.landing_count) == (pipelines.SUCCESS, 0)
+    assert spark.read.parquet(str(tmp_path / "landing")).count() == 2
+    full = text_pipeline(tmp_path, ["1,01/03/2024", "2,02/03/2024", "3,09/04/2024"], load_type="full")
+    assert ingest.run_pipeline(spark, full, STAMPED, since="2024-04-01", started=datetime(2024, 4, 2)).first().final_count == 3
+
+
+def test_a_repeated_day_replaces_its_partition(spark, tmp_path):
+    spec = text_pipeline(tmp_path, ["1,01/03/2024", "2,02/03/2024"], partition_column="day", primary_key=())
+    for _ in range(2):
+        assert ingest.run_pipeline(spark, spec, STAMPED, started=datetime(2024, 4, 1)).first().job_status == pipelines.SUCCESS
+    assert spark.read.parquet(str(tmp_path / "final")).count() == 2
