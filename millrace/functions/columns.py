@@ -155,7 +155,7 @@ def python_udf(
 ) -> Column:
     """A user's Python function over columns. The return type is required: nothing falls back to string.
 
-    With `vectorised` the function gets pandas Series (Arrow batches) instead of single values.
+    Values travel in Arrow batches; with `vectorised` the function gets them as pandas Series instead of one by one.
     """
-    make = F.pandas_udf if vectorised else F.udf
-    return make(function, return_type)(*[to_column(c) for c in columns])
+    made = F.pandas_udf(function, return_type) if vectorised else F.udf(function, return_type, useArrow=True)
+    return made(*[to_column(c) for c in columns])

@@ -17,12 +17,13 @@ DELETES = ["DEL"]
 FIRST_WATERMARK = datetime(1900, 1, 1)
 
 
-def select_rows(df: DataFrame, condition: Column | str | Callable, *columns: str) -> DataFrame:
-    """Rows for which the condition is true: a Column, an SQL text, or a Python function over the named columns."""
+def select_rows(df: DataFrame, condition: Column | str | Callable, *columns: str, vectorised: bool = False) -> DataFrame:
+    """Rows for which the condition is true: a Column, an SQL text, or a Python function over the named columns (over pandas
+    Series if `vectorised`)."""
     if callable(condition) and not isinstance(condition, Column):
         if not columns:
             raise ValueError("a Python function needs the columns it looks at")
-        condition = python_udf(condition, "boolean", columns)
+        condition = python_udf(condition, "boolean", columns, vectorised)
     return df.filter(condition)
 
 

@@ -92,12 +92,17 @@ def add_fields(df: DataFrame, fields: Mapping[str, object] | Iterable[tuple[str,
     return df.withColumns({name: F.lit(value) for name, value in dict(fields).items()})
 
 
-def evaluate(expression: Expression, columns: Sequence[str] = (), return_type: T.DataType | str | None = None) -> Column:
-    """A Column, an SQL text, or a Python function over `columns`, as a Column."""
+def evaluate(
+    expression: Expression,
+    columns: Sequence[str] = (),
+    return_type: T.DataType | str | None = None,
+    vectorised: bool = False,
+) -> Column:
+    """A Column, an SQL text, or a Python function over `columns`, as a Column. A vectorised function maps pandas Series."""
     if callable(expression) and not isinstance(expression, Column):
         if return_type is None:
             raise ValueError("a Python function needs a return type")
-        return python_udf(expression, return_type, columns)
+        return python_udf(expression, return_type, columns, vectorised)
     col = F.expr(expression) if isinstance(expression, str) else expression
     return col if return_type is None else col.cast(return_type)
 
@@ -108,9 +113,10 @@ def add_computed_field(
     expression: Expression,
     columns: Sequence[str] = (),
     return_type: T.DataType | str | None = None,
+    vectorised: bool = False,
 ) -> DataFrame:
     """Add a column computed from others."""
-    return df.withColumn(name, evaluate(expression, columns, return_type))
+    return df.withColumn(name, evaluate(expression, columns, return_type, vectorised))
 
 
 def conversion(
@@ -119,17 +125,19 @@ def conversion(
     convert: Callable,
     return_type: T.DataType | str,
     python: bool = False,
+    vectorised: bool = False,
 ) -> DataFrame:
     """Replace one or more columns by `convert` of them, cast to `return_type`.
 
-    `convert` maps a Column to a Column; with `python` it maps a value to a value and runs as a UDF.
+    `convert` maps a Column to a Column; with `python` it maps a value to a value and runs as a UDF,
+    with `vectorised` a pandas Series to one.
     """
     names = as_list(columns)
     require_columns(df, names)
 
     def converted(name: str) -> Column:
-        if python:
-            return python_udf(convert, return_type, [quoted(name)])
+        if python or vectorised:
+            return python_udf(convert, return_type, [quoted(name)], vectorised)
         source_type = df.select(convert(quoted(name)).alias(name)).schema[name].dataType
         return cast_or_null(convert(quoted(name)), return_type, source_type)
 
@@ -142,16 +150,20 @@ def conditional_conversion(
     convert: Callable,
     condition: Column | str,
     return_type: T.DataType | str | None = None,
+    vectorised: bool = False,
 ) -> DataFrame:
     """Convert a column only where the condition holds; rows, their number and their order stay the same.
 
-    With `return_type`, `convert` is a Python function and runs as a UDF, called for the matching rows only.
+    With `return_type`, `convert` is a Python function and runs as a UDF, called for the matching rows only. A vectorised one
+    maps a pandas Series, whose other rows are null.
     """
     require_columns(df, [column])
     test = F.coalesce(F.expr(condition) if isinstance(condition, str) else condition, F.lit(False))
     current = quoted(column)
     if return_type is None:
         changed = convert(current)
+    elif vectorised:
+        changed = python_udf(convert, return_type, [F.when(test, current)], True)
     else:
         # The UDF sees NULL for rows outside the condition, so `convert` never meets a value it was not meant for.
         changed = python_udf(

@@ -35,16 +35,17 @@ def scanned(spark: SparkSession, group: tuple[str, str, str], rules: list[Rule],
 def run_rules(
     spark: SparkSession, rules: Iterable[Rule], tables: Mapping[str, DataFrame], run: Run
 ) -> tuple[DataFrame | None, DataFrame | None, DataFrame]:
-    """(error rows, summary per rule, run log). Rules that cannot run are logged and leave the others alone.
+    """(error rows, summary per rule, log of the rules that cannot run, which leave the others alone).
 
-    Nothing is computed here: errors and summary run when they are written.
+    Nothing is computed here: errors and summary run when they are written, and `write_run` logs what it has run.
     """
     errors, summaries, log = [], [], []
     for group, members in group_rules(rules).items():
         for rule in members:
             begun = datetime.now()
             problem = "; ".join(rule_problems(rule))
-            log.append((run.execution_id, rule.rule_id, begun, datetime.now(), FAILURE if problem else SUCCESS, problem))
+            if problem:
+                log.append((run.execution_id, rule.rule_id, begun, datetime.now(), FAILURE, problem))
         runnable = [r for r in members if not rule_problems(r)]
         if runnable:
             rows = scanned(spark, group, runnable, tables)

@@ -5,9 +5,10 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import catalog_type_name, decimal_part, drop_last, python_udf
+from millrace.functions.columns import catalog_type_name, decimal_part, drop_last
 from millrace.operators import project
 from millrace.operators.conform import ColumnSpec, conform, unparsed_cells
+from millrace.operators.filters import select_rows
 from millrace.queries import Tables, register
 
 
@@ -87,10 +88,38 @@ def computed_by_function(t: Tables):
     def label(brand: pd.Series, kind: pd.Series) -> pd.Series:
         return brand + "/" + kind
 
-    column = python_udf(label, "string", ["p_brand", "p_type"], vectorised=True)
-    return project.add_computed_field(t.part.select("p_partkey", "p_brand", "p_type"), "label", column).select(
-        "p_partkey", "label"
-    )
+    parts = t.part.select("p_partkey", "p_brand", "p_type")
+    labelled = project.add_computed_field(parts, "label", label, ["p_brand", "p_type"], "string", vectorised=True)
+    return labelled.select("p_partkey", "label")
+
+
+@register("SELECT p_partkey, upper(p_name) AS p_name FROM part")
+def converted_by_function(t: Tables):
+    def upper(name: pd.Series) -> pd.Series:
+        return name.str.upper()
+
+    return project.conversion(t.part.select("p_partkey", "p_name"), "p_name", upper, "string", vectorised=True)
+
+
+@register(
+    "SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN reverse(o_orderpriority) ELSE o_orderpriority END "
+    "AS o_orderpriority FROM orders"
+)
+def conditional_by_function(t: Tables):
+    def backwards(text: pd.Series) -> pd.Series:
+        return text.str[::-1]
+
+    rows = t.orders.select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    changed = project.conditional_conversion(rows, "o_orderpriority", backwards, "o_orderstatus = 'F'", "string", vectorised=True)
+    return changed.select("o_orderkey", "o_orderpriority")
+
+
+@register("SELECT p_partkey FROM part WHERE p_size % 7 = 3")
+def selected_by_function(t: Tables):
+    def every_seventh(size: pd.Series) -> pd.Series:
+        return size % 7 == 3
+
+    return select_rows(t.part.select("p_partkey", "p_size"), every_seventh, "p_size", vectorised=True).select("p_partkey")
 
 
 @register(

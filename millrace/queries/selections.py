@@ -118,7 +118,8 @@ def union_by_position(t: Tables):
     "SELECT (SELECT count(*) FROM (SELECT * FROM lineitem EXCEPT ALL SELECT * FROM lineitem)) = 0 AS equal"
 )
 def frames_equal(t: Tables):
-    return sets.frames_equal(t.lineitem, t.lineitem)
+    even = F.coalesce(F.col("l_orderkey") % 2 == 0, F.lit(False))
+    return sets.frames_equal(t.lineitem, t.lineitem.filter(even).unionByName(t.lineitem.filter(~even)))
 
 
 @register(

@@ -44,9 +44,9 @@ def test_simple_filters(frame):
 
 def test_contains_any_cuts_before_distinct(frame):
     data = frame([("x" * 100 + "1",), ("x" * 100 + "2",), ("GDP real",), ("CPI",), (None,)], "n string")
-    assert filters.contains_any(data, "n", ["x"]).count() == 1
+    assert filters.contains_any(data, "n", ["x"], length=100).count() == 1
     assert rows(filters.contains_any(data, "n", ["GDP", "CPI", "real"])) == [("CPI",), ("GDP real",)]
-    assert filters.contains_any(data, "n").count() == 4
+    assert filters.contains_any(data, "n").count() == 5
 
 
 def test_exact_lookup_ignores_trailing_blanks(frame):
