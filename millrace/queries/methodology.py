@@ -184,3 +184,68 @@ def bridge_load(t: Tables):
         )
     )
     return located.select("l_orderkey", "c_custkey", "s_suppkey")
+
+
+LATER = "2024-03-01 00:00:00"
+SPLIT = "1996-01-01"
+
+
+@register(
+    f"WITH {METH_SQL}, {METH_DOC_SQL}, two AS (SELECT *, publcn_dtm < DATE '{SPLIT}' AS old FROM meth_doc) "
+    "SELECT CASE WHEN old THEN 0 ELSE (SELECT count(*) FROM two WHERE old) END + row_number() OVER (PARTITION BY old ORDER BY cms_doc_id) "
+    "AS meth_doc_id, meth_id, publ_entity_cd, lang_iso_alpha_3_cd, meth_vrsn_num, meth_doc_typ_cd, publ_titl_text, cms_doc_id, rmc_doc_id, "
+    "publcn_dtm, meth_doc_modified_dtm, status_cd, TIMESTAMP '2024-03-01' AS modified_dtm, 'later' AS modified_user_id FROM two"
+)
+def methodology_document_reload(t: Tables):
+    """Documents before a date are known already: they keep their ids, later ones get the next."""
+    statuses = lookup(t.orders, "o_orderstatus", "meth_doc_status")
+    known = documents(t).filter(F.col("methodology_document_publication_datetime") < SPLIT)
+    first = methodology.load_methodology_documents(known, methodology_table(t), statuses, None, LOADED, USER)
+    return methodology.load_methodology_documents(documents(t), methodology_table(t), statuses, first, LATER, "later")
+
+
+@register(
+    f"WITH {RFC_SQL}, one AS (SELECT rfc_cms_doc_id, max(rfc_open_dtm) AS d, min(rfc_open_dtm) < DATE '{SPLIT}' AS old FROM rfc GROUP BY 1) "
+    "SELECT CASE WHEN old THEN 0 ELSE (SELECT count(*) FROM one WHERE old) END + row_number() OVER (PARTITION BY old ORDER BY rfc_cms_doc_id) "
+    "AS rfc_id, rfc_cms_doc_id, d AS rfc_open_dtm, d AS rfc_close_dtm, d AS rfc_origin_close_dtm, TIMESTAMP '2024-03-01' AS modified_dtm, "
+    "'later' AS modified_user_id FROM one"
+)
+def comment_request_reload(t: Tables):
+    statuses = lookup(t.lineitem, "l_linestatus", "rfc_status")
+    known = consultations(t).filter(F.col("request_for_comment_open_datetime") < SPLIT)
+    first = methodology.load_comment_requests(known, statuses, None, LOADED, USER)
+    loaded = methodology.load_comment_requests(consultations(t), statuses, first, LATER, "later")
+    # of equally new versions of a request either may stay; they differ in the other columns only
+    return loaded.drop("rfc_publcn_name", "rfc_rmc_doc_id", "rfc_status_cd")
+
+
+@register(
+    f"SELECT rfc_id, d AS roc_publcn_dtm, CASE WHEN d < DATE '{SPLIT}' THEN TIMESTAMP '2024-02-01' ELSE TIMESTAMP '2024-03-01' END AS modified_dtm, "
+    f"CASE WHEN d < DATE '{SPLIT}' THEN 'loader' ELSE 'later' END AS modified_user_id FROM (SELECT l_orderkey * 100 + l_linenumber AS rfc_id, "
+    "CAST(max(l_shipdate) AS DATE) AS d FROM lineitem GROUP BY 1)"
+)
+def consultation_result_load(t: Tables):
+    """Two loads, of results before and after a date: untouched rows keep their stamps."""
+    statuses = lookup(t.lineitem, "l_linestatus", "roc_status")
+    early = F.col("result_of_consultation_publication_date") < SPLIT
+    first = methodology.load_consultation_results(consultations(t).filter(early), numbered_requests(t), statuses, None, LOADED, USER)
+    loaded = methodology.load_consultation_results(consultations(t).filter(~early), numbered_requests(t), statuses, first, LATER, "later")
+    return loaded.select("rfc_id", "roc_publcn_dtm", "modified_dtm", "modified_user_id")
+
+
+@register(
+    f"WITH {METH_SQL}, {METH_DOC_SQL} SELECT rfc_id, meth_doc_id, CASE WHEN late THEN TIMESTAMP '2024-03-01' ELSE TIMESTAMP '2024-02-01' END "
+    "AS modified_dtm, CASE WHEN late THEN 'later' ELSE 'loader' END AS modified_user_id FROM (SELECT l_orderkey * 100 + l_linenumber "
+    f"AS rfc_id, m.meth_doc_id, bool_or(l_shipdate >= DATE '{SPLIT}') AS late FROM lineitem JOIN orders o ON l_orderkey = o_orderkey JOIN meth_doc m "
+    "ON m.publ_entity_cd = CAST(o_custkey AS VARCHAR) AND m.meth_vrsn_num = month(o_orderdate) AND m.meth_doc_typ_cd = o_orderstatus "
+    "AND m.lang_iso_alpha_3_cd = left(o_orderpriority, 1) GROUP BY 1, 2)"
+)
+def methodology_request_load(t: Tables):
+    early = F.col("request_for_comment_open_datetime") < SPLIT
+    meth_docs = methodology_document_table(t)
+    first = methodology.load_methodology_requests(
+        consultations(t).filter(early), documents(t), numbered_requests(t), meth_docs, None, LOADED, USER
+    )
+    return methodology.load_methodology_requests(
+        consultations(t).filter(~early), documents(t), numbered_requests(t), meth_docs, first, LATER, "later"
+    )
