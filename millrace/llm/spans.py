@@ -13,7 +13,7 @@ ALNUM = np.zeros(256, bool)
 ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-BLOCK = 1 << 22
+BLOCK = 1 << 20
 
 
 def _mixed(seed: int, n: int) -> np.ndarray:

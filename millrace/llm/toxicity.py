@@ -19,8 +19,8 @@ from millrace.llm import crf
 from millrace.llm.encoding import groups_by_size
 from millrace.llm.spans import ALNUM, Words, hashes, per_document, prefixes, words_of
 
-SAMPLE_ROWS = 6_000
-SAMPLE_CHARS = 20_000
+SAMPLE_ROWS = 2_400
+SAMPLE_CHARS = 6_000
 PREFIXES = (4, 6, 8)
 SHAPES, SIZES = 4, 6
 GROUP = 1 << 20
