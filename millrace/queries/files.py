@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from millrace.operators.conform import ColumnSpec, conform
 from millrace.plans.ingest import run_pipeline
 from millrace.plans.pipelines import SUCCESS, PipelineSpec
+from millrace.plans.runs import outcomes, run_pipelines
 from millrace.queries import Tables, register
 from millrace.queries.quality import ORDER_RULES, RUN
 from millrace.operators.quality import error_rows
@@ -121,3 +122,36 @@ def ingest_two_loads(t: Tables):
         if outcome["job_status"] != SUCCESS:
             raise RuntimeError(outcome["error_message"])
     return sources.read_target(t.spark, spec.target_path)
+
+
+@register(
+    "SELECT 'orders' AS pipeline_id, count(*) AS landing_count, count(*) AS final_count, 'SUCCESS' AS job_status, '' AS error_message FROM orders "
+    "UNION ALL SELECT 'customers', count(*), count(*), 'SUCCESS', '' FROM customer UNION ALL SELECT 'absent', NULL, NULL, 'FAILED', 'no active version'"
+)
+def inventory_run(t: Tables):
+    """Two file pipelines from inventory and column tables to final tables; a third is not in the inventory."""
+    places = {name: scratch_path(t.spark, name) for name in ("orders", "customers")}
+    sinks.write_csv_feed(order_texts(t), places["orders"] + ".csv")
+    t.customer.select("c_custkey", "c_name").write.parquet(places["customers"] + ".parquet")
+    inventory = t.spark.createDataFrame(
+        [
+            ("orders", "9", "false", places["orders"] + ".none", "", "", "full", ""),
+            ("orders", "10", "true", places["orders"] + ".csv", places["orders"] + "-l", places["orders"] + "-f", "delta", '["o_orderkey"]'),
+            ("customers", "1", "", places["customers"] + ".parquet", places["customers"] + "-l", places["customers"] + "-f", "full", ""),
+        ],
+        "pipeline_id string, version_number string, active string, source_path string, landing_path string, target_path string, "
+        "load_type string, primary_key string",
+    ).withColumn("primary_key", F.replace("primary_key", F.lit("o_orderkey"), F.lit("order_id")))
+    specs = [("orders", "10", s) for s in ORDER_SPECS] + [
+        ("customers", "1", ColumnSpec(1, "c_custkey", "id", "bigint")),
+        ("customers", "1", ColumnSpec(2, "c_name", "name")),
+    ]
+    columns = t.spark.createDataFrame(
+        [
+            (p, v, str(s.sequence_number), s.source_column_name, s.target_column_name, s.target_datatype, s.target_length, s.target_precision, s.source_datetime_format)
+            for p, v, s in specs
+        ],
+        "pipeline_id string, version_number string, sequence_number string, source_column_name string, target_column_name string, "
+        "target_datatype string, target_length int, target_precision int, source_datetime_format string",
+    )
+    return outcomes(run_pipelines(t.spark, inventory, columns, ["orders", "customers", "absent"]))

@@ -315,3 +315,37 @@ def test_a_repeated_day_replaces_its_partition(spark, tmp_path):
     for _ in range(2):
         assert ingest.run_pipeline(spark, spec, STAMPED, started=datetime(2024, 4, 1)).first().job_status == pipelines.SUCCESS
     assert spark.read.parquet(str(tmp_path / "final")).count() == 2
+
+
+def test_records_and_source_queries():
+    from millrace.plans import runs
+
+    spec = runs.spec_from_record({"pipeline_id": "p", "primary_key": "['a', 'b']", "cdc_timestamp_columns": "u,v", "sla": "null", "header": "True", "other": 1})
+    assert (spec.primary_key, spec.cdc_timestamp_columns, spec.sla, spec.header) == (("a", "b"), ("u", "v"), "", True)
+    specs = [ColumnSpec(10, "b", "b"), ColumnSpec(9, "a", "a")]
+    assert runs.source_query("t", specs, ["u"]) == "select a, b from t"
+    window = ("2024-01-01 00:00:00", "2024-01-02 00:00:00.123")
+    assert runs.source_query("t", specs, ["u", "v"], *window) == (
+        "select a, b from t where u between '2024-01-01 00:00:00' and '2024-01-02 00:00:00' or v between '2024-01-01 00:00:00' and '2024-01-02 00:00:00'"
+    )
+    assert "u between to_timestamp('2024-01-01 00:00:00','yyyy-MM-dd hh24:mi:ss')" in runs.source_query("t", specs, ["u"], *window, dialect="oracle")
+    template = "select * from t where x ~ 'a{2}' and u between '{}' and '{}'"
+    assert runs.source_query("t", specs, (), "1", "2", template=template) == "select * from t where x ~ 'a{2}' and u between '1' and '2'"
+    assert runs.source_query("t", specs, (), None, "2", template=template) == "select a, b from t"
+
+
+def test_a_source_that_cannot_be_read_leaves_the_others_alone(spark, frame, tmp_path):
+    from millrace.plans import runs
+
+    (tmp_path / "in.csv").write_text("id,name\n1,a\n2,b\n")
+    place = str(tmp_path)
+    inventory = frame(
+        [("bad", "1", "", f"{place}/none.csv", f"{place}/l1", f"{place}/f1"), ("good", "1", "", f"{place}/in.csv", f"{place}/l2", f"{place}/f2")],
+        "pipeline_id string, version_number string, active string, source_path string, landing_path string, target_path string",
+    )
+    columns = frame(
+        [(p, "1", str(k), c, c, "string") for p in ("bad", "good") for k, c in ((1, "id"), (2, "name"))],
+        "pipeline_id string, version_number string, sequence_number string, source_column_name string, target_column_name string, target_datatype string",
+    )
+    found = {r.pipeline_id: r for r in runs.run_pipelines(spark, inventory, columns).collect()}
+    assert found["good"].job_status == SUCCESS and found["good"].final_count == 2 and found["bad"].job_status == FAILURE
