@@ -10,6 +10,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import __spark_entry__ as entry  # noqa: E402
 from check import TABLES, compare  # noqa: E402
+from millrace import queries as registry  # noqa: E402
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
@@ -23,7 +24,7 @@ def database():
     return db
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query(spark, database, name):
     found = entry.queries()[name](spark, FOLDER)
     result = database.execute(entry.oracle_sql()[name])
