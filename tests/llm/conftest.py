@@ -2,6 +2,7 @@ import random
 
 import pytest
 
+
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, label int, score double, node long, words string"
 
 
