@@ -1,11 +1,12 @@
 """Near-duplicate documents: banded MinHash candidates, sequential Bayesian verification of signatures, exact confirmation.
 
 Documents with the same words are one node. Signatures of nodes are cut into bands; nodes with an equal band share a
-bucket. Candidates of a bucket are first its star (each member with one of them, chosen by a hash), so a bucket of m members
-gives m - 1 pairs, not m squared. Signatures of a pair are compared a batch at a time, and a pair is dropped as soon as the
-posterior probability of a similarity at or above the threshold falls below the miss probability. Survivors are confirmed on
-full shingle sets. Confirmed links join nodes; a last pass takes all pairs of a bucket whose members are not yet joined, so a
-component loses no link but by the miss probability of bands and pruning.
+bucket. Candidates of a bucket are first its star (each member with the one that meets most nodes in its buckets), so a
+bucket of m members gives m - 1 pairs, not m squared. Signatures of a pair are compared a batch at a time, and a pair is
+dropped as soon as the posterior probability of a similarity at or above the threshold falls below the miss probability.
+Survivors are confirmed on full shingle sets. Confirmed links join nodes. Members of a bucket that are not yet joined are then
+compared with all others in blocks of bounded size: first the best survivor between each two components is confirmed, then
+all that are left between components. So a component loses no link but by the miss probability of bands and pruning.
 """
 
 from __future__ import annotations
@@ -41,9 +42,10 @@ class Settings:
     percent: int = 80
     bands: int = 24
     rows: int = 4
-    hashes: int = 128
+    hashes: int = 256
     batch: int = 32
-    miss: float = 1e-6
+    miss: float = 1e-3
+    block: int = 512
 
 
 @lru_cache(maxsize=4)
@@ -81,12 +83,15 @@ def signature(found: np.ndarray, n: int) -> np.ndarray:
     for first in range(0, len(low), 512):
         values = low[first : first + 512, None] ^ mask
         values *= factor
-        values ^= values >> np.uint32(15)
-        values *= np.uint32(0x9E3779B1)
         out = np.minimum(out, values.min(0))
     return out
 
 
+def _low_bytes(minima: np.ndarray) -> bytes:
+    """A mixed byte of each minimum: unequal minima agree in one of 256, so similarity is never underrated."""
+    return ((minima * np.uint32(0x9E3779B1)) >> np.uint32(24)).astype(np.uint8).tobytes()
+
+
 def least_matches(n: int, threshold: float, miss: float) -> int:
     """The fewest equal minima of n at which the posterior P(similarity >= threshold) is `miss` or more, for a uniform prior."""
     grid = (np.arange(20_000) + 0.5) / 20_000
@@ -138,7 +143,7 @@ def sketches(docs: DataFrame, settings: Settings) -> DataFrame:
                         key = (key ^ keys[:, k]) * _STEP
                         key ^= key >> np.uint64(31)
                     text = b" ".join(words.data[s:e].tobytes() for s, e in zip(words.start[a:b], words.end[a:b]))
-                    for out, value in zip(rows, (hashlib.md5(text).digest(), len(found), minima.tobytes(), key.view(np.int64))):
+                    for out, value in zip(rows, (hashlib.md5(text).digest(), len(found), _low_bytes(minima), key.view(np.int64))):
                         out.append(value)
                 ids = batch.column("doc_id").slice(group.start, len(rows[0]))
                 kinds = (pa.binary(), pa.int64(), pa.binary(), pa.list_(pa.int64()))
@@ -154,7 +159,7 @@ def _pruned(pairs: DataFrame, nodes: DataFrame, settings: Settings) -> DataFrame
 
     def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sides = [np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint32).reshape(-1, settings.hashes) for c in ("sa", "sb")]
+            sides = [np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, settings.hashes) for c in ("sa", "sb")]
             live, seen = surviving(*sides, settings)
             at = pa.array(live)
             yield pa.RecordBatch.from_arrays([batch.column("a").take(at), batch.column("b").take(at), pa.array(seen)], names=["a", "b", "seen"])
@@ -220,32 +225,30 @@ def near_duplicates(
     texts = rows.withColumnRenamed("doc_id", "node").where(F.col("node").isNotNull()).select("node", "text")
 
     banded = nodes.select("node", F.explode("bands").alias("band"))
-    hashed = F.struct(F.xxhash64("node", "band").alias("h"), F.col("node").alias("n"))
-    stars = banded.groupBy("band").agg(F.count("*").alias("m"), F.min(hashed).alias("s")).where("m > 1").select("band", F.col("s.n").alias("star"))
-    shared = cut(banded.join(stars, "band"))  # only buckets with more than one member
-    pairs = shared.where("node <> star").select(*_ordered("node", "star")).distinct()
+    sizes = cut(banded.groupBy("band").agg(F.count("*").alias("m")).where("m > 1"))  # apart, so that hot buckets can be split
+    shared = cut(banded.join(sizes, "band"))  # only buckets with more than one member
+    met = shared.groupBy("node").agg(F.sum("m").alias("met"))
+    centres = shared.join(met, "node").groupBy("band").agg(F.max(F.struct("met", F.xxhash64("node").alias("h"), "node")).alias("s"))
+    stars = cut(centres.select("band", F.col("s.node").alias("star")))
+    pairs = shared.join(stars, "band").where("node <> star").select(*_ordered("node", "star")).distinct()
     found = cut(_pruned(pairs, nodes, settings))
-    # each node's best candidate first: one link joins it, and most others need no confirmation
+    # each node's best candidate: one link joins it, and most others need no confirmation
     ends = found.select("a", "b", "seen", F.explode(F.array("a", "b")).alias("end"))
     best = ends.groupBy("end").agg(F.max(F.struct("seen", "a", "b")).alias("p")).select("p.a", "p.b").distinct()
     tested = cut(_confirmed(best, texts, settings))
     labels = cut(_labelled(nodes, tested.where("linked")))
 
-    # then the best between each two components
-    rest = _between(found.join(tested.select("a", "b"), ["a", "b"], "left_anti"), labels)
+    # then the best survivor between each two components of a bucket
+    rest = _across(shared, nodes, labels, settings, best=True)
     best = rest.groupBy("ca", "cb").agg(F.max(F.struct("seen", "a", "b")).alias("p")).select("p.a", "p.b")
-    more = cut(_confirmed(best, texts, settings))
+    more = cut(_confirmed(cut(best.join(tested.select("a", "b"), ["a", "b"], "left_anti")), texts, settings))
     tested = tested.unionByName(more)
     labels = cut(_labelled(nodes, tested.where("linked")))
 
-    # then all that is left in buckets of several components
-    inside = shared.select("band", "node").join(labels, "node")
-    mixed = inside.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("band")
-    inside = cut(inside.join(mixed, "band"))
-    other = inside.select("band", F.col("node").alias("node2"), F.col("component").alias("component2"))
-    across = inside.join(other, "band").where("component < component2").select(*_ordered("node", "node2")).distinct()
-    rest = across.join(tested.select("a", "b"), ["a", "b"], "left_anti")
-    tested = tested.unionByName(cut(_confirmed(cut(_pruned(rest, nodes, settings)), texts, settings)))
+    # then all that are left between components
+    rest = _across(shared, nodes, labels, settings, best=False).select("a", "b").distinct()
+    rest = cut(rest.join(tested.select("a", "b"), ["a", "b"], "left_anti"))
+    tested = tested.unionByName(cut(_confirmed(rest, texts, settings)))
     labels = _labelled(nodes, tested.where("linked"))
 
     named = prints.join(labels, "node").select("print", "component")
@@ -254,10 +257,63 @@ def near_duplicates(
     return known.unionByName(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def _between(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs whose ends are in different components, with these (ca < cb)."""
-    left, right = labels.toDF("a", "x"), labels.toDF("b", "y")
-    return pairs.join(left, "a").join(right, "b").where("x <> y").withColumns({"ca": F.least("x", "y"), "cb": F.greatest("x", "y")}).drop("x", "y")
+def _across(shared: DataFrame, nodes: DataFrame, labels: DataFrame, settings: Settings, best: bool) -> DataFrame:
+    """a, b, seen, ca, cb: surviving pairs of a bucket whose ends are in different components; with `best`, in each block the
+    best for each two components. Buckets are dealt into blocks, each pair of blocks is compared in a task of its own."""
+    inside = cut(shared.select("band", "node").join(labels, "node"))
+    mixed = inside.groupBy("band").agg(F.count("*").alias("m"), F.min("component").alias("x"), F.max("component").alias("y"))
+    mixed = cut(mixed.where("x < y").select("band", F.ceil(F.col("m") / F.lit(settings.block)).cast("int").alias("blocks")))
+    dealt = inside.join(mixed, "band").join(nodes.select("node", "n_shingles", "signature"), "node")
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    keyed = dealt.select(
+        "band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "component", "n_shingles", "signature"
+    )
+
+    def compare(rows: pa.Table) -> pa.RecordBatch:
+        own, node, component, size = (np.array(rows[c]) for c in ("own", "node", "component", "n_shingles"))
+        i, j = rows["i"][0].as_py(), rows["j"][0].as_py()
+        signed = np.frombuffer(b"".join(rows["signature"].to_pylist()), np.uint8).reshape(-1, settings.hashes)
+        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+        found: list[list[np.ndarray]] = [[], [], []]
+        for first in range(0, len(left), 64):
+            rows_here = left[first : first + 64]
+            near_size = 100 * np.minimum(size[rows_here, None], size[right]) >= settings.percent * np.maximum(size[rows_here, None], size[right])
+            apart = near_size & (component[rows_here, None] != component[right]) & ((i != j) | (rows_here[:, None] < right))
+            x, y = np.nonzero(apart)
+            x, y = rows_here[x], right[y]
+            live, seen = surviving(signed[x], signed[y], settings)
+            for out, values in zip(found, (x[live], y[live], seen)):
+                out.append(values)
+        x, y, seen = (np.concatenate(f) if f else np.zeros(0, int) for f in found)
+        low, high = np.minimum(component[x], component[y]), np.maximum(component[x], component[y])
+        if best and len(x):
+            order = np.lexsort((-seen, high, low))
+            fresh = np.ones(len(order), bool)
+            fresh[1:] = (low[order][1:] != low[order][:-1]) | (high[order][1:] != high[order][:-1])
+            keep = order[fresh]
+            x, y, seen, low, high = x[keep], y[keep], seen[keep], low[keep], high[keep]
+        a, b = np.minimum(node[x], node[y]), np.maximum(node[x], node[y])
+        columns = [pa.array(v.astype("i8")) for v in (a, b)] + [pa.array(seen.astype(float))] + [pa.array(v.astype("i8")) for v in (low, high)]
+        return pa.RecordBatch.from_arrays(columns, names=["a", "b", "seen", "ca", "cb"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come sorted, so the rows of a group follow each other; the last group of a batch may go on in the next."""
+        waiting: list[pa.RecordBatch] = []
+        for batch in batches:
+            keys = np.stack([np.array(batch.column(c)).astype(np.int64) for c in ("band", "i", "j")], 1)
+            cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1).tolist(), len(keys)]
+            for first, last in zip(cuts, cuts[1:]):
+                part = batch.slice(first, last - first)
+                if waiting and any(waiting[0].column(c)[0] != part.column(c)[0] for c in ("band", "i", "j")):
+                    yield compare(pa.Table.from_batches(waiting))
+                    waiting = []
+                waiting.append(part)
+        if waiting:
+            yield compare(pa.Table.from_batches(waiting))
+
+    together = keyed.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
+    return together.mapInArrow(run, "a long, b long, seen double, ca long, cb long")
 
 
 def bands_miss(similarity: float, settings: Settings) -> float:
