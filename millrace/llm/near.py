@@ -263,17 +263,19 @@ def _across(shared: DataFrame, nodes: DataFrame, labels: DataFrame, settings: Se
     inside = cut(shared.select("band", "node").join(labels, "node"))
     mixed = inside.groupBy("band").agg(F.count("*").alias("m"), F.min("component").alias("x"), F.max("component").alias("y"))
     mixed = cut(mixed.where("x < y").select("band", F.ceil(F.col("m") / F.lit(settings.block)).cast("int").alias("blocks")))
-    dealt = inside.join(mixed, "band").join(nodes.select("node", "n_shingles", "signature"), "node")
+    dealt = inside.join(mixed, "band").join(nodes.select("node", "n_shingles", "signature", "bands"), "node")
     dealt = dealt.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     keyed = dealt.select(
-        "band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "component", "n_shingles", "signature"
+        "band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "component", "n_shingles", "signature", "bands"
     )
 
     def compare(rows: pa.Table) -> pa.RecordBatch:
         own, node, component, size = (np.array(rows[c]) for c in ("own", "node", "component", "n_shingles"))
         i, j = rows["i"][0].as_py(), rows["j"][0].as_py()
         signed = np.frombuffer(b"".join(rows["signature"].to_pylist()), np.uint8).reshape(-1, settings.hashes)
+        bands = np.array(rows["bands"].combine_chunks().flatten()).reshape(-1, settings.bands)
+        band = rows["band"][0].as_py()
         left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
         found: list[list[np.ndarray]] = [[], [], []]
         for first in range(0, len(left), 64):
@@ -283,7 +285,10 @@ def _across(shared: DataFrame, nodes: DataFrame, labels: DataFrame, settings: Se
             x, y = np.nonzero(apart)
             x, y = rows_here[x], right[y]
             live, seen = surviving(signed[x], signed[y], settings)
-            for out, values in zip(found, (x[live], y[live], seen)):
+            x, y = x[live], y[live]
+            first_shared = (bands[x] == bands[y]).argmax(1)
+            here = bands[x, first_shared] == band  # a pair is reported by the first bucket that both share
+            for out, values in zip(found, (x[here], y[here], seen[here])):
                 out.append(values)
         x, y, seen = (np.concatenate(f) if f else np.zeros(0, int) for f in found)
         low, high = np.minimum(component[x], component[y]), np.maximum(component[x], component[y])
