@@ -413,7 +413,7 @@ def repeated_spans(docs: DataFrame, settings: Settings = Settings(), id_column:
     # 64 bits of the digest name a text here; two texts of one name only get each other's hints
     name = F.conv(F.substring("digest", 1, 15), 16, 10).cast("long")
     places = once.select(name.alias("name"), F.explode("grams").alias("gram"))
-    often = places.groupBy("gram").agg(F.count("*").alias("times")).where("times > 1")
+    often = cut(places.groupBy("gram").agg(F.count("*").alias("times")).where("times > 1"))  # apart, so that hot k-grams can be split
     hints = places.join(often, "gram").groupBy("name").agg(
         F.collect_set(F.when(F.col("times") <= settings.hot, F.col("gram"))).alias("cold"),
         F.collect_set(F.when(F.col("times") > settings.hot, F.col("gram"))).alias("hot"),
