@@ -15,7 +15,7 @@ from itertools import chain
 
 import numpy as np
 
-CACHE_WORDS = 600_000
+CACHE_WORDS = 1_000_000
 JOINED_WORDS = 256
 _WHITE_RUN = re.compile(r"\s\s")
 

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.encoding import encoder, groups_by_size
 
-WINDOW = 4096
+WINDOW = 1024
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
     "loss_tokens long, segment long"
@@ -67,34 +67,36 @@ def pack(examples: list[Example], limits: Limits, more: bool = False) -> tuple[l
 
     All examples must fit an empty sequence. With `more`, packing stops when the next sequence might not be filled.
     """
-    capacity = np.array([limits.tokens, limits.segments, limits.loss], float)
-    demand = np.array([[len(x.ids), 1, x.loss.sum()] for x in examples], float).reshape(-1, 3)
+    tokens = np.array([len(x.ids) for x in examples], float)
+    loss = np.array([x.loss.sum() for x in examples], float)
     waiting = np.ones(len(examples), bool)
-    tokens = demand[:, 0].sum()
+    total = tokens.sum()
     examples = list(examples)
     sequences = []
     while waiting.any():
-        if more and tokens < 2 * limits.tokens:
+        if more and total < 2 * limits.tokens:
             break
-        left, taken = capacity.copy(), []
+        left = [limits.tokens, limits.segments, limits.loss]
+        taken: list[Example] = []
         while left[0] and left[1]:
-            score = (demand / capacity) @ (left / capacity)
-            fits = waiting & (demand <= left).all(1)
-            if fits.any():
-                k = int(np.argmax(np.where(fits, score, -1)))
+            # one segment each: the same term for all examples, kept for the sake of the product
+            score = tokens * (left[0] / limits.tokens**2) + loss * (left[2] / limits.loss**2) + left[1] / limits.segments**2
+            fits = np.flatnonzero(waiting & (tokens <= left[0]) & (loss <= left[2]))
+            if len(fits):
+                k = int(fits[np.argmax(score[fits])])
                 piece, waiting[k] = examples[k], False
             elif waiting.any():
                 k = int(np.argmax(np.where(waiting, score, -1)))
-                size = fitting(examples[k], left)
+                size = fitting(examples[k], np.array(left))
                 if not size:
                     break
                 piece, examples[k] = examples[k].split(size)
-                demand[k] = len(examples[k].ids), 1, examples[k].loss.sum()
+                tokens[k], loss[k] = len(examples[k].ids), examples[k].loss.sum()
             else:
                 break
             taken.append(piece)
-            left -= [len(piece.ids), 1, piece.loss.sum()]
-            tokens -= len(piece.ids)
+            left = [left[0] - len(piece.ids), left[1] - 1, left[2] - int(piece.loss.sum())]
+            total -= len(piece.ids)
         sequences.append(taken)
     return sequences, [examples[k] for k in np.flatnonzero(waiting)]
 
