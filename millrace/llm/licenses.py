@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -98,12 +99,15 @@ def scan(
     share = threshold / (2 - threshold)
     least = min((share * len(g) for g in wanted.values()), default=1.0)
     most = max((len(g) / share for g in wanted.values()), default=0.0)
-    hints = "|".join(sorted({a.replace(" ", f"{SEPARATOR}+") for g in wanted.values() for a in anchors(g, share)})) or "(?!)"
+    hints = sorted({a for g in wanted.values() for a in anchors(g, share)})
     text = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
-    rows = docs.select(F.col(id_column).alias("doc_id"), text.alias("__all")).where(F.lower("__all").rlike(hints))
-    lines = rows.select("doc_id", F.posexplode(F.split("__all", "\n")).alias("line_no", "__text"))
-    whole = rows.select("doc_id", F.lit(None).cast("int").alias("line_no"), F.col("__all").alias("__text")).where(F.contains("__all", F.lit("\n")))
-    units = lines.where(F.lower("__text").rlike(hints)).unionByName(whole)
+    normal = F.regexp_replace(F.lower(text), f"{SEPARATOR}+", " ")
+    hinted = reduce(lambda x, y: x | y, (F.contains("__normal", F.lit(h)) for h in hints), F.lit(False))
+    rows = docs.select(F.col(id_column).alias("doc_id"), text.alias("__all"), normal.alias("__normal")).where(hinted)
+    lines = F.transform(F.split("__all", "\n"), lambda line, k: F.struct(k.alias("line_no"), line.alias("__text")))
+    whole = F.array(F.struct(F.lit(None).cast("int").alias("line_no"), F.col("__all").alias("__text")))
+    both = F.when(F.contains("__all", F.lit("\n")), F.concat(lines, whole)).otherwise(lines)
+    units = rows.select("doc_id", F.inline(both))
     words = units.select("doc_id", "line_no", _words(F.col("__text")).alias("__words")).where(F.size("__words") >= F.lit(least))
     sized = words.select("doc_id", "line_no", _bigrams(F.col("__words")).alias("__unit")).withColumn("n_unit", F.size("__unit"))
     near = sized.where(F.col("n_unit").between(F.lit(least), F.lit(most)))
