@@ -102,8 +102,9 @@ def scan(
     hints = sorted({a for g in wanted.values() for a in anchors(g, share)})
     text = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
     normal = F.regexp_replace(F.lower(text), f"{SEPARATOR}+", " ")
-    hinted = reduce(lambda x, y: x | y, (F.contains("__normal", F.lit(h)) for h in hints), F.lit(False))
-    rows = docs.select(F.col(id_column).alias("doc_id"), text.alias("__all"), normal.alias("__normal")).where(hinted)
+    # within an array the normal text is made once, not once for each hint
+    hinted = F.exists(F.array(normal), lambda n: reduce(lambda x, y: x | y, (F.contains(n, F.lit(h)) for h in hints), F.lit(False)))
+    rows = docs.where(hinted).select(F.col(id_column).alias("doc_id"), text.alias("__all"))
     lines = F.transform(F.split("__all", "\n"), lambda line, k: F.struct(k.alias("line_no"), line.alias("__text")))
     whole = F.array(F.struct(F.lit(None).cast("int").alias("line_no"), F.col("__all").alias("__text")))
     both = F.when(F.contains("__all", F.lit("\n")), F.concat(lines, whole)).otherwise(lines)
