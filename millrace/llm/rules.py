@@ -2,12 +2,15 @@
 the raw corpus.
 
 Words and pairs of neighbouring words are hashed into buckets. Bucket counts over all documents, and over all trusted ones,
-give two multinomials; a document's ratio is the mean over its n-grams of log(target / raw). Documents below a fixed ratio
-are rejected, each by its own text and the two models alone.
+give two multinomials; a document's ratio is the mean over its n-grams of log(target / raw). The number of buckets follows the
+text, so that as many n-grams share one at every size. Documents below a ratio are rejected: a given one, or one that all but
+a fixed share of held-out trusted documents reach, which moves with the ratios.
 """
 
 from __future__ import annotations
 
+import math
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -18,10 +21,14 @@ from pyspark.sql import functions as F
 
 from millrace.llm.encoding import groups_by_size
 from millrace.llm.spans import WHITE, Words, hashes, words_of
+from millrace.session import cut
 
-BUCKET_BITS = 14
+BUCKET_BITS = 14  # at least
+TEXT_PER_BUCKET = 192  # bytes; about 64 words and pairs
+BLOCK_BITS = 12
 WINDOW = 8
 MIN_RATIO = -0.075
+TRUSTED_SHARE = 0.01
 GROUP = 1 << 20
 _SYMBOLS = list(b"#*$%&|<>")
 _BLANKS = b" \t\n\v\f\r"
@@ -30,9 +37,14 @@ _MIX = np.uint64(0xA0761D6478BD642F)
 BASE = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
 
 
-def buckets_of(words: Words, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def bits_for(n_bytes: int) -> int:
+    """Bits of a bucket's number for so much text."""
+    return max(BUCKET_BITS, math.ceil(math.log2(max(n_bytes, 1) / TEXT_PER_BUCKET)))
+
+
+def buckets_of(words: Words, codes: np.ndarray, bits: int = BUCKET_BITS) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of words and of pairs within a document, and where each document's begin (one more than documents)."""
-    shift = np.uint64(64 - BUCKET_BITS)
+    shift = np.uint64(64 - bits)
     last = np.zeros(len(codes), bool)
     last[words.first[1:][np.diff(words.first) > 0] - 1] = True
     pairs = (codes[:-1] * _PAIR + codes[1:])[~last[:-1]] if len(codes) else codes
@@ -64,21 +76,30 @@ def base_counts(text: str | None, codes: np.ndarray) -> tuple[int, int, int, int
     return len(codes), points - int(counts[WHITE].sum()), int(counts[_SYMBOLS].sum()), len(lines) - len(set(lines)), repeated
 
 
-def bucket_counts(docs: DataFrame, text_column: str = "text") -> DataFrame:
-    """bucket, n over all documents. Each task adds up its own documents first; the sums over tasks are Spark's."""
+def bucket_counts(docs: DataFrame, bits: int = BUCKET_BITS, text_column: str = "text") -> DataFrame:
+    """block, counts (packed 64-bit numbers of 2**BLOCK_BITS buckets) over all documents. Each task adds up its own documents
+    first and passes on blocks, not buckets; the sums over tasks are Spark's."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << BUCKET_BITS, np.int64)
+        total = np.zeros(1 << bits, np.int64)
         for batch in batches:
             texts = batch.column(0).to_pylist()
             for group in groups_by_size(texts, GROUP):
                 words = words_of(texts[group], WHITE_OUT)
-                total += np.bincount(buckets_of(words, hashes(words))[0], minlength=len(total))
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], names=["bucket", "n"])
+                np.add.at(total, buckets_of(words, hashes(words), bits)[0], 1)
+        blocks = total.reshape(-1, 1 << BLOCK_BITS)
+        seen = np.flatnonzero(blocks.any(1))
+        for k in range(0, len(seen), 256):
+            part = seen[k : k + 256]
+            packed = pa.array([zlib.compress(blocks[b].tobytes(), 1) for b in part], pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), packed], names=["block", "counts"])
+
+    def add(key: tuple, rows: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(zlib.decompress(x), np.int64) for x in rows["counts"].to_pylist())
+        return pa.table({"block": rows["block"][:1], "counts": pa.array([zlib.compress(total.tobytes(), 1)], pa.binary())})
 
-    counted = docs.select(text_column).mapInArrow(run, "bucket long, n long")
-    return counted.groupBy("bucket").agg(F.sum("n").alias("n"))
+    kind = "block long, counts binary"
+    return docs.select(text_column).mapInArrow(run, kind).groupBy("block").applyInArrow(add, kind)
 
 
 WHITE_OUT = ~WHITE
@@ -90,17 +111,49 @@ class Ratio:
 
     weights: np.ndarray
 
+    @property
+    def bits(self) -> int:
+        return len(self.weights).bit_length() - 1
 
-def train(docs: DataFrame, trusted: DataFrame, smoothing: float = 1.0) -> Ratio:
-    """Count n-grams over all of `docs` and all of `trusted` (both with `text`). The driver gets one number for each of
-    2**14 buckets. Target counts are smoothed towards the raw shares; without trusted documents all weights are 0."""
-    raw, target = np.zeros(1 << BUCKET_BITS), np.zeros(1 << BUCKET_BITS)
+
+def train(docs: DataFrame, trusted: DataFrame, smoothing: float = 1.0, bits: int | None = None) -> Ratio:
+    """Count n-grams over all of `docs` and all of `trusted` (both with `text`). The driver gets one number for each bucket, and
+    there is a bucket for every TEXT_PER_BUCKET bytes unless `bits` says otherwise. Target counts are smoothed towards the raw
+    shares; without trusted documents all weights are 0."""
+    if bits is None:
+        bits = bits_for(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
+    raw, target = np.zeros(1 << bits, np.float32), np.zeros(1 << bits, np.float32)
     for into, rows in ((raw, docs), (target, trusted)):
-        for bucket, n in bucket_counts(rows).collect():  # at most one row for each bucket
-            into[bucket] = n
-    share = (raw + smoothing) / (raw + smoothing).sum()
+        for block, counts in bucket_counts(rows, bits).toLocalIterator():
+            into[block << BLOCK_BITS : block + 1 << BLOCK_BITS] = np.frombuffer(zlib.decompress(counts), np.int64)
+    n_raw, n_target = raw.sum(dtype=float) + smoothing * len(raw), target.sum(dtype=float)
     pseudo = smoothing * len(raw)
-    return Ratio(np.log((target + pseudo * share) / (target.sum() + pseudo)) - np.log(share))
+    for first in range(0, len(raw), 1 << 20):  # in place and in pieces: the arrays grow with the text
+        part = slice(first, first + (1 << 20))
+        share = (raw[part].astype(float) + smoothing) / n_raw
+        raw[part] = np.log((target[part] + pseudo * share) / (n_target + pseudo)) - np.log(share)
+    return Ratio(raw)
+
+
+def trusted_floor(scored: DataFrame, trusted: DataFrame, share: float = TRUSTED_SHARE) -> float:
+    """The ratio that all but `share` of the trusted documents reach, of those that pass the base rules; `scored` is of `apply`,
+    `trusted` has doc_id. It is on the scale of the ratios at hand, whatever the corpus; without such documents MIN_RATIO."""
+    known = scored.where(~F.col("base_failed")).join(trusted.select("doc_id").distinct(), "doc_id", "left_semi")
+    found = known.agg(F.percentile_approx("ratio", share, 100_000)).first()[0]
+    return MIN_RATIO if found is None else found
+
+
+def judge(docs: DataFrame, trusted: DataFrame, share: float = TRUSTED_SHARE, bits: int | None = None) -> DataFrame:
+    """`apply` with the ratio that all but `share` of trusted documents reach as the least; `trusted` has doc_id.
+
+    A document's own n-grams raise its ratio, so the target is counted over three quarters of the trusted documents, by a
+    hash of the id, and the least ratio comes from the others, which are as new to the model as the documents without a label.
+    """
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 0
+    target = docs.select("doc_id", "text").join(trusted.where(~held_out), "doc_id", "left_semi")
+    scored = cut(apply(docs, train(docs, target, bits=bits)))
+    least = trusted_floor(scored, trusted.where(held_out), share)
+    return scored.withColumn("kept", ~F.col("base_failed") & (F.col("ratio") >= least))
 
 
 def apply(
@@ -115,15 +168,17 @@ def apply(
     rows = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     names = [x.split()[0] for x in BASE.split(", ")]
+    bits, shipped = ratio.bits, docs.sparkSession.sparkContext.broadcast(ratio.weights)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights = shipped.value
         for batch in batches:
             texts = batch.column("text").to_pylist()
             for group in groups_by_size(texts, GROUP):
                 words = words_of(texts[group], WHITE_OUT)
                 codes = hashes(words)
-                buckets, first = buckets_of(words, codes)
-                total = np.concatenate([[0.0], np.cumsum(ratio.weights[buckets])])
+                buckets, first = buckets_of(words, codes, bits)
+                total = np.concatenate([[0.0], np.cumsum(weights[buckets], dtype=float)])
                 mean = (total[first[1:]] - total[first[:-1]]) / np.maximum(np.diff(first), 1)
                 counts = np.array(
                     [base_counts(t, codes[a:b]) for t, a, b in zip(texts[group], words.first[:-1], words.first[1:])], np.int64

@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 
 from millrace.llm import classifier, crf, licenses, mixing, rules, toxicity, trees
+from millrace.llm.queries import QUERIES
 from millrace.llm.spans import ALNUM, WHITE, hashes, words_of
 
 
@@ -162,6 +163,31 @@ def test_rules_counts_and_ratio(docs, messy, empty):
     assert rules.apply(empty, rules.train(empty, empty)).count() == 0
 
 
+def test_rules_give_the_same_verdict_in_a_larger_corpus(spark, tmp_path):
+    """Documents of words of their own stay rejected, and clean ones kept, when other documents fill the buckets."""
+    rng = np.random.default_rng(3)
+
+    def text(k):
+        own = k % 3 == 0
+        return " ".join(f"{k}x{x}" if own else f"w{x}" for x in (rng.integers(0, 1000, 200) if own else rng.zipf(1.3, 200) % 5000))
+
+    texts = [text(k) for k in range(9000)]
+    verdicts = []
+    for n in (300, 9000):
+        folder = f"{tmp_path}/{n}"
+        spark.createDataFrame([(k, texts[k]) for k in range(n)], "doc_id long, text string").repartition(4).write.parquet(f"{folder}/documents.parquet")
+        good = [(k, int(k % 3 > 0)) for k in range(n) if k % 2]
+        spark.createDataFrame(good, "doc_id long, quality int").write.parquet(f"{folder}/labels.parquet")
+        verdicts.append({r.doc_id: r.kept for r in QUERIES["op7_quality_rules"](spark, folder).collect() if r.doc_id < 300})
+    for found in verdicts:
+        assert not any(found[k] for k in range(0, 300, 3))
+        assert np.mean([found[k] for k in range(300) if k % 3]) > 0.9
+    assert np.mean([verdicts[0][k] == verdicts[1][k] for k in range(300)]) > 0.95
+    docs = spark.read.parquet(f"{tmp_path}/9000/documents.parquet")
+    assert 9000 * 399 / len(rules.train(docs, docs.limit(0)).weights) < 100  # n-grams a bucket
+    assert rules.bits_for(0) == rules.BUCKET_BITS and rules.bits_for(192 << 24) == 24 and rules.bits_for(192 << 30) == 30
+
+
 def plain_scan(text, templates, threshold):
     out = []
     lines = (text or "").split("\n")
