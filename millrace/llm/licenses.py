@@ -5,6 +5,9 @@ becomes a blank. Dice is 2 * common / (size of one + size of the other) over set
 a threshold t with a template of b bigrams only if b * t / (2 - t) <= a <= b * (2 - t) / t; all others are dropped by their
 size. Such a unit also shares at least t / (2 - t) of the template's bigrams, so texts with none of a few long ones are passed
 by before they are cut into words. Only DataFrame functions are used.
+
+Notices that cross line ends or stand inside longer text are found by `passages`: its units are windows of a template's length
+in words, wherever one of the template's rare bigrams lies where it does in the template.
 """
 
 from __future__ import annotations
@@ -49,6 +52,35 @@ TEMPLATES = {
     ),
 }
 
+#: For windows of words, which also find openings and closings of whole licence texts.
+PASSAGES = TEMPLATES | {
+    "apache-2.0-text": (
+        "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND "
+        "DISTRIBUTION"
+    ),
+    "bsd-text": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
+        "conditions are met:"
+    ),
+    "gpl-3.0-text": (
+        "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007 Copyright (C) 2007 Free Software Foundation, Inc. Everyone is permitted "
+        "to copy and distribute verbatim copies of this license document, but changing it is not allowed."
+    ),
+    "isc-text": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
+        "provided that the above copyright notice and this permission notice appear in all copies."
+    ),
+    "mit-licensed": "Licensed under the MIT License.",
+    "mit-text": (
+        TEMPLATES["mit-grant"] + " The above copyright notice and this permission notice shall be included in all copies or "
+        'substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, '
+        "INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN "
+        "NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION "
+        "OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN "
+        "THE SOFTWARE."
+    ),
+}
+
 
 def normal_words(text: str) -> list[str]:
     """The words of a template, as `words` makes them of a column."""
@@ -122,3 +154,72 @@ def scan(
         "line_no", "license", "common", "n_unit", "n_template",
         (F.lit(2.0) * F.col("common") / (F.col("n_unit") + F.col("n_template"))).alias("dice"),
     )
+
+
+def passages(
+    docs: DataFrame,
+    templates: dict[str, str] | None = None,
+    threshold: float = THRESHOLD,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+) -> DataFrame:
+    """One row per window and template with a Dice coefficient of at least `threshold`: doc_id, first_word (from 0), n_words,
+    license, common, n_unit, n_template and dice.
+
+    Windows have as many words as the template, fewer at the ends of a text, and lie so that an anchor of the template (see
+    `anchors`) is where it is in the template. So an unchanged notice is one row wherever it stands and however it is wrapped; a
+    changed one may give a row for each shift. Nulls, repeated rows and empty tables are as in `scan`.
+    """
+    spark: SparkSession = docs.sparkSession
+    bodies = {name: normal_words(text) for name, text in (PASSAGES if templates is None else templates).items()}
+    bodies = {name: words for name, words in bodies.items() if words}
+    grams = {name: bigrams_of(words) for name, words in bodies.items()}
+    known = spark.createDataFrame([(n, sorted(g), len(g)) for n, g in sorted(grams.items())], "license string, __grams array<string>, n_template int")
+    share = threshold / (2 - threshold)
+    places: dict[str, list[tuple[str, int, int]]] = {}
+    for name, words in sorted(bodies.items()):
+        pairs = [" ".join(p) for p in zip(words, words[1:])] or words
+        rare = set(anchors(grams[name], share))
+        for k, gram in enumerate(pairs):
+            if gram in rare:
+                places.setdefault(gram, []).append((name, k, len(words)))
+    single = {name: words[0] for name, words in bodies.items() if len(words) == 1}
+    hints = sorted(places)
+    text = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
+    normal = F.regexp_replace(F.lower(text), f"{SEPARATOR}+", " ")
+    hinted = F.exists(F.array(normal), lambda n: reduce(lambda x, y: x | y, (F.contains(n, F.lit(h)) for h in hints), F.lit(False)))
+    rows = docs.where(hinted).select(F.col(id_column).alias("doc_id"), _words(text).alias("__words"))
+    kind = "array<struct<license: string, at: int, n: int>>"
+    known_at = [(F.lit(h), F.array(*(F.struct(F.lit(n).alias("license"), F.lit(k).alias("at"), F.lit(m).alias("n")) for n, k, m in found)).cast(kind)) for h, found in sorted(places.items())]
+    if not known_at:
+        known_at = [(F.lit(""), F.array().cast(kind))]
+    table = F.create_map(*(x for pair in known_at for x in pair))
+    words = F.col("__words")
+    pairs = F.zip_with(words, F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0))), lambda a, b: F.concat_ws(" ", a, b))
+    wanted = F.array(*(F.lit(h) for h in hints)) if hints else F.array().cast("array<string>")
+    # a single word is its own bigram, so that templates of one word have places too
+    units = pairs if not single else F.concat(pairs, words)
+    numbered = F.transform(units, lambda g, k: F.struct(g.alias("g"), F.pmod(k, F.size(words)).alias("k")))
+    hits = F.filter(numbered, lambda x: F.array_contains(wanted, x["g"]))
+    starts = F.flatten(
+        F.transform(hits, lambda x: F.transform(F.element_at(table, x["g"]), lambda p: F.struct(p["license"].alias("license"), (x["k"] - p["at"]).alias("start"), p["n"].alias("n"))))
+    )
+    # ends are cut off at the text's, so that two places may give one window
+    bounds = F.transform(
+        starts,
+        lambda p: F.struct(
+            p["license"].alias("license"), F.greatest(p["start"], F.lit(0)).alias("first_word"),
+            F.least(p["start"] + p["n"], F.size(words)).alias("end"),
+        ),
+    )
+    windows = F.transform(
+        F.array_distinct(bounds),
+        lambda p: p.withField("__window", F.slice(words, p["first_word"] + 1, p["end"] - p["first_word"])),
+    )
+    found = rows.select("doc_id", F.inline(windows))
+    sized = found.select("doc_id", "license", "first_word", F.size("__window").alias("n_words"), _bigrams(F.col("__window")).alias("__unit"))
+    joined = sized.withColumn("n_unit", F.size("__unit")).join(F.broadcast(known), "license")
+    scored = joined.withColumn("common", F.size(F.array_intersect("__unit", "__grams")))
+    kept = scored.where(F.lit(2.0) * F.col("common") >= F.lit(threshold) * (F.col("n_unit") + F.col("n_template")))
+    dice = F.lit(2.0) * F.col("common") / (F.col("n_unit") + F.col("n_template"))
+    return kept.select("doc_id", "first_word", "n_words", "license", "common", "n_unit", "n_template", dice.alias("dice"))

@@ -96,6 +96,13 @@ def op10_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(table(spark, folder, "documents"))
 
 
+@query
+def op10_license_passages(spark: SparkSession, folder: str) -> DataFrame:
+    from millrace.llm import licenses
+
+    return licenses.passages(table(spark, folder, "documents"))
+
+
 def licenses_sql() -> str:
     from millrace.llm.licenses import TEMPLATES, THRESHOLD
 

@@ -2,6 +2,7 @@
 
 import random
 import re
+import textwrap
 from collections import Counter
 
 import numpy as np
@@ -222,6 +223,48 @@ def test_licenses(spark, empty):
     assert licenses.scan(empty).count() == 0 and licenses.scan(table, {}).count() == 0
 
 
+def plain_passages(text, templates, threshold):
+    words, out = licenses.normal_words(text or ""), set()
+    for name, body in templates.items():
+        other = licenses.normal_words(body)
+        wanted = licenses.bigrams_of(other)
+        rare = licenses.anchors(wanted, threshold / (2 - threshold))
+        for k in range(len(words) - 1):
+            for at in range(len(other) - 1):
+                if words[k : k + 2] == other[at : at + 2] and " ".join(words[k : k + 2]) in rare:
+                    window = words[max(k - at, 0) : k - at + len(other)]
+                    grams = licenses.bigrams_of(window)
+                    common = len(grams & wanted)
+                    if 2 * common >= threshold * (len(grams) + len(wanted)):
+                        out.add((max(k - at, 0), len(window), name, common, len(grams), len(wanted)))
+    return out
+
+
+def test_wrapped_and_embedded_notices(spark, empty):
+    rng = random.Random(8)
+    mit = "MIT License\n\nCopyright (c) 2020 Someone\n\n" + textwrap.fill(licenses.PASSAGES["mit-text"], 78) + "\n"
+    apache = textwrap.fill(licenses.TEMPLATES["apache-2.0-notice"], 60, initial_indent=" * ", subsequent_indent=" * ")
+    gpl = textwrap.fill(licenses.TEMPLATES["gpl-3.0-notice"], 70, initial_indent="# ", subsequent_indent="# ")
+    want = [
+        (mit, "mit-text"), (mit, "mit-grant"), (clean_text(rng, 300) + "\n" + apache + "\n" + clean_text(rng, 300), "apache-2.0-notice"),
+        (gpl + "\n" + clean_text(rng, 200), "gpl-3.0-notice"), ("This file is released under the MIT License.", "mit"),
+        ("All parts are Licensed under the MIT License. " + clean_text(rng, 40), "mit-licensed"),
+    ]
+    others = [None, "", "x", clean_text(rng, 50), "License version licensed", *licenses.PASSAGES.values()]
+    others += [" ".join(w for w in t.split() if rng.random() > 0.06) for t in licenses.PASSAGES.values()]
+    texts = [t for t, _ in want] + others
+    table = spark.createDataFrame([(k, t, 1, "z") for k, t in enumerate(texts)], "doc_id long, text string, common int, license string")
+    found = licenses.passages(table).collect()
+    for k, (_, name) in enumerate(want):
+        assert any(r.doc_id == k and r.license == name for r in found)
+    got = sorted((r.doc_id, r.first_word, r.n_words, r.license, r.common, r.n_unit, r.n_template) for r in found)
+    assert got == sorted((k, *x) for k, t in enumerate(texts) for x in plain_passages(t, licenses.PASSAGES, licenses.THRESHOLD))
+    assert licenses.passages(empty).count() == 0 and licenses.passages(table, {}).count() == 0
+    assert licenses.passages(spark.createDataFrame([("a b",), ("a",)], "text string").selectExpr("1L AS doc_id", "text"), {"one": "A."}).count() == 2
+    rows = licenses.scan(table).collect()  # lines and whole documents miss them
+    assert not any(r.doc_id < 4 and r.license == want[r.doc_id][1] for r in rows)
+
+
 def language(rng, parts, n=40):
     return " ".join("".join(rng.choice(parts) for _ in range(rng.randint(1, 2))) for _ in range(n))
 
