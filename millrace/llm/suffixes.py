@@ -18,6 +18,7 @@ Texts that occur more than once are compared once: all their windows are repeate
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -36,6 +37,7 @@ _BACK = pow(_STEP, -1, 1 << 64)
 _TABLES = np.random.default_rng(23).integers(1, 1 << 63, (3, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PLACES = (1 << 28) - 1
 RECORDS_PER_RANGE = 50_000
+SAMPLES_PER_RANGE = 100
 
 
 @dataclass(frozen=True)
@@ -267,26 +269,35 @@ def _records(docs: DataFrame, settings: Settings) -> DataFrame:
                 low, high = place - found.last[keep], place - found.first[keep]
                 rights = [raw[p : p + settings.length - a] for p, a in zip(place.tolist(), low.tolist())]
                 lefts = [raw[p - a : p] for p, a in zip(place.tolist(), high.tolist())]
-                head = [int.from_bytes(x[:8], "big") - (1 << 63) for x in rights]
                 names = [digests[group.start + d] for d in text.tolist()]
                 yield pa.RecordBatch.from_pydict(
                     {
                         "digest": pa.array(names, pa.string()), "place": pa.array(place - begin[text], pa.int64()),
-                        "low": pa.array(low, pa.int32()), "high": pa.array(high, pa.int32()), "head": pa.array(head, pa.int64()),
+                        "low": pa.array(low, pa.int32()), "high": pa.array(high, pa.int32()),
                         "lefts": pa.array(lefts, pa.binary()), "rights": pa.array(rights, pa.binary()),
                     }
                 )
 
-    return docs.mapInArrow(run, "digest string, place long, low int, high int, head long, lefts binary, rights binary")
+    return docs.mapInArrow(run, "digest string, place long, low int, high int, lefts binary, rights binary")
+
+
+def _splitters(records: DataFrame, n: int, ranges: int, settings: Settings) -> list[bytes]:
+    """K-grams that cut the `n` records into about equal ranges. A k-gram is never cut apart, and none of them has more than `hot`
+    records, so that is all a range can have beyond its share, whatever the texts begin with. The driver gets a sample of some
+    SAMPLES_PER_RANGE k-grams a range; it only decides about balance."""
+    if ranges < 2 or not n:
+        return []
+    every = max(1, n // (SAMPLES_PER_RANGE * ranges))
+    some = records.where(F.pmod(F.xxhash64("digest", "place"), F.lit(every)) == 0)
+    grams = sorted(bytes(r[0]) for r in some.select(F.substring("rights", 1, settings.gram)).toLocalIterator())
+    return sorted({grams[k * len(grams) // ranges] for k in range(1, ranges)} if grams else ())
 
 
 _RUN = "range int, n int, shared binary, sizes binary, rests binary, low binary, high binary, place binary, digests binary, lefts binary"
 
 
-def _runs(records: DataFrame, splitters: list[int]) -> DataFrame:
+def _runs(records: DataFrame, splitters: list[bytes]) -> DataFrame:
     """Sorted front-coded runs, one row per task and key range."""
-    cuts = np.array(splitters, np.int64)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         batches = list(batches)
         if not batches:
@@ -294,16 +305,15 @@ def _runs(records: DataFrame, splitters: list[int]) -> DataFrame:
         table = pa.Table.from_batches(batches)
         rights, lefts, digests = (table[c].to_pylist() for c in ("rights", "lefts", "digest"))
         low, high, place = (np.array(table[c]) for c in ("low", "high", "place"))
-        where = np.searchsorted(cuts, np.array(table["head"]), "right")
         order = sorted(range(len(rights)), key=rights.__getitem__)
-        ends = np.flatnonzero(np.diff(where[order])) + 1
-        for part in np.split(np.array(order, int), ends):
+        ends = [bisect_left(order, s, key=rights.__getitem__) for s in splitters]
+        for where, part in enumerate(np.split(np.array(order, int), ends)):
             if not len(part):
                 continue
             shared, rests = front_coded([rights[k] for k in part])
             yield pa.RecordBatch.from_pydict(
                 {
-                    "range": pa.array([int(where[part[0]])], pa.int32()), "n": pa.array([len(part)], pa.int32()),
+                    "range": pa.array([where], pa.int32()), "n": pa.array([len(part)], pa.int32()),
                     "shared": [shared.tobytes()], "sizes": [np.array([len(x) for x in rests], np.uint16).tobytes()],
                     "rests": [b"".join(rests)], "low": [low[part].astype(np.uint16).tobytes()],
                     "high": [high[part].astype(np.uint16).tobytes()], "place": [place[part].astype(np.int64).tobytes()],
@@ -424,9 +434,7 @@ def repeated_spans(docs: DataFrame, settings: Settings = Settings(), id_column:
     records = cut(_records(texts.where(F.size("cold") > 0), settings))
     n = records.count()
     ranges = max(1, -(-n // RECORDS_PER_RANGE), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) if n > 1000 else 1)
-    quantiles = [k / ranges for k in range(1, ranges)]
-    splitters = records.agg(F.percentile_approx("head", quantiles, 10 * ranges)).first()[0] if quantiles and n else []
-    found = _merged(_runs(records, sorted(set(splitters))), settings)
+    found = _merged(_runs(records, _splitters(records, n, ranges, settings)), settings)
     if texts.where(F.size("hot") > 0).limit(1).count():
         found = found.unionByName(_hot_ranges(texts, settings))
     ranges_of = found.groupBy("digest").agg(F.collect_list(F.struct("first", "last")).alias("ranges"))

@@ -117,6 +117,24 @@ def test_repeated_spans(docs, messy, length, gram, hot):
     assert any(0 < w[2] < w[1] for w in want)
 
 
+def test_ranges_are_bounded_when_many_suffixes_begin_alike(spark, monkeypatch):
+    """Half of the anchors begin with the same blanks, but their k-grams differ."""
+    rng = random.Random(5)
+    passages = [(" " * 20).join(f"{rng.randrange(10**4):04}" for _ in range(400)) for _ in range(12)]
+    table = spark.createDataFrame([(k, f"{k} {passages[k % 12]} {k}") for k in range(24)], "doc_id long, text string").repartition(3)
+    sizes, merged = [], suffixes._merged
+
+    def spy(runs, settings):
+        sizes.extend(r["sum(n)"] for r in runs.groupBy("range").sum("n").collect())
+        return merged(runs, settings)
+
+    monkeypatch.setattr(suffixes, "RECORDS_PER_RANGE", 200)
+    monkeypatch.setattr(suffixes, "_merged", spy)
+    found = suffixes.repeated_spans(table).collect()
+    assert sum(sizes) > 1500 and max(sizes) <= 400
+    assert all(r.n_removed >= len(passages[r.doc_id % 12].encode()) for r in found)
+
+
 def test_remove_repeated_keeps_all_columns(docs, messy, empty):
     found = suffixes.remove_repeated(docs).collect()
     assert len(found) == len(messy) and found[0].asDict().keys() == set(docs.columns)
