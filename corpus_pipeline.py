@@ -24,11 +24,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group: five-word shingles, similarity 0.8 and more. Of rows that share an id and text, one stays."""
-    found = near.near_duplicates(docs, near.Settings(size=5))
-    kept = found.where("kept").select("doc_id").distinct()
+    """One document of each group: five-word shingles, similarity 0.8 and more. Of rows that share an id and words, one stays."""
+    found = near.judged(docs, near.Settings(size=5)).where(F.col("kept") & F.col("doc_id").isNotNull())
+    kept = found.groupBy("doc_id", F.coalesce("print", "copy").alias("words")).agg(F.min("copy").alias("__copy")).drop("words")
     nameless = docs.where(F.col("doc_id").isNull())
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(nameless).select(*docs.columns)
+    keyed = docs.withColumn("__copy", near.copy_of("text")).join(kept, ["doc_id", "__copy"], "left_semi")
+    return keyed.dropDuplicates(["doc_id", "__copy"]).select(*docs.columns).unionByName(nameless)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,6 +1,6 @@
 """Near-duplicate documents: banded MinHash candidates, sequential Bayesian verification of signatures, exact confirmation.
 
-Documents with the same words are one node. Signatures of nodes are cut into bands; nodes with an equal band share a
+Texts with the same words are one node, whatever their ids. Signatures of nodes are cut into bands; nodes with an equal band share a
 bucket. Candidates of a bucket are first its star (each member with the one that meets most nodes in its buckets), so a
 bucket of m members gives m - 1 pairs, not m squared. Signatures of a pair are compared a batch at a time, and a pair is
 dropped as soon as the posterior probability of a similarity at or above the threshold falls below the miss probability.
@@ -13,13 +13,13 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.encoding import groups_by_size
@@ -119,9 +119,14 @@ def least_matches_of(seen: int, settings: Settings) -> int:
     return least_matches(seen, settings.percent / 100, settings.miss)
 
 
+def copy_of(text_column: str) -> Column:
+    """Names a text byte by byte; null and empty texts differ."""
+    return F.coalesce(F.unhex(F.md5(F.col(text_column).cast("string"))), F.lit(b""))
+
+
 def sketches(docs: DataFrame, settings: Settings) -> DataFrame:
-    """doc_id, print (of the words in order; null without words), n_shingles, signature and band keys of each row."""
-    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, print binary, n_shingles long, signature binary, bands array<long>"
+    """doc_id, copy (of the text), print (of the words in order; null without words), n_shingles, signature and band keys of each row."""
+    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, copy binary, print binary, n_shingles long, signature binary, bands array<long>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -145,10 +150,10 @@ def sketches(docs: DataFrame, settings: Settings) -> DataFrame:
                     text = b" ".join(words.data[s:e].tobytes() for s, e in zip(words.start[a:b], words.end[a:b]))
                     for out, value in zip(rows, (hashlib.md5(text).digest(), len(found), _low_bytes(minima), key.view(np.int64))):
                         out.append(value)
-                ids = batch.column("doc_id").slice(group.start, len(rows[0]))
+                ids, copies = (batch.column(c).slice(group.start, len(rows[0])) for c in ("doc_id", "copy"))
                 kinds = (pa.binary(), pa.int64(), pa.binary(), pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays(
-                    [ids, *(pa.array(x, k) for x, k in zip(rows, kinds))], names=["doc_id", "print", "n_shingles", "signature", "bands"]
+                    [ids, copies, *(pa.array(x, k) for x, k in zip(rows, kinds))], names=["doc_id", "copy", "print", "n_shingles", "signature", "bands"]
                 )
 
     return docs.mapInArrow(run, schema)
@@ -173,8 +178,8 @@ def _pruned(pairs: DataFrame, nodes: DataFrame, settings: Settings) -> DataFrame
     return both.select("a", "b", "sa", "sb").mapInArrow(test, "a long, b long, seen double")
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
-    """a, b and whether 100 * intersection >= percent * union on full sets."""
+def _confirmed(pairs: DataFrame, texts: Callable[[DataFrame], DataFrame], settings: Settings) -> DataFrame:
+    """a, b and whether 100 * intersection >= percent * union on full sets; `texts` gives node and text of the nodes asked for."""
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: tuple[int, np.ndarray] | None = None
@@ -191,7 +196,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, settings: Settings) -> DataFr
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(out)], names=["a", "b", "linked"])
 
     ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    needed = cut(texts.join(ends, "node", "left_semi"))
+    needed = cut(texts(ends))
     both = pairs.select("a", "b").join(needed.toDF("b", "tb"), "b").join(needed.toDF("a", "ta"), "a")
     return both.select("a", "b", "ta", "tb").mapInArrow(confirm, "a long, b long, linked boolean")
 
@@ -209,20 +214,33 @@ def _labelled(nodes: DataFrame, links: DataFrame) -> DataFrame:
 def near_duplicates(
     docs: DataFrame, settings: Settings = Settings(), id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept for every row.
+    """doc_id, n_shingles, component_id (the smallest id of the component) and kept for every row.
 
     Null and empty texts and those without words have no shingles, link with nothing and are kept. Rows without an id, too,
-    and have no component. Rows that share an id are one document. Repeated rows and equal texts are joined without a
-    comparison. An empty table gives no rows; other columns are not read.
+    and have no component. Rows that share an id but not their words are texts of their own: each is linked and judged by
+    itself, and one of a component is kept. Repeated rows and equal texts are joined without a comparison. An empty table gives
+    no rows; other columns are not read.
     """
+    return judged(docs, settings, id_column, text_column).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def judged(
+    docs: DataFrame, settings: Settings = Settings(), id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
+    """`near_duplicates` with the `copy` and the `print` (null without words) of each row's text."""
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
+    rows = rows.withColumn("copy", copy_of("text"))
     sketched = cut(sketches(rows, settings))
     usable = F.col("doc_id").isNotNull() & F.col("print").isNotNull()
-    prints = cut(sketched.where(usable).groupBy("print").agg(F.min("doc_id").alias("node")))
-    members = sketched.select("doc_id", "print", "n_shingles")
-    signed = sketched.where(usable).join(prints.withColumnRenamed("node", "doc_id"), ["print", "doc_id"])
-    nodes = cut(signed.dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("node"), "n_shingles", "signature", "bands"))
-    texts = rows.withColumnRenamed("doc_id", "node").where(F.col("node").isNotNull()).select("node", "text")
+    prints = sketched.where(usable).groupBy("print").agg(F.min(F.struct("doc_id", "copy")).alias("first"))
+    prints = cut(prints.select("print", "first.*", F.monotonically_increasing_id().alias("node")))
+    members = sketched.select("doc_id", "copy", "print", "n_shingles")
+    signed = sketched.where(usable).join(prints, ["print", "doc_id", "copy"])
+    nodes = cut(signed.dropDuplicates(["node"]).select("node", "n_shingles", "signature", "bands"))
+
+    def texts(wanted: DataFrame) -> DataFrame:
+        places = prints.join(wanted, "node", "left_semi").select("doc_id", "copy", "node")
+        return rows.join(places, ["doc_id", "copy"]).select("node", "text")
 
     banded = nodes.select("node", F.explode("bands").alias("band"))
     sizes = cut(banded.groupBy("band").agg(F.count("*").alias("m")).where("m > 1"))  # apart, so that hot buckets can be split
@@ -251,10 +269,15 @@ def near_duplicates(
     tested = tested.unionByName(cut(_confirmed(rest, texts, settings)))
     labels = _labelled(nodes, tested.where("linked"))
 
-    named = prints.join(labels, "node").select("print", "component")
-    known = members.where(usable).join(named, "print").select("doc_id", "n_shingles", F.col("component").alias("component_id"))
-    alone = members.where(~usable).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return known.unionByName(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    named = cut(prints.join(labels, "node").select("print", "doc_id", "component"))
+    # a component is named by its smallest id; of texts that share this id one is kept
+    heads = named.groupBy("component").agg(F.min(F.struct("doc_id", "print")).alias("head"))
+    named = named.join(heads, "component").select("print", "head")
+    mine = (F.col("doc_id") == F.col("head.doc_id")) & (F.col("print") == F.col("head.print"))
+    known = members.where(usable).join(named, "print")
+    known = known.select("doc_id", "copy", "print", "n_shingles", F.col("head.doc_id").alias("component_id"), mine.alias("kept"))
+    alone = members.where(~usable).select("doc_id", "copy", "print", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"))
+    return known.unionByName(alone)
 
 
 def _across(shared: DataFrame, nodes: DataFrame, labels: DataFrame, settings: Settings, best: bool) -> DataFrame:

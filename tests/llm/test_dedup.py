@@ -8,6 +8,8 @@ from itertools import combinations
 import numpy as np
 import pytest
 
+import corpus_pipeline
+from llm.conftest import SCHEMA, prose, row
 from millrace.llm import graph, near, suffixes, vectors
 
 
@@ -73,6 +75,20 @@ def test_near_duplicates_in_chains(spark):
         assert {r.doc_id: r.component_id for r in found} == roots(sets, links)
 
 
+def test_texts_that_share_an_id(spark):
+    a, b = prose(21, 120), prose(22, 120)
+    words = b.split(" ")
+    near_b = " ".join([*words[:60], "changed", *words[61:]])
+    rows = [row(5, a), row(5, b), row(5, b), row(5, near_b), row(9, a), row(8, near_b), row(6, prose(23, 50)), row(5, ""), row(5, None)]
+    table = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    found = near.near_duplicates(table, near.Settings(size=5)).collect()
+    assert len(found) == len(rows) and all(r.component_id == 5 for r in found if r.doc_id != 6)
+    assert not any(r.kept for r in found if r.doc_id in (8, 9))  # linked with either text of id 5
+    left = [(r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, table, "").collect()]
+    assert len(left) == len(set(left)) == 5 and {(5, a), (6, prose(23, 50)), (5, ""), (5, None)} < set(left)
+    assert ((5, b) in left) != ((5, near_b) in left)
+
+
 def test_near_duplicates_of_nothing(empty):
     assert near.near_duplicates(empty).count() == 0
 
