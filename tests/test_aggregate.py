@@ -32,7 +32,7 @@ def test_json_arrays_in_parts_are_whole(spark):
 
 def test_json_arrays_keep_null_fields(frame):
     data = frame([("k", 1, None)], "k string, a int, b string")
-    assert aggregate.group_to_json_array(data, "k", ["a", "b"], ["a"]).first()["items"] == '[{"a":1,"b":null}]'
+    assert aggregate.group_to_json_array(data, "k", ["a", "b"], ["a"], 10).first()["items"] == '[{"a":1,"b":null}]'
 
 
 def test_weighted_average(frame):
