@@ -192,3 +192,10 @@ def op2_repeated_strings(spark: SparkSession, folder: str) -> DataFrame:
 
     found = suffixes.repeated_spans(table(spark, folder, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query
+def op13_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    from millrace.llm import bestfit
+
+    return bestfit.pack(table(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"), end_id=0, **BYTE_TOKENIZER)
