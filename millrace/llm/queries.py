@@ -199,3 +199,43 @@ def op13_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     from millrace.llm import bestfit
 
     return bestfit.pack(table(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"), end_id=0, **BYTE_TOKENIZER)
+
+
+@query
+def op12_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    from millrace.llm import lexical
+
+    return lexical.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def search_sql() -> str:
+    words = (
+        "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+        r"'[0-9A-Za-z\x{80}-\x{10FFFF}]+')"
+    )
+    return f"""
+    WITH doc AS (
+        SELECT doc_id, n, t FROM (SELECT doc_id, {words} AS t, len(t)::BIGINT AS n FROM documents) WHERE n > 0
+    ), size AS (
+        SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS total FROM doc
+    ), item AS (
+        SELECT item_id, text, term, count(*)::BIGINT AS times
+        FROM (SELECT item_id, text, unnest({words}) AS term FROM (SELECT DISTINCT item_id, text FROM benchmark)) GROUP BY ALL
+    ), held AS (
+        SELECT doc_id, n, term, count(*)::BIGINT AS tf FROM (SELECT doc_id, n, unnest(t) AS term FROM doc)
+        WHERE term IN (SELECT term FROM item) GROUP BY ALL
+    ), weight AS (
+        SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM held, size GROUP BY term, docs
+    ), scored AS (
+        SELECT item_id, text, doc_id,
+            sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * docs) // total))))::BIGINT AS score
+        FROM item JOIN held USING (term) JOIN weight USING (term), size GROUP BY item_id, text, doc_id
+    ), ranked AS (
+        SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id)::INTEGER AS rank
+        FROM scored WHERE score > 0
+    )
+    SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+    """
+
+
+SQL["op12_ranked_search"] = search_sql()
