@@ -239,3 +239,69 @@ def search_sql() -> str:
 
 
 SQL["op12_ranked_search"] = search_sql()
+
+
+@query
+def op11_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    from millrace.llm import trie
+
+    return trie.prefix_trie(trie.spliced(trie.turn_paths(table(spark, folder, "conversations"))))
+
+
+#: Each member adds what it alone has below a node, so sums over subtrees are plain sums over members.
+SQL["op11_conversation_trie"] = """
+    WITH own AS (
+        SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+            row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS d
+        FROM conversations WHERE conv_id IS NOT NULL
+    ), conv AS (
+        SELECT conv_id, conv_id - conv_id % 100 AS base, xor(list_reduce(
+            list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ord(c)::BIGINT)),
+            lambda s, b: list_reduce(
+                list_prepend(xor(s, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+                lambda t, z: CASE WHEN t & 1 = 1 THEN xor(t >> 1, 3988292384) ELSE t >> 1 END
+            )
+        ), 4294967295) % 6 AS h
+        FROM (SELECT DISTINCT conv_id FROM own)
+    ), rebuilt AS (
+        SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY part, d) AS depth, role, text FROM (
+            SELECT c.conv_id, 0 AS part, o.d, o.role, o.text FROM conv c JOIN own o ON o.conv_id = c.base AND o.d <= c.h
+            UNION ALL
+            SELECT c.conv_id, 1, o.d, o.role, o.text FROM conv c JOIN own o ON o.conv_id = c.conv_id AND o.d > c.h
+        )
+    ), member AS (
+        SELECT conv_id, depth, string_agg(md5(length(role) || ':' || role || text), '') OVER w AS node,
+            length(text) AS size, sum(length(text)) OVER w AS up_to
+        FROM rebuilt WINDOW w AS (PARTITION BY conv_id ORDER BY depth)
+        UNION ALL
+        SELECT conv_id, 0, '', 0, 0 FROM conv
+    ), whole AS (
+        SELECT conv_id, max(depth) AS last, max(up_to) AS total FROM member GROUP BY conv_id
+    ), first AS (
+        SELECT node, min(conv_id) AS conv FROM member GROUP BY node
+    ), owned AS (
+        SELECT m.conv_id, min(m.depth) AS since FROM member m JOIN first f ON f.node = m.node AND f.conv = m.conv_id GROUP BY m.conv_id
+    ), leaf AS (
+        SELECT w.conv_id, w.last FROM whole w JOIN member m ON m.conv_id = w.conv_id AND m.depth = w.last
+        JOIN first f ON f.node = m.node AND f.conv = w.conv_id
+        WHERE NOT EXISTS (
+            SELECT 1 FROM member x JOIN member y ON y.conv_id = x.conv_id AND y.depth = x.depth + 1 WHERE x.node = m.node
+        )
+    ), added AS (
+        SELECT m.node, m.depth, m.conv_id, m.size, w.last,
+            w.total - m.up_to + m.size AS walked,
+            CASE WHEN o.since IS NULL OR w.last < greatest(o.since, m.depth) THEN 0
+                ELSE w.total - p.up_to + p.size END AS alone,
+            CASE WHEN o.since <= m.depth + 1 AND w.last > m.depth THEN 1 ELSE 0 END AS child,
+            CASE WHEN l.conv_id IS NULL THEN 0 ELSE 1 END AS leaf
+        FROM member m JOIN whole w USING (conv_id) LEFT JOIN owned o USING (conv_id) LEFT JOIN leaf l USING (conv_id)
+        LEFT JOIN member p ON p.conv_id = m.conv_id AND p.depth = greatest(o.since, m.depth)
+    ), nodes AS (
+        SELECT node, min(depth)::BIGINT AS depth, min(conv_id) AS conv_id, count(*)::BIGINT AS n_convs, sum(child)::BIGINT AS n_children,
+            sum(leaf)::BIGINT AS n_leaves, (sum(walked) - sum(alone))::BIGINT AS saved_tokens,
+            sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE last = depth), '')) AS ends_sha256
+        FROM added GROUP BY node
+    )
+    SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, n.n_leaves, n.saved_tokens, n.ends_sha256
+    FROM nodes n LEFT JOIN nodes p ON n.depth > 0 AND p.node = left(n.node, (32 * (n.depth - 1))::INTEGER)
+"""
