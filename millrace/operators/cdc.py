@@ -128,6 +128,17 @@ def merge_by_key(
     return complement(target, matched).unionByName(incoming)
 
 
+def unique_keys(incoming: DataFrame, keys: str | Sequence[str], newest_by: Sequence[str] = ()) -> DataFrame:
+    """An increment in which a key comes once: its newest row by `newest_by`, else a repeated key is an error (found by one
+    aggregate). Rows with a NULL in the key are no versions of one another."""
+    if keys and newest_by:
+        return newest_per_key(incoming, keys, newest_by)
+    if keys:
+        keyless = any_of(quoted(k).isNull() for k in as_list(keys))
+        require_unique_keys(incoming.filter(~keyless), keys)
+    return incoming
+
+
 def merge(
     target: DataFrame | None,
     incoming: DataFrame,
@@ -141,16 +152,14 @@ def merge(
     """The merge that a pipeline's settings ask for.
 
     No target: the increment. Change indicator: apply it. Partition column: the increment alone, it goes to a partition
-    of its own. Primary key: upsert. None of these: append.
+    of its own. Primary key: upsert. None of these: append. A change feed over a partitioned table changes several of its
+    partitions: that is `sinks.partitions.merge_into_partitions`, and an error here.
 
-    A key may come several times in an increment: with `newest_by` its newest row counts, otherwise a repeated key is an
-    error (found by one aggregate over the increment). Rows with a NULL in the key are no versions of one another.
+    A key may come several times in an increment: see `unique_keys`.
     """
-    if keys and newest_by:
-        incoming = newest_per_key(incoming, keys, newest_by)
-    elif keys:
-        keyless = any_of(quoted(k).isNull() for k in as_list(keys))
-        require_unique_keys(incoming.filter(~keyless), keys)
+    if indicator and partition_column and target is not None:
+        raise ValueError("a change feed over a partitioned table needs merge_into_partitions")
+    incoming = unique_keys(incoming, keys, newest_by)
     if indicator:
         return merge_by_indicator(target, incoming, keys, indicator, by_range)
     if target is None or partition_column:

@@ -13,20 +13,21 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.operators.cdc import daily_windows, merge
+from millrace.operators.cdc import daily_windows, merge, unique_keys
 from millrace.functions.columns import any_of
 from millrace.operators.conform import ColumnSpec, conform, moment
 from millrace.operators.filters import FIRST_WATERMARK, incremental_window, sla_met
 from millrace.operators.project import quoted
 from millrace.plans.pipelines import FAILURE, SUCCESS, PipelineSpec, blackout_now, status_row, watermark
 from millrace.sinks.files import write_landing, write_table
+from millrace.sinks.partitions import merge_into_partitions
 from millrace.sources.files import read_source, read_target
 
 
 def planned_target(
     spec: PipelineSpec, specs: Iterable[ColumnSpec], landed: DataFrame, target: DataFrame | None
 ) -> DataFrame:
-    """What the final table holds after this run.
+    """What the final table holds after this run; of a table with a partition column, what the run adds to it.
 
     Landed rows and target are stored tables, so the merge may look up the touched key range first.
     """
@@ -35,9 +36,16 @@ def planned_target(
     if spec.load_type != "delta":
         return incoming
     indicator = spec.change_indicator if spec.change_indicator in incoming.columns else None
+    newest_by = newest_columns(spec, specs)
+    if spec.partition_column:
+        return unique_keys(incoming, spec.primary_key, newest_by)
+    return merge(target, incoming, spec.primary_key, indicator, by_range=True, newest_by=newest_by)
+
+
+def newest_columns(spec: PipelineSpec, specs: Iterable[ColumnSpec]) -> list[str]:
+    """The change timestamps by their names in the target."""
     named = {s.source_column_name: s.target_column_name for s in specs}
-    newest_by = [named[c] for c in spec.cdc_timestamp_columns if c in named]
-    return merge(target, incoming, spec.primary_key, indicator, spec.partition_column, by_range=True, newest_by=newest_by)
+    return [named[c] for c in spec.cdc_timestamp_columns if c in named]
 
 
 def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
@@ -94,19 +102,24 @@ def run_pipeline(
     since: datetime | str | None = None,
     until: datetime | str | None = None,
     run_date: date | str | None = None,
+    execution_id: str | None = None,
 ) -> DataFrame:
     """Run one pipeline and return its job status row; a failure is reported in the row.
 
     The source is landed, and everything after reads the landed copy. An empty increment (looked for first) writes nothing
     and counts as success. Of repeated keys in a delta the newest by the change timestamps counts; without such columns they
     are a failure. Row counts come with the writes.
+
+    A target with a partition column gets the rows under the run date. A change feed moves the touched keys there from the
+    partitions they lie in; other loads add rows to those of earlier runs of that day. A run that is repeated, under its
+    `execution_id` or without one over the same window, replaces what it added before.
     """
     specs = list(specs)
     began = time.monotonic()
     started = started or datetime.now()
     base = {
         "pipeline_id": spec.pipeline_id,
-        "execution_id": f"{spec.pipeline_id}_{uuid.uuid4().hex}",
+        "execution_id": execution_id or f"{spec.pipeline_id}_{uuid.uuid4().hex}",
         "table_name": spec.target_table,
         "execution_start_dttm": started.strftime("%Y-%m-%d %H:%M:%S"),
         "load_type": spec.load_type,
@@ -129,10 +142,19 @@ def run_pipeline(
             landing_count = landing.get["rows"]
         if landing_count:
             landed = spark.read.schema(rows.schema).parquet(spec.landing_path)
-            target = read_target(spark, spec.target_path, spec.partition_column) if spec.load_type == "delta" else None
-            measured, final = counted(planned_target(spec, specs, landed, target), "final")
-            write_table(measured, spec.target_path, "final", spec.partition_column, run_date or started.date())
-            final_count = final.get["rows"]
+            whole = spec.load_type == "delta" and not spec.partition_column
+            target = read_target(spark, spec.target_path) if whole else None
+            planned = planned_target(spec, specs, landed, target)
+            day, feed = run_date or started.date(), spec.change_indicator
+            execution = execution_id or f"{spec.pipeline_id} {low} {high}"
+            if spec.load_type == "delta" and spec.partition_column and feed in planned.columns:
+                final_count = merge_into_partitions(
+                    spark, spec.target_path, planned, spec.primary_key, spec.partition_column, day, execution, feed
+                )
+            else:
+                measured, final = counted(planned, "final")
+                write_table(measured, spec.target_path, "final", spec.partition_column, day, execution)
+                final_count = final.get["rows"]
     except Exception as error:  # noqa: BLE001 - the outcome of a run is data
         return status_row(
             spark, **base, execution_end_dttm=_now(), job_status=FAILURE, error_message=str(error), sla_met=""

@@ -12,6 +12,7 @@ from millrace.queries import Tables, register
 from millrace.queries.quality import ORDER_RULES, RUN
 from millrace.operators.quality import error_rows
 from millrace.session import scratch_path
+from millrace.sinks import commits
 from millrace.sinks import files as sinks
 from millrace.sources import files as sources
 
@@ -93,6 +94,62 @@ def partitioned_append(t: Tables):
     return t.spark.read.parquet(path).select("o_orderkey", F.col("load_date").cast("string").alias("load_date"))
 
 
+def order_runs(t: Tables, **settings):
+    """A pipeline over orders, and a function that runs it once and raises what went wrong."""
+    specs = [
+        ColumnSpec(1, "o_orderkey", "order_id", "bigint"), ColumnSpec(2, "o_totalprice", "price", "decimal", 18, 2),
+    ]
+    places = {"target_path": scratch_path(t.spark, "final"), "landing_path": scratch_path(t.spark, "landing")}
+    spec = PipelineSpec("orders", load_type="delta", **places, **settings)
+
+    def run(source, **when):
+        outcome = run_pipeline(t.spark, spec, specs, source, **when).first()
+        if outcome["job_status"] != SUCCESS:
+            raise RuntimeError(outcome["error_message"])
+
+    return spec, run
+
+
+@register(
+    "SELECT o_orderkey AS order_id, CAST(o_totalprice AS DECIMAL(18,2)) AS price, CASE WHEN o_orderstatus = 'P' THEN '2024-02-02' "
+    "ELSE '2024-02-01' END AS load_date FROM orders"
+)
+def two_increments_a_day(t: Tables):
+    """Three increments, two of them on one day; the first is run again after the second and replaces its own rows."""
+    spec, run = order_runs(t, partition_column="load_date")
+    for execution, status, day in (("1", "F", "01"), ("2", "O", "01"), ("1", "F", "01"), ("3", "P", "02")):
+        run(t.orders.filter(F.col("o_orderstatus") == status), execution_id=execution, run_date=f"2024-02-{day}")
+    return t.spark.read.parquet(spec.target_path).withColumn("load_date", F.col("load_date").cast("string"))
+
+
+@register(
+    "SELECT o_orderkey AS order_id, CAST(o_totalprice + CASE WHEN o_orderkey % 7 = 0 THEN 1 ELSE 0 END AS DECIMAL(18,2)) AS price, "
+    "CASE WHEN o_orderkey % 7 = 0 THEN '2024-03-04' WHEN o_orderstatus = 'F' THEN '2024-03-01' WHEN o_orderstatus = 'O' THEN '2024-03-02' "
+    "ELSE '2024-03-03' END AS load_date FROM orders WHERE o_orderkey % 11 <> 0 OR o_orderkey % 7 = 0"
+)
+def partitioned_feed(t: Tables):
+    """A change feed over three dated partitions: updates move to the day of the feed, deletes go, each key has one row."""
+    spec, run = order_runs(t, partition_column="load_date", primary_key=("order_id",), change_indicator="op")
+    for status, day in (("F", "01"), ("O", "02"), ("P", "03")):
+        run(t.orders.filter(F.col("o_orderstatus") == status).withColumn("op", F.lit("INS")), run_date=f"2024-03-{day}")
+    op = F.when(F.col("o_orderkey") % 7 == 0, "UPD").otherwise("DEL")
+    feed = t.orders.filter("o_orderkey % 7 = 0 OR o_orderkey % 11 = 0").withColumns({"op": op, "o_totalprice": F.col("o_totalprice") + 1})
+    run(feed, run_date="2024-03-04")
+    return t.spark.read.parquet(spec.target_path).withColumn("load_date", F.col("load_date").cast("string"))
+
+
+@register("SELECT o_orderkey, o_totalprice + CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS o_totalprice FROM orders")
+def interrupted_final(t: Tables):
+    """A new version that was decided while its driver was lost before any folder had moved: the next reader finishes it."""
+    path = scratch_path(t.spark, "final")
+    price = F.when(F.col("o_orderstatus") == "F", F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    sinks.write_final(t.orders.select("o_orderkey", "o_totalprice"), path)
+    staged = commits.staged_folder(t.spark, path)
+    t.orders.select("o_orderkey", price.alias("o_totalprice")).write.parquet(f"{staged}/data")
+    commits.decide(t.spark, path, staged, [(f"{staged}/data", path)])
+    return sources.read_target(t.spark, path)
+
+
 @register(
     "SELECT 'r_in_set' AS rule_id, count(*) AS failing FROM orders WHERE o_orderstatus NOT IN ('F', 'O') "
     "UNION ALL SELECT 'r_between', count(*) FROM orders WHERE o_totalprice NOT BETWEEN 1000 AND 300000"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
 import uuid
 from datetime import date, timedelta
 
@@ -9,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.project import quoted
-from millrace.sources.files import has_files, partition_values, remove_partition, replace_folder
+from millrace.sinks.commits import children, commit, read_text, staged_folder, write_text
+from millrace.sources.files import partition_values, remove_partition
 from millrace.sources.jdbc import Database
 from millrace.sources.jdbc import write_table as write_jdbc
 
@@ -23,18 +26,55 @@ def write_landing(df: DataFrame, path: str) -> None:
 
 
 def write_final(df: DataFrame, path: str) -> None:
-    """Replace a table that `df` may itself be read from: write the new version beside it, then change folders.
+    """Replace a table that `df` may itself be read from: write the new version beside it, decide, change folders.
 
-    Rows are written once. A failed write leaves the old version in place; between the two changes of name readers find no
-    folder, not half a table. A first write needs no second folder.
+    Rows are written once. Lost at any point, the table is the old version or the new one for `read_target` and for the next
+    write, never half of one and never none.
     """
     spark = df.sparkSession
-    if not has_files(spark, path):
-        df.write.mode("overwrite").parquet(path)
-        return
-    bare, mark = path.rstrip("/"), uuid.uuid4().hex
-    df.write.parquet(f"{bare}.new-{mark}")
-    replace_folder(spark, bare, f"{bare}.new-{mark}", f"{bare}.old-{mark}")
+    staged = staged_folder(spark, path)
+    df.write.parquet(f"{staged}/data")
+    commit(spark, path, staged, [(f"{staged}/data", path.rstrip("/"))])
+
+
+def execution_name(execution_id: str) -> str:
+    """A name for files of an execution; different ids never have names of which one begins with the other and a dash."""
+    return f"{re.sub('[^A-Za-z0-9]', '-', execution_id).strip('-')}-{hashlib.md5(execution_id.encode()).hexdigest()[:12]}"
+
+
+def written_by(spark: SparkSession, path: str, execution_id: str) -> list[str]:
+    """Files of a partitioned table that an execution has added before."""
+    name = execution_name(execution_id)
+    folder = read_text(spark, f"{path.rstrip('/')}/_executions/{name}")
+    files = children(spark, f"{path.rstrip('/')}/{folder}") if folder else []
+    return [f for f in files if f.rpartition("/")[2].startswith(f"{name}-")]
+
+
+def staged_files(spark: SparkSession, staged: str, path: str, folder: str, execution_id: str) -> list[tuple[str, str]]:
+    """Moves that add the files of `staged`/data to a partition folder, and a note of the execution to the table."""
+    name, attempt = execution_name(execution_id), uuid.uuid4().hex[:12]
+    write_text(spark, f"{staged}/note", folder)
+    files = children(spark, f"{staged}/data")
+    ends = [f"{path.rstrip('/')}/{folder}/{name}-{attempt}-{k:05d}.parquet" for k in range(len(files))]
+    return [*zip(files, ends), (f"{staged}/note", f"{path.rstrip('/')}/_executions/{name}")]
+
+
+def partition_folder(spark: SparkSession, column: str, value: object) -> str:
+    names = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    return f"{names.escapePathName(column)}={names.escapePathName(str(value))}"
+
+
+def append_execution(
+    df: DataFrame, path: str, partition_column: str, run_date: date | str, execution_id: str
+) -> None:
+    """Add rows under `<partition_column>=<run date>`, once for each execution: a repeated one replaces its own rows, whatever
+    date it had before, and leaves those of other executions of that day alone."""
+    spark = df.sparkSession
+    staged = staged_folder(spark, path)
+    before = written_by(spark, path, execution_id)
+    df.drop(partition_column).write.parquet(f"{staged}/data")
+    folder = partition_folder(spark, partition_column, run_date)
+    commit(spark, path, staged, staged_files(spark, staged, path, folder, execution_id), before)
 
 
 def write_partition(
@@ -65,16 +105,21 @@ def write_config_per_app(df: DataFrame, path: str, app_column: str = "app_name")
 
 
 def write_table(
-    df: DataFrame, path: str, zone: str, partition_column: str | None = None, run_date: date | str | None = None
+    df: DataFrame,
+    path: str,
+    zone: str,
+    partition_column: str | None = None,
+    run_date: date | str | None = None,
+    execution_id: str | None = None,
 ) -> None:
-    """Write to a zone: 'landing' replaces, 'final' replaces by a new version or goes to a partition of its own, which a
-    repeated run replaces."""
+    """Write to a zone: 'landing' replaces, 'final' replaces by a new version, or adds to the run date's partition, where a
+    repeated execution replaces what it has added before. Without an id every call is an execution of its own."""
     if zone == "landing":
         write_landing(df, path)
     elif zone != "final":
         raise ValueError("zone must be 'landing' or 'final'")
     elif partition_column:
-        write_partition(df, path, partition_column, run_date or date.today(), replace=True)
+        append_execution(df, path, partition_column, run_date or date.today(), execution_id or uuid.uuid4().hex)
     else:
         write_final(df, path)
 

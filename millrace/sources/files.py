@@ -12,15 +12,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.operators.conform import ColumnSpec, source_names
+from millrace.sinks.commits import children, file_system, settle
 
 DELIMITERS = ",|;\t~"
 
 
-def _file_system(spark: SparkSession, path: str):
-    location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return location, location.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
 def detect_header_and_delimiter(
     spark: SparkSession, path: str, names: Sequence[str], default: str = ","
 ) -> tuple[bool, str]:
@@ -174,36 +170,27 @@ def read_source(
 
 
 def has_files(spark: SparkSession, path: str) -> bool:
-    """Does the path exist, with something in it? Asks the file system, reads nothing."""
-    location, system = _file_system(spark, path)
-    return system.exists(location) and system.listStatusIterator(location).hasNext()
+    """Does the path hold anything that Spark would read? Asks the file system, reads nothing."""
+    return bool(children(spark, path))
 
 
 def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
     """The values of a table's outermost partition column, from its folder names."""
-    location, system = _file_system(spark, path)
     mark = f"{column}="
-    names = [entry.getPath().getName() for entry in system.listStatus(location) if entry.isDirectory()]
+    names = [child.rpartition("/")[2] for child in children(spark, path)]
     return sorted(n[len(mark):] for n in names if n.startswith(mark))
 
 
-def replace_folder(spark: SparkSession, path: str, new: str, old: str) -> None:
-    """Put the folder `new` in the place of `path`, and remove what was there."""
-    location, system = _file_system(spark, path)
-    fresh, stale = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (new, old))
-    if not system.rename(location, stale) or not system.rename(fresh, location):
-        raise OSError(f"{path} could not be replaced; its versions are {new} and {old}")
-    system.delete(stale, True)
-
-
 def remove_partition(spark: SparkSession, path: str, column: str, value: str) -> None:
     """Delete one partition folder."""
-    location, system = _file_system(spark, f"{path.rstrip('/')}/{column}={value}")
+    location, system = file_system(spark, f"{path.rstrip('/')}/{column}={value}")
     system.delete(location, True)
 
 
 def read_target(spark: SparkSession, path: str, partition_column: str | None = None) -> DataFrame | None:
-    """The current target without its partition column, or None before the first load."""
+    """The current target without its partition column, or None before the first load. A change that was decided and not
+    carried out, as its driver was lost, is finished first."""
+    settle(spark, path)
     if not has_files(spark, path):
         return None
     target = spark.read.parquet(path)

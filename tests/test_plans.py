@@ -315,6 +315,8 @@ def test_a_repeated_day_replaces_its_partition(spark, tmp_path):
     for _ in range(2):
         assert ingest.run_pipeline(spark, spec, STAMPED, started=datetime(2024, 4, 1)).first().job_status == pipelines.SUCCESS
     assert spark.read.parquet(str(tmp_path / "final")).count() == 2
+    ingest.run_pipeline(spark, spec, STAMPED, started=datetime(2024, 4, 1, 12))  # a later increment of that day
+    assert spark.read.parquet(str(tmp_path / "final")).count() == 4
 
 
 def test_records_and_source_queries():
