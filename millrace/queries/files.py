@@ -53,6 +53,40 @@ def headerless_round_trip(t: Tables):
     return conform(sources.read_source(t.spark, path, ORDER_SPECS), ORDER_SPECS)
 
 
+def odd_shapes(t: Tables, path: str):
+    """Orders in three files' shapes below one path: cells with the delimiter in quotes, columns in another order, and a column
+    that nobody declared."""
+    noted = order_texts(t).withColumn("o_orderpriority", F.concat("o_orderpriority", F.lit(", \"as said\"")))
+    shapes = [ORDER_COLUMNS, ORDER_COLUMNS[::-1], [*ORDER_COLUMNS[:2], "extra", *ORDER_COLUMNS[2:]]]
+    for k, columns in enumerate(shapes):
+        part = noted.filter(F.col("o_orderkey").cast("long") % 3 == k).withColumn("extra", F.lit("a,b"))
+        part.select(*columns).write.csv(f"{path}/shape{k}.csv", header=True)
+
+
+ORDER_COLUMNS = [s.source_column_name for s in ORDER_SPECS]
+
+
+@register(ORDERS_SQL.replace("o_orderpriority AS", "o_orderpriority || ', \"as said\"' AS"))
+def detected_round_trip(t: Tables):
+    path = scratch_path(t.spark, "orders")
+    odd_shapes(t, path)
+    return conform(sources.read_source(t.spark, f"{path}/*.csv", ORDER_SPECS), ORDER_SPECS)
+
+
+@register(ORDERS_SQL)
+def mixed_json_round_trip(t: Tables):
+    """A folder with files of one record a line, and files that are one array over several lines."""
+    path = scratch_path(t.spark, "orders")
+    texts = order_texts(t)
+    few = F.col("o_orderkey").cast("long") % 100 == 0
+    texts.filter(~few).write.json(f"{path}/lines.json")
+    block = F.floor(F.col("o_orderkey").cast("long") / 50_000)  # 500 records an array at most
+    items = F.array_join(F.collect_list(F.to_json(F.struct(*texts.columns))), ",\n")
+    arrays = texts.filter(few).groupBy(block).agg(F.concat(F.lit("[\n"), items, F.lit("\n]")).alias("value"))
+    arrays.select("value").write.option("maxRecordsPerFile", 1).text(f"{path}/array.json")
+    return conform(sources.read_source(t.spark, f"{path}/*.json", schema=texts.schema), ORDER_SPECS)
+
+
 @register(ORDERS_SQL)
 def json_round_trip(t: Tables):
     path = scratch_path(t.spark, "orders") + ".json"

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator, Sequence
+from functools import reduce
 from pathlib import PurePosixPath
 from xml.parsers import expat
 
@@ -13,60 +14,36 @@ from pyspark.sql import types as T
 
 from millrace.operators.conform import ColumnSpec, source_names
 from millrace.sinks.commits import children, file_system, settle
+from millrace.sources.dialect import Dialect, detect_dialect, detect_header_and_delimiter, file_name, split_start  # noqa: F401
 
-DELIMITERS = ",|;\t~"
+def read_delimited(spark: SparkSession, path: str, delimiter: str = ",", escape: str = "\\") -> DataFrame:
+    """Delimited text with a header; every column is a string. Files whose headers differ are an error."""
+    return spark.read.csv(path, sep=delimiter, header=True, inferSchema=False, enforceSchema=False, escape=escape)
 
 
-def detect_header_and_delimiter(
-    spark: SparkSession, path: str, names: Sequence[str], default: str = ","
-) -> tuple[bool, str]:
-    """(has a header, delimiter), from all lines of all files.
-
-    The delimiter is the one that cuts every line into as many cells as there are declared names; a single column has the
-    default. A file has a header if it has a line that reads as the declared names. Files that disagree, or lines that no
-    delimiter cuts alike (quoted delimiters, for example), are an error: then declare both.
-    """
-    if not names:
-        raise ValueError("without declared names a header cannot be told from data")
-    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file")).filter("trim(value) <> ''")
-    wanted = "\0".join(names).lower()
-
-    def cells(delimiter: str) -> Column:
-        return F.split("value", "\\Q" + delimiter + "\\E", -1)
-
-    def reads_as_names(delimiter: str) -> Column:
-        bare = F.transform(cells(delimiter), lambda c: F.trim(F.translate(c, '"', "")))
-        return F.lower(F.array_join(bare, "\0")) == wanted
-
-    fits = [F.min((F.size(cells(d)) == len(names)).cast("int")).alias(f"fits{k}") for k, d in enumerate(DELIMITERS)]
-    headed = [F.max(reads_as_names(d).cast("int")).alias(f"headed{k}") for k, d in enumerate([*DELIMITERS, default])]
-    by_file = lines.groupBy("file").agg(*fits, *headed)
-    found = by_file.agg(
-        *[F.min(f"fits{k}").alias(f"fits{k}") for k in range(len(DELIMITERS))],
-        *[f(f"headed{k}").alias(f"{f.__name__}{k}") for k in range(len(headed)) for f in (F.min, F.max)],
-    ).first()
-    good = [k for k in range(len(DELIMITERS)) if found[f"fits{k}"] == 1]
-    if len(names) == 1:
-        good = [len(DELIMITERS)]
-    if len(good) != 1:
-        raise ValueError(f"no delimiter cuts every line into {len(names)} cells; declare delimiter and header")
-    if found[f"min{good[0]}"] != found[f"max{good[0]}"]:
-        raise ValueError("some files have a header and some have none; declare it")
-    return found[f"max{good[0]}"] == 1, default if good[0] == len(DELIMITERS) else DELIMITERS[good[0]]
-
-
-def read_delimited(spark: SparkSession, path: str, delimiter: str = ",") -> DataFrame:
-    """Delimited text with a header; every column is a string."""
-    return spark.read.csv(path, sep=delimiter, header=True, inferSchema=False)
-
-
-def read_headerless(spark: SparkSession, path: str, names: Sequence[str], delimiter: str = ",") -> DataFrame:
-    """Delimited text without a header; names come from the column inventory, every column is a string.
+def read_headerless(
+    spark: SparkSession, path: str | list[str], names: Sequence[str], delimiter: str = ",", escape: str = "\\", header: bool = False
+) -> DataFrame:
+    """Delimited text without a header, or with a known one to be skipped; every column is a string.
 
     The schema is given, so no pass over the data is spent on finding it.
     """
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    return spark.read.csv(path, schema=schema, sep=delimiter, header=False)
+    return spark.read.csv(path, schema=schema, sep=delimiter, header=header, escape=escape)
+
+
+def read_dialect(spark: SparkSession, path: str, names: Sequence[str], dialect: Dialect) -> DataFrame:
+    """The declared columns of files as `detect_dialect` found them: by name where files have a header, each file's own order
+    and further columns of its own allowed, else by place."""
+    if not dialect.header:
+        return read_headerless(spark, path, names, dialect.delimiter, dialect.escape)
+    parts = []
+    for columns, files in dialect.layouts:
+        places = {c.strip().lower(): k for k, c in enumerate(columns)}
+        numbered = [f"_{k}" for k in range(len(columns))]  # names in a file may come twice
+        rows = read_headerless(spark, list(files) if files else path, numbered, dialect.delimiter, dialect.escape, header=True)
+        parts.append(rows.select(*[F.col(f"_{places[n.strip().lower()]}").alias(n) for n in names]))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def row_tags(spark: SparkSession, path: str) -> DataFrame:
@@ -113,16 +90,37 @@ def read_xml(
     return (reader if schema is None else reader.schema(schema)).load(path)
 
 
+def json_shapes(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
+    """(files that hold one array, files of one record a line): a file is an array if its first line that is not blank begins
+    with a bracket. One scan; numbers of lines are all that is aggregated."""
+    line = F.monotonically_increasing_id()  # grows within a file, and splits of a file are told apart by where they begin
+    texts = spark.read.text(path).select(F.ltrim("value").alias("value"), F.col("_metadata.file_path").alias("file"), split_start(), line.alias("line"))
+    first = texts.filter("value <> ''").groupBy("file", "start").agg(
+        F.min("line").alias("first"), F.min(F.when(F.col("value").startswith("["), F.col("line"))).alias("bracket")
+    )
+    by_file = first.groupBy("file").agg(F.min(F.struct("start", (F.coalesce(F.col("bracket") == F.col("first"), F.lit(False))).alias("array"))).alias("head"))
+    found = by_file.select(file_name().alias("file"), "head.array").toLocalIterator()
+    arrays, lines = [], []
+    for r in found:
+        (arrays if r["array"] else lines).append(r["file"])
+    return sorted(arrays), sorted(lines)
+
+
 def read_json(
     spark: SparkSession, path: str, schema: T.StructType | str | None = None, array_file: bool | None = None
 ) -> DataFrame:
     """JSON records, one per line, or one array per file. A file that is one array cannot be split over tasks.
 
-    Unless declared, files are arrays if a line begins with a bracket.
+    Unless declared, the shape is looked up for each file, and files of both shapes are read as what they are; without a
+    schema, columns that only one of the shapes has are null in the other's rows.
     """
-    if array_file is None:
-        array_file = not spark.read.text(path).filter(F.ltrim("value").startswith("[")).isEmpty()
-    return spark.read.json(path, schema=schema, multiLine=array_file)
+    if array_file is not None:
+        return spark.read.json(path, schema=schema, multiLine=array_file)
+    arrays, lines = json_shapes(spark, path)
+    if not arrays or not lines:
+        return spark.read.json(path, schema=schema, multiLine=bool(arrays))
+    parts = [spark.read.json(files, schema=schema, multiLine=multi) for files, multi in ((arrays, True), (lines, False))]
+    return parts[0].unionByName(parts[1], allowMissingColumns=schema is None)
 
 
 def extension_of(path: str) -> str:
@@ -156,9 +154,7 @@ def read_source(
         if header and delimiter is None and not names:
             delimiter = usual
         if header is None or delimiter is None:
-            found = detect_header_and_delimiter(spark, path, names, usual)
-            header = found[0] if header is None else header
-            delimiter = found[1] if delimiter is None else delimiter
+            return read_dialect(spark, path, names, detect_dialect(spark, path, names, usual, header, delimiter))
         if not header and not names:
             raise ValueError(f"files without a header need column names: {path}")
         return read_delimited(spark, path, delimiter) if header else read_headerless(spark, path, names, delimiter)
