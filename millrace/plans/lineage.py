@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping
 from datetime import datetime
-from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.session import cut
@@ -109,30 +109,34 @@ def edges_of(lineage: DataFrame) -> DataFrame:
 def root_sources(edges: DataFrame, targets: DataFrame) -> DataFrame:
     """For every target, the sources behind it that are derived from nothing: (target, source).
 
-    Walks back one step per round from the last round's new nodes, each round one join of that frontier with the
-    edges, kept in the shared folder. Every edge knows whether its source is derived itself, so only such nodes go on
-    to the next round and the others are results. Visited pairs are not walked again, so cycles end.
+    Paths double: a round knows, for each derived table, the roots fewer than 2**k steps away and the derived tables that are
+    2**k steps away, and joins the latter with all of this to get as far again. So rounds grow with the logarithm of
+    the longest path. Where walks go in circles, derived tables never run out; then rounds end when they have gone as far as
+    there are derived tables, as no path needs more steps. Each round is one join, written once.
     """
     plain = edges.select("source", "target").distinct()
-    derived = plain.select(F.col("target").alias("source")).distinct().withColumn("derived", F.lit(True))
-    marked = cut(
-        plain.join(derived, "source", "left").select("source", "target", F.coalesce("derived", F.lit(False)).alias("derived"))
+    derived = plain.select(F.col("target").alias("node")).distinct().withColumn("derived", F.lit(True))
+    known = plain.join(derived, F.col("source") == F.col("node"), "left").select(
+        F.col("target").alias("goal"), F.col("source").alias("node"), F.coalesce("derived", F.lit(False)).alias("derived")
     )
-    frontier = cut(targets.select(F.col("target").alias("goal"), F.col("target").alias("node")).distinct())
-    visited, found = frontier, []
-    while not frontier.isEmpty():
-        step = (
-            frontier.join(marked, frontier["node"] == marked["target"])
-            .select("goal", F.col("source").alias("node"), "derived")
-            .distinct()
-        )
-        fresh = cut(step.join(visited, ["goal", "node"], "left_anti"))
-        found.append(fresh.filter(~F.col("derived")))
-        visited = visited.union(fresh.select("goal", "node"))
-        frontier = fresh.filter("derived").select("goal", "node")
-    if not found:
-        return marked.select("target", "source").limit(0)
-    return reduce(lambda a, b: a.union(b), found).select(F.col("goal").alias("target"), F.col("node").alias("source"))
+    known, left, most = _counted_cut(known)  # there are no more derived tables than edges
+    steps = 1
+    while left and steps <= most:
+        far = known.filter("derived").select("goal", F.col("node").alias("middle"))
+        near = known.select(F.col("goal").alias("middle"), "node", "derived")
+        known = known.filter(~F.col("derived")).unionByName(far.join(near, "middle").select("goal", "node", "derived")).distinct()
+        known, left, _ = _counted_cut(known)
+        steps *= 2
+    goals = targets.select(F.col("target").alias("goal")).distinct()
+    return known.filter(~F.col("derived")).join(goals, "goal", "left_semi").select(F.col("goal").alias("target"), F.col("node").alias("source"))
+
+
+def _counted_cut(known: DataFrame) -> tuple[DataFrame, int, int]:
+    """The table as written, how many of its rows lead to derived tables, and how many rows it has."""
+    seen = Observation(f"lineage-{uuid.uuid4().hex}")
+    counts = (F.count_if("derived").alias("left"), F.count(F.lit(1)).alias("rows"))
+    written = cut(known.observe(seen, *counts))
+    return written, seen.get["left"], seen.get["rows"]
 
 
 def forget_script(lineage: DataFrame, script_name: str) -> DataFrame:

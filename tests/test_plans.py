@@ -10,6 +10,7 @@ from millrace.operators.joins import inner_join, outer_join
 from millrace.operators.project import rename
 from millrace.plans import bonds, catalog, ingest, lineage, methodology, pipelines
 from millrace.plans.pipelines import FAILURE, SUCCESS, PipelineSpec
+from millrace.session import cut
 from millrace.sources.files import read_target
 
 
@@ -175,6 +176,16 @@ def test_closure_of_a_long_chain(frame):
     assert rows(lineage.root_sources(edges, frame([("12",)], "target string"))) == [("12", "0")]
 
 
+def test_closure_takes_logarithmic_rounds(frame, monkeypatch):
+    rounds = []
+    monkeypatch.setattr(lineage, "cut", lambda df: rounds.append(1) or cut(df))
+    edges = [(str(i), str(i + 1)) for i in range(1000)] + [("side", "500"), ("1000", "990")]  # with a circle at the end
+    assert rows(lineage.root_sources(frame(edges, "source string, target string"), frame([("1000",), ("499",)], "target string"))) == [
+        ("1000", "0"), ("1000", "side"), ("499", "0"),
+    ]
+    assert len(rounds) <= 12
+
+
 # --- catalog
 
 
