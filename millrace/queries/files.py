@@ -128,6 +128,28 @@ def partitioned_append(t: Tables):
     return t.spark.read.parquet(path).select("o_orderkey", F.col("load_date").cast("string").alias("load_date"))
 
 
+@register(
+    "SELECT o_orderkey AS order_id, c_custkey AS customer_id, c_name AS customer, o_orderpriority AS priority FROM orders JOIN customer ON o_custkey = c_custkey"
+)
+def xml_nested_round_trip(t: Tables):
+    """Tags with namespace prefixes, and elements below the rows that have the name of the rows."""
+    path = scratch_path(t.spark, "orders") + ".xml"
+    rows = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+    record = F.format_string(
+        "<x:order><x:key>%s</x:key><x:customer><x:order>%s</x:order><x:name>%s</x:name></x:customer><x:priority>%s</x:priority></x:order>",
+        "o_orderkey", "c_custkey", "c_name", "o_orderpriority",
+    )
+    documents = rows.groupBy(F.floor(F.col("o_orderkey") / 5000)).agg(F.array_join(F.collect_list(record), "\n").alias("records"))
+    texts = documents.select(F.concat(F.lit('<x:feed xmlns:x="urn:orders">\n'), "records", F.lit("\n</x:feed>")))
+    texts.write.option("maxRecordsPerFile", 1).text(path)
+    schema = "`x:key` bigint, `x:customer` struct<`x:order`: bigint, `x:name`: string>, `x:priority` string"
+    found = sources.read_source(t.spark, path, schema=schema)
+    return found.select(
+        F.col("`x:key`").alias("order_id"), F.col("`x:customer`.`x:order`").alias("customer_id"),
+        F.col("`x:customer`.`x:name`").alias("customer"), F.col("`x:priority`").alias("priority"),
+    )
+
+
 def order_runs(t: Tables, **settings):
     """A pipeline over orders, and a function that runs it once and raises what went wrong."""
     specs = [

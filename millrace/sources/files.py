@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Iterable, Sequence
 from functools import reduce
 from pathlib import PurePosixPath
-from xml.parsers import expat
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,6 +13,7 @@ from pyspark.sql import types as T
 from millrace.operators.conform import ColumnSpec, source_names
 from millrace.sinks.commits import children, file_system, settle
 from millrace.sources.dialect import Dialect, detect_dialect, detect_header_and_delimiter, file_name, split_start  # noqa: F401
+from millrace.sources.xmltags import row_tags
 
 def read_delimited(spark: SparkSession, path: str, delimiter: str = ",", escape: str = "\\") -> DataFrame:
     """Delimited text with a header; every column is a string. Files whose headers differ are an error."""
@@ -46,34 +45,6 @@ def read_dialect(spark: SparkSession, path: str, names: Sequence[str], dialect:
     return reduce(DataFrame.unionByName, parts)
 
 
-def row_tags(spark: SparkSession, path: str) -> DataFrame:
-    """The tags right below the root elements of all files, as written, with the number of files. Each file is parsed by the
-    task that holds it: without a known tag a file cannot be split."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for content in batch.column("content").to_pylist():
-                depth, tags = 0, set()
-
-                def begin(tag: str, _: dict) -> None:
-                    nonlocal depth
-                    if depth == 1:
-                        tags.add(tag)
-                    depth += 1
-
-                def end(_: str) -> None:
-                    nonlocal depth
-                    depth -= 1
-
-                parser = expat.ParserCreate()
-                parser.StartElementHandler, parser.EndElementHandler = begin, end
-                parser.Parse(content, True)
-                yield pa.RecordBatch.from_pydict({"tag": pa.array(sorted(tags), pa.string())})
-
-    content = spark.read.format("binaryFile").load(path).select("content")
-    return content.mapInArrow(run, "tag string").groupBy("tag").agg(F.count("*").alias("files"))
-
-
 def detect_row_tag(spark: SparkSession, path: str) -> str:
     """The one tag below the root elements of all files; several are an error. Declare the tag to save this pass."""
     tags = sorted(r.tag for r in row_tags(spark, path).limit(10).collect())  # enough to name in the error

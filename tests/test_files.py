@@ -1,3 +1,6 @@
+import gzip
+import tracemalloc
+
 import pytest
 from conftest import plan_of, rows
 from pyspark.sql import functions as F
@@ -7,7 +10,7 @@ from millrace.session import cluster_settings, scratch_path, shared_dir
 from millrace.sinks import files as sinks
 from millrace.sinks import tables
 from millrace.sources import files as sources
-from millrace.sources import jdbc
+from millrace.sources import jdbc, xmltags
 from millrace.sources.tables import catalog_table, spark_sql
 from millrace.streaming import kafka
 
@@ -227,3 +230,38 @@ def test_replaced_table_is_written_once(spark, tmp_path):
     sinks.write_final(spark.read.parquet(path).filter("id > 0"), path)
     assert rows(spark.read.parquet(path)) == [(1,), (2,)]
     assert [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
+def test_row_tags_are_found_in_constant_memory(tmp_path):
+    """A stream of 400 MB that is made as it is read."""
+    record = b"<x:row a='1'><x:row>" + b"t" * 500 + b"</x:row><other/></x:row>\n"
+
+    class Stream:
+        left = 400 << 20
+
+        def read(self, n):
+            if self.left == 400 << 20:
+                self.left -= 1
+                return b"<?xml version='1.0'?><!-- <no> --><all xmlns:x='urn:x'>"
+            if self.left <= 0:
+                closing, self.left = (b"</all>" if self.left > -(1 << 40) else b""), -(1 << 41)
+                return closing
+            piece = record * (n // len(record))
+            self.left -= len(piece)
+            return piece
+
+    tracemalloc.start()
+    assert xmltags.TopTags().read(Stream()) == {"x:row"}
+    assert tracemalloc.get_traced_memory()[1] < 8 << 20
+    tracemalloc.stop()
+
+
+def test_row_tags_of_odd_paths(spark, tmp_path):
+    (tmp_path / "a b+c").mkdir()
+    write(tmp_path / "a b+c" / "t 1.xml", "<a><n:b/><n:b/></a>")
+    with gzip.open(tmp_path / "a b+c" / "t2.xml.gz", "wt") as out:
+        out.write("<a><c/></a>")
+    assert rows(xmltags.row_tags(spark, str(tmp_path / "a b+c"))) == [("c", 1), ("n:b", 1)]
+    with pytest.raises(Exception, match="1000 different tags"):
+        write(tmp_path / "many.xml", f"<a>{''.join(f'<t{i}/>' for i in range(1001))}</a>")
+        xmltags.row_tags(spark, str(tmp_path / "many.xml")).collect()
