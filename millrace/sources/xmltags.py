@@ -1,4 +1,4 @@
-"""Tags below the root of XML files, by a data source that reads each file as a stream.
+"""Tags below the root of XML files, which tasks read as streams.
 
 Without a known row tag a file cannot be split, but it need not be held either: a task feeds it to an incremental parser
 piece by piece, and keeps the tags that it has met right below the root.
@@ -6,18 +6,16 @@ piece by piece, and keeps the tags that it has met right below the root.
 
 from __future__ import annotations
 
-import json
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
-from urllib.parse import unquote
 from xml.parsers import expat
 
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+
+from millrace.sinks.commits import file_system
 
 PIECE = 1 << 20  # bytes
 MOST_TAGS = 1000  # of a file; more is an error, as then they are no row tags
@@ -58,56 +56,18 @@ class TopTags:
         return self.tags
 
 
-@dataclass
-class _File(InputPartition):
-    path: str
-
-
-class _Reader(DataSourceReader):
-    def __init__(self, paths: list[str]):
-        self.paths = paths
-
-    def partitions(self) -> list[InputPartition]:
-        return [_File(p) for p in self.paths]
-
-    def read(self, partition: InputPartition) -> Iterator[tuple[str, str]]:
-        with _opened(partition.path) as stream:
-            for tag in sorted(TopTags().read(stream)):
-                yield partition.path, tag
-
-
-class RowTagSource(DataSource):
-    """Rows (path, tag); option `paths` is a JSON list of files."""
-
-    @classmethod
-    def name(cls) -> str:
-        return "row_tags"
-
-    def schema(self) -> str:
-        return "path string, tag string"
-
-    def reader(self, schema) -> DataSourceReader:
-        return _Reader(json.loads(self.options["paths"]))
-
-
-def _files(spark: SparkSession, path: str) -> list[str]:
-    """The files that Spark would read at a path, folder or pattern."""
-    return sorted(unquote(f) for f in spark.read.format("binaryFile").load(path).inputFiles())
-
-
 def row_tags(spark: SparkSession, path: str) -> DataFrame:
-    """tag and files: the tags right below the root elements of all files, as written, with the number of files. Files in stores
-    that only Spark reads are loaded one by one instead of streamed."""
-    files = _files(spark, path)
-    if files and all(f.partition(":")[0] in SCHEMES for f in files):
-        spark.dataSource.register(RowTagSource)
-        found = spark.read.format("row_tags").option("paths", json.dumps(files)).load()
-    else:
-        found = spark.read.format("binaryFile").load(path).select("content").mapInArrow(_whole, "tag string")
+    """tag and files: the tags right below the root elements of all files, as written, with the number of files. The scan gives
+    names of files only, which tasks open themselves; files in stores that only Spark reads come with their content."""
+    files = spark.read.format("binaryFile").load(path)
+    location, system = file_system(spark, path)
+    streams = system.makeQualified(location).toUri().getScheme() in SCHEMES
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for value in batch.column(0):
+                with _opened(value.as_py()) if streams else pa.BufferReader(value.as_buffer()) as stream:
+                    yield pa.RecordBatch.from_pydict({"tag": pa.array(sorted(TopTags().read(stream)), pa.string())})
+
+    found = files.select("path" if streams else "content").mapInArrow(run, "tag string")
     return found.groupBy("tag").agg(F.count(F.lit(1)).alias("files"))
-
-
-def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for content in batch.column("content"):
-            yield pa.RecordBatch.from_pydict({"tag": pa.array(sorted(TopTags().read(pa.BufferReader(content.as_buffer()))), pa.string())})
