@@ -4,9 +4,10 @@ Texts with the same words are one node, whatever their ids. Signatures of nodes
 bucket. Candidates of a bucket are first its star (each member with the one that meets most nodes in its buckets), so a
 bucket of m members gives m - 1 pairs, not m squared. Signatures of a pair are compared a batch at a time, and a pair is
 dropped as soon as the posterior probability of a similarity at or above the threshold falls below the miss probability.
-Survivors are confirmed on full shingle sets. Confirmed links join nodes. Members of a bucket that are not yet joined are then
-compared with all others in blocks of bounded size: first the best survivor between each two components is confirmed, then
-all that are left between components. So a component loses no link but by the miss probability of bands and pruning.
+Survivors are confirmed on full shingle sets. Confirmed links join nodes. What is not joined yet is then compared in blocks of
+bounded size: in each bucket all that lies outside its largest component, with everything but its own component. A block's
+survivors are confirmed inside its task, which passes on the few links that join its components, not the pairs. So a component
+loses no link but by the miss probability of bands and pruning.
 """
 
 from __future__ import annotations
@@ -36,7 +37,8 @@ GROUP = 1 << 20
 @dataclass(frozen=True)
 class Settings:
     """`size` words a shingle, links at `percent` of the union and more; `bands` of `rows` minima make candidates, `hashes`
-    minima in all are compared `batch` at a time with `miss` as the chance to lose a true link at a step."""
+    minima in all are compared `batch` at a time; a pair goes when its posterior chance to be a link is below `miss`. What all
+    steps together lose is told by `pruning_loss`. Blocks have about `block` nodes and `mass` shingles a side."""
 
     size: int = 4
     percent: int = 80
@@ -44,8 +46,9 @@ class Settings:
     rows: int = 4
     hashes: int = 256
     batch: int = 32
-    miss: float = 1e-3
+    miss: float = 1e-6
     block: int = 512
+    mass: int = 1 << 20  # shingles of a block
 
 
 @lru_cache(maxsize=4)
@@ -256,18 +259,14 @@ def judged(
     tested = cut(_confirmed(best, texts, settings))
     labels = cut(_labelled(nodes, tested.where("linked")))
 
-    # then the best survivor between each two components of a bucket
-    rest = _across(shared, nodes, labels, settings, best=True)
-    best = rest.groupBy("ca", "cb").agg(F.max(F.struct("seen", "a", "b")).alias("p")).select("p.a", "p.b")
-    more = cut(_confirmed(cut(best.join(tested.select("a", "b"), ["a", "b"], "left_anti")), texts, settings))
-    tested = tested.unionByName(more)
-    labels = cut(_labelled(nodes, tested.where("linked")))
-
-    # then all that are left between components
-    rest = _across(shared, nodes, labels, settings, best=False).select("a", "b").distinct()
-    rest = cut(rest.join(tested.select("a", "b"), ["a", "b"], "left_anti"))
-    tested = tested.unionByName(cut(_confirmed(rest, texts, settings)))
-    labels = _labelled(nodes, tested.where("linked"))
+    # then what is still apart; members of large buckets first meet those of their own block, which joins most of them
+    links = tested.where("linked").select("a", "b")
+    large = sizes.where(F.col("m") > settings.block)
+    if not large.isEmpty():
+        links = links.unionByName(_across(shared.join(large.select("band"), "band", "left_semi"), nodes, labels, texts, settings, own=True))
+        labels = cut(_labelled(nodes, links))
+    links = links.unionByName(_across(shared, nodes, labels, texts, settings))
+    labels = _labelled(nodes, links)
 
     named = cut(prints.join(labels, "node").select("print", "doc_id", "component"))
     # a component is named by its smallest id; of texts that share this id one is kept
@@ -280,68 +279,166 @@ def judged(
     return known.unionByName(alone)
 
 
-def _across(shared: DataFrame, nodes: DataFrame, labels: DataFrame, settings: Settings, best: bool) -> DataFrame:
-    """a, b, seen, ca, cb: surviving pairs of a bucket whose ends are in different components; with `best`, in each block the
-    best for each two components. Buckets are dealt into blocks, each pair of blocks is compared in a task of its own."""
-    inside = cut(shared.select("band", "node").join(labels, "node"))
-    mixed = inside.groupBy("band").agg(F.count("*").alias("m"), F.min("component").alias("x"), F.max("component").alias("y"))
-    mixed = cut(mixed.where("x < y").select("band", F.ceil(F.col("m") / F.lit(settings.block)).cast("int").alias("blocks")))
-    dealt = inside.join(mixed, "band").join(nodes.select("node", "n_shingles", "signature", "bands"), "node")
-    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    keyed = dealt.select(
-        "band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "component", "n_shingles", "signature", "bands"
-    )
-
-    def compare(rows: pa.Table) -> pa.RecordBatch:
-        own, node, component, size = (np.array(rows[c]) for c in ("own", "node", "component", "n_shingles"))
-        i, j = rows["i"][0].as_py(), rows["j"][0].as_py()
-        signed = np.frombuffer(b"".join(rows["signature"].to_pylist()), np.uint8).reshape(-1, settings.hashes)
-        bands = np.array(rows["bands"].combine_chunks().flatten()).reshape(-1, settings.bands)
-        band = rows["band"][0].as_py()
-        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
-        found: list[list[np.ndarray]] = [[], [], []]
-        for first in range(0, len(left), 64):
-            rows_here = left[first : first + 64]
-            near_size = 100 * np.minimum(size[rows_here, None], size[right]) >= settings.percent * np.maximum(size[rows_here, None], size[right])
-            apart = near_size & (component[rows_here, None] != component[right]) & ((i != j) | (rows_here[:, None] < right))
-            x, y = np.nonzero(apart)
-            x, y = rows_here[x], right[y]
-            live, seen = surviving(signed[x], signed[y], settings)
-            x, y = x[live], y[live]
-            first_shared = (bands[x] == bands[y]).argmax(1)
-            here = bands[x, first_shared] == band  # a pair is reported by the first bucket that both share
-            for out, values in zip(found, (x[here], y[here], seen[here])):
-                out.append(values)
-        x, y, seen = (np.concatenate(f) if f else np.zeros(0, int) for f in found)
-        low, high = np.minimum(component[x], component[y]), np.maximum(component[x], component[y])
-        if best and len(x):
-            order = np.lexsort((-seen, high, low))
-            fresh = np.ones(len(order), bool)
-            fresh[1:] = (low[order][1:] != low[order][:-1]) | (high[order][1:] != high[order][:-1])
-            keep = order[fresh]
-            x, y, seen, low, high = x[keep], y[keep], seen[keep], low[keep], high[keep]
-        a, b = np.minimum(node[x], node[y]), np.maximum(node[x], node[y])
-        columns = [pa.array(v.astype("i8")) for v in (a, b)] + [pa.array(seen.astype(float))] + [pa.array(v.astype("i8")) for v in (low, high)]
-        return pa.RecordBatch.from_arrays(columns, names=["a", "b", "seen", "ca", "cb"])
+_BLOCK = "band long, i int, j int, side int, node long, component long, n_shingles long, signature binary, bands array<long>"
+_KEY = ("band", "i", "j")
+
+
+def _dealt(shared: DataFrame, nodes: DataFrame, labels: DataFrame, settings: Settings, own: bool) -> DataFrame:
+    """Rows of _BLOCK: members of buckets with several components, dealt into blocks. Those outside a bucket's largest component
+    (`rest`) meet every block of the largest, and every block of the rest; with `own`, all members only their own block.
+    `side` says whom a row is compared with: 0 with 1, and 2 with one another."""
+    inside = cut(shared.select("band", "node").join(labels, "node").join(nodes.select("node", "n_shingles"), "node"))
+    per = inside.groupBy("band", "component").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("mass"))
+    top = F.max(F.struct("n", "component", "mass"))
+    bucket = per.groupBy("band").agg(F.count("*").alias("parts"), F.sum("n").alias("n"), F.sum("mass").alias("mass"), top.alias("top"))
+
+    def blocks(n: Column, mass: Column) -> Column:
+        return F.greatest(F.ceil(n / F.lit(settings.block)), F.ceil(mass / F.lit(settings.mass)), F.lit(1)).cast("int")
+
+    mixed = cut(
+        bucket.where("parts > 1").select(
+            "band", F.col("top.component").alias("largest"), blocks(F.col("n"), F.col("mass")).alias("all_blocks"),
+            blocks(F.col("top.n"), F.col("top.mass")).alias("large_blocks"),
+            blocks(F.col("n") - F.col("top.n"), F.col("mass") - F.col("top.mass")).alias("rest_blocks"),
+        )
+    )
+    dealt = inside.drop("n_shingles").join(mixed, "band").join(nodes.select("node", "n_shingles", "signature", "bands"), "node")
+    code = F.xxhash64("node")
+
+    def place(i: Column, j: Column, side: Column) -> Column:
+        return F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"), side.cast("int").alias("side"))
+
+    def upto(n: str) -> Column:
+        return F.sequence(F.lit(0), F.col(n) - 1)
+
+    if own:
+        here = F.pmod(code, F.col("all_blocks"))
+        places = F.array(place(here, here, F.lit(2)))
+    else:
+        large = F.pmod(code, F.col("large_blocks"))
+        rest = F.pmod(code, F.col("rest_blocks"))
+        first = F.col("large_blocks")
+        of_large = F.transform(upto("rest_blocks"), lambda j: place(large, j, F.lit(0)))
+        with_large = F.transform(upto("large_blocks"), lambda i: place(i, rest, F.lit(1)))
+        among = F.transform(
+            upto("rest_blocks"),
+            lambda j: place(first + F.least(rest, j), F.greatest(rest, j), F.when(rest == j, 2).when(rest < j, 0).otherwise(1)),
+        )
+        places = F.when(F.col("component") == F.col("largest"), of_large).otherwise(F.concat(with_large, among))
+    spread = dealt.withColumn("place", F.explode(places))
+    return spread.select("band", "place.i", "place.j", "place.side", "node", "component", "n_shingles", "signature", "bands")
+
+
+def _survivors(rows: pa.Table, settings: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of pairs of a block that lie in different components and survive the sequential test, and their equal minima. Each
+    pair is found in the first bucket that both share."""
+    side, component, size = (np.array(rows[c]) for c in ("side", "component", "n_shingles"))
+    signed = np.frombuffer(b"".join(rows["signature"].to_pylist()), np.uint8).reshape(-1, settings.hashes)
+    bands = np.array(rows["bands"].combine_chunks().flatten()).reshape(-1, settings.bands)
+    band = rows["band"][0].as_py()
+    left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
+    found: list[list[np.ndarray]] = [[], [], []]
+    for first in range(0, len(left), 64):
+        here = left[first : first + 64]
+        near_size = 100 * np.minimum(size[here, None], size[right]) >= settings.percent * np.maximum(size[here, None], size[right])
+        once = (side[here, None] != 2) | (here[:, None] < right)
+        x, y = np.nonzero(near_size & (component[here, None] != component[right]) & once)
+        x, y = here[x], right[y]
+        live, seen = surviving(signed[x], signed[y], settings)
+        x, y = x[live], y[live]
+        reported = bands[x, (bands[x] == bands[y]).argmax(1)] == band
+        for out, values in zip(found, (x[reported], y[reported], seen[reported])):
+            out.append(values)
+    x, y, seen = (np.concatenate(f) if f else np.zeros(0, int) for f in found)
+    return x, y, seen
+
+
+def _by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Blocks of rows that come sorted by _KEY; the last block of a batch may go on in the next."""
+    waiting: list[pa.RecordBatch] = []
+    for batch in batches:
+        keys = np.stack([np.array(batch.column(c)).astype(np.int64) for c in _KEY], 1)
+        cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1).tolist(), len(keys)]
+        for first, last in zip(cuts, cuts[1:]):
+            part = batch.slice(first, last - first)
+            if waiting and any(waiting[0].column(c)[0] != part.column(c)[0] for c in _KEY):
+                yield pa.Table.from_batches(waiting)
+                waiting = []
+            waiting.append(part)
+    if waiting:
+        yield pa.Table.from_batches(waiting)
+
+
+def _joining(rows: pa.Table, settings: Settings) -> tuple[list[int], list[int]]:
+    """Places of pairs of a block that are links and join its components, one less than the nodes at most."""
+    x, y, seen = _survivors(rows, settings)
+    parts = rows["component"].to_pylist()
+    root = {p: p for p in parts}
+
+    def find(p: int) -> int:
+        while root[p] != p:
+            root[p] = root[root[p]]
+            p = root[p]
+        return p
+
+    sets = rows["shingles"]
+    opened: dict[int, np.ndarray] = {}
+    a, b = [], []
+    order = np.argsort(-seen, kind="stable")
+    for p, q in zip(x[order].tolist(), y[order].tolist()):
+        one, other = find(parts[p]), find(parts[q])
+        if one == other:
+            continue
+        for k in (p, q):
+            if k not in opened:
+                opened[k] = np.frombuffer(sets[k].as_buffer(), np.uint64)
+        common = len(np.intersect1d(opened[p], opened[q], assume_unique=True))
+        if 100 * common >= settings.percent * (len(opened[p]) + len(opened[q]) - common):
+            root[one] = other
+            a.append(p)
+            b.append(q)
+    return a, b
+
+
+def _across(
+    shared: DataFrame, nodes: DataFrame, labels: DataFrame, texts: Callable[[DataFrame], DataFrame], settings: Settings, own: bool = False
+) -> DataFrame:
+    """a, b: links that join components within blocks. Signatures of a block are compared first; the rows that have a survivor
+    get their shingles, are compared once more, and confirmed, in one task. Rows out are nodes, never pairs."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted, so the rows of a group follow each other; the last group of a batch may go on in the next."""
-        waiting: list[pa.RecordBatch] = []
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _by_block(batches):
+            x, y, _ = _survivors(rows, settings)
+            if len(x):
+                yield from rows.take(pa.array(np.union1d(x, y))).to_batches()
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = np.stack([np.array(batch.column(c)).astype(np.int64) for c in ("band", "i", "j")], 1)
-            cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1).tolist(), len(keys)]
-            for first, last in zip(cuts, cuts[1:]):
-                part = batch.slice(first, last - first)
-                if waiting and any(waiting[0].column(c)[0] != part.column(c)[0] for c in ("band", "i", "j")):
-                    yield compare(pa.Table.from_batches(waiting))
-                    waiting = []
-                waiting.append(part)
-        if waiting:
-            yield compare(pa.Table.from_batches(waiting))
-
-    together = keyed.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
-    return together.mapInArrow(run, "a long, b long, seen double, ca long, cb long")
+            found = [shingles(hashes(_folded([t])), settings.size).tobytes() for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(found, pa.binary())], names=["node", "shingles"])
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _by_block(batches):
+            a, b = (rows["node"].take(pa.array(p, pa.int64())).combine_chunks() for p in _joining(rows, settings))
+            yield pa.RecordBatch.from_arrays([a, b], names=["a", "b"])
+
+    dealt = _dealt(shared, nodes, labels, settings, own).repartition(*_KEY).sortWithinPartitions(*_KEY)
+    marked = cut(dealt.mapInArrow(mark, _BLOCK))
+    full = cut(texts(marked.select("node").distinct()).mapInArrow(sets, "node long, shingles binary"))
+    ready = marked.join(full, "node").repartition(*_KEY).sortWithinPartitions(*_KEY, "node")
+    return cut(ready.mapInArrow(join, "a long, b long"))
+
+
+def pruning_loss(similarity: float, settings: Settings) -> float:
+    """The chance that the sequential test drops a pair of this similarity at any of its steps. Minima are kept as bytes, so
+    unequal ones agree in one of 256."""
+    p = similarity + (1 - similarity) / 256
+    alive = np.ones(1)
+    step = np.array([math.comb(settings.batch, k) * p**k * (1 - p) ** (settings.batch - k) for k in range(settings.batch + 1)])
+    for seen in range(settings.batch, settings.hashes + 1, settings.batch):
+        alive = np.convolve(alive, step)
+        alive[: least_matches_of(seen, settings)] = 0
+    return float(1 - alive.sum())
 
 
 def bands_miss(similarity: float, settings: Settings) -> float:

@@ -75,6 +75,53 @@ def test_near_duplicates_in_chains(spark):
         assert {r.doc_id: r.component_id for r in found} == roots(sets, links)
 
 
+def drifting(n, seed, changes):
+    """Near copies of one text of which many pairs lie close to the threshold, on both sides."""
+    rng = random.Random(seed)
+    base = [f"w{k}" for k in range(100)]
+    rows = []
+    for k in range(n):
+        words = list(base)
+        for at in rng.sample(range(100), changes):
+            words[at] = f"n{rng.randint(0, 10**9)}"
+        rows.append((k, " ".join(words)))
+    return rows
+
+
+@pytest.mark.parametrize("n, changes, block", [(3000, 2, 512), (600, 2, 64)])
+def test_large_groups_of_near_copies(spark, n, changes, block, monkeypatch):
+    """Blocks pass on links that join components, not pairs, and no link is lost."""
+    rows = drifting(n, n, changes)
+    codes = [np.sort(np.array([hash(x) for x in word_sets(t, 4)])) for _, t in rows]
+    names = {v: k for k, v in enumerate(sorted({v for c in codes for v in c.tolist()}))}
+    held = np.zeros((n, len(names)), np.float32)
+    for k, c in enumerate(codes):
+        held[k, [names[v] for v in c.tolist()]] = 1
+    sizes = held.sum(1)
+    links = []
+    for k in range(n):
+        common = held[k + 1 :] @ held[k]
+        links += [(k, k + 1 + j) for j in np.flatnonzero(100 * common >= 80 * (sizes[k] + sizes[k + 1 :] - common)).tolist()]
+    assert n < len(links) < n * (n - 1) / 2
+    passed = []
+    real = near._across
+    monkeypatch.setattr(near, "_across", lambda *a, **b: passed.append(real(*a, **b)) or passed[-1])
+    found = near.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), near.Settings(block=block)).collect()
+    assert {r.doc_id: r.component_id for r in found} == roots({k: 1 for k, _ in rows}, links)
+    assert sum(p.count() for p in passed) < 24 * 2 * n
+
+
+def test_pruning_loses_few_links():
+    settings = near.Settings()
+    assert near.pruning_loss(0.8, settings) < 1e-5 and near.pruning_loss(0.85, settings) < 1e-7
+    rng = np.random.default_rng(1)
+    loose = near.Settings(miss=1e-2)
+    a = rng.integers(0, 256, (20_000, 256), dtype=np.uint8)
+    b = np.where(rng.random(a.shape) < 0.8, a, rng.integers(0, 256, a.shape, dtype=np.uint8))
+    lost = 1 - len(near.surviving(a, b, loose)[0]) / len(a)
+    assert abs(lost - near.pruning_loss(0.8, loose)) < 0.005
+
+
 def test_texts_that_share_an_id(spark):
     a, b = prose(21, 120), prose(22, 120)
     words = b.split(" ")
