@@ -3,8 +3,8 @@ the raw corpus.
 
 Words and pairs of neighbouring words are hashed into buckets. Bucket counts over all documents, and over all trusted ones,
 give two multinomials; a document's ratio is the mean over its n-grams of log(target / raw). The number of buckets follows the
-text, so that as many n-grams share one at every size. Documents below a ratio are rejected: a given one, or one that all but
-a fixed share of held-out trusted documents reach, which moves with the ratios.
+text up to a fixed bound, beyond which more n-grams share one and all ratios move towards 0. So documents are not rejected below
+a given ratio, but below the one that all but a fixed share of held-out trusted documents reach, which moves alike.
 """
 
 from __future__ import annotations
@@ -24,11 +24,13 @@ from millrace.llm.spans import WHITE, Words, hashes, words_of
 from millrace.session import cut
 
 BUCKET_BITS = 14  # at least
-TEXT_PER_BUCKET = 192  # bytes; about 64 words and pairs
+MOST_BITS = 20  # 4 MB of weights in every worker, whatever the text
+TEXT_PER_BUCKET = 192  # bytes; about 64 words and pairs, up to MOST_BITS
 BLOCK_BITS = 12
 WINDOW = 8
 MIN_RATIO = -0.075
 TRUSTED_SHARE = 0.01
+STEPS = 4096
 GROUP = 1 << 20
 _SYMBOLS = list(b"#*$%&|<>")
 _BLANKS = b" \t\n\v\f\r"
@@ -39,7 +41,7 @@ BASE = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repea
 
 def bits_for(n_bytes: int) -> int:
     """Bits of a bucket's number for so much text."""
-    return max(BUCKET_BITS, math.ceil(math.log2(max(n_bytes, 1) / TEXT_PER_BUCKET)))
+    return min(max(BUCKET_BITS, math.ceil(math.log2(max(n_bytes, 1) / TEXT_PER_BUCKET))), MOST_BITS)
 
 
 def buckets_of(words: Words, codes: np.ndarray, bits: int = BUCKET_BITS) -> tuple[np.ndarray, np.ndarray]:
@@ -118,8 +120,8 @@ class Ratio:
 
 def train(docs: DataFrame, trusted: DataFrame, smoothing: float = 1.0, bits: int | None = None) -> Ratio:
     """Count n-grams over all of `docs` and all of `trusted` (both with `text`). The driver gets one number for each bucket, and
-    there is a bucket for every TEXT_PER_BUCKET bytes unless `bits` says otherwise. Target counts are smoothed towards the raw
-    shares; without trusted documents all weights are 0."""
+    there is a bucket for every TEXT_PER_BUCKET bytes, 2**MOST_BITS at most, unless `bits` says otherwise. Target counts are
+    smoothed towards the raw shares; without trusted documents all weights are 0."""
     if bits is None:
         bits = bits_for(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
     raw, target = np.zeros(1 << bits, np.float32), np.zeros(1 << bits, np.float32)
@@ -136,11 +138,18 @@ def train(docs: DataFrame, trusted: DataFrame, smoothing: float = 1.0, bits: int
 
 
 def trusted_floor(scored: DataFrame, trusted: DataFrame, share: float = TRUSTED_SHARE) -> float:
-    """The ratio that all but `share` of the trusted documents reach, of those that pass the base rules; `scored` is of `apply`,
-    `trusted` has doc_id. It is on the scale of the ratios at hand, whatever the corpus; without such documents MIN_RATIO."""
+    """The ratio that all but `share` of the trusted documents reach, of those that pass the base rules, rounded down to steps of
+    1 / STEPS; `scored` is of `apply`, `trusted` has doc_id. It is on the scale of the ratios at hand, whatever the corpus;
+    without such documents MIN_RATIO. Counts by step are exact, so the same documents always give the same ratio, and there are
+    no more steps than logarithms of counts can span."""
     known = scored.where(~F.col("base_failed")).join(trusted.select("doc_id").distinct(), "doc_id", "left_semi")
-    found = known.agg(F.percentile_approx("ratio", share, 100_000)).first()[0]
-    return MIN_RATIO if found is None else found
+    counts = sorted(known.groupBy(F.floor(F.col("ratio") * STEPS).alias("step")).count().toLocalIterator())
+    below, most = 0, share * sum(n for _, n in counts)
+    for step, n in counts:
+        below += n
+        if below > most:
+            return step / STEPS
+    return MIN_RATIO
 
 
 def judge(docs: DataFrame, trusted: DataFrame, share: float = TRUSTED_SHARE, bits: int | None = None) -> DataFrame:

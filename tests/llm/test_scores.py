@@ -186,7 +186,24 @@ def test_rules_give_the_same_verdict_in_a_larger_corpus(spark, tmp_path):
     assert np.mean([verdicts[0][k] == verdicts[1][k] for k in range(300)]) > 0.95
     docs = spark.read.parquet(f"{tmp_path}/9000/documents.parquet")
     assert 9000 * 399 / len(rules.train(docs, docs.limit(0)).weights) < 100  # n-grams a bucket
-    assert rules.bits_for(0) == rules.BUCKET_BITS and rules.bits_for(192 << 24) == 24 and rules.bits_for(192 << 30) == 30
+    assert [rules.bits_for(n) for n in (0, 192 << 18, 192 << 20, 192 << 30)] == [rules.BUCKET_BITS, 18, 20, rules.MOST_BITS]
+    # a model at its bound: 875 n-grams share a bucket, as in 2**20 buckets for some five GB of text
+    trusted = spark.read.parquet(f"{tmp_path}/9000/labels.parquet").where("quality = 1").select("doc_id")
+    full = {r.doc_id: r.kept for r in rules.judge(docs, trusted, bits=12).where("doc_id < 300").collect()}
+    assert not any(full[k] for k in range(0, 300, 3))
+    assert np.mean([verdicts[0][k] == full[k] for k in range(300)]) > 0.95
+
+
+def test_the_least_ratio_is_exact_and_repeatable(spark):
+    rows = [(k, (k * 37 % 1000) / 4096 - 0.1, k % 50 == 0) for k in range(1000)]
+    scored = spark.createDataFrame(rows, "doc_id long, ratio double, base_failed boolean")
+    trusted = spark.range(0, 2000, 2).toDF("doc_id")
+    known = sorted(ratio for k, ratio, failed in rows if not failed and k % 2 == 0)
+    for share in (0.0, 0.01, 0.5):
+        found = {rules.trusted_floor(scored.repartition(n), trusted, share) for n in (1, 7)}
+        exact = known[int(share * len(known))]
+        assert len(found) == 1 and exact - 1 / rules.STEPS < found.pop() <= exact
+    assert rules.trusted_floor(scored, trusted.limit(0)) == rules.MIN_RATIO
 
 
 def plain_scan(text, templates, threshold):
