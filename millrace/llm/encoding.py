@@ -15,7 +15,7 @@ from itertools import chain
 
 import numpy as np
 
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 500_000  # some 200 bytes each
 JOINED_WORDS = 256
 _WHITE_RUN = re.compile(r"\s\s")
 
@@ -37,7 +37,6 @@ class CachedEncoder:
         self.bounds = np.zeros(max(vocabulary.values()) + 1, bool)
         for token, number in vocabulary.items():
             self.bounds[number] = token.endswith("</w>") if blank == "dropped" else token.startswith("Ġ")
-        self.cores: dict[bytes, bytes] = {}
         self.words: dict[bytes, bytes] = {}
 
     def _whole(self, texts: list[str]) -> list[bytes]:
@@ -62,23 +61,31 @@ class CachedEncoder:
             out += [data[a:b] for a, b in zip(cuts, cuts[1:])]
         return out
 
-    def _learn(self, words: list[bytes]) -> None:
-        """Encode new words without their last stops and commas, which are pieces of their own after a letter."""
-        cores, tails = [], []
+    def _learn(self, words: Iterable[bytes]) -> None:
+        """Encode new words without their last stops and commas, which are pieces of their own after a letter. What a word is made
+        of is kept as well, as a word."""
+        ids, wanted, made = self.words, set(), []
         for word in words:
-            core = word.rstrip(b".,")
-            tail = word[len(core) :]
-            if tail and not (core[-1:].isalpha() or core[-1:] > b"\x7f" and core.decode()[-1].isalpha()):
-                core, tail = word, b""
-            cores.append(core.lower() if self.lower and core.isascii() else core)
-            tails.append(tail)
-        new = {*cores, *tails}.difference(self.cores)
-        plain = [w for w in new if self._plain(w)]
-        other = list(new.difference(plain))
-        self.cores.update(zip(plain, self._joined(plain)))
-        self.cores.update(zip(other, self._whole([w.decode() for w in other])))
-        get = self.cores.__getitem__
-        self.words.update(zip(words, map(bytes.__add__, map(get, cores), map(get, tails))))
+            core, tail = word, b""
+            if word[-1:] in (b".", b","):
+                core = word.rstrip(b".,")
+                if core[-1:].isalpha() or core[-1:] > b"\x7f" and core.decode()[-1].isalpha():
+                    tail = word[len(core) :]
+                else:
+                    core = word
+            if self.lower and core.isascii():
+                core = core.lower()
+            if tail or core != word:
+                made.append((word, core, tail))
+                wanted.add(tail)
+            wanted.add(core)
+        wanted.difference_update(ids.keys() & wanted)
+        plain = [w for w in wanted if self._plain(w)]
+        other = list(wanted.difference(plain))
+        ids.update(zip(plain, self._joined(plain)))
+        ids.update(zip(other, self._whole([w.decode() for w in other])))
+        for word, core, tail in made:
+            ids[word] = ids[core] + ids[tail]
 
     def _plain(self, word: bytes) -> bool:
         letters = word if self.blank == "dropped" else word[1:] if word[:1] == b" " else b""
@@ -96,8 +103,8 @@ class CachedEncoder:
         parts = [self._parts(t or "") for t in texts]
         new = set(chain.from_iterable(filter(None, parts)))
         if len(self.words) + len(new) > CACHE_WORDS:
-            self.words, self.cores = {}, {}
-        self._learn(list(new.difference(self.words)))
+            self.words = {}
+        self._learn(new.difference(self.words) if self.words else new)
         get = self.words.__getitem__
         return [self._whole([t or ""])[0] if p is None else b"".join(map(get, p)) for t, p in zip(texts, parts)]
 
