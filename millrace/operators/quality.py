@@ -347,12 +347,29 @@ def verify(df: DataFrame, constraints: Sequence[Constraint]) -> DataFrame:
 
 # Size of a distinct-count sketch as a power of two; 12 gives an error of about 1.6 % in a few kilobytes per column.
 SKETCH_SIZE = 12
+# Fixed value: texts with more different values are not taken for categories.
+MOST_CATEGORIES = 120
+# Values that a sketch of frequent ones keeps count of; with fewer in a column its counts are exact.
+TRACKED = 1024
+
+
+def _categories(column: str, rows: Column) -> Column:
+    """From a sketch of frequent values: (value, count) of the non-null ones, most frequent first, equal ones in order; NULL where
+    there are too many, which shows in counts that do not add up to the rows."""
+    found = F.col(column)
+    counted = F.aggregate(found, F.lit(0).cast("long"), lambda total, x: total + x["count"])
+    ordered = F.array_sort(
+        F.transform(F.filter(found, lambda x: x["item"].isNotNull()), lambda x: F.struct((-x["count"]).alias("n"), x["item"].alias("value")))
+    )
+    values = F.transform(ordered, lambda x: F.struct(x["value"].alias("value"), (-x["n"]).alias("count")))
+    return F.when((counted == rows) & (F.size(values) <= MOST_CATEGORIES), values)
 
 
-def profile(df: DataFrame) -> DataFrame:
-    """One row per column: rows, non-null rows, lowest and highest number, distinct estimate, type of texts.
+def profile(df: DataFrame, categories: bool = False) -> DataFrame:
+    """One row per column: rows, non-null rows, lowest and highest number, distinct estimate, type of texts, and with `categories`
+    the values of texts that have few, with their counts.
 
-    One aggregate over the table for all columns; the distinct counts are sketches of fixed size.
+    One aggregate over the table for all columns; distinct counts and categories are sketches of fixed size.
     """
     measures, lines = [F.count(F.lit(1)).alias("rows")], []
     for i, f in enumerate(df.schema.fields):
@@ -369,6 +386,11 @@ def profile(df: DataFrame) -> DataFrame:
         for kind, pattern in TYPE_PATTERNS.items() if text else ():
             measures.append(F.count_if(F.rlike(col, F.lit(pattern))).alias(f"{kind}{i}"))
             kinds.append(F.when((F.col(f"n{i}") > 0) & (F.col(f"{kind}{i}") == F.col(f"n{i}")), F.lit(kind)))
+        values = F.lit(None).cast("array<struct<value: string, count: bigint>>")
+        if categories and text:
+            sketch = F.call_function("approx_top_k", col, F.lit(MOST_CATEGORIES + 2), F.lit(TRACKED))
+            measures.append(sketch.alias(f"top{i}"))
+            values = _categories(f"top{i}", F.col("rows"))
         lines.append(
             F.struct(
                 F.lit(f.name).alias("column_name"),
@@ -378,6 +400,7 @@ def profile(df: DataFrame) -> DataFrame:
                 F.col(f"hi{i}").alias("max_value"),
                 F.col(f"d{i}").alias("distinct_estimate"),
                 (F.coalesce(*kinds) if kinds else F.lit(None).cast("string")).alias("text_type"),
+                *([values.alias("categories")] if categories else []),
             )
         )
     return df.agg(*measures).select(F.inline(F.array(*lines)))
@@ -387,25 +410,64 @@ def profile(df: DataFrame) -> DataFrame:
 LEAST_COMPLETENESS = 0.2
 UNIQUE_TOLERANCE = 0.08
 CONFIDENCE_Z = 1.96
+MOST_SINGLE = 0.1
+MOST_SINGLE_FRACTIONAL = 0.4
+COVERED = 0.9
+
+
+def _least_share(ratio: Column, rows: Column) -> Column:
+    """The lower end of a share's 95 % interval, in hundredths."""
+    spread = CONFIDENCE_Z * F.sqrt(F.try_divide(ratio * (1 - ratio), rows))
+    return F.floor((ratio - spread) * 100) / 100
+
+
+def _value_rules(rows: Column, filled: Column) -> tuple[Column, Column, Column, Column]:
+    """Of a column's categories: whether all of them make a value list and the list, whether the most frequent ones make one that
+    covers enough of the rows, and that list with the least share it should cover."""
+    values = F.col("categories")
+    single = F.try_divide(F.size(F.filter(values, lambda x: x["count"] == 1)), F.size(values))
+
+    def listed(items: Column) -> Column:
+        quoted_items = F.transform(items, lambda x: F.concat(F.lit('"'), F.replace(x["value"], F.lit('"'), F.lit('\\"')), F.lit('"')))
+        return F.concat(F.lit("["), F.array_join(quoted_items, ", "), F.lit("]"))
+
+    start = F.struct(F.lit(0).cast("long").alias("rows"), F.lit(0).alias("n"))
+    most = F.aggregate(
+        values,
+        start,
+        lambda at, x: F.when(F.try_divide(at["rows"], filled) < COVERED, F.struct((at["rows"] + x["count"]).alias("rows"), (at["n"] + 1).alias("n"))).otherwise(at),
+    )
+    share = F.try_divide(most["rows"], filled)
+    some = F.concat(listed(F.slice(values, 1, F.greatest(most["n"], F.lit(0)))), F.lit(", "), F.format_string("%.2f", _least_share(share, rows)))
+    return single <= MOST_SINGLE, listed(values), (single <= MOST_SINGLE_FRACTIONAL) & (share < 1), some
 
 
 def suggest(profiled: DataFrame) -> DataFrame:
     """Constraints that a profiled table meets: `column_name`, `suggestion`, `dq_rule`.
 
     Complete columns stay complete, mostly complete ones keep their ratio (lower end of the 95 % interval), texts that
-    all look like one type keep it, numbers without a negative stay so, nearly unique columns are unique. Value-list
-    suggestions are left out: they are not stored.
+    all look like one type keep it, numbers without a negative stay so, nearly unique columns are unique. From a profile with
+    `categories` also value lists: of texts that have few values which mostly come more than once, and of the most frequent ones
+    that make up nine tenths of the rows.
     """
     rows, filled = F.col("rows"), F.col("non_null")
     ratio = F.try_divide(filled, rows)
-    spread = CONFIDENCE_Z * F.sqrt(F.try_divide(ratio * (1 - ratio), rows))
-    least = F.floor((ratio - spread) * 100) / 100
+    least = _least_share(ratio, rows)
     name = F.col("column_name")
 
     def offer(test: Column, text: str, rule: Column) -> Column:
         return F.when(test, F.struct(F.lit(text).alias("suggestion"), rule.alias("dq_rule")))
 
+    lists = []
+    if "categories" in profiled.columns:
+        whole, every, part, most = _value_rules(rows, filled)
+        untyped = F.col("text_type").isNull()
+        lists = [
+            offer(whole & untyped, "categories", F.format_string('isContainedIn("%s", %s)', name, every)),
+            offer(part & untyped, "most categories", F.format_string('isContainedIn("%s", %s)', name, most)),
+        ]
     offers = F.array(
+        *lists,
         offer(ratio == 1, "complete", F.format_string('isComplete("%s")', name)),
         offer(
             (ratio > LEAST_COMPLETENESS) & (ratio < 1),
@@ -426,10 +488,15 @@ def suggest(profiled: DataFrame) -> DataFrame:
 
 
 def suggest_or_verify(df: DataFrame, constraints: Sequence[Constraint]) -> tuple[DataFrame | None, DataFrame | None]:
-    """(suggestions, results): suggestions only where no constraint is configured."""
+    """(suggestions, results): suggestions only where no constraint is configured. Value lists are suggested, but not stored."""
     if constraints:
         return None, verify(df, constraints)
-    return suggest(profile(df)), None
+    return storable(suggest(profile(df))), None
+
+
+def storable(suggestions: DataFrame) -> DataFrame:
+    """Suggestions without value lists."""
+    return suggestions.filter(~F.startswith("dq_rule", F.lit("isContainedIn(")))
 
 
 def verify_tables(

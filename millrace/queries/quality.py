@@ -118,6 +118,8 @@ def dq_profile(t: Tables):
     "UNION ALL SELECT 'finished', 'completeness', 'hasCompleteness(\"finished\", ' || "
     "printf('%.2f', floor((ratio - 1.96 * sqrt(ratio * (1 - ratio) / n)) * 100) / 100) || ')' FROM r "
     "UNION ALL SELECT 'price_text', 'complete', 'isComplete(\"price_text\")' FROM p "
+    "UNION ALL SELECT 'price_text', 'unique', 'isUnique(\"price_text\")' FROM p WHERE abs(1 - "
+    "(SELECT count(DISTINCT round(o_totalprice)) FROM orders) / n) <= 0.08 "
     "UNION ALL SELECT 'price_text', 'type', 'hasDataType(\"price_text\", \"Fractional\")' FROM p "
     "UNION ALL SELECT 'o_orderpriority', 'complete', 'isComplete(\"o_orderpriority\")' FROM p"
 )
@@ -129,8 +131,42 @@ def dq_suggestions(t: Tables):
         "o_orderpriority",
     )
     suggestions, _ = quality.suggest_or_verify(table, [])
-    # The estimate for price_text may or may not come near the row count; its suggestion is not part of this check.
-    return suggestions.filter("NOT (column_name = 'price_text' AND suggestion = 'unique')")
+    return suggestions
+
+
+def value_list_sql(name: str, column: str, table: str) -> str:
+    """Value lists of one column: all of its values, and the most frequent ones that reach nine tenths of its rows."""
+    return (
+        f"SELECT '{name}' AS column_name, kind AS suggestion, 'isContainedIn(\"{name}\", [' || vals || ']' || rest || ')' AS dq_rule FROM ("
+        f"WITH c AS (SELECT {column} AS v, count(*) AS n FROM {table} WHERE {column} IS NOT NULL GROUP BY 1), "
+        "o AS (SELECT v, n, coalesce(sum(n) OVER (ORDER BY n DESC, v ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b, sum(n) OVER () AS t, "
+        f"(SELECT count(*) FROM {table}) AS r FROM c), m AS (SELECT * FROM o WHERE b / t < 0.9), p AS (SELECT sum(n) / any_value(t) AS p, any_value(r) AS r FROM m) "
+        "SELECT 'categories' AS kind, string_agg('\"' || v || '\"', ', ' ORDER BY n DESC, v) AS vals, '' AS rest FROM o "
+        "HAVING count(*) FILTER (WHERE n = 1) / count(*) <= 0.1 AND count(*) <= 120 UNION ALL "
+        "SELECT 'most categories', string_agg('\"' || v || '\"', ', ' ORDER BY n DESC, v), ', ' || "
+        "(SELECT printf('%.2f', floor((p - 1.96 * sqrt(p * (1 - p) / r)) * 100) / 100) FROM p) FROM m "
+        "HAVING (SELECT p FROM p) < 1 AND (SELECT count(*) FILTER (WHERE n = 1) / count(*) FROM o) <= 0.4 AND (SELECT count(*) FROM o) <= 120)"
+    )
+
+
+@register(
+    " UNION ALL ".join(
+        value_list_sql(name, column, "lineitem")
+        for name, column in (
+            ("l_returnflag", "l_returnflag"),
+            ("mostly", "CASE WHEN l_quantity < 48 THEN 'low' WHEN l_linenumber <> 1 THEN l_returnflag END"),
+            ("month", "strftime(l_shipdate, '%Y-%m') || 'm'"),
+        )
+    )
+)
+def dq_value_suggestions(t: Tables):
+    mostly = F.when(F.col("l_quantity") < 48, "low").when(F.col("l_linenumber") != 1, F.col("l_returnflag"))
+    table = t.lineitem.select(
+        "l_returnflag", mostly.alias("mostly"), F.concat(F.date_format("l_shipdate", "yyyy-MM"), F.lit("m")).alias("month"),
+        F.concat(F.lit("k"), F.col("l_orderkey").cast("string")).alias("many"),
+    )
+    found = quality.suggest(quality.profile(table, categories=True))
+    return found.filter(F.startswith("dq_rule", F.lit("isContainedIn(")))
 
 
 @register(

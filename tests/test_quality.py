@@ -151,3 +151,23 @@ def test_written_run_counts_on_the_way(spark, data, tmp_path):
     assert {r["rule_id"]: r["execution_status"] for r in log.collect()}["lost"] == "FAILED"
     written = spark.read.parquet(path)
     assert written.count() == 4 and written.first()["execution_id"] == "run1"
+
+
+def test_value_lists(spark):
+    k = F.col("id")
+    data = spark.range(1000).select(
+        F.when(k % 100 < 95, "a").when(k % 100 < 99, "b").alias("few"),
+        F.when(k < 950, (k % 3).cast("string")).otherwise(F.concat(F.lit('o"'), k.cast("string"))).alias("tail"),
+        F.concat(F.lit("v"), (k % 200).cast("string")).alias("many"), k.cast("string").alias("digits"), F.lit(None).cast("string").alias("never"),
+    )
+    profiled = quality.profile(data, categories=True)
+    lists = {r["column_name"]: r["categories"] for r in profiled.collect()}
+    assert [tuple(x) for x in lists["few"]] == [("a", 950), ("b", 40)] and len(lists["tail"]) == 53
+    assert lists["many"] is None and lists["digits"] is None and lists["never"] == []
+    found = {(r["column_name"], r["suggestion"]): r["dq_rule"] for r in quality.suggest(profiled).collect()}
+    assert found[("few", "categories")] == 'isContainedIn("few", ["a", "b"])'
+    assert found[("few", "most categories")] == 'isContainedIn("few", ["a"], 0.94)'
+    assert ("tail", "categories") not in found and ("tail", "most categories") not in found  # most values come once
+    assert not [k for k in found if k[1].endswith("categories") and k[0] != "few"]
+    stored, _ = quality.suggest_or_verify(data, [])
+    assert stored.filter("dq_rule LIKE 'isContainedIn%'").count() == 0
