@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -32,6 +32,7 @@ _LETTERS = ~WHITE
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 _MIX = np.uint64(0xA0761D6478BD642F)
 GROUP = 1 << 20
+LARGE = 16  # blocks of a bucket whose members first meet their own block only
 
 
 @dataclass(frozen=True)
@@ -181,27 +182,33 @@ def _pruned(pairs: DataFrame, nodes: DataFrame, settings: Settings) -> DataFrame
     return both.select("a", "b", "sa", "sb").mapInArrow(test, "a long, b long, seen double")
 
 
-def _confirmed(pairs: DataFrame, texts: Callable[[DataFrame], DataFrame], settings: Settings) -> DataFrame:
-    """a, b and whether 100 * intersection >= percent * union on full sets; `texts` gives node and text of the nodes asked for."""
+def _sets(texts: DataFrame, settings: Settings) -> DataFrame:
+    """node and its shingles as sorted 64-bit numbers, from node and text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [shingles(hashes(_folded([t])), settings.size).tobytes() for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(found, pa.binary())], names=["node", "shingles"])
+
+    return texts.mapInArrow(run, "node long, shingles binary")
+
+
+def _linked(a: np.ndarray, b: np.ndarray, settings: Settings) -> bool:
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * common >= settings.percent * (len(a) + len(b) - common)
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
+    """a, b and whether 100 * intersection >= percent * union on full sets."""
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: tuple[int, np.ndarray] | None = None
         for batch in batches:
-            a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
-            left, right = batch.column("ta").to_pylist(), batch.column("tb").to_pylist()
-            out = []
-            for x, p, q in zip(a, left, right):
-                if last is None or last[0] != x:
-                    last = x, shingles(hashes(_folded([p])), settings.size)
-                other = shingles(hashes(_folded([q])), settings.size)
-                common = len(np.intersect1d(last[1], other, assume_unique=True))
-                out.append(100 * common >= settings.percent * (len(last[1]) + len(other) - common))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(out)], names=["a", "b", "linked"])
-
-    ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    needed = cut(texts(ends))
-    both = pairs.select("a", "b").join(needed.toDF("b", "tb"), "b").join(needed.toDF("a", "ta"), "a")
-    return both.select("a", "b", "ta", "tb").mapInArrow(confirm, "a long, b long, linked boolean")
+            sides = zip(batch.column("sa"), batch.column("sb"))
+            out = [_linked(np.frombuffer(p.as_buffer(), np.uint64), np.frombuffer(q.as_buffer(), np.uint64), settings) for p, q in sides]
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(out, pa.bool_())], names=["a", "b", "linked"])
+
+    both = pairs.select("a", "b").join(sets.toDF("b", "sb"), "b").join(sets.toDF("a", "sa"), "a")
+    return both.select("a", "b", "sa", "sb").mapInArrow(confirm, "a long, b long, linked boolean")
 
 
 def _ordered(x: str, y: str) -> list:
@@ -241,13 +248,12 @@ def judged(
     signed = sketched.where(usable).join(prints, ["print", "doc_id", "copy"])
     nodes = cut(signed.dropDuplicates(["node"]).select("node", "n_shingles", "signature", "bands"))
 
-    def texts(wanted: DataFrame) -> DataFrame:
-        places = prints.join(wanted, "node", "left_semi").select("doc_id", "copy", "node")
-        return rows.join(places, ["doc_id", "copy"]).select("node", "text")
-
     banded = nodes.select("node", F.explode("bands").alias("band"))
     sizes = cut(banded.groupBy("band").agg(F.count("*").alias("m")).where("m > 1"))  # apart, so that hot buckets can be split
     shared = cut(banded.join(sizes, "band"))  # only buckets with more than one member
+    # whole texts move once, and only those that meet others; from then on their shingles stand for them
+    places = prints.join(shared.select("node").distinct(), "node", "left_semi").select("doc_id", "copy", "node")
+    sets = cut(_sets(rows.join(places, ["doc_id", "copy"]).dropDuplicates(["doc_id", "copy"]).select("node", "text"), settings))
     met = shared.groupBy("node").agg(F.sum("m").alias("met"))
     centres = shared.join(met, "node").groupBy("band").agg(F.max(F.struct("met", F.xxhash64("node").alias("h"), "node")).alias("s"))
     stars = cut(centres.select("band", F.col("s.node").alias("star")))
@@ -256,16 +262,16 @@ def judged(
     # each node's best candidate: one link joins it, and most others need no confirmation
     ends = found.select("a", "b", "seen", F.explode(F.array("a", "b")).alias("end"))
     best = ends.groupBy("end").agg(F.max(F.struct("seen", "a", "b")).alias("p")).select("p.a", "p.b").distinct()
-    tested = cut(_confirmed(best, texts, settings))
+    tested = cut(_confirmed(best, sets, settings))
     labels = cut(_labelled(nodes, tested.where("linked")))
 
     # then what is still apart; members of large buckets first meet those of their own block, which joins most of them
     links = tested.where("linked").select("a", "b")
-    large = sizes.where(F.col("m") > settings.block)
+    large = sizes.where(F.col("m") > LARGE * settings.block)
     if not large.isEmpty():
-        links = links.unionByName(_across(shared.join(large.select("band"), "band", "left_semi"), nodes, labels, texts, settings, own=True))
+        links = links.unionByName(_across(shared.join(large.select("band"), "band", "left_semi"), nodes, labels, sets, settings, own=True))
         labels = cut(_labelled(nodes, links))
-    links = links.unionByName(_across(shared, nodes, labels, texts, settings))
+    links = links.unionByName(_across(shared, nodes, labels, sets, settings))
     labels = _labelled(nodes, links)
 
     named = cut(prints.join(labels, "node").select("print", "doc_id", "component"))
@@ -381,7 +387,7 @@ def _joining(rows: pa.Table, settings: Settings) -> tuple[list[int], list[int]]:
             p = root[p]
         return p
 
-    sets = rows["shingles"]
+    held = rows["shingles"]
     opened: dict[int, np.ndarray] = {}
     a, b = [], []
     order = np.argsort(-seen, kind="stable")
@@ -391,9 +397,8 @@ def _joining(rows: pa.Table, settings: Settings) -> tuple[list[int], list[int]]:
             continue
         for k in (p, q):
             if k not in opened:
-                opened[k] = np.frombuffer(sets[k].as_buffer(), np.uint64)
-        common = len(np.intersect1d(opened[p], opened[q], assume_unique=True))
-        if 100 * common >= settings.percent * (len(opened[p]) + len(opened[q]) - common):
+                opened[k] = np.frombuffer(held[k].as_buffer(), np.uint64)
+        if _linked(opened[p], opened[q], settings):
             root[one] = other
             a.append(p)
             b.append(q)
@@ -401,7 +406,7 @@ def _joining(rows: pa.Table, settings: Settings) -> tuple[list[int], list[int]]:
 
 
 def _across(
-    shared: DataFrame, nodes: DataFrame, labels: DataFrame, texts: Callable[[DataFrame], DataFrame], settings: Settings, own: bool = False
+    shared: DataFrame, nodes: DataFrame, labels: DataFrame, sets: DataFrame, settings: Settings, own: bool = False
 ) -> DataFrame:
     """a, b: links that join components within blocks. Signatures of a block are compared first; the rows that have a survivor
     get their shingles, are compared once more, and confirmed, in one task. Rows out are nodes, never pairs."""
@@ -412,11 +417,6 @@ def _across(
             if len(x):
                 yield from rows.take(pa.array(np.union1d(x, y))).to_batches()
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [shingles(hashes(_folded([t])), settings.size).tobytes() for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(found, pa.binary())], names=["node", "shingles"])
-
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _by_block(batches):
             a, b = (rows["node"].take(pa.array(p, pa.int64())).combine_chunks() for p in _joining(rows, settings))
@@ -424,8 +424,7 @@ def _across(
 
     dealt = _dealt(shared, nodes, labels, settings, own).repartition(*_KEY).sortWithinPartitions(*_KEY)
     marked = cut(dealt.mapInArrow(mark, _BLOCK))
-    full = cut(texts(marked.select("node").distinct()).mapInArrow(sets, "node long, shingles binary"))
-    ready = marked.join(full, "node").repartition(*_KEY).sortWithinPartitions(*_KEY, "node")
+    ready = marked.join(sets, "node").repartition(*_KEY).sortWithinPartitions(*_KEY, "node")
     return cut(ready.mapInArrow(join, "a long, b long"))
 
 

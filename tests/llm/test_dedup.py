@@ -88,7 +88,7 @@ def drifting(n, seed, changes):
     return rows
 
 
-@pytest.mark.parametrize("n, changes, block", [(3000, 2, 512), (600, 2, 64)])
+@pytest.mark.parametrize("n, changes, block", [(3000, 2, 512), (3000, 2, 64), (600, 2, 16)])
 def test_large_groups_of_near_copies(spark, n, changes, block, monkeypatch):
     """Blocks pass on links that join components, not pairs, and no link is lost."""
     rows = drifting(n, n, changes)
