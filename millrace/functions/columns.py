@@ -159,3 +159,17 @@ def python_udf(
     """
     made = F.pandas_udf(function, return_type) if vectorised else F.udf(function, return_type, useArrow=True)
     return made(*[to_column(c) for c in columns])
+
+
+def json_value(text: str | Column, path: str, data_type: T.DataType | str) -> Column:
+    """The value at a dotted path of a JSON object, NULL where it is absent or of another type. One field is parsed, not the
+    whole object."""
+    names = path.split(".")
+    kind = data_type if isinstance(data_type, str) else data_type.simpleString()
+    schema = kind
+    for name in reversed(names):
+        schema = f"struct<`{name}`: {schema}>"
+    found = F.from_json(to_column(text), schema)
+    for name in names:
+        found = found[name]
+    return found

@@ -47,6 +47,24 @@ def pivot_aggregate_data(
     return parts.groupBy(*[quoted(n) for n in names], "part").agg(*[cell(v) for v in pivot_values])
 
 
+def in_one_row(
+    parts: DataFrame, keys: str | Sequence[str], lists: Sequence[str] = (), arrays: Sequence[str] = (), separator: str = ","
+) -> DataFrame:
+    """Numbered parts put together: one row per key, with joined `lists` and JSON `arrays`, for groups that are known to fit a row.
+
+    Parts come in their order; empty lists add nothing. What no row can hold fails here, so large groups stay in parts.
+    """
+    names = as_list(keys)
+
+    def whole(name: str, start: str, end: str) -> Column:
+        in_order = F.array_sort(F.collect_list(F.struct("part", quoted(name).alias("value"))))
+        bare = F.transform(in_order, lambda x: x["value"].substr(F.lit(len(start) + 1), F.length(x["value"]) - len(start) - len(end)))
+        return F.concat(F.lit(start), F.array_join(F.filter(bare, lambda x: x != ""), separator), F.lit(end)).alias(name)
+
+    cells = [whole(n, "", "") for n in lists] + [whole(n, "[", "]") for n in arrays]
+    return parts.groupBy(*[quoted(n) for n in names]).agg(*cells)
+
+
 def distinct_values(df: DataFrame, column: str) -> list[object]:
     """The values that become columns of a pivot, in order. More than Spark's limit for pivots is an error, not a cut."""
     most = int(df.sparkSession.conf.get("spark.sql.pivotMaxValues"))

@@ -267,3 +267,25 @@ def enrich(
             unmapped = missing if unmapped is None else unmapped.union(missing)
         result = result.join(picked, names, "left")
     return result, unmapped
+
+
+def bridge(
+    links: DataFrame,
+    left: DataFrame,
+    right: DataFrame,
+    left_keys: str | Sequence[str],
+    right_keys: str | Sequence[str],
+    agree: Sequence[str] = (),
+    keep: Sequence[str] = (),
+) -> DataFrame:
+    """Distinct pairs of the keys of two tables that a table of links puts together, with the `keep` columns of the links; only
+    pairs that have the same values in `agree`, if any. Links are reduced to distinct ones before they meet the tables. NULLs
+    match nothing.
+    """
+    lefts, rights = as_list(left_keys), as_list(right_keys)
+    columns = list(dict.fromkeys([*keep, *lefts, *rights]))
+    needed = links.select(*[quoted(c) for c in columns]).distinct()
+    same = {c: f"__same_{c}" for c in agree}
+    with_left = needed.join(left.select(*[quoted(c) for c in lefts], *[quoted(c).alias(n) for c, n in same.items()]).distinct(), lefts)
+    other = right.select(*[quoted(c) for c in rights], *[quoted(c).alias(n) for c, n in same.items()]).distinct()
+    return with_left.join(other, [*rights, *same.values()]).select(*[quoted(c) for c in columns]).distinct()

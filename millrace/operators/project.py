@@ -172,12 +172,19 @@ def conditional_conversion(
     return df.withColumn(column, F.when(test, changed).otherwise(current))
 
 
+#: A plain number as a text, with or without decimals.
+DECIMAL_TEXT = r"^\s*[-+]?(\d+(\.\d*)?|\.\d+)\s*$"
+
+
 def convert_column_to_float(df: DataFrame, column: str) -> DataFrame:
     return conversion(df, column, lambda c: c, "float")
 
 
 def convert_column_to_int(df: DataFrame, column: str) -> DataFrame:
-    return conversion(df, column, lambda c: c, "int")
+    """Whole numbers; of texts with decimals the whole part ('12.7' is 12), and NULL for texts that are no plain number."""
+    if not isinstance(df.schema[column].dataType, T.StringType):
+        return conversion(df, column, lambda c: c, "int")
+    return conversion(df, column, lambda c: F.when(c.rlike(DECIMAL_TEXT), c.try_cast("decimal(38,9)")), "int")
 
 
 def convert_column_to_string(df: DataFrame, column: str) -> DataFrame:

@@ -14,6 +14,8 @@ from millrace.operators.aggregate import group_to_json_array
 from millrace.operators.cdc import newest_per_key, upsert
 from millrace.operators.filters import FIRST_WATERMARK
 from millrace.operators.joins import anti_join, semi_join
+from millrace.sinks.files import write_final
+from millrace.sources.files import read_target
 
 # Outcomes of a run.
 SUCCESS = "SUCCESS"
@@ -128,6 +130,18 @@ def update_status(
     return upsert(status, newest_per_key(changes, keys, newest_by), keys)
 
 
+def stored_status(spark: SparkSession, path: str) -> DataFrame | None:
+    """The job status table as the last run left it, or None before the first."""
+    return read_target(spark, path)
+
+
+def store_status(path: str, changes: DataFrame, newest_by: Sequence[str] = ("execution_end_dttm",)) -> DataFrame:
+    """Put changes into the stored status table, by one commit; the table as it is now."""
+    spark = changes.sparkSession
+    write_final(update_status(stored_status(spark, path), changes, newest_by), path)
+    return stored_status(spark, path)
+
+
 def in_blackout(ola: str | Column, moment: str | Column) -> Column:
     """True when a time of day lies in the `HH:MM:SS-HH:MM:SS` in which a pipeline must not start."""
     ends = F.split(to_column(ola), "-")

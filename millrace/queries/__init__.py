@@ -45,6 +45,7 @@ def load_all() -> None:
         catalog,
         changes,
         files,
+        flows,
         joins,
         methodology,
         pipelines,

@@ -6,6 +6,10 @@ from pyspark.sql import functions as F
 
 from millrace.operators import cdc
 from millrace.queries import Tables, register
+from millrace.session import scratch_path
+from millrace.sinks.files import write_final
+from millrace.sinks.isolated import upsert_isolated
+from millrace.sources.files import read_target
 
 CUTOFF = "o_orderdate < TIMESTAMP_NTZ '1997-01-01 00:00:00'"
 
@@ -120,6 +124,46 @@ def upsert_with_rejects(t: Tables):
     return merged.drop("op")
 
 
+def below_limit(batch) -> None:
+    """What a constraint of the target would say: it does not tell which row is meant."""
+    if any(price > 600_000 for price in batch.column("price").to_pylist() if price is not None):
+        raise ValueError("a price is over the limit")
+
+
+def isolated_target(t: Tables, all_or_nothing: bool):
+    """The merged table after an upsert in batches, and the outcome."""
+    path = scratch_path(t.spark, "upserted")
+    write_final(target(t), path)
+    rows = increment(t).drop("op")
+    outcome = upsert_isolated(rows, path, "o_orderkey", below_limit, all_or_nothing, batch=500)
+    return read_target(t.spark, path), outcome
+
+
+@register(
+    f"WITH {TARGET_SQL}, {INCREMENT_SQL}, good AS (SELECT o_orderkey, price FROM inc WHERE price <= 600000) SELECT *, 'table' AS place "
+    "FROM tgt WHERE NOT EXISTS (SELECT 1 FROM good WHERE good.o_orderkey = tgt.o_orderkey) UNION ALL SELECT *, 'table' FROM good "
+    "UNION ALL SELECT o_orderkey, price, 'ValueError: a price is over the limit' FROM inc WHERE price > 600000"
+)
+def isolated_upsert_keeps_good_rows(t: Tables):
+    """Rows that the target refuses are found one by one inside the writing tasks; the others get in."""
+    merged, outcome = isolated_target(t, all_or_nothing=False)
+    found = merged.withColumn("place", F.lit("table"))
+    if outcome.refused_rows is None:
+        return found
+    return found.unionByName(outcome.refused_rows.withColumnRenamed("error_message", "place"))
+
+
+@register(
+    f"WITH {TARGET_SQL}, {INCREMENT_SQL}, bad AS (SELECT count(*) AS n FROM inc WHERE price > 600000) SELECT tgt.*, n AS refused FROM tgt, bad "
+    "WHERE n > 0 OR NOT EXISTS (SELECT 1 FROM inc WHERE inc.o_orderkey = tgt.o_orderkey) "
+    "UNION ALL SELECT o_orderkey, price, n FROM inc, bad WHERE n = 0"
+)
+def isolated_upsert_all_or_nothing(t: Tables):
+    """One refused row leaves the target as it was; where none is refused, all get in."""
+    merged, outcome = isolated_target(t, all_or_nothing=True)
+    return merged.withColumn("refused", F.lit(outcome.refused).cast("long"))
+
+
 @register(
     "SELECT l_orderkey, l_linenumber, count(*) AS count FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1"
 )

@@ -150,18 +150,19 @@ def xml_nested_round_trip(t: Tables):
     )
 
 
-def order_runs(t: Tables, **settings):
-    """A pipeline over orders, and a function that runs it once and raises what went wrong."""
+def order_runs(t: Tables, load: str = "delta", **settings):
+    """A pipeline over orders, and a function that runs it once, raises what went wrong, and gives the status row."""
     specs = [
         ColumnSpec(1, "o_orderkey", "order_id", "bigint"), ColumnSpec(2, "o_totalprice", "price", "decimal", 18, 2),
     ]
     places = {"target_path": scratch_path(t.spark, "final"), "landing_path": scratch_path(t.spark, "landing")}
-    spec = PipelineSpec("orders", load_type="delta", **places, **settings)
+    spec = PipelineSpec("orders", load_type=load, **places, **settings)
 
     def run(source, **when):
         outcome = run_pipeline(t.spark, spec, specs, source, **when).first()
         if outcome["job_status"] != SUCCESS:
             raise RuntimeError(outcome["error_message"])
+        return outcome
 
     return spec, run
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from millrace.operators.joins import bridge, left_join_different_key_names
 from millrace.operators.windows import surrogate_keys
 from millrace.plans import methodology
 from millrace.queries import Tables, register
@@ -174,16 +175,14 @@ def methodology_request_bridge(t: Tables):
     "JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey AND s_nationkey = c_nationkey"
 )
 def bridge_load(t: Tables):
-    pairs = t.lineitem.select("l_orderkey", "l_suppkey").distinct()
-    located = (
-        pairs.join(t.orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(t.customer.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
-        .join(
-            t.supplier.select("s_suppkey", "s_nationkey"),
-            (F.col("l_suppkey") == F.col("s_suppkey")) & (F.col("s_nationkey") == F.col("c_nationkey")),
-        )
-    )
-    return located.select("l_orderkey", "c_custkey", "s_suppkey")
+    """Orders that link a customer and a supplier of one nation."""
+    sold = t.lineitem.select("l_orderkey", F.col("l_suppkey").alias("s_suppkey"))
+    links = left_join_different_key_names(sold, t.orders.select("o_orderkey", "o_custkey"), ["l_orderkey"], ["o_orderkey"])
+    nations = ("nation", F.col("c_nationkey")), ("nation", F.col("s_nationkey"))
+    return bridge(
+        links.withColumnRenamed("o_custkey", "c_custkey"), t.customer.withColumn(*nations[0]), t.supplier.withColumn(*nations[1]),
+        "c_custkey", "s_suppkey", agree=["nation"], keep=["l_orderkey"],
+    )
 
 
 LATER = "2024-03-01 00:00:00"

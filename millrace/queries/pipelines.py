@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from millrace.functions.columns import json_value
 from millrace.operators import filters
 from millrace.plans import pipelines
 from millrace.queries import Tables, register
@@ -125,4 +126,4 @@ def retention_keep(t: Tables):
 
 @register("SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events")
 def json_field(t: Tables):
-    return t.events.select("event_id", F.from_json("props", "k int")["k"].alias("k"))
+    return t.events.select("event_id", json_value("props", "k", "int").alias("k"))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
+from datetime import date, datetime
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,11 +76,49 @@ def bounds_query(query: str, column: str) -> str:
 def numbered_query(query: str, order_by: str, name: str = "record_key") -> str:
     """A query with a row number to split on, for sources without a numeric key.
 
-    Every range reads the query anew, so the numbers must come out the same each time: an order is required.
+    Every range reads and sorts the query anew, and the numbers must come out the same each time: an order is required.
+    `read_by_ranges` does without numbers.
     """
     return f"SELECT q.*, ROW_NUMBER() OVER (ORDER BY {order_by}) AS {name} FROM ({query}) q"
 
 
+def bounds_by_rank_query(query: str, column: str, partitions: int) -> str:
+    """The least value of each of `partitions` equally large ranges of a column of any type. The source sorts that column once."""
+    ranked = f"SELECT {column} AS k, NTILE({partitions}) OVER (ORDER BY {column}) AS part FROM ({query}) q WHERE {column} IS NOT NULL"
+    return f"SELECT MIN(k) AS low FROM ({ranked}) r GROUP BY part ORDER BY low"
+
+
+def sql_literal(value: object) -> str:
+    """A value as it stands in SQL: numbers plain, dates and timestamps by their keyword, anything else a quoted text."""
+    if isinstance(value, (bool, int, float, Decimal)):
+        return str(value).upper() if isinstance(value, bool) else str(value)
+    if isinstance(value, datetime):
+        return f"TIMESTAMP '{value.isoformat(sep=' ')}'"
+    if isinstance(value, date):
+        return f"DATE '{value.isoformat()}'"
+    return "'" + str(value).replace("'", "''") + "'"
+
+
+def range_predicates(column: str, lows: Iterable[object]) -> list[str]:
+    """Conditions that cut a table into disjoint ranges, of which each row, NULLs included, meets one. `lows` are the least values
+    of the ranges in order; what lies below the first belongs to the first, equal ones make one range."""
+    cuts = [sql_literal(v) for v in dict.fromkeys(lows)][1:]
+    if not cuts:
+        return [f"{column} IS NULL OR {column} IS NOT NULL"]
+    inner = [f"{column} >= {a} AND {column} < {b}" for a, b in zip(cuts, cuts[1:])]
+    return [f"{column} < {cuts[0]} OR {column} IS NULL", *inner, f"{column} >= {cuts[-1]}"]
+
+
+def read_by_ranges(
+    spark: SparkSession, database: Database, query: str, column: str, partitions: int = READ_PARTITIONS
+) -> DataFrame:
+    """A scan split by ranges of a column of any type, each a condition that the source evaluates itself, by an index if it has
+    one. The source finds the bounds in one query; rows that come later fall into a range all the same."""
+    lows = [r["low"] for r in read_query(spark, database, bounds_by_rank_query(query, column, partitions)).collect()]  # one a range
+    options = database.options()
+    return spark.read.jdbc(options.pop("url"), f"({query}) t", predicates=range_predicates(column, lows), properties=options)
+
+
 def read_query(spark: SparkSession, database: Database, query: str) -> DataFrame:
     return spark.read.format("jdbc").options(**query_options(database, query)).load()
 

@@ -93,3 +93,13 @@ def test_sort_latest_sample(frame, spark):
     sample = sort.sample_keys(many, "id", 100)
     assert sample.count() == 100 and rows(sample) == rows(sort.sample_keys(many.repartition(13), "id", 100))
     assert sort.sample_keys(data, "i", 100).count() == 3
+
+
+def test_parts_in_one_row(frame):
+    data = frame([("k", "c", i) for i in range(7)] + [("k", "d", 9), ("e", "x", 1)], "k string, c string, v int")
+    parts = aggregate.pivot_aggregate_data(data, "k", "c", "v", 3, ["c", "d"])
+    assert parts.count() > 2
+    assert rows(aggregate.in_one_row(parts, "k", ["c", "d"])) == [("e", "", ""), ("k", "0,1,2,3,4,5,6", "9")]
+    arrays = aggregate.group_to_json_array(data, "k", ["v"], ["v"], 3)
+    found = {r["k"]: json.loads(r["items"]) for r in aggregate.in_one_row(arrays, "k", arrays=["items"]).collect()}
+    assert [o["v"] for o in found["k"]] == [0, 1, 2, 3, 4, 5, 6, 9] and found["e"] == [{"v": 1}]

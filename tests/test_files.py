@@ -265,3 +265,22 @@ def test_row_tags_of_odd_paths(spark, tmp_path):
     with pytest.raises(Exception, match="1000 different tags"):
         write(tmp_path / "many.xml", f"<a>{''.join(f'<t{i}/>' for i in range(1001))}</a>")
         xmltags.row_tags(spark, str(tmp_path / "many.xml")).collect()
+
+
+def test_ranges_of_a_key_are_disjoint_and_complete(spark, frame):
+    from datetime import date, datetime
+    from decimal import Decimal
+
+    keys = [("it's",), ("a",), ("a",), ("b",), (None,), ("zz",), ("'",)]
+    kinds = {
+        "string": keys, "int": [(3,), (1,), (1,), (None,), (9,)], "date": [(date(2024, 1, d),) for d in (1, 5, 5, 9)] + [(None,)],
+        "timestamp_ntz": [(datetime(2024, 1, 1, h, 0, 0, 5),) for h in range(6)], "decimal(5,2)": [(Decimal("1.50"),), (Decimal("-2.25"),)], "double": [],
+    }
+    for kind, values in kinds.items():
+        data = frame(values, f"k {kind}")
+        for parts in (1, 2, 3, 50):
+            lows = spark.sql(jdbc.bounds_by_rank_query("SELECT * FROM {data}", "k", parts), data=data).collect()
+            found = jdbc.range_predicates("k", [r["low"] for r in lows])
+            assert len(found) <= max(1, parts) and sum(data.filter(p).count() for p in found) == len(values)
+            later = frame([(v,) for v, in values] + [(None,)], f"k {kind}")
+            assert sum(later.filter(p).count() for p in found) == len(values) + 1

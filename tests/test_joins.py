@@ -145,3 +145,11 @@ def test_latest_rows_keeps_ties_and_compares_numbers(frame):
     data = frame([(" a", "9"), ("a ", "10"), ("a", "10"), ("b", "x"), (None, "1")], "n string, v string")
     found = windows.latest_rows(data, F.trim("n"), F.col("v").try_cast("int"))
     assert rows(found) == [("a ", "10"), ("a", "10")] or rows(found) == [("a", "10"), ("a ", "10")]
+
+
+def test_bridge(frame):
+    links = frame([(1, "a", "x"), (1, "a", "x"), (2, "a", "y"), (3, "b", "x"), (4, None, "x"), (5, "c", "x")], "id int, l string, r string")
+    left = frame([("a", 1), ("b", 2), ("c", None)], "l string, g int")
+    right = frame([("x", 1), ("y", 2)], "r string, g int")
+    assert rows(joins.bridge(links, left, right, "l", "r")) == [("a", "x"), ("a", "y"), ("b", "x"), ("c", "x")]
+    assert rows(joins.bridge(links, left, right, "l", "r", agree=["g"], keep=["id"])) == [(1, "a", "x")]

@@ -161,3 +161,10 @@ def test_small_functions(frame):
         drop_last("s", 2), drop_last("x", 2), type_family("f"), type_family("o"), decimal_part("e", 1),
     ).first()
     assert tuple(found) == ("10", "2", "DataLake_ESG", "elsewhere", 3723, "a", "", "string", "date", None)
+
+
+def test_texts_with_decimals_as_whole_numbers(frame):
+    texts = ["12.7", "-12.7", " 3 ", "+4.", ".5", "1e3", "x", "", None, "2147483648", "99999999999999999999"]
+    found = project.convert_column_to_int(frame([(k, v) for k, v in enumerate(texts)], "k int, v string"), "v")
+    assert [r["v"] for r in found.orderBy("k").collect()] == [12, -12, 3, 4, 0, None, None, None, None, None, None]
+    assert rows(project.convert_column_to_int(frame([(12.7,), (None,)], "v double"), "v")) == [(12,), (None,)]
