@@ -91,14 +91,18 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int
     return trees.train(np.array([r.x for r in found]).reshape(-1, len(FEATURES)), np.array([r.label for r in found], float))
 
 
-def score(docs: DataFrame, forest: trees.Forest, id_column: str = "doc_id", text_column: str = "text", keep: bool = False) -> DataFrame:
-    """doc_id and score of every document by its whole text; with `keep`, all columns of `docs` and `__score`.
+def score(docs: DataFrame, forest: trees.Forest, id_column: str = "doc_id", text_column: str = "text", keep: str | bool = False) -> DataFrame:
+    """doc_id and score of every document by its whole text; with `keep`, all columns of `docs` and the score in a column of
+    that name (`__score` if it is True), which must be a new one.
 
     Null and empty texts have the statistics of an empty text. Repeated rows are scored one by one, null ids stay null, an
     empty table gives no rows, and other columns are passed by (`keep`) or not read.
     """
+    keep = "__score" if keep is True else keep
+    if keep and keep.lower() in [c.lower() for c in docs.columns]:
+        raise ValueError(f"there is a column {keep}")
     rows = docs if keep else docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
-    text, name = (text_column, "__score") if keep else ("text", "score")
+    text, name = (text_column, keep) if keep else ("text", "score")
     place = rows.columns.index(text)
     schema = rows.schema if keep else rows.select("doc_id").schema
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,3 +34,11 @@ def components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
         stars = cut(joined.unionByName(least.select("hi", F.col("m").alias("lo"))).distinct())
     roots = stars.select(F.col("lo").alias("node")).distinct()
     return stars.select(F.col("hi").alias("node"), F.col("lo").alias("component")).unionByName(roots.withColumn("component", F.col("node")))
+
+
+def fresh_name(columns: Iterable[str], name: str) -> str:
+    """`name`, with underscores behind it as long as a column has that name, letter case aside."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.encoding import groups_by_size
+from millrace.llm.graph import fresh_name
 from millrace.session import cut
 
 GROUP = 1 << 20
@@ -466,10 +467,12 @@ def repeated_spans(docs: DataFrame, settings: Settings = Settings(), id_column:
 
 
 def remove_repeated(docs: DataFrame, settings: Settings = Settings(), id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """`docs` with the spans cut out of the texts; null texts stay null. Bytes of a character that is cut apart go, too."""
+    """`docs` with the spans cut out of the texts; null texts stay null. Bytes of a character that is cut apart go, too. Repeated
+    rows repeat each other; an empty table stays empty; other columns pass by, whatever their names."""
     spans = repeated_spans(docs, settings, id_column, text_column).where("n_spans > 0").select("digest", "spans").dropDuplicates(["digest"])
-    keyed = docs.withColumn("__digest", F.md5(F.coalesce(F.col(text_column).cast("string"), F.lit(""))))
-    joined = keyed.join(spans.toDF("__digest", "__spans"), "__digest", "left").drop("__digest")
+    digest, cuts = fresh_name(docs.columns, "__digest"), fresh_name(docs.columns, "__spans")
+    keyed = docs.withColumn(digest, F.md5(F.coalesce(F.col(text_column).cast("string"), F.lit(""))))
+    joined = keyed.join(spans.toDF(digest, cuts), digest, "left").drop(digest)
     place = joined.columns.index(text_column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

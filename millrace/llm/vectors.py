@@ -33,8 +33,15 @@ def encode(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarra
     return codes, scale, np.sqrt((coded * coded).sum(1)), np.sqrt(((unit - coded) ** 2).sum(1))
 
 
+def near_one(x: np.ndarray) -> np.ndarray:
+    """Rows times powers of two, so that squares neither overflow nor vanish; no bit of a cosine changes by it."""
+    _, exponent = np.frexp(np.abs(x).max(1, keepdims=True))
+    return np.ldexp(x, -exponent) if x.size else x
+
+
 def close_pairs(a: np.ndarray, b: np.ndarray, threshold: float, same: bool) -> tuple[np.ndarray, np.ndarray]:
     """Indexes of pairs of rows with a cosine of at least `threshold`; with `same`, each pair of different rows once."""
+    a, b = near_one(a), near_one(b)
     qa, sa, na, ea = encode(a)
     qb, sb, _, eb = encode(b)
     # Products of codes are integers below 2**24 for up to 1,040 dimensions, which single precision adds exactly.

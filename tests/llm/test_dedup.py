@@ -10,7 +10,7 @@ import pytest
 
 import corpus_pipeline
 from llm.conftest import SCHEMA, prose, row
-from millrace.llm import graph, near, suffixes, vectors
+from millrace.llm import classifier, graph, near, suffixes, vectors
 
 
 def roots(nodes, links):
@@ -262,3 +262,28 @@ def test_quantisation_bounds_hold():
     unit = x / np.linalg.norm(x, axis=1, keepdims=True)
     approximate = (codes * scale[:, None]) @ (codes * scale[:, None]).T
     assert (np.abs(unit @ unit.T - approximate) <= norm[:, None] * error[None] + error[:, None] + 1e-12).all()
+
+
+def test_vectors_of_extreme_length_are_linked(spark):
+    base = np.random.default_rng(2).normal(size=16)
+    other = np.random.default_rng(3).normal(size=16)
+    scales = [1.0, 1e200, 1e-200, 1e300, 3e-308]
+    rows = [(k, (base * s).tolist(), "a") for k, s in enumerate(scales)] + [(10 + k, (other * s).tolist(), "a") for k, s in enumerate(scales[:3])]
+    found = vectors.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")).collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in found} == {k: (4, 0) for k in range(5)} | {10 + k: (2, 10) for k in range(3)}
+
+
+def test_stages_pass_columns_of_any_name(spark, messy):
+    """Columns named as those that the stages use inside come out as they went in."""
+    names = SCHEMA + ", __score double, __digest string, __spans int, __copy string, __Copy_ int"
+    rows = [(*r, 0.25, f"d{k}", k, "c", -k) for k, r in enumerate(messy)]
+    table = spark.createDataFrame(rows, names).repartition(3)
+    unique = corpus_pipeline.near_duplicates(spark, table, "")
+    cleaned = suffixes.remove_repeated(table)
+    scored = classifier.score(table, classifier.train(table, spark.createDataFrame([(1, 1), (3, 0)], "doc_id long, quality int")), keep="mine")
+    for out in (unique, cleaned, scored.drop("mine")):
+        assert out.columns == table.columns
+        assert {(r["__digest"], r["__spans"], r["__copy"], r["__Copy_"]) for r in out.collect()} <= {(f"d{k}", k, "c", -k) for k in range(len(rows))}
+    assert cleaned.count() == len(rows)
+    with pytest.raises(ValueError, match="there is a column"):
+        classifier.score(table, None, keep=True)
