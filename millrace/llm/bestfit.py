@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.encoding import encoder, groups_by_size
+from millrace.llm.encoding import by_size, encoder, groups_by_size
 from millrace.session import cut
 
 CAPACITY = 2048
@@ -92,7 +92,7 @@ def local_bins(
         encode_texts, end = encoder(tokenizer, blank, lower), np.array([end_id], "<u4").tobytes()
         number = TaskContext.get().partitionId() << 33
         waiting: list[tuple] = []
-        for batch in batches:
+        for batch in by_size(batches):
             names, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
             for group in groups_by_size(texts):
                 for name, ids in zip(names[group], encode_texts(texts[group])):

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.llm import trees
+from millrace.llm.encoding import by_size
 from millrace.llm.toxicity import labelled_sample
 
 SAMPLE_ROWS = 20_000
@@ -79,7 +80,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int
     sample = labelled_sample(docs, labels, label, rows, chars, False)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in by_size(batches):
             x = matrix(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("label"), pa.array(list(x), pa.list_(pa.float64()))], names=["doc_id", "label", "x"]
@@ -107,7 +108,7 @@ def score(docs: DataFrame, forest: trees.Forest, id_column: str = "doc_id", text
     schema = rows.schema if keep else rows.select("doc_id").schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in by_size(batches, place):
             scores = forest.probabilities(matrix(batch.column(place).to_pylist()))
             columns = [*batch.columns] if keep else [batch.column(0)]
             names = [*batch.schema.names] if keep else ["doc_id"]

@@ -9,11 +9,13 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 CACHE_WORDS = 500_000  # some 200 bytes each
 JOINED_WORDS = 256
@@ -115,6 +117,19 @@ def encoder(path: str, blank: str, lower: bool) -> CachedEncoder:
     return CachedEncoder(path, blank, lower)
 
 
+def by_size(batches: Iterable[pa.RecordBatch], column: str | int = "text", most: int = 1 << 22) -> Iterator[pa.RecordBatch]:
+    """Batches cut into parts of about `most` bytes of a text or binary column, one row at least, before anything becomes a Python
+    object: Spark limits batches to some 64 MB, and texts of such a batch with what is made of them would take several times that."""
+    for batch in batches:
+        if batch.num_rows < 2:
+            yield batch
+            continue
+        sizes = np.array(pc.fill_null(pc.binary_length(batch.column(column)), 0), np.int64)
+        part = (np.cumsum(sizes) - sizes) // most
+        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+        yield from (batch.slice(a, b - a) for a, b in zip(cuts, cuts[1:]))
+
+
 def groups_by_size(texts: list[str | None], most: int = 1 << 17) -> Iterable[slice]:
     """Slices of a batch of about `most` characters, one row at least, so that long texts come alone."""
     begin = size = 0

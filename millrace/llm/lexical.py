@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.encoding import groups_by_size
+from millrace.llm.encoding import by_size, groups_by_size
 from millrace.llm.spans import ALNUM, Words, hashes, words_of
 from millrace.session import cut
 
@@ -80,7 +80,7 @@ def index(docs: DataFrame, vocabulary: np.ndarray) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shipped.value
-        for batch in batches:
+        for batch in by_size(batches):
             texts = batch.column("text").to_pylist()
             for group in groups_by_size(texts, GROUP):
                 words = terms_of(texts[group])

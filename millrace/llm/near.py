@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.encoding import groups_by_size
+from millrace.llm.encoding import by_size, groups_by_size
 from millrace.llm.graph import components
 from millrace.llm.spans import WHITE, Words, hashes, words_of
 from millrace.session import cut
@@ -133,7 +133,7 @@ def sketches(docs: DataFrame, settings: Settings) -> DataFrame:
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, copy binary, print binary, n_shingles long, signature binary, bands array<long>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in by_size(batches):
             texts = batch.column("text").to_pylist()
             for group in groups_by_size(texts, GROUP):
                 words = _folded(texts[group])
@@ -186,7 +186,7 @@ def _sets(texts: DataFrame, settings: Settings) -> DataFrame:
     """node and its shingles as sorted 64-bit numbers, from node and text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in by_size(batches):
             found = [shingles(hashes(_folded([t])), settings.size).tobytes() for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(found, pa.binary())], names=["node", "shingles"])
 

@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.encoding import encoder, groups_by_size
+from millrace.llm.encoding import by_size, encoder, groups_by_size
 
 WINDOW = 1024
 PIECES = (
@@ -184,7 +184,7 @@ def pack_tokens(
             kinds = {name: pa.list_(pa.int64()) if name == "ids" else pa.int64() for name in rows}
             return pa.RecordBatch.from_arrays([pa.array(rows[n], k) for n, k in kinds.items()], names=list(kinds))
 
-        for batch in batches:
+        for batch in by_size(batches):
             numbers, texts, prompts = (batch.column(c).to_pylist() for c in ("doc_id", "text", "prompt"))
             for group in groups_by_size(texts):
                 heads = [(t or "")[: max(p, 0)] for t, p in zip(texts[group], prompts[group])] if with_prompt else None

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.encoding import groups_by_size
+from millrace.llm.encoding import by_size, groups_by_size
 from millrace.llm.spans import WHITE, Words, hashes, words_of
 from millrace.session import cut
 
@@ -84,7 +84,7 @@ def bucket_counts(docs: DataFrame, bits: int = BUCKET_BITS, text_column: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << bits, np.int64)
-        for batch in batches:
+        for batch in by_size(batches, 0):
             texts = batch.column(0).to_pylist()
             for group in groups_by_size(texts, GROUP):
                 words = words_of(texts[group], WHITE_OUT)
@@ -181,7 +181,7 @@ def apply(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = shipped.value
-        for batch in batches:
+        for batch in by_size(batches):
             texts = batch.column("text").to_pylist()
             for group in groups_by_size(texts, GROUP):
                 words = words_of(texts[group], WHITE_OUT)

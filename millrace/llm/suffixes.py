@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.encoding import groups_by_size
+from millrace.llm.encoding import by_size, groups_by_size
 from millrace.llm.graph import fresh_name
 from millrace.session import cut
 
@@ -38,7 +38,10 @@ _BACK = pow(_STEP, -1, 1 << 64)
 _TABLES = np.random.default_rng(23).integers(1, 1 << 63, (3, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PLACES = (1 << 28) - 1
 RECORDS_PER_RANGE = 50_000
+RECORDS_PER_RUN = 50_000  # that a task sorts at a time
 SAMPLES_PER_RANGE = 100
+MOST_SAMPLES = 500_000  # k-grams that the driver gets at most, whatever the number of records
+MOST_RANGES = 100_000
 
 
 @dataclass(frozen=True)
@@ -253,7 +256,7 @@ def _records(docs: DataFrame, settings: Settings) -> DataFrame:
     """One row per anchor whose k-gram is among its text's `cold` ones, with the bytes its windows need."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in by_size(batches):
             texts, digests = batch.column("text").to_pylist(), batch.column("digest").to_pylist()
             wanted = batch.column("cold").to_pylist()
             for group in groups_by_size(texts, GROUP):
@@ -285,10 +288,10 @@ def _records(docs: DataFrame, settings: Settings) -> DataFrame:
 def _splitters(records: DataFrame, n: int, ranges: int, settings: Settings) -> list[bytes]:
     """K-grams that cut the `n` records into about equal ranges. A k-gram is never cut apart, and none of them has more than `hot`
     records, so that is all a range can have beyond its share, whatever the texts begin with. The driver gets a sample of some
-    SAMPLES_PER_RANGE k-grams a range; it only decides about balance."""
+    SAMPLES_PER_RANGE k-grams a range, MOST_SAMPLES in all; it only decides about balance."""
     if ranges < 2 or not n:
         return []
-    every = max(1, n // (SAMPLES_PER_RANGE * ranges))
+    every = max(1, -(-n // min(SAMPLES_PER_RANGE * ranges, MOST_SAMPLES)))
     some = records.where(F.pmod(F.xxhash64("digest", "place"), F.lit(every)) == 0)
     grams = sorted(bytes(r[0]) for r in some.select(F.substring("rights", 1, settings.gram)).toLocalIterator())
     return sorted({grams[k * len(grams) // ranges] for k in range(1, ranges)} if grams else ())
@@ -298,16 +301,15 @@ _RUN = "range int, n int, shared binary, sizes binary, rests binary, low binary,
 
 
 def _runs(records: DataFrame, splitters: list[bytes]) -> DataFrame:
-    """Sorted front-coded runs, one row per task and key range."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        batches = list(batches)
-        if not batches:
-            return
+    """Sorted front-coded runs of RECORDS_PER_RUN records at most, one row for each key range that a run meets."""
+    shipped, most = records.sparkSession.sparkContext.broadcast(splitters), RECORDS_PER_RUN
+
+    def coded(batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(batches)
         rights, lefts, digests = (table[c].to_pylist() for c in ("rights", "lefts", "digest"))
         low, high, place = (np.array(table[c]) for c in ("low", "high", "place"))
         order = sorted(range(len(rights)), key=rights.__getitem__)
-        ends = [bisect_left(order, s, key=rights.__getitem__) for s in splitters]
+        ends = [bisect_left(order, s, key=rights.__getitem__) for s in shipped.value]
         for where, part in enumerate(np.split(np.array(order, int), ends)):
             if not len(part):
                 continue
@@ -322,6 +324,17 @@ def _runs(records: DataFrame, splitters: list[bytes]) -> DataFrame:
                 }
             )
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for whole in batches:
+            for first in range(0, whole.num_rows, most):
+                held.append(whole.slice(first, most))
+                if sum(b.num_rows for b in held) >= most:
+                    yield from coded(held)
+                    held = []
+        if held:
+            yield from coded(held)
+
     return records.mapInArrow(run, _RUN)
 
 
@@ -363,7 +376,7 @@ def _hot_ranges(docs: DataFrame, settings: Settings) -> DataFrame:
     """digest, first, last of repeated windows whose anchors' k-grams are among the `hot` ones, by counting window hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in by_size(batches):
             texts, digests = batch.column("text").to_pylist(), batch.column("digest").to_pylist()
             for text, digest, hot in zip(texts, digests, batch.column("hot").to_pylist()):
                 data, begin = _laid_out([(text or "").encode()])
@@ -384,7 +397,7 @@ def _measured(docs: DataFrame, settings: Settings) -> DataFrame:
     """Of each row: id, digest, size, sha256 and the k-gram hashes of its anchors."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in by_size(batches):
             texts = batch.column("text").to_pylist()
             for group in groups_by_size(texts, GROUP):
                 parts = [t.encode() for t in texts[group]]
@@ -434,14 +447,14 @@ def repeated_spans(docs: DataFrame, settings: Settings = Settings(), id_column:
 
     records = cut(_records(texts.where(F.size("cold") > 0), settings))
     n = records.count()
-    ranges = max(1, -(-n // RECORDS_PER_RANGE), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) if n > 1000 else 1)
+    ranges = max(1, min(-(-n // RECORDS_PER_RANGE), MOST_RANGES), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) if n > 1000 else 1)
     found = _merged(_runs(records, _splitters(records, n, ranges, settings)), settings)
     if texts.where(F.size("hot") > 0).limit(1).count():
         found = found.unionByName(_hot_ranges(texts, settings))
     ranges_of = found.groupBy("digest").agg(F.collect_list(F.struct("first", "last")).alias("ranges"))
 
     def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in by_size(batches):
             out: list[list] = [[], []]
             for text, ranges in zip(batch.column("text").to_pylist(), batch.column("ranges").to_pylist()):
                 merged = merged_spans(((r["first"], r["last"]) for r in ranges), settings.length)
@@ -476,7 +489,7 @@ def remove_repeated(docs: DataFrame, settings: Settings = Settings(), id_column:
     place = joined.columns.index(text_column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in by_size(batches, place):
             texts = [
                 t if t is None or not s else without(t.encode(), ((x["start"], x["end"]) for x in s)).decode("utf-8", "ignore")
                 for t, s in zip(batch.column(place).to_pylist(), batch.column(batch.num_columns - 1).to_pylist())

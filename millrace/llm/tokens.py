@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.encoding import encoder, groups_by_size
+from millrace.llm.encoding import by_size, encoder, groups_by_size
 from millrace.session import cut
 
 NO_DOC = -(1 << 63)
@@ -92,7 +92,7 @@ def write_tokens(
         end, most = np.array([end_id], "<u4").tobytes(), np.iinfo(kind).max
         ids = lengths = None
         n_docs = n_tokens = 0
-        for batch in batches:
+        for batch in by_size(batches):
             if ids is None:
                 ids, lengths, docs_out = (_Writer(folder, f"{shard:06d}.{x}") for x in ("ids", "lengths", "docs"))
             texts = batch.column("text").to_pylist()

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import crf
-from millrace.llm.encoding import groups_by_size
+from millrace.llm.encoding import by_size, groups_by_size
 from millrace.llm.spans import ALNUM, Words, hashes, per_document, prefixes, words_of
 
 SAMPLE_ROWS = 2_400
@@ -186,7 +186,7 @@ def score(docs: DataFrame, model: Model, span_threshold: float = 0.5, id_column:
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("probability", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in by_size(batches):
             texts = batch.column("text").to_pylist()
             for group in groups_by_size(texts, GROUP):
                 scores, spans = score_texts(model, texts[group], span_threshold)

@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.llm.encoding import by_size
 from millrace.session import cut
 
 STEP = 32  # characters of a turn's digest
@@ -236,14 +237,14 @@ def _walked(paths: DataFrame, skeleton: Skeleton) -> DataFrame:
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         splitters = shipped.value.splitters
-        for batch in batches:
+        for batch in by_size(batches, "path"):
             rows = zip(batch.column("path").to_pylist(), batch.column("conv_id").to_pylist())
             shards = pa.array([bisect_right(splitters, row) for row in rows], pa.int32())
             yield pa.RecordBatch.from_arrays([shards, *batch.columns], names=["shard", *batch.schema.names])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         walk: _Walk | None = None
-        for batch in batches:
+        for batch in by_size(batches, "path"):
             for shard, conv, path, sizes in zip(*(batch.column(c).to_pylist() for c in ("shard", "conv_id", "path", "sizes"))):
                 if walk is None or walk.shard != shard:
                     if walk is not None:

@@ -6,6 +6,7 @@ import re
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -198,6 +199,42 @@ def test_ranges_are_bounded_when_many_suffixes_begin_alike(spark, monkeypatch):
     assert all(r.n_removed >= len(passages[r.doc_id % 12].encode()) for r in found)
 
 
+def test_small_ranges_runs_and_many_tasks(spark, messy, monkeypatch):
+    """Ranges of 100 records from runs of 30, of twelve tasks and few samples, give what one range gives."""
+    for name, value in (("RECORDS_PER_RANGE", 100), ("RECORDS_PER_RUN", 30), ("MOST_SAMPLES", 50)):
+        monkeypatch.setattr(suffixes, name, value)
+    rows = [(k, r[1] or "") for k, r in enumerate(messy)] + [(100 + k, prose(k % 30, 120) + prose(k, 20)) for k in range(90)]
+    runs = []
+    real = suffixes._runs
+    monkeypatch.setattr(suffixes, "_runs", lambda *a: runs.append(real(*a)) or runs[-1])
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(12)
+    found = {r.doc_id: [(s.start, s.end) for s in r.spans] for r in suffixes.repeated_spans(docs, suffixes.Settings(60, 20)).collect()}
+    for (k, text), cover in zip(rows, brute_spans([t.encode() for _, t in rows], 60)):
+        assert [b for a, e in found[k] for b in range(a, e)] == [b for b, c in enumerate(cover) if c]
+    sizes = runs[0].groupBy("range").agg({"n": "sum"}).collect()
+    assert len(sizes) > 10 and max(r.n for r in runs[0].select("n").collect()) <= 30
+
+
+def test_long_texts_in_one_batch(spark):
+    """A few texts of several MB each, which come in one batch, are cut apart before they become Python objects."""
+    from millrace.llm.encoding import by_size
+
+    passage = prose(5, 80)
+    rows = [(k, prose(k, 150_000) + passage + prose(90 + k, 20)) for k in range(6)] + [(6, None), (7, ""), (8, "x")]
+    batch = pa.RecordBatch.from_pydict({"doc_id": [k for k, _ in rows], "text": [t for _, t in rows]})
+    parts = list(by_size([batch], most=1 << 20))
+    assert pa.Table.from_batches(parts).equals(pa.Table.from_batches([batch]))
+    longest = max(len((t or "").encode()) for _, t in rows)
+    assert len(parts) >= 4 and all(sum(len((t or "").encode()) for t in p.column("text").to_pylist()) <= (1 << 20) + longest for p in parts)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    found = {r.doc_id: r for r in suffixes.repeated_spans(docs).collect()}
+    for k in range(6):
+        start = len(prose(k, 150_000).encode())
+        assert any(s.start <= start and s.end >= start + len(passage.encode()) for s in found[k].spans)
+    near_found = {r.doc_id: r.component_id for r in near.near_duplicates(docs).collect()}
+    assert near_found == {k: k for k in range(9)}
+
+
 def test_remove_repeated_keeps_all_columns(docs, messy, empty):
     found = suffixes.remove_repeated(docs).collect()
     assert len(found) == len(messy) and found[0].asDict().keys() == set(docs.columns)
