@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from dataclasses import replace
 from datetime import date, datetime
 from functools import reduce
@@ -20,8 +20,11 @@ from millrace.operators.filters import FIRST_WATERMARK, incremental_window, sla_
 from millrace.operators.project import quoted
 from millrace.plans.pipelines import FAILURE, SUCCESS, PipelineSpec, blackout_now, status_row, watermark
 from millrace.sinks.files import write_landing, write_table
+from millrace.session import cut
 from millrace.sinks.partitions import merge_into_partitions
+from millrace.sources import jdbc
 from millrace.sources.files import read_source, read_target
+from millrace.sources.jdbc import Database
 
 
 def planned_target(
@@ -92,6 +95,31 @@ def increment(spec: PipelineSpec, specs: Iterable[ColumnSpec], source: DataFrame
     return source.filter(any_of(moment_of(c).between(low, high) for c in names))
 
 
+def store_in_files(
+    spark: SparkSession, spec: PipelineSpec, specs: Sequence[ColumnSpec], landed: DataFrame, day: date | str, execution: str
+) -> int:
+    """Merge landed rows into the target's files; the rows written, of change feeds over partitions those that are new."""
+    delta, column = spec.load_type == "delta", spec.partition_column
+    target = read_target(spark, spec.target_path) if delta and not column else None
+    planned = planned_target(spec, specs, landed, target)
+    if delta and column and spec.change_indicator in planned.columns:
+        return merge_into_partitions(spark, spec.target_path, planned, spec.primary_key, column, day, execution, spec.change_indicator)
+    measured, final = counted(planned, "final")
+    write_table(measured, spec.target_path, "final", column, day, execution)
+    return final.get["rows"]
+
+
+def store_in_database(
+    spark: SparkSession, spec: PipelineSpec, specs: Sequence[ColumnSpec], landed: DataFrame, database: Database
+) -> int:
+    """Merge landed rows into a table of a database; the rows written. The merged rows are kept in the shared folder first, as
+    they are read from the table that is then written over."""
+    target = jdbc.read_target(spark, database, spec.target_table) if spec.load_type == "delta" else None
+    measured, final = counted(planned_target(replace(spec, partition_column=None), specs, landed, target), "final")
+    jdbc.write_table(cut(measured), database, spec.target_table)
+    return final.get["rows"]
+
+
 def run_pipeline(
     spark: SparkSession,
     spec: PipelineSpec,
@@ -103,6 +131,7 @@ def run_pipeline(
     until: datetime | str | None = None,
     run_date: date | str | None = None,
     execution_id: str | None = None,
+    database: Database | None = None,
 ) -> DataFrame:
     """Run one pipeline and return its job status row; a failure is reported in the row.
 
@@ -113,6 +142,9 @@ def run_pipeline(
     A target with a partition column gets the rows under the run date. A change feed moves the touched keys there from the
     partitions they lie in; other loads add rows to those of earlier runs of that day. A run that is repeated, under its
     `execution_id` or without one over the same window, replaces what it added before.
+
+    With a `database` the target is its table `spec.target_table`: it is read for the merge, the result is kept in the shared
+    folder, and then written over it.
     """
     specs = list(specs)
     began = time.monotonic()
@@ -142,19 +174,11 @@ def run_pipeline(
             landing_count = landing.get["rows"]
         if landing_count:
             landed = spark.read.schema(rows.schema).parquet(spec.landing_path)
-            whole = spec.load_type == "delta" and not spec.partition_column
-            target = read_target(spark, spec.target_path) if whole else None
-            planned = planned_target(spec, specs, landed, target)
-            day, feed = run_date or started.date(), spec.change_indicator
-            execution = execution_id or f"{spec.pipeline_id} {low} {high}"
-            if spec.load_type == "delta" and spec.partition_column and feed in planned.columns:
-                final_count = merge_into_partitions(
-                    spark, spec.target_path, planned, spec.primary_key, spec.partition_column, day, execution, feed
-                )
+            if database is not None:
+                final_count = store_in_database(spark, spec, specs, landed, database)
             else:
-                measured, final = counted(planned, "final")
-                write_table(measured, spec.target_path, "final", spec.partition_column, day, execution)
-                final_count = final.get["rows"]
+                execution = execution_id or f"{spec.pipeline_id} {low} {high}"
+                final_count = store_in_files(spark, spec, specs, landed, run_date or started.date(), execution)
     except Exception as error:  # noqa: BLE001 - the outcome of a run is data
         return status_row(
             spark, **base, execution_end_dttm=_now(), job_status=FAILURE, error_message=str(error), sla_met=""

@@ -150,6 +150,33 @@ def read_numbered(
     return read_partitioned(spark, database, numbered_query(query, order_by), "record_key", partitions).drop("record_key")
 
 
+# Where databases list their tables, and how names are compared there.
+TABLE_LISTS = {
+    "postgres": "SELECT COUNT(*) AS n FROM information_schema.tables WHERE table_schema = '{schema}' AND table_name = '{table}'",
+    "mysql": "SELECT COUNT(*) AS n FROM information_schema.tables WHERE table_schema = '{schema}' AND table_name = '{table}'",
+    "sqlserver": "SELECT COUNT(*) AS n FROM information_schema.tables WHERE table_schema = '{schema}' AND table_name = '{table}'",
+    "oracle": "SELECT COUNT(*) AS n FROM all_tables WHERE owner = UPPER('{schema}') AND table_name = UPPER('{table}')",
+    "db2": "SELECT COUNT(*) AS n FROM syscat.tables WHERE tabschema = UPPER('{schema}') AND tabname = UPPER('{table}')",
+    "sybase": "SELECT COUNT(*) AS n FROM sysobjects WHERE USER_NAME(uid) = '{schema}' AND name = '{table}' AND type = 'U'",
+}
+
+
+def exists_query(database: Database, table: str) -> str:
+    """Counts the tables of a name, `schema.table`."""
+    schema, _, name = table.rpartition(".")
+    if not schema:
+        raise ValueError(f"{table} needs its schema")
+    return TABLE_LISTS[database.kind].format(schema=schema.replace("'", "''"), table=name.replace("'", "''"))
+
+
+def read_target(spark: SparkSession, database: Database, table: str, partition_column: str | None = None) -> DataFrame | None:
+    """The current target without its partition column, or None before the first load."""
+    if not read_query(spark, database, exists_query(database, table)).first()[0]:
+        return None
+    target = read_table(spark, database, table)
+    return target.drop(partition_column) if partition_column else target
+
+
 def write_options(database: Database, table: str, truncate: bool = True, batch_size: int = 10_000) -> dict[str, str]:
     """With `truncate`, overwriting keeps the table's own definition, keys and grants."""
     return {**table_options(database, table), "truncate": str(truncate).lower(), "batchsize": str(batch_size)}

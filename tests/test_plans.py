@@ -1,4 +1,5 @@
 import json
+from dataclasses import replace
 from datetime import datetime
 
 import pytest
@@ -11,6 +12,7 @@ from millrace.operators.project import rename
 from millrace.plans import bonds, catalog, ingest, lineage, methodology, pipelines
 from millrace.plans.pipelines import FAILURE, SUCCESS, PipelineSpec
 from millrace.session import cut
+from millrace.sources import jdbc
 from millrace.sources.files import read_target
 
 
@@ -131,6 +133,30 @@ def test_partitioned_loads(spark, frame, tmp_path):
     assert spark.read.parquet(spec.target_path).count() == 2
 
 
+def test_a_database_target_is_merged_with(spark, frame, pipeline, monkeypatch, tmp_path):
+    """A folder stands for the database; its reads and writes are those of the JDBC module."""
+    spec, specs = pipeline
+    spec, database = replace(spec, target_table="dbo.t"), jdbc.Database("sqlserver", "jdbc:sqlserver://h")
+    place, asked = str(tmp_path / "table"), []
+
+    def query(spark, database, text):
+        asked.append(text)
+        return frame([(len(list(tmp_path.glob("table"))),)], "n int")
+
+    monkeypatch.setattr(jdbc, "read_query", query)
+    monkeypatch.setattr(jdbc, "read_table", lambda spark, database, table: spark.read.parquet(place))
+    monkeypatch.setattr(jdbc, "write_table", lambda df, database, table: df.write.mode("overwrite").parquet(place))
+    schema = "i string, v string, changed timestamp_ntz"
+    early, late = datetime(2024, 1, 1), datetime(2024, 2, 1)
+    for rows_in, counts in (([("1", "a", early), ("2", "b", early)], 2), ([("2", "B", late), ("3", "c", late)], 3)):
+        outcome = ingest.run_pipeline(spark, spec, specs, frame(rows_in, schema), database=database).first()
+        assert (outcome["job_status"], outcome["final_count"]) == (SUCCESS, counts)
+    assert rows(spark.read.parquet(place)) == [(1, "a"), (2, "B"), (3, "c")]
+    assert asked[0] == "SELECT COUNT(*) AS n FROM information_schema.tables WHERE table_schema = 'dbo' AND table_name = 't'"
+    with pytest.raises(ValueError):
+        jdbc.exists_query(database, "t")
+
+
 def test_by_day(spark, frame, pipeline):
     spec, specs = pipeline
     rows_in = [(str(i), f"v{i}", datetime(2024, 1, i, 12)) for i in (1, 2, 3)]
