@@ -62,10 +62,11 @@ def fitting(example: Example, left: np.ndarray) -> int:
     return size
 
 
-def pack(examples: list[Example], limits: Limits, more: bool = False) -> tuple[list[list[Example]], list[Example]]:
+def pack(examples: list[Example], limits: Limits, more: bool = False, cut: bool = True) -> tuple[list[list[Example]], list[Example]]:
     """Sequences of pieces, and what waits for later examples if `more` are to come.
 
-    All examples must fit an empty sequence. With `more`, packing stops when the next sequence might not be filled.
+    All examples must fit an empty sequence. With `more`, packing stops when the next sequence might not be filled. Without
+    `cut`, examples stay whole.
     """
     tokens = np.array([len(x.ids) for x in examples], float)
     loss = np.array([x.loss.sum() for x in examples], float)
@@ -85,7 +86,7 @@ def pack(examples: list[Example], limits: Limits, more: bool = False) -> tuple[l
             if len(fits):
                 k = int(fits[np.argmax(score[fits])])
                 piece, waiting[k] = examples[k], False
-            elif waiting.any():
+            elif cut and waiting.any():
                 k = int(np.argmax(np.where(waiting, score, -1)))
                 size = fitting(examples[k], np.array(left))
                 if not size:

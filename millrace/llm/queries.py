@@ -51,6 +51,27 @@ def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+#: A sequence of instruction data: tokens, segments, and tokens that bear loss.
+EXAMPLE_LIMITS = (2048, 8, 1024)
+
+
+@query
+def op5_packing_examples(spark: SparkSession, folder: str) -> DataFrame:
+    """Answers of `conversations` with the turn before each as its prompt, which bears no loss, under three limits at once."""
+    from millrace.llm.packing import Limits, pack_tokens
+
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"))
+    before = turns.select("conv_id", (F.col("turn") + 1).alias("turn"), F.concat("text", F.lit("\n")).alias("prompt"))
+    answers = turns.where("role = 'assistant'").join(before, ["conv_id", "turn"], "left")
+    prompt = F.coalesce("prompt", F.lit(""))
+    examples = answers.select(
+        (F.col("conv_id") * 1_000_000 + F.col("turn")).alias("doc_id"), F.concat(prompt, "text").alias("text"), F.length(prompt).alias("prompt_chars")
+    )
+    return pack_tokens(
+        examples, tokenizer_path("byte_bpe_50k.json"), end_id=END_ID, limits=Limits(*EXAMPLE_LIMITS), prompt_chars_column="prompt_chars", **BYTE_TOKENIZER
+    )
+
+
 def outside_fold(df: DataFrame, parts: int, part: int) -> DataFrame:
     """Rows whose id does not fall into the held-out fold."""
     return df.where(F.crc32(F.col("doc_id").cast("string")) % parts != part)

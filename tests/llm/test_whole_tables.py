@@ -16,8 +16,8 @@ from llm.test_tokens import covered, crc, library_ids
 
 import corpus_pipeline
 from check import TABLES, compare
-from millrace.llm import classifier
-from millrace.llm.queries import LANGUAGES, QUERIES, SQL, table
+from millrace.llm import classifier, packing
+from millrace.llm.queries import EXAMPLE_LIMITS, LANGUAGES, QUERIES, SQL, table
 from millrace.session import cut
 
 FOLDER = "/root/testdata/sf0.001"
@@ -92,6 +92,59 @@ def test_packing(spark, texts):
     assert {k: covered(p) for k, p in parts.items()} == {k: len(x) for k, x in encoded.items()}
 
 
+def plain_packing(examples, limits):
+    """The dot-product heuristic without vectors: [(tokens, loss)] to the examples' numbers by sequence, whole ones only."""
+    waiting, out = dict(enumerate(examples)), []
+    while waiting:
+        left, taken = list(limits), []
+        while left[1]:
+            fits = [k for k, (n, loss) in waiting.items() if n <= left[0] and loss <= left[2]]
+            if not fits:
+                break
+            best = max(fits, key=lambda k: (waiting[k][0] * left[0] / limits[0] ** 2 + waiting[k][1] * left[2] / limits[2] ** 2, -k))
+            n, loss = waiting.pop(best)
+            taken.append(best)
+            left = [left[0] - n, left[1] - 1, left[2] - loss]
+        out.append(taken)
+    return out
+
+
+def test_packing_examples_under_three_limits(spark):
+    folder = FOLDER.replace("sf0.001", "sf0.01")
+    turns = {(r.conv_id, r.turn): r for r in table(spark, folder, "conversations").collect()}
+    found = QUERIES["op5_packing_examples"](spark, folder).collect()
+    want, sizes = {}, {}
+    for (conv, turn), r in turns.items():
+        if r.role == "assistant":
+            before = turns.get((conv, turn - 1))
+            prompt = library_ids("byte_bpe_50k.json", [(before.text or "") + "\n"])[0][:-1] if before else []
+            ids = prompt + library_ids("byte_bpe_50k.json", [r.text])[0]
+            want[conv * 1_000_000 + turn], sizes[conv * 1_000_000 + turn] = ids, len(prompt)
+    sequences, parts = defaultdict(list), defaultdict(list)
+    for r in found:
+        ids = want[r.doc_id][r.start : r.start + r.length]
+        assert r.ids_crc32 == crc(ids) and r.loss_tokens == sum(k >= sizes[r.doc_id] for k in range(r.start, r.start + r.length))
+        sequences[r.sequence_id].append((r.offset, r.length, r.loss_tokens))
+        parts[r.doc_id].append((r.start, r.length))
+    assert {k: covered(p) for k, p in parts.items()} == {k: len(x) for k, x in want.items()}
+    totals = [(covered([(o, n) for o, n, _ in s]), len(s), sum(x for *_, x in s)) for s in sequences.values()]
+    for k, most in enumerate(EXAMPLE_LIMITS):
+        assert max(t[k] for t in totals) == most  # every limit holds, and binds
+
+
+def test_packing_is_the_plain_heuristic():
+    rng = np.random.default_rng(4)
+    limits = packing.Limits(100, 4, 60)
+    examples = []
+    for k in range(150):
+        n = int(rng.integers(5, 60))
+        flags = np.arange(n) >= n - int(rng.integers(0, min(n, 60)))
+        examples.append(packing.Example(k, np.zeros(n, np.uint32), flags, n))
+    sequences, rest = packing.pack(list(examples), limits, cut=False)
+    assert not rest
+    assert [[x.doc for x in s] for s in sequences] == plain_packing([(len(x.ids), int(x.loss.sum())) for x in examples], (100, 4, 60))
+
+
 @pytest.mark.parametrize("name, label, parts, part, cut_at", [("op6_toxicity", "toxic", 4, 2, 0.3), ("op9_quality", "quality", 3, 1, 0.5)])
 def test_scores_on_held_out_labels(spark, name, label, parts, part, cut_at):
     folder = FOLDER.replace("sf0.001", "sf0.01")
