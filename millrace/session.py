@@ -9,6 +9,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+#: What goes to a Python worker at a time, besides the limit of rows; long texts make few rows.
+ARROW_BATCH_BYTES = 16 * 1024 * 1024
 
 
 def cluster_settings(input_bytes: int, executor_cores: int) -> dict[str, str]:
@@ -26,6 +28,7 @@ def cluster_settings(input_bytes: int, executor_cores: int) -> dict[str, str]:
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.session.timeZone": "UTC",
+        "spark.sql.execution.arrow.maxBytesPerBatch": str(ARROW_BATCH_BYTES),
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
@@ -42,6 +45,7 @@ def local_session(cores: str | int = "*", memory: str = "8g", **conf: str) -> Sp
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BATCH_BYTES))
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
