@@ -128,6 +128,7 @@ def by_size(batches: Iterable[pa.RecordBatch], column: str | int = "text", most:
         part = (np.cumsum(sizes) - sizes) // most
         cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
         yield from (batch.slice(a, b - a) for a, b in zip(cuts, cuts[1:]))
+    pa.default_memory_pool().release_unused()  # workers are used again by other stages
 
 
 def groups_by_size(texts: list[str | None], most: int = 1 << 17) -> Iterable[slice]:
