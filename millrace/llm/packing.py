@@ -9,6 +9,7 @@ sequence that cannot be filled ends in pieces whose lengths are powers of two, w
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_right, insort
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -38,24 +39,27 @@ class Limits:
 
 @dataclass
 class Example:
-    """A document's ids from `start` on; `loss` marks the ids that bear loss."""
+    """A document's ids from `start` on; `loss` marks the ids that bear loss, None stands for all of them."""
 
     doc: int | None
     ids: np.ndarray
-    loss: np.ndarray
+    loss: np.ndarray | None
     total: int
     start: int = 0
 
     def split(self, size: int) -> tuple[Example, Example]:
-        return (
-            Example(self.doc, self.ids[:size], self.loss[:size], self.total, self.start),
-            Example(self.doc, self.ids[size:], self.loss[size:], self.total, self.start + size),
-        )
+        first, rest = (None, None) if self.loss is None else (self.loss[:size], self.loss[size:])
+        return Example(self.doc, self.ids[:size], first, self.total, self.start), Example(self.doc, self.ids[size:], rest, self.total, self.start + size)
+
+    def bearing(self) -> int:
+        return len(self.ids) if self.loss is None else int(self.loss.sum())
 
 
 def fitting(example: Example, left: np.ndarray) -> int:
     """How many of its first ids fit into what is left."""
     size = int(min(len(example.ids), left[0])) if left[1] else 0
+    if example.loss is None:
+        return int(min(size, left[2]))
     if size and example.loss[:size].sum() > left[2]:
         size = int(np.searchsorted(np.cumsum(example.loss), left[2], "right"))
         size = int(min(size, left[0]))
@@ -68,8 +72,10 @@ def pack(examples: list[Example], limits: Limits, more: bool = False, cut: bool
     All examples must fit an empty sequence. With `more`, packing stops when the next sequence might not be filled. Without
     `cut`, examples stay whole.
     """
+    if all(x.loss is None for x in examples):
+        return _pack_by_size(list(examples), limits, more, cut)
     tokens = np.array([len(x.ids) for x in examples], float)
-    loss = np.array([x.loss.sum() for x in examples], float)
+    loss = np.array([x.bearing() for x in examples], float)
     waiting = np.ones(len(examples), bool)
     total = tokens.sum()
     examples = list(examples)
@@ -92,16 +98,41 @@ def pack(examples: list[Example], limits: Limits, more: bool = False, cut: bool
                 if not size:
                     break
                 piece, examples[k] = examples[k].split(size)
-                tokens[k], loss[k] = len(examples[k].ids), examples[k].loss.sum()
+                tokens[k], loss[k] = len(examples[k].ids), examples[k].bearing()
             else:
                 break
             taken.append(piece)
-            left = [left[0] - len(piece.ids), left[1] - 1, left[2] - int(piece.loss.sum())]
+            left = [left[0] - len(piece.ids), left[1] - 1, left[2] - piece.bearing()]
             total -= len(piece.ids)
         sequences.append(taken)
     return sequences, [examples[k] for k in np.flatnonzero(waiting)]
 
 
+def _pack_by_size(examples: list[Example], limits: Limits, more: bool, cut: bool) -> tuple[list[list[Example]], list[Example]]:
+    """`pack` where all ids bear loss: then the product grows with the size, so the largest that fits is found in a sorted list."""
+    waiting = sorted((len(x.ids), -k) for k, x in enumerate(examples))
+    total = sum(n for n, _ in waiting)
+    most = min(limits.tokens, limits.loss)
+    sequences = []
+    while waiting and not (more and total < 2 * limits.tokens):
+        left, taken = most, []
+        while left and waiting and len(taken) < limits.segments:
+            at = bisect_right(waiting, (left, 1)) - 1
+            if at >= 0:
+                size, k = waiting.pop(at)
+                piece = examples[-k]
+            elif cut:
+                size, k = left, waiting.pop()[1]
+                piece, examples[-k] = examples[-k].split(size)
+                insort(waiting, (len(examples[-k].ids), k))
+            else:
+                break
+            taken.append(piece)
+            left, total = left - size, total - size
+        sequences.append(taken)
+    return sequences, [examples[k] for k in sorted(-k for _, k in waiting)]
+
+
 def without_padding(sequence: list[Example], limits: Limits) -> Iterator[list[Example]]:
     """The sequence as it is if it is full, else cut into sequences whose lengths are powers of two."""
     size = sum(len(x.ids) for x in sequence)
@@ -168,22 +199,21 @@ def pack_tokens(
 
         def out() -> pa.RecordBatch:
             nonlocal sequence
-            rows: dict[str, list] = {name.split()[0]: [] for name in schema.split(", ")}
+            names, rows, kept = [name.split()[0] for name in PIECES.split(", ")], [], []
             for pieces in done:
                 offset = 0
                 for segment, x in enumerate(pieces):
-                    ids = x.ids.astype("<u4")
-                    size = len(ids)
-                    values = (x.doc, x.start, size, zlib.crc32(ids.tobytes()), x.total, sequence, offset, int(x.loss.sum()), segment)
-                    for name, value in zip(rows, values):
-                        rows[name].append(value)
+                    size = len(x.ids)
+                    rows.append((x.doc, x.start, size, zlib.crc32(x.ids), x.total, sequence, offset, x.bearing(), segment))
                     if keep_ids:
-                        rows["ids"].append(ids.astype("i8"))
+                        kept.append(x.ids.astype("i8"))
                     offset += size
                 sequence += 1
             done.clear()
-            kinds = {name: pa.list_(pa.int64()) if name == "ids" else pa.int64() for name in rows}
-            return pa.RecordBatch.from_arrays([pa.array(rows[n], k) for n, k in kinds.items()], names=list(kinds))
+            columns = [pa.array(c, pa.int64()) for c in zip(*rows)] if rows else [pa.array([], pa.int64()) for _ in names]
+            if keep_ids:
+                columns.append(pa.array(kept, pa.list_(pa.int64())))
+            return pa.RecordBatch.from_arrays(columns, names=[*names, "ids"] if keep_ids else names)
 
         for batch in by_size(batches):
             numbers, texts, prompts = (batch.column(c).to_pylist() for c in ("doc_id", "text", "prompt"))
@@ -193,8 +223,7 @@ def pack_tokens(
                 first = encode_texts(heads) if heads else [b""] * len(rest)
                 for number, a, b in zip(numbers[group], first, encode_texts(rest)):
                     ids = np.frombuffer(a + b + np.array([end_id], "<u4").tobytes(), "<u4")
-                    loss = np.ones(len(ids), bool)
-                    loss[: len(a) // 4] = False
+                    loss = np.arange(len(ids)) >= len(a) // 4 if with_prompt else None
                     for piece, full in _whole_sequences(Example(number, ids, loss, len(ids)), limits):
                         (done.append([piece]) if full else waiting.append(piece))
                 if len(waiting) >= window:

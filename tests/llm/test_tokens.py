@@ -98,6 +98,21 @@ def test_all_limits_hold_at_once():
         assert sum(len(x.ids) for x in s) <= 100 and len(s) <= 3 and sum(x.loss.sum() for x in s) <= 40
 
 
+@pytest.mark.parametrize("limits", [packing.Limits(100, 1000, 100), packing.Limits(100, 3, 100), packing.Limits(100, 1000, 70)])
+@pytest.mark.parametrize("more, cut", [(False, True), (True, True), (False, False)])
+def test_packing_by_size_is_packing_by_product(limits, more, cut):
+    """Without a loss mask the sorted list gives what the products of all waiting examples give."""
+    rng = np.random.default_rng(7)
+    sizes = rng.integers(1, 70, 300)
+
+    def packed(mask):
+        examples = [packing.Example(k, np.arange(n, dtype="<u4"), np.ones(n, bool) if mask else None, n) for k, n in enumerate(sizes)]
+        sequences, rest = packing.pack(examples, limits, more, cut)
+        return [[(x.doc, x.start, len(x.ids)) for x in s] for s in sequences], [(x.doc, x.start, len(x.ids)) for x in rest]
+
+    assert packed(True) == packed(False)
+
+
 def test_the_largest_product_comes_first():
     limits = packing.Limits(tokens=10, segments=10, loss=10)
     first = packing.pack([example(3, 0), example(4, 4), example(6, 0)], limits)[0][0]
