@@ -91,6 +91,7 @@ INDEXED = {
     "row_index", "positional_zip", "surrogate_key_lookup", "surrogate_keys_continued", "number_in_hot_groups", "pivot_concat",
     "group_to_json_array", "methodology_load", "methodology_document_load", "comment_request_load", "methodology_request_bridge",
     "pipeline_column_lists", "methodology_document_reload", "comment_request_reload", "methodology_request_load",
+    "column_of_values", "pivot_in_one_row", "json_array_in_one_row",
 }
 
 
