@@ -19,6 +19,8 @@ import pyarrow.compute as pc
 
 CACHE_WORDS = 500_000  # some 200 bytes each
 JOINED_WORDS = 256
+#: Marks that make one piece with one another; none that a contraction or a special token could hold.
+_MARKS = b".,!?;:$%&*#"
 _WHITE_RUN = re.compile(r"\s\s")
 
 
@@ -64,14 +66,14 @@ class CachedEncoder:
         return out
 
     def _learn(self, words: Iterable[bytes]) -> None:
-        """Encode new words without their last stops and commas, which are pieces of their own after a letter. What a word is made
+        """Encode new words without the marks at their end, which are a piece of their own after a letter. What a word is made
         of is kept as well, as a word."""
         ids, wanted, made = self.words, set(), []
         for word in words:
             core, tail = word, b""
-            if word[-1:] in (b".", b","):
-                core = word.rstrip(b".,")
-                if core[-1:].isalpha() or core[-1:] > b"\x7f" and core.decode()[-1].isalpha():
+            if word and word[-1] in _MARKS:
+                core = word.rstrip(_MARKS)
+                if core[-1:].isalpha() or core[-1:] > b"\x7f" and self._letter(core.decode()[-1]):
                     tail = word[len(core) :]
                 else:
                     core = word
@@ -89,6 +91,10 @@ class CachedEncoder:
         for word, core, tail in made:
             ids[word] = ids[core] + ids[tail]
 
+    def _letter(self, character: str) -> bool:
+        """Whether it ends as a letter: some capitals become a letter and a mark that is none."""
+        return (character.lower() if self.lower else character)[-1].isalpha()
+
     def _plain(self, word: bytes) -> bool:
         letters = word if self.blank == "dropped" else word[1:] if word[:1] == b" " else b""
         return letters.isalpha() or not letters.isascii() and letters.decode().isalpha()

@@ -31,6 +31,17 @@ def test_cached_encoder_gives_the_librarys_ids(messy, name, kind):
     assert [np.frombuffer(x, "<u4").tolist() + [1] for x in found] == library_ids(name, texts)
 
 
+@pytest.mark.parametrize("name, kind", KINDS)
+def test_cached_encoder_on_words_with_marks(name, kind):
+    rng = np.random.default_rng(11)
+    cores = ["word", "Äh", "x", "é", "12", "a1", "don't", "I'll", "中", "ß", "<|endoftext|>", "(a", "", "ab-cd", "İ"]
+    marks = ["", ".", ",", "!?", "$$$", "&&&", "...", "%;:", "#*", "'", "'s", ".'", "|>", "é.", "!!1"]
+    blanks = [" ", "\n", " ", " ", "  "]
+    texts = ["".join(rng.choice(cores) + rng.choice(marks) + rng.choice(blanks) for _ in range(12)) for _ in range(1500)]
+    found = CachedEncoder(tokenizer_path(name), **kind)(texts)
+    assert [np.frombuffer(x, "<u4").tolist() + [1] for x in found] == library_ids(name, texts)
+
+
 @pytest.mark.parametrize("kind", ["<u2", "<u4"])
 def test_token_files_round_trip(docs, messy, tmp_path, kind):
     shards = tokens.write_tokens(docs, str(tmp_path), tokenizer_path("word_bpe_49k.json"), end_id=1, kind=kind, **WORD_TOKENIZER)
