@@ -290,7 +290,7 @@ def rule_problems_logged(t: Tables):
     """Rules that are defined wrongly are told before anything runs, with how many rows the others checked."""
     _, summary, log = run_rules(t.spark, [*ORDER_RULES, *BROKEN_RULES[:2]], {"orders": t.orders}, RUN)
     checked = summary.agg(F.max("checked")).first()[0]
-    return log.select("rule_id", "execution_status", "error_message", F.lit(checked).alias("checked"))
+    return log.select("rule_id", "execution_status", "error_message", F.lit(checked).cast("long").alias("checked"))
 
 
 @register(
