@@ -109,34 +109,33 @@ def edges_of(lineage: DataFrame) -> DataFrame:
 def root_sources(edges: DataFrame, targets: DataFrame) -> DataFrame:
     """For every target, the sources behind it that are derived from nothing: (target, source).
 
-    Paths double: a round knows, for each derived table, the roots fewer than 2**k steps away and the derived tables that are
-    2**k steps away, and joins the latter with all of this to get as far again. So rounds grow with the logarithm of
-    the longest path. Where walks go in circles, derived tables never run out; then rounds end when they have gone as far as
-    there are derived tables, as no path needs more steps. Each round is one join, written once.
+    Most edges lead from such sources, so only edges between derived tables are walked, and their paths double: a round knows
+    the jumps of 2**k steps from every derived table, and what lies fewer steps behind the targets; one join with the jumps
+    doubles both. So rounds grow with the logarithm of the longest path. Where walks go in circles, jumps never run out; then
+    rounds end when they have gone as far as there are edges, as no path needs more steps. Sources come in by one join at the end.
     """
     plain = edges.select("source", "target").distinct()
     derived = plain.select(F.col("target").alias("node")).distinct().withColumn("derived", F.lit(True))
-    known = plain.join(derived, F.col("source") == F.col("node"), "left").select(
-        F.col("target").alias("goal"), F.col("source").alias("node"), F.coalesce("derived", F.lit(False)).alias("derived")
-    )
-    known, left, most = _counted_cut(known)  # there are no more derived tables than edges
-    steps = 1
+    marked = plain.join(derived, F.col("source") == F.col("node"), "left")
+    marked = cut(marked.select("source", "target", F.coalesce("derived", F.lit(False)).alias("derived")))
+    jumps = marked.filter("derived").select(F.lit(True).alias("jump"), F.col("target").alias("goal"), F.col("source").alias("node"))
+    start = targets.select(F.lit(False).alias("jump"), F.col("target").alias("goal"), F.col("target").alias("node")).distinct()
+    known, left = _counted_cut(jumps.unionByName(start))
+    steps, most = 1, left
     while left and steps <= most:
-        far = known.filter("derived").select("goal", F.col("node").alias("middle"))
-        near = known.select(F.col("goal").alias("middle"), "node", "derived")
-        known = known.filter(~F.col("derived")).unionByName(far.join(near, "middle").select("goal", "node", "derived")).distinct()
-        known, left, _ = _counted_cut(known)
+        further = known.filter("jump").select(F.col("goal").alias("middle"), F.col("node").alias("behind"))
+        reached = known.join(further, F.col("node") == F.col("middle")).select("jump", "goal", F.col("behind").alias("node"))
+        known, left = _counted_cut(reached.unionByName(known.filter("NOT jump")).distinct())
         steps *= 2
-    goals = targets.select(F.col("target").alias("goal")).distinct()
-    return known.filter(~F.col("derived")).join(goals, "goal", "left_semi").select(F.col("goal").alias("target"), F.col("node").alias("source"))
+    roots = marked.filter("NOT derived").select(F.col("target").alias("node"), "source")
+    return known.filter("NOT jump").join(roots, "node").select(F.col("goal").alias("target"), "source").distinct()
 
 
-def _counted_cut(known: DataFrame) -> tuple[DataFrame, int, int]:
-    """The table as written, how many of its rows lead to derived tables, and how many rows it has."""
+def _counted_cut(known: DataFrame) -> tuple[DataFrame, int]:
+    """The table as written, and how many jumps it has."""
     seen = Observation(f"lineage-{uuid.uuid4().hex}")
-    counts = (F.count_if("derived").alias("left"), F.count(F.lit(1)).alias("rows"))
-    written = cut(known.observe(seen, *counts))
-    return written, seen.get["left"], seen.get["rows"]
+    written = cut(known.observe(seen, F.count_if("jump").alias("left")))
+    return written, seen.get["left"]
 
 
 def forget_script(lineage: DataFrame, script_name: str) -> DataFrame:
