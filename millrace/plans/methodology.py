@@ -31,6 +31,12 @@ def day(name: str) -> Column:
     return moment(name).cast("date")
 
 
+def code_table(codes: DataFrame, *columns: str) -> DataFrame:
+    """Columns of a lookup, written once, so that Spark knows its size and sends a small one to the rows. A join that moves the rows
+    by a handful of codes would gather them in as many tasks."""
+    return cut(codes.select(*columns))
+
+
 def keyed(existing: DataFrame | None, incoming: DataFrame, natural_key: Sequence[str], id_name: str) -> DataFrame:
     """Incoming rows with their ids: known natural keys keep theirs, new ones get the next free numbers."""
     names, columns = list(natural_key), [id_name, *incoming.columns]
@@ -57,7 +63,8 @@ def methodologies(
     name = F.trim("methodology_name")
     version = F.col("methodology_document_version_number")
     latest = latest_rows(documents, name, version if text_versions else version.try_cast("int"))
-    typed = latest.join(types, latest["methodology_type_code"] == types["meth_typ_desc"])
+    codes = code_table(types, "meth_typ_cd", "meth_typ_desc")
+    typed = latest.join(codes, F.col("methodology_type_code") == F.col("meth_typ_desc"))
     if existing is None:
         with_parent = typed.withColumn("merg_to_meth_id", F.lit(None).cast("long"))
     else:
@@ -68,9 +75,9 @@ def methodologies(
 
 def methodology_documents(documents: DataFrame, meth: DataFrame, statuses: DataFrame) -> DataFrame:
     """`meth_doc` rows without ids. The last two characters of the rmc identifier are left out."""
-    named = documents.join(meth.select("meth_id", "meth_nm"), F.trim("methodology_name") == F.col("meth_nm"))
+    named = documents.join(code_table(meth, "meth_id", "meth_nm"), F.trim("methodology_name") == F.col("meth_nm"))
     known = named.join(
-        statuses.select("meth_doc_status_cd", "meth_doc_status_desc"),
+        code_table(statuses, "meth_doc_status_cd", "meth_doc_status_desc"),
         F.trim("methodology_status") == F.col("meth_doc_status_desc"),
     )
     return known.select(
@@ -90,7 +97,7 @@ def methodology_documents(documents: DataFrame, meth: DataFrame, statuses: DataF
 
 def comment_requests(consultations: DataFrame, statuses: DataFrame, keep_unknown_status: bool = False) -> DataFrame:
     """`rfc_doc` rows without ids. A status that is not in the lookup drops the row, or stays NULL if wished."""
-    status = statuses.select("rfc_status_cd", "rfc_status_desc")
+    status = code_table(statuses, "rfc_status_cd", "rfc_status_desc")
     joined = consultations.join(
         status,
         F.col("request_for_comment_status_code") == F.col("rfc_status_desc"),
@@ -118,7 +125,7 @@ def consultation_results(consultations: DataFrame, requests: DataFrame, statuses
         & (day("request_for_comment_original_close_datetime") == F.col("b.rfc_origin_close_dtm").cast("date"))
     )
     joined = a.join(b, same).join(
-        statuses.select("roc_status_cd", "roc_status_desc"),
+        code_table(statuses, "roc_status_cd", "roc_status_desc"),
         F.col("result_of_consultation_status_code") == F.col("roc_status_desc"),
     )
     return joined.select(

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from millrace import queries as registry  # noqa: E402
 from millrace.operators import aggregate, cdc, joins, quality, sets, windows
+from millrace.plans import methodology
+from millrace.queries import methodology as queries
+from millrace.sources import jdbc
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -85,6 +88,31 @@ def test_hot_sort_key_spreads(small_splits):
     assert largest < 15000
 
 
+def optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_code_tables_do_not_gather_rows_in_a_task_for_each_code(spark):
+    def codes(prefix):
+        """Two codes, found among rows that look too many to broadcast."""
+        found = spark.range(3_000_000).select(F.when(F.col("id") % 2 == 0, F.lit("O")).otherwise(F.lit("F")).alias("v")).distinct()
+        return found.select(F.concat(F.lit("C-"), "v").alias(f"{prefix}_cd"), F.col("v").alias(f"{prefix}_desc"))
+
+    t = registry.Tables(spark, FOLDER)
+    consultations, requests = queries.consultations(t), queries.numbered_requests(t)
+    joined = {
+        "rfc": methodology.comment_requests(consultations, codes("rfc_status")),
+        "roc": methodology.consultation_results(consultations, requests, codes("roc_status")),
+        "doc": methodology.methodology_documents(queries.documents(t), queries.methodology_table(t), codes("meth_doc_status")),
+        "meth": methodology.methodologies(queries.documents(t), codes("meth_typ"), None),
+    }
+    plans = {k: plan_of(df) for k, df in joined.items()}
+    shuffled = [line for plan in plans.values() for line in plan.splitlines() if "hashpartitioning" in line]
+    assert not [line for line in shuffled if "status" in line or "type_code" in line]
+    assert plans["rfc"].count("BroadcastHashJoin") >= 1 and "SortMergeJoin" not in plans["rfc"]
+    assert joined["rfc"].count() == t.lineitem.count()
+
+
 PYTHON = {"computed_by_function", "converted_by_function", "conditional_by_function", "selected_by_function"}
 # A window without partitions is allowed over one row per partition of an index, and nowhere else.
 INDEXED = {
