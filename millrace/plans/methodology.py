@@ -53,6 +53,11 @@ def load(existing: DataFrame | None, incoming: DataFrame, natural_key: Sequence[
     return upsert(existing, keyed(existing, incoming, natural_key, id_name), list(natural_key))
 
 
+def upsert_found(existing: DataFrame | None, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """An upsert of rows that are costly to find: it reads them for their keys and for themselves, so they are written once."""
+    return upsert(existing, incoming if existing is None else cut(incoming), keys)
+
+
 def methodologies(
     documents: DataFrame, types: DataFrame, existing: DataFrame | None, text_versions: bool = False
 ) -> DataFrame:
@@ -203,7 +208,7 @@ def load_consultation_results(
     user: str | None = None,
 ) -> DataFrame:
     rows = newest_per_key(consultation_results(consultations, requests, statuses), ["rfc_id"], ["roc_publcn_dtm"])
-    return upsert(existing, stamped(rows, modified_at, user), ["rfc_id"])
+    return upsert_found(existing, stamped(rows, modified_at, user), ["rfc_id"])
 
 
 def load_methodology_requests(
@@ -216,4 +221,4 @@ def load_methodology_requests(
     user: str | None = None,
 ) -> DataFrame:
     rows = methodology_requests(consultations, documents, requests, methodology_docs)
-    return upsert(existing, stamped(rows, modified_at, user), ["rfc_id", "meth_doc_id"])
+    return upsert_found(existing, stamped(rows, modified_at, user), ["rfc_id", "meth_doc_id"])

@@ -113,6 +113,14 @@ def test_code_tables_do_not_gather_rows_in_a_task_for_each_code(spark):
     assert joined["rfc"].count() == t.lineitem.count()
 
 
+def test_later_loads_find_their_rows_once(spark):
+    t = registry.Tables(spark, FOLDER)
+    codes = queries.lookup(t.lineitem, "l_linestatus", "roc_status")
+    known = spark.createDataFrame([], "rfc_id long, roc_publcn_nm string, roc_cms_doc_id string, roc_rmc_doc_id string, roc_publcn_dtm date, roc_status_cd string, modified_dtm timestamp_ntz, modified_user_id string")
+    loaded = methodology.load_consultation_results(queries.consultations(t), queries.numbered_requests(t), codes, known, "2024-03-01 00:00:00", "u")
+    assert "Window" not in plan_of(loaded) and "l_shipdate" not in plan_of(loaded)
+
+
 PYTHON = {"computed_by_function", "converted_by_function", "conditional_by_function", "selected_by_function"}
 # A window without partitions is allowed over one row per partition of an index, and nowhere else.
 INDEXED = {
