@@ -113,6 +113,11 @@ def test_code_tables_do_not_gather_rows_in_a_task_for_each_code(spark):
     assert joined["rfc"].count() == t.lineitem.count()
 
 
+def test_increments_are_found_once(spark):
+    """The merge reads an increment for its keys and for its rows; the window that picks its rows must not run for both."""
+    assert "Window" not in plan_of(registry.QUERIES["cdc_newest_valid"](spark, FOLDER))
+
+
 def test_later_loads_find_their_rows_once(spark):
     t = registry.Tables(spark, FOLDER)
     codes = queries.lookup(t.lineitem, "l_linestatus", "roc_status")
