@@ -83,9 +83,21 @@ def numbered_query(query: str, order_by: str, name: str = "record_key") -> str:
 
 
 def bounds_by_rank_query(query: str, column: str, partitions: int) -> str:
-    """The least value of each of `partitions` equally large ranges of a column of any type. The source sorts that column once."""
-    ranked = f"SELECT {column} AS k, NTILE({partitions}) OVER (ORDER BY {column}) AS part FROM ({query}) q WHERE {column} IS NOT NULL"
-    return f"SELECT MIN(k) AS low FROM ({ranked}) r GROUP BY part ORDER BY low"
+    """The least value of each of `partitions` equally large ranges of a column of any type, once for ranges that begin with the
+    same value. The source counts its values and sorts those, not its rows: ranges are as NTILE would cut the sorted rows."""
+    counted = f"SELECT {column} AS k, COUNT(*) AS n FROM ({query}) q WHERE {column} IS NOT NULL GROUP BY {column}"
+    placed = f"SELECT k, SUM(n) OVER (ORDER BY k ROWS UNBOUNDED PRECEDING) AS upto, n, SUM(n) OVER () AS total FROM ({counted}) c"
+    sized = f"SELECT k, upto, n, FLOOR(total / {partitions}) AS size, total - {partitions} * FLOOR(total / {partitions}) AS longer FROM ({placed}) p"
+
+    def range_of(row: str) -> str:
+        """The range, from 1, that a row number from 1 falls into: the first `longer` ranges hold one row more than the others."""
+        return (
+            f"CASE WHEN {row} <= longer * (size + 1) THEN FLOOR(({row} + size) / (size + 1)) "
+            f"ELSE longer + FLOOR(({row} - longer * (size + 1) + size - 1) / size) END"
+        )
+
+    # a range begins in the value if its last row lies in a later range than the row before its first
+    return f"SELECT k AS low FROM ({sized}) s WHERE {range_of('upto')} > {range_of('(upto - n)')} ORDER BY low"
 
 
 def sql_literal(value: object) -> str:

@@ -126,6 +126,16 @@ def test_later_loads_find_their_rows_once(spark):
     assert "Window" not in plan_of(loaded) and "l_shipdate" not in plan_of(loaded)
 
 
+def test_bounds_by_rank_sort_values_and_not_rows(spark):
+    data = spark.range(1000).select(F.when(F.col("id") % 9 > 0, F.col("id") % 5 * F.col("id") % 13).alias("k"))
+    for parts in (1, 2, 3, 7, 40, 2000):
+        lows = [r["low"] for r in spark.sql(jdbc.bounds_by_rank_query("SELECT * FROM {data}", "k", parts), data=data).collect()]
+        ranked = "SELECT MIN(k) AS low FROM (SELECT k, NTILE({}) OVER (ORDER BY k) AS part FROM {{data}} WHERE k IS NOT NULL) GROUP BY part ORDER BY low"
+        assert lows == list(dict.fromkeys(r["low"] for r in spark.sql(ranked.format(parts), data=data).collect()))
+    plan = optimized(spark.sql(jdbc.bounds_by_rank_query("SELECT * FROM {data}", "k", 40), data=data))
+    assert plan.rindex("Window") < plan.rindex("Aggregate")  # the windows stand over counted values
+
+
 PYTHON = {"computed_by_function", "converted_by_function", "conditional_by_function", "selected_by_function"}
 # A window without partitions is allowed over one row per partition of an index, and nowhere else.
 INDEXED = {
