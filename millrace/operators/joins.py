@@ -279,12 +279,13 @@ def bridge(
     keep: Sequence[str] = (),
 ) -> DataFrame:
     """Distinct pairs of the keys of two tables that a table of links puts together, with the `keep` columns of the links; only
-    pairs that have the same values in `agree`, if any. Links are reduced to distinct ones before they meet the tables. NULLs
-    match nothing.
+    pairs that have the same values in `agree`, if any. NULLs match nothing. Repeated links do not multiply, as a key and its
+    agreeing values come once in each table; they are reduced at the end, when what does not agree is gone: most links are distinct
+    and reducing them first would hold them all in memory.
     """
     lefts, rights = as_list(left_keys), as_list(right_keys)
     columns = list(dict.fromkeys([*keep, *lefts, *rights]))
-    needed = links.select(*[quoted(c) for c in columns]).distinct()
+    needed = links.select(*[quoted(c) for c in columns])
     same = {c: f"__same_{c}" for c in agree}
     with_left = needed.join(left.select(*[quoted(c) for c in lefts], *[quoted(c).alias(n) for c, n in same.items()]).distinct(), lefts)
     other = right.select(*[quoted(c) for c in rights], *[quoted(c).alias(n) for c, n in same.items()]).distinct()

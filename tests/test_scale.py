@@ -126,6 +126,18 @@ def test_later_loads_find_their_rows_once(spark):
     assert "Window" not in plan_of(loaded) and "l_shipdate" not in plan_of(loaded)
 
 
+def test_links_are_reduced_once_at_the_end(spark):
+    links = spark.range(1000).select((F.col("id") % 10).alias("l"), (F.col("id") % 7).alias("r"))
+    left, right = links.select("l").distinct(), links.select("r").distinct()
+    found = joins.bridge(links, left, right, "l", "r")
+    assert found.count() == 70
+    stored = spark.read.parquet(f"{FOLDER}/lineitem.parquet").select(F.col("l_partkey").alias("l"), F.col("l_suppkey").alias("r"))
+    plan = optimized(joins.bridge(stored, left, right, "l", "r")).splitlines()
+    at = next(k for k, line in enumerate(plan) if "Relation" in line)
+    join = max(k for k in range(at) if "Join" in plan[k])
+    assert not [line for line in plan[join:at] if "Aggregate" in line]
+
+
 def test_bounds_by_rank_sort_values_and_not_rows(spark):
     data = spark.range(1000).select(F.when(F.col("id") % 9 > 0, F.col("id") % 5 * F.col("id") % 13).alias("k"))
     for parts in (1, 2, 3, 7, 40, 2000):
